@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, sharding
+from . import bpe, chat, exact_dedup, mixing, pii, quality, sharding, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,8 +14,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_rendezvous_sharding": sharding.op1,
         "op2_fair_queue_mixing": mixing.op2,
         "op3_cuckoo_dedup": exact_dedup.op3,
+        "op4_crf_quality": quality.op4,
+        "op5_simhash_vantage": simhash.op5,
+        "op7_bootstrapped_pii": pii.op7,
+        "op8_forced_boundary_bpe": bpe.op8,
+        "op9_incremental_chat": chat.op9,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_fair_queue_mixing": mixing.OP2_SQL, "op3_cuckoo_dedup": exact_dedup.OP3_SQL}
+    return {"op2_fair_queue_mixing": mixing.OP2_SQL, "op3_cuckoo_dedup": exact_dedup.OP3_SQL, "op9_incremental_chat": chat.OP9_SQL}
