@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, exact_dedup, mixing, pii, quality, sharding, simhash
+from . import bpe, chat, exact_dedup, hnsw, licenses, mixing, pii, quality, sharding, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,9 +16,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_cuckoo_dedup": exact_dedup.op3,
         "op4_crf_quality": quality.op4,
         "op5_simhash_vantage": simhash.op5,
+        "op6_hnsw_vectors": hnsw.op6,
         "op7_bootstrapped_pii": pii.op7,
         "op8_forced_boundary_bpe": bpe.op8,
         "op9_incremental_chat": chat.op9,
+        "op10_license_scan": licenses.op10,
     }
 
 
