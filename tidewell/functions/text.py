@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: White space as Unicode sees it; Spark's own trim takes U+0020 only.
@@ -51,6 +52,16 @@ def first_reason(*rules: tuple[Column, str]) -> Column:
     return reduce(lambda done, rule: done.when(*rule), rules[1:], F.when(*rules[0]))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once: a lambda's variable isn't inlined, so large expressions stay small."""
+    return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
+
+
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with columns that are computed once per row, however often they are used: the optimizer doesn't inline a generator."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def expand(prefix: str, cleaned: Column, warning: bool = True) -> list[Column]:
     """A cleaned field as columns ``<prefix>``, ``<prefix>_reason`` and ``<prefix>_warning``."""
     out = [cleaned["value"].alias(prefix), cleaned["reason"].alias(f"{prefix}_reason")]

@@ -48,15 +48,16 @@ def snapshot_problems(snapshots: DataFrame, natural: str, as_of: str, parent: st
     return twice.unionByName(orphan)
 
 
-def point_in_time(facts: DataFrame, dim: DataFrame, natural: str, at: str, natural_reason: str | None = None) -> DataFrame:
+def point_in_time(facts: DataFrame, dim: DataFrame, natural: str, at: str, natural_reason: str | None = None, dim_key: str | None = None) -> DataFrame:
     """``facts`` with ``sk`` of the dimension row that covers ``at``, or ``sk_reason``.
 
-    An equi-join with a range condition; rows without key or date go past the join's hash table as non-matches.
+    ``dim_key`` is the key's name in the dimension, if it is another. An equi-join with a range condition; rows without key or date go past the join's hash table as non-matches.
     """
-    d = dim.select(F.col(natural).alias("_k"), "valid_from", "valid_to", "sk")
+    dim_key = dim_key or natural
+    d = dim.select(F.col(dim_key).alias("_k"), "valid_from", "valid_to", "sk")
     covered = (F.col(natural) == F.col("_k")) & (F.col("valid_from") <= F.col(at)) & (F.col(at) < F.col("valid_to"))
     found = facts.join(d, covered, "left").drop("_k", "valid_from", "valid_to")
-    known = dim.select(F.col(natural).alias("_known")).distinct()
+    known = dim.select(F.col(dim_key).alias("_known")).distinct()
     found = found.join(known, F.col(natural) == F.col("_known"), "left")
     reason = (
         F.when(F.col("sk").isNotNull(), None)

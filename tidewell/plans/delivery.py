@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import cleaning as clean
 from ..functions.keys import keyed_hash, record_key, version_key
-from ..functions.text import expand, strip
+from ..functions.text import expand, once, strip
 from ..operators import dimensions, facts, history, identity, quality
 from ..operators.checks import GATE_SOURCES
 from ..sources import landing, reference
@@ -72,7 +72,7 @@ def observed(raw: DataFrame, conventions: DataFrame) -> DataFrame:
     c = F.broadcast(conventions.select(F.col("source_system").alias("file_source_system"), "date_order", "amount_unit", "timestamp_timezone", "century"))
     rows = raw.join(c, "file_source_system")
     ts = clean.clean_timestamp(F.col("last_updated_ts"), F.col("timestamp_timezone"), F.col("date_order"))
-    rows = rows.withColumn("_ts", ts).withColumns({"version_ts": F.col("_ts.value"), "version_ts_reason": F.col("_ts.reason"), "last_updated_ts_warning": F.col("_ts.warning")}).drop("_ts")
+    rows = once(rows, _ts=ts).withColumns({"version_ts": F.col("_ts.value"), "version_ts_reason": F.col("_ts.reason"), "last_updated_ts_warning": F.col("_ts.warning")}).drop("_ts")
     rows = rows.withColumn("encounter_key", F.when(clean.has_record_id(F.col("source_record_id")), record_key("encounter/v1", F.col("file_source_system"), F.col("source_record_id"))))
     return rows.withColumn("version_key", F.when(F.col("version_ts").isNotNull() & F.col("encounter_key").isNotNull(), version_key("version/v1", F.col("file_source_system"), F.col("source_record_id"), F.col("version_ts"))))
 
@@ -85,9 +85,9 @@ def cleaned_fields(versions: DataFrame, config: Config) -> DataFrame:
     listed = F.broadcast(config.rosters.select(F.col("npi").alias("_npi")).distinct().withColumn("_in_roster", F.lit(True)))
     npi = clean.clean_npi(F.col("attending_npi"))
     rows = rows.withColumn("_code", clean.icd10_code(F.col("primary_dx_code"))).join(known, F.col("_code") == F.col("_dx"), "left")
-    rows = rows.withColumn("_n", npi).join(listed, F.col("_n.value") == F.col("_npi"), "left")
+    rows = once(rows, _n=npi).join(listed, F.col("_n.value") == F.col("_npi"), "left")
     dates = [clean.clean_date(F.col(c), F.col("date_order"), F.col("century"), F.col("delivered_date")) for c in ("admit_date", "discharge_date")]
-    rows = rows.withColumns({"_admit": dates[0], "_discharge": dates[1]})
+    rows = once(rows, _admit=dates[0], _discharge=dates[1])
     keys = ["version_key", "batch_id", *LINEAGE]
     return rows.select(
         *keys, "facility_id", "facility_id_reason", "last_updated_ts_warning",
@@ -176,7 +176,7 @@ def people(store: Store, config: Config) -> DataFrame:
     """Attributes per raw row that identify nobody: key, link status, sex, age band, ZIP area. Recomputed from all accepted rows."""
     rows = store.committed("raw").join(F.broadcast(config.conventions.select(F.col("source_system").alias("file_source_system"), "date_order", "century")), "file_source_system")
     date = lambda c: clean.clean_date(F.col(c), F.col("date_order"), F.col("century"), F.col("delivered_date"))["value"]
-    rows = rows.withColumns({"_born": date("patient_dob"), "_admit": date("admit_date"), "_sex": clean.clean_sex(F.col("patient_sex")), "_last": clean.clean_last_name(F.col("patient_last_name"))["value"], "_first": clean.clean_first_name(F.col("patient_first_name"))["value"]})
+    rows = once(rows, _born=date("patient_dob"), _admit=date("admit_date"), _sex=clean.clean_sex(F.col("patient_sex")), _last=clean.clean_last_name(F.col("patient_last_name"))["value"], _first=clean.clean_first_name(F.col("patient_first_name"))["value"])
     rows = rows.withColumns({"_known_sex": F.nullif(F.col("_sex.value"), F.lit("UNKNOWN")), "_mrn": strip(F.col("patient_mrn"))})
     found = identity.link_identities(rows, "file_source_system", "_mrn", ["_last", "_first", "_born", "_known_sex"], F.col("_born").isNotNull())
     found = found.withColumn("patient_key", keyed_hash(config.secret, F.col("key_parts"))).drop("key_parts")
@@ -201,7 +201,7 @@ def rebuild_mart(store: Store, config: Config) -> dict[str, DataFrame]:
     store.replace("dim_diagnosis", dimensions.reference_and_observed(config.codes, fields.select(F.col("primary_dx_code").alias("icd10_code")), "icd10_code"))
     store.replace("dim_date", dimensions.calendar_dim(fields, "admit_date", "discharge_date"))
     joined = facts.fact_versions(versions, fields.drop("batch_id", *LINEAGE), store.read("people"), "version_key", ["batch_id", *LINEAGE])
-    placed = dimensions.point_in_time(joined, store.read("dim_provider"), "attending_npi", "admit_date", "attending_npi_reason")
+    placed = dimensions.point_in_time(joined, store.read("dim_provider"), "attending_npi", "admit_date", "attending_npi_reason", dim_key="npi")
     stay = clean.length_of_stay(F.col("admit_date"), F.col("discharge_date"))
     placed = placed.withColumnsRenamed({"sk": "provider_sk", "sk_reason": "provider_sk_reason"}).withColumn("_stay", stay)
     placed = placed.withColumns({
