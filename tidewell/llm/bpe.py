@@ -19,6 +19,7 @@ from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +28,8 @@ from .shared import table
 #: Entries of each half of a worker's fragment cache (the older half is dropped when the newer is full), and of its
 #: pre-token cache; the longest string that is cached.
 CACHE_SIZE, PIECE_CACHE_SIZE, CACHED_LENGTH = 120_000, 150_000, 40
+#: Rows that are turned to results at a time: bounds what a worker holds besides its input batch.
+SLICE = 500
 #: The tokenizer's own pre-token pattern, narrowed to lower-case printable ASCII without white space.
 ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 OTHER_SPACE = re.compile("[\x1c-\x1f]")
@@ -139,20 +142,24 @@ def encode(docs: DataFrame, text: str = "text", key: str = "doc_id", path: str |
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)
-        for b in batches:
-            coded = [e.encode(t.as_py()) for t in b.column(1)]
-            columns = [
-                b.column(0),
-                pa.array([len(ids) // 4 for ids, _ in coded], pa.int64()),
-                pa.array([hashlib.sha256(ids).hexdigest() for ids, _ in coded]),
-                pa.array([hashlib.sha256(d.encode("utf-8")).hexdigest() for _, d in coded]),
-            ]
-            names = [key, "n_tokens", "ids_sha256", "decoded_sha256"]
-            if keep_ids:
-                columns.append(pa.array([array("I", ids).tolist() for ids, _ in coded], pa.list_(pa.int32())))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-
+        for whole in batches:
+            for i in range(0, whole.num_rows, SLICE):
+                b = whole.slice(i, SLICE)
+                counts, digests, decoded, ids = [], [], [], []
+                for t in b.column(1):
+                    coded, text_again = e.encode(t.as_py())
+                    counts.append(len(coded) // 4)
+                    digests.append(hashlib.sha256(coded).hexdigest())
+                    decoded.append(hashlib.sha256(text_again.encode("utf-8")).hexdigest())
+                    if keep_ids:
+                        ids.append(coded)
+                columns = [b.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string())]
+                if keep_ids:
+                    values = np.frombuffer(b"".join(ids), np.int32)
+                    columns.append(pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32), values))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    names = [key, "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * keep_ids]
     kind = docs.schema[key].dataType.simpleString()
     schema = f"`{key}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
     return docs.select(key, text).mapInArrow(run, schema)

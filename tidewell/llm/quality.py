@@ -28,6 +28,8 @@ MAX_FIT = 6000
 #: Documents with more lines than this are left out of the fit (not of the scoring).
 MAX_FIT_LINES = 2000
 EPOCHS, RATE, L2 = 100, 0.15, 1e-3
+#: Documents that are scored at a time: bounds what a worker holds besides its input batch.
+SLICE = 500
 #: Predicted good from this score on.
 THRESHOLD = 0.3
 
@@ -190,17 +192,16 @@ def score(docs: DataFrame, chain: Chain, text: str = "text", keep: list[str] | N
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = Chain.load(model)
-        for b in batches:
-            scores = np.empty(b.num_rows)
-            split = [lines_of(t.as_py()) for t in b.column(b.num_columns - 1)]
-            if split:
+        for whole in batches:
+            for i in range(0, whole.num_rows, SLICE):
+                b = whole.slice(i, SLICE)
+                split = [lines_of(t.as_py()) for t in b.column(b.num_columns - 1)]
                 sizes = np.array([len(x) for x in split], dtype=np.int64)
                 p = c.marginals(np.vstack([line_features(x) for x in split]), sizes)
                 weight = np.array([len(x) for lines in split for x in lines], dtype=float) + 1e-6
                 ends = np.cumsum(sizes) - sizes
-                scores = np.add.reduceat(p * weight, ends) / np.add.reduceat(weight, ends)
-            scores = np.clip(scores, 0.0, 1.0)
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(scores), pa.array((scores >= THRESHOLD).astype(np.int32))], names=[*keep, "quality_score", "quality_predicted"])
+                scores = np.clip(np.add.reduceat(p * weight, ends) / np.add.reduceat(weight, ends), 0.0, 1.0)
+                yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(scores), pa.array((scores >= THRESHOLD).astype(np.int32))], names=[*keep, "quality_score", "quality_predicted"])
 
     clash = [c for c in keep if c.lower() in ("quality_score", "quality_predicted")]
     if clash:
