@@ -4,7 +4,8 @@ Equal vectors are one class first (their number counts in the links), so a hot v
 each shard's graph is built by one task, every class queries the graph of every shard, and pairs are verified by cosine
 in double precision. A query whose beam is full of vectors within the threshold may have more of them in that shard than the
 beam holds: it scans the shard exactly. The beam's width starts small and is doubled until an audit passes: for a
-bounded sample of classes the ten nearest of all vectors, found exactly, must be found through the graphs.
+bounded sample of classes, and a copy of each that is moved until it only just links, the ten nearest of all vectors are found
+exactly; nearly all that link must be found through the graphs.
 
 Graphs: node order is a fixed permutation, level k holds its first n / 16^k nodes, nodes are inserted in waves that double up to a
 limit, neighbours are chosen by the usual diversity rule (nearer to the node than to any chosen neighbour, then filled up
@@ -28,9 +29,10 @@ from .shared import cut_lineage, table
 THRESHOLD = 0.95
 #: Shards at least, classes per shard at most on average, classes of one query task.
 SHARDS, SHARD_ROWS, QUERY_ROWS = 8, 100_000, 16_384
-#: Neighbours on upper levels and on the lowest, beam while building, first beam of queries and the widest tried, audit size, recall asked for.
-M, M0, BUILD_BEAM, BEAM, WIDEST, AUDIT, RECALL = 12, 24, 40, 24, 768, 200, 0.97
-FANOUT, WAVE, AT_ONCE = 16, 1024, 3
+#: Neighbours on upper levels and on the lowest, beam while building, first beam of queries and the widest tried, audit size,
+#: recall of links asked for.
+M, M0, BUILD_BEAM, BEAM, WIDEST, AUDIT, RECALL = 12, 24, 28, 8, 768, 400, 0.99
+FANOUT, WAVE, AT_ONCE, FLAT = 16, 1024, 3, 2048
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -40,25 +42,30 @@ def unit(x: np.ndarray) -> np.ndarray:
 def _beam(links: np.ndarray, vectors: np.ndarray, queries: np.ndarray, entries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """The ``width`` best nodes found for each query from its entries: ids (-1: none) and similarities, best first."""
     n, rows = len(queries), np.arange(len(queries))[:, None]
-    visited = np.zeros((n, len(links) + 1), bool)  # the last column stands for "no node"
-    visited[:, -1] = True
-    ids = np.full((n, width), -1)
+    stride = len(links) + 1
+    visited = np.zeros(n * stride, bool)  # a row per query; its last place stands for "no node"
+    visited[stride - 1 :: stride] = True
+    ids = np.full((n, width), -1, np.int32)
+    entries = entries.astype(np.int32)
     sims = np.full((n, width), -np.inf, np.float32)
     open_ = np.zeros((n, width), bool)
 
     def offer(at: np.ndarray, nodes: np.ndarray) -> None:
         nodes = np.sort(nodes, axis=1)
-        fresh = ~visited[at[:, None], nodes]
+        place = nodes + (at * stride)[:, None]
+        fresh = ~visited.take(place)
         fresh[:, 1:] &= nodes[:, 1:] != nodes[:, :-1]
-        visited[at[:, None], nodes] = True
-        r, c = np.nonzero(fresh)
-        s = np.full(nodes.shape, -np.inf, np.float32)
-        s[r, c] = np.einsum("ij,ij->i", vectors[nodes[r, c]], queries[at[r]])
-        all_s = np.hstack([sims[at], s])
-        top = np.argpartition(-all_s, width - 1, axis=1)[:, :width] if all_s.shape[1] > width else np.arange(width)[None, :].repeat(len(at), 0)
-        k = np.arange(len(at))[:, None]
+        visited[place] = True
+        new = np.flatnonzero(fresh)
+        s = np.full(nodes.size, -np.inf, np.float32)
+        s[new] = np.einsum("ij,ij->i", vectors.take(nodes.take(new), axis=0), queries.take(at.take(new // nodes.shape[1]), axis=0))
+        all_s = np.hstack([sims[at], s.reshape(nodes.shape)])
         all_i, all_o = np.hstack([ids[at], nodes]), np.hstack([open_[at], fresh])
-        sims[at], ids[at], open_[at] = all_s[k, top], all_i[k, top], all_o[k, top]
+        if all_s.shape[1] > width:
+            top = np.argpartition(-all_s, width - 1, axis=1)[:, :width]
+            top += (np.arange(len(at)) * all_s.shape[1])[:, None]
+            all_s, all_i, all_o = all_s.take(top), all_i.take(top), all_o.take(top)
+        sims[at, : all_s.shape[1]], ids[at, : all_s.shape[1]], open_[at, : all_s.shape[1]] = all_s, all_i, all_o
 
     offer(np.arange(n), entries)
     live = np.arange(n)
@@ -75,7 +82,7 @@ def _beam(links: np.ndarray, vectors: np.ndarray, queries: np.ndarray, entries:
         nodes = ids[live[:, None], best]
         open_[live[:, None], best] = False
         around = np.where(usable[:, :, None], links[np.where(usable, nodes, 0)], -1).reshape(len(live), -1)
-        offer(live, np.where(around < 0, len(links), around))
+        offer(live, np.where(around < 0, np.int32(len(links)), around))
     order = np.argsort(-sims, axis=1, kind="stable")
     ids, sims = ids[rows, order], sims[rows, order]
     ids[sims == -np.inf] = -1
@@ -128,8 +135,11 @@ def _join_wave(links: np.ndarray, vectors: np.ndarray, new: np.ndarray, chosen:
         sim = np.einsum("ijk,ik->ij", vectors[np.maximum(b, 0)], vectors[nodes[i : i + 4096]])
         sim = np.where(b < 0, -np.inf, sim).astype(np.float32)
         order = np.argsort(-sim, axis=1, kind="stable")
-        k = np.arange(len(b))[:, None]
-        links[nodes[i : i + 4096]] = _choose(vectors, b[k, order], sim[k, order], most)
+        b, sim = np.take_along_axis(b, order, 1), np.take_along_axis(sim, order, 1)
+        out = b[:, :most].copy()
+        crowded = np.flatnonzero(b[:, most] >= 0)
+        out[crowded] = _choose(vectors, b[crowded], sim[crowded], most)
+        links[nodes[i : i + 4096]] = out
 
 
 class Graph:
@@ -188,8 +198,14 @@ class Graph:
 
     def _descend(self, queries: np.ndarray, width: int) -> np.ndarray:
         """Entries for the next level below those built so far: the best nodes of the lowest of them."""
-        entries = np.zeros((len(queries), 1), np.int64)
-        for links in reversed(self.levels):
+        if not self.levels:
+            return np.zeros((len(queries), 1), np.int64)
+        # the first level that is small enough is looked through whole, the levels below it by their links
+        flat = next((k for k, links in enumerate(self.levels) if len(links) <= FLAT), len(self.levels) - 1)
+        sims = queries @ self.vectors[: len(self.levels[flat])].T
+        k = min(width, sims.shape[1])
+        entries = np.argpartition(-sims, k - 1, axis=1)[:, :k]
+        for links in reversed(self.levels[:flat]):
             entries, _ = _beam(links, self.vectors, queries, np.where(entries < 0, len(links), entries), width)
         return np.where(entries < 0, 0, entries)
 
@@ -241,14 +257,19 @@ def graphs_of(classes: DataFrame, shards: int) -> DataFrame:
     return cut_lineage(placed.groupBy("dims", "shard").applyInPandas(_build, "dims int, shard int, graph binary"))
 
 
-def audited_beam(classes: DataFrame, graphs: DataFrame) -> tuple[int, float]:
-    """The beam at which the audit passes, and the recall of the ten nearest at it."""
+def audited_beam(classes: DataFrame, graphs: DataFrame, threshold: float = THRESHOLD) -> tuple[int, float]:
+    """The beam at which the audit passes, and the recall of links at it."""
     sample = classes.orderBy(F.xxhash64("rep", F.lit(3)), "rep").limit(AUDIT).select("rep", "vec", "dims").collect()
     if not sample:
         return BEAM, 1.0
     dims = sample[0]["dims"]
     sample = [r for r in sample if r["dims"] == dims]
-    reps, q = np.array([r["rep"] for r in sample]), unit(np.array([r["vec"] for r in sample], dtype=np.float64))
+    q = unit(np.array([r["vec"] for r in sample], dtype=np.float64))
+    if q.shape[1] > 1:  # copies at an angle just inside the threshold: the hardest links to find
+        away = np.random.default_rng(7).normal(size=q.shape)
+        away = unit(away - (away * q).sum(1, keepdims=True) * q)
+        c = threshold + 0.1 * (1 - threshold)
+        q = np.vstack([q, c * q + np.sqrt(1 - c * c) * away])
 
     def best(reps_here: np.ndarray, sims: np.ndarray, k: int = 10) -> pd.DataFrame:
         k = min(k, sims.shape[1])
@@ -265,6 +286,7 @@ def audited_beam(classes: DataFrame, graphs: DataFrame) -> tuple[int, float]:
     schema = "q long, rep long, sim double"
     top = lambda df: {(r["q"], x["rep"]): x["sim"] for r in df.groupBy("q").agg(F.slice(F.sort_array(F.collect_list(F.struct("sim", "rep")), asc=False), 1, 10).alias("t")).collect() for x in r["t"]}
     wanted = top(classes.select("rep", "vec", "dims").mapInPandas(exact, schema))
+    linked = {k for k, sim in wanted.items() if sim >= threshold}
     width, recall = BEAM, 0.0
     while True:
 
@@ -278,7 +300,7 @@ def audited_beam(classes: DataFrame, graphs: DataFrame) -> tuple[int, float]:
                         yield out[out["sim"] > -2]
 
         got = top(graphs.mapInPandas(found, schema))
-        recall = len(wanted.keys() & got.keys()) / max(1, len(wanted))
+        recall = len(linked & got.keys()) / max(1, len(linked))
         if recall >= RECALL or width >= WIDEST:
             return width, recall
         width *= 2
@@ -331,7 +353,7 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     n = classes.count()
     shards = max(SHARDS, math.ceil(n / SHARD_ROWS))
     graphs = graphs_of(classes, shards)
-    width, _ = audited_beam(classes, graphs)
+    width, _ = audited_beam(classes, graphs, threshold)
     parts = max(1, math.ceil(n / QUERY_ROWS))
     part = F.pmod(F.xxhash64("rep", F.lit(9)), F.lit(parts)).cast("int")
     asked = classes.select("dims", "rep", "vec", part.alias("part")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
