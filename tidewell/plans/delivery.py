@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import cleaning as clean
@@ -223,3 +223,123 @@ def rebuild_mart(store: Store, config: Config) -> dict[str, DataFrame]:
     store.replace("quarantine", quality.quarantine(store.read("audit"), rejected, store.committed("outcomes"), store.read("issues"), current))
     names = ("dim_provider", "dim_facility", "dim_payer", "dim_diagnosis", "dim_date", "dim_patient", "fact_version", "fact_current", "issues", "quarantine")
     return {n: store.read(n) for n in names}
+
+
+def quality_report(store: Store, config: Config) -> DataFrame:
+    """The whole quality report: 51 rows per file, two per batch, one more per rejected batch. Needs ``rebuild_mart`` first.
+
+    Every number is an aggregate by (batch, file); the report joins a handful of such small tables.
+    """
+    by = ["batch_id", "file_name"]
+    audit = store.read("audit")
+    manifest = audit.filter(F.col("file_name") == landing.MANIFEST)
+    files = audit.filter(F.col("file_name") != landing.MANIFEST).withColumnRenamed("status", "batch_status")
+    accepted, rejected = files.filter("batch_status = 'ACCEPTED'"), files.filter("batch_status = 'REJECTED'")
+    null, no = F.lit(None).cast("bigint"), F.lit(False)
+    issues, outcomes, facts_v = store.read("issues"), store.committed("outcomes"), store.read("fact_version")
+
+    def counts(df: DataFrame, check: Column | str, evaluated: Column, observed: Column, expected: Column = null, codes: Column | None = None) -> DataFrame:
+        check = F.lit(check) if isinstance(check, str) else check
+        codes = F.lit(None).cast("string") if codes is None else codes
+        return df.select(*by, check.alias("check_code"), evaluated.cast("bigint").alias("evaluated"), observed.cast("bigint").alias("observed"), expected.cast("bigint").alias("expected"), codes.alias("reason_codes"), no.alias("not_evaluated"))
+
+    per_table = quality.rows_per_file({
+        "raw": (store.committed("raw"), *by), "outcomes": (outcomes, *by), "people": (store.read("people"), *by), "versions": (store.committed("versions"), *by), "fields": (store.committed("fields"), *by),
+        "facts": (facts_v, *by), "current": (store.read("fact_current"), *by), "quarantine": (store.read("quarantine").filter("quarantine_source IN ('HISTORY_ORDERING', 'VERSION_DQ')"), *by),
+    }).groupBy(*by).pivot("table", ["raw", "outcomes", "people", "versions", "fields", "facts", "current", "quarantine"]).agg(F.sum("n"))
+    errors = issues.filter("severity = 'ERROR'").groupBy(*by).agg(F.countDistinct("version_key").alias("error_versions"))
+    worst = quality.worst_severity(store.committed("versions"), issues, "version_key").join(store.committed("versions").select("version_key", *by), "version_key").groupBy(*by).agg(F.count(F.lit(1)).alias("partition"))
+    history_expected = outcomes.groupBy(*by).agg(F.count_if(F.col("outcome").isin(*history.CREATES_VERSION) | (F.coalesce("outcome_reason", F.lit("")) == "STALE_NEW_VERSION")).alias("history_expected"))
+    base = accepted.join(per_table, by, "left").join(errors, by, "left").join(worst, by, "left").join(history_expected, by, "left").fillna(0)
+    c = F.col
+    measured = {
+        "RECON_RAW_ROWS": ("received_count", "raw", c("received_count")), "RECON_ROW_OUTCOMES": ("received_count", "outcomes", c("received_count")), "RECON_PATIENT_ROWS": ("received_count", "people", c("received_count")),
+        "RECON_QUARANTINE_ROWS": ("received_count", "quarantine", c("quarantined") + c("error_versions")), "RECON_HISTORY_ROWS": ("versions", "versions", c("history_expected")), "RECON_VERSION_FIELD_ROWS": ("versions", "fields", c("versions")),
+        "RECON_FACT_VERSION_ROWS": ("versions", "facts", c("versions")), "RECON_DQ_PARTITION": ("versions", "partition", c("versions")), "RECON_CURRENT_ROWS": ("versions", "current", null), "ROW_COUNT_MATCH": ("one", "received_count", c("expected_count")),
+    }
+    base = base.withColumn("one", F.lit(1))
+    structs = F.array(*[F.struct(F.lit(k).alias("k"), c(a).cast("bigint").alias("a"), c(b).cast("bigint").alias("b"), x.cast("bigint").alias("x")) for k, (a, b, x) in measured.items()])
+    parts = [counts(base.withColumn("m", F.explode(structs)), c("m.k"), c("m.a"), c("m.b"), c("m.x"))]
+    structural = [s for s in quality.catalogue.STRUCTURAL if s != "ROW_COUNT_MATCH"]
+    parts.append(counts(base.withColumn("k", F.explode(F.array(*[F.lit(s) for s in structural]))), c("k"), F.lit(1), F.lit(0)))
+    changed = quality.schema_version_changes(store.committed("ingested"), "source_system", "batch_id", "version").select(*by, F.lit(1).alias("changed"))
+    flags = base.join(changed, by, "left").withColumns({"changed": F.coalesce("changed", F.lit(0)), "again": F.startswith(F.coalesce("reason", F.lit("")), F.lit("DUPLICATE_FILE")).cast("int")})
+    parts.append(counts(flags, "SCHEMA_VERSION_CHANGED", F.lit(1), c("changed"), codes=F.when(c("changed") == 1, "SCHEMA_VERSION_CHANGED")))
+    parts.append(counts(flags, "DUPLICATE_FILE", F.lit(1), c("again"), codes=F.when(c("again") == 1, "DUPLICATE_FILE")))
+
+    # row and version checks: a count where there is one, else 0
+    checks = quality.catalogue.checks(store.spark)
+    reasons = outcomes.filter("outcome_reason IS NOT NULL").select(*by, F.lit("outcome_reason").alias("source"), c("outcome_reason").alias("reason_code"))
+    by_row = quality.classified(reasons).select(*by, "check_code", "reason_code")
+    conflicts = outcomes.filter("outcome = 'STALE' AND match_type = 'CONFLICT'").select(*by, F.lit("STALE_REPLAY_CONFLICT").alias("check_code"), c("outcome_reason").alias("reason_code"))
+    hits = by_row.unionByName(conflicts).unionByName(issues.select(*by, "check_code", "reason_code")).groupBy(*by, "check_code").agg(F.count(F.lit(1)).alias("n"), clean.join_codes(c("reason_code")).alias("codes"))
+    graded = base.crossJoin(F.broadcast(checks.filter("grain IN ('ROW', 'VERSION') AND kind <> 'RECONCILIATION' AND check_code <> 'RECON_CURRENT_ROWS'").select("check_code", c("grain").alias("g"))))
+    graded = graded.join(hits, [*by, "check_code"], "left")
+    parts.append(counts(graded, c("check_code"), F.when(c("g") == "ROW", c("received_count")).otherwise(c("versions")), F.coalesce("n", F.lit(0)), codes=c("codes")))
+
+    # invariants whose expected value is 0
+    def failing(check: str, bad: DataFrame) -> DataFrame:
+        return counts(base.join(bad.groupBy(*by).agg(F.count(F.lit(1)).alias("bad")), by, "left"), check, c("versions"), F.coalesce("bad", F.lit(0)), F.lit(0))
+
+    for check, column, dim, key in (
+        ("FK_FACT_FACILITY", "facility_id", "dim_facility", "facility_id"), ("FK_FACT_DIAGNOSIS", "primary_dx_code", "dim_diagnosis", "icd10_code"), ("FK_FACT_PAYER", "payer_category", "dim_payer", "payer_category"),
+        ("FK_FACT_PROVIDER", "provider_sk", "dim_provider", "sk"), ("FK_FACT_PATIENT", "patient_key", "dim_patient", "patient_key"),
+    ):
+        parts.append(failing(check, quality.orphans(facts_v, column, store.read(dim), key).select(*by)))
+    dates = [quality.orphans(facts_v, d, store.read("dim_date"), "date_key").select(*by, "version_key") for d in ("admit_date", "discharge_date")]
+    parts.append(failing("FK_FACT_DATE", dates[0].unionByName(dates[1]).distinct()))
+    valued = [x for x in ("facility_id", "patient_key", "zip3", "attending_npi", "provider_sk", "admit_date", "discharge_date", "length_of_stay_days", "encounter_type", "claim_status", "primary_dx_code", "payer_category", "billed_amount_usd")]
+    parts.append(failing("VALUE_REASON_CONSISTENT", quality.inconsistent_reasons(facts_v, valued, ["age_band", "sex"])))
+    current = history.current_state(store.committed("versions"), ["encounter_key"], "last_updated_ts_utc", ["batch_id", *LINEAGE], "batch_id")
+    same = ["encounter_key", "version_key", "version_count", *by, "source_row_number"]
+    parts.append(failing("CURRENT_MATCHES_HISTORY", quality.symmetric_difference(store.read("fact_current").select(*same), current.select(*same))))
+    twice = []
+    for table, keys in ((facts_v, ["version_key"]), (store.read("fact_current"), ["encounter_key"]), (store.committed("versions"), ["version_key"]), (store.committed("fields"), ["version_key"]), (issues, ["version_key", "check_code"])):
+        twice.append(table.join(quality.duplicate_rows(table, keys).select(*keys), keys, "left_semi").select(*by))
+    repeated = twice[0]
+    for t in twice[1:]:
+        repeated = repeated.unionByName(t)
+    parts.append(failing("KEY_UNIQUE", repeated))
+
+    # rejected batches: structural checks by audit codes, gate checks by the stored issues
+    parts.append(quality.structural_counts(rejected))
+    if store.exists("gate_rejected_issues"):
+        gate_rows = store.read("gate_rejected_issues").groupBy(*by, "check_code").agg(F.countDistinct("source_row_number").alias("n"), clean.join_codes(c("reason_code")).alias("codes"))
+        gated = rejected.filter(F.contains("reason", F.lit("DQ_GATE_FAILED")))
+        graded_gate = gated.crossJoin(F.broadcast(checks.filter("severity = 'ERROR' AND kind = 'QUALITY' AND grain IN ('ROW', 'VERSION')").select("check_code"))).join(gate_rows, [*by, "check_code"], "left")
+        parts.append(counts(graded_gate, c("check_code"), c("received_count"), F.coalesce("n", F.lit(0)), codes=c("codes")))
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p)
+    report = quality.report(files.select(*by, "source_system", "batch_status"), every)
+    unread = (c("batch_status") == "REJECTED") & (c("status") == quality.NOT_EVALUATED) & c("reason_codes").isNull()
+    report = report.withColumn("reason_codes", F.when(unread, "BATCH_REJECTED").otherwise(c("reason_codes")))
+
+    # batch rows
+    batches = audit.groupBy("batch_id").agg(F.max("status").alias("batch_status"), F.max(F.contains(F.coalesce("reason", F.lit("")), F.lit("DQ_GATE_FAILED"))).alias("by_gate"), F.sum("received_count").alias("received"))
+    batches = batches.join(manifest.select("batch_id", F.array_join(F.array_sort(F.array_distinct(clean.audit_codes(c("reason")))), "|").alias("manifest_codes")), "batch_id", "left")
+    bad_versions = issues.filter("severity = 'ERROR'").select("version_key").distinct().withColumn("bad", F.lit(True))
+    gate = outcomes.join(bad_versions, "version_key", "left").groupBy("batch_id").agg(F.count(F.lit(1)).alias("gate_rows"), F.count_if((c("outcome") == "QUARANTINED") | c("bad")).alias("gate_errors"))
+    batches = batches.join(gate, "batch_id", "left")
+    if store.exists("gate_rejected_issues"):
+        stored = store.read("gate_rejected_issues").groupBy("batch_id").agg(F.countDistinct(F.struct(*LINEAGE)).alias("stored"))
+        batches = batches.join(stored, "batch_id", "left")
+    else:
+        batches = batches.withColumn("stored", null)
+    loaded = quality.rows_per_file({n: (store.committed(n), *by) for n in ("raw", "outcomes", "versions", "fields")}).groupBy("batch_id").agg(F.sum("n").alias("loaded"))
+    batches = batches.join(loaded, "batch_id", "left")
+    is_rejected = c("batch_status") == "REJECTED"
+
+    def batch_row(check: str, evaluated: Column, observed: Column, expected: Column, codes: Column) -> Column:
+        return F.struct(F.lit(check).alias("check_code"), evaluated.cast("bigint").alias("evaluated"), observed.cast("bigint").alias("observed"), expected.cast("bigint").alias("expected"), codes.alias("reason_codes"))
+
+    gate_read = F.when(is_rejected & c("by_gate"), c("received")).when(~is_rejected, F.coalesce("gate_rows", F.lit(0)))
+    rows = F.array(
+        batch_row("MANIFEST_VALID", F.lit(1), c("manifest_codes").isNotNull().cast("int"), null, c("manifest_codes")),
+        batch_row("PUBLISH_GATE", gate_read, F.when(is_rejected & c("by_gate"), c("stored")).when(~is_rejected, F.coalesce("gate_errors", F.lit(0))), null, F.when(is_rejected & c("by_gate"), "DQ_GATE_FAILED").when(is_rejected, "BATCH_REJECTED")),
+        F.when(is_rejected, batch_row("REJECTED_BATCH_NOT_LOADED", F.lit(1), F.coalesce("loaded", F.lit(0)), F.lit(0), F.lit(None).cast("string"))),
+    )
+    long = batches.select("batch_id", "batch_status", F.explode(rows).alias("m")).filter("m IS NOT NULL").select("batch_id", "batch_status", "m.*").join(F.broadcast(checks), "check_code")
+    long = long.withColumns({"file_name": F.lit(None).cast("string"), "source_system": F.lit(None).cast("string"), "not_evaluated": F.lit(False)})
+    share = F.when(c("kind") == "GATE", F.lit(config.max_error_share * 100).cast("decimal(7,2)"))
+    return report.unionByName(quality.with_status(long, share))
