@@ -125,6 +125,7 @@ def test_mart(run, config):
     assert ("VERSION", "VERSION_DQ", "FACILITY_UNRESOLVED") in levels and ("ROW", "HISTORY_ORDERING", "SOURCE_RECORD_ID_MISSING") in levels and ("FILE", "PUBLISH_GATE", "DQ_GATE_FAILED") in levels and ("ROW", "PUBLISH_GATE", "FACILITY_UNRESOLVED") in levels
     assert quality.orphans(mart["fact_version"], "provider_sk", mart["dim_provider"], "sk").count() == 0
     assert quality.orphans(mart["fact_version"], "admit_date", mart["dim_date"], "date_key").count() == 0
+    assert sorted((r["source_record_id"], r["readmit_30d_flag"]) for r in delivery.cohort(store).collect()) == [("1", 0), ("2", 0)]
     report = delivery.quality_report(store, config)
     by = {(r["batch_id"], r["file_name"], r["check_code"]): r for r in report.collect()}
     assert len(by) == report.count()

@@ -225,6 +225,12 @@ def rebuild_mart(store: Store, config: Config) -> dict[str, DataFrame]:
     return {n: store.read(n) for n in names}
 
 
+def cohort(store: Store, year: int = 2024, least: str = "5000.00") -> DataFrame:
+    """The cohort of chronic conditions over the rebuilt star schema."""
+    current = store.read("fact_current").withColumnsRenamed({"batch_id": "source_batch_id", "file_name": "source_file_name"})
+    return facts.chronic_acute_cohort(current, store.read("issues"), store.read("dim_facility"), store.read("dim_diagnosis"), store.read("dim_provider"), year, least)
+
+
 def quality_report(store: Store, config: Config) -> DataFrame:
     """The whole quality report: 51 rows per file, two per batch, one more per rejected batch. Needs ``rebuild_mart`` first.
 
