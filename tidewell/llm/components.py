@@ -1,7 +1,7 @@
 """Connected components of a graph given as an edge table, by alternating large-star and small-star rounds.
 
 Every round is two joins and two aggregations over the remaining edges; a node's smallest neighbour comes from a partial
-aggregate, and the joins that hand it out are plain equi-joins that Spark may split for nodes with many edges. Each round is
+aggregate, and the joins that hand it out move both sides, so that Spark may split them for nodes with many edges. Each round is
 checkpointed. It ends when a round changes nothing: then every node points at the smallest node of its component.
 """
 
@@ -11,12 +11,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import cut_lineage
 
 
+def dealt_anew(column: str) -> Column:
+    """A column's own value, in a form that hides how its rows are partitioned.
+
+    An aggregate's result is partitioned by its key already, so joining it would move the other side only, and Spark splits
+    a join's hot keys only if it moves both sides.
+    """
+    return F.bitwise_not(F.bitwise_not(F.col(column))).alias(column)
+
+
 def _state(edges: DataFrame) -> tuple:
     r = edges.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(a, b))")).first()
     return r[0], r[1]
@@ -24,14 +33,14 @@ def _state(edges: DataFrame) -> tuple:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = both.groupBy("a").agg(F.min("b").alias("m")).select(dealt_anew("a"), F.least("a", "m").alias("m"))
     return both.join(least, "a").filter((F.col("b") > F.col("a")) & (F.col("b") != F.col("m"))).select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("m"))
-    others = down.join(least, "a").filter(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+    others = down.join(least.select(dealt_anew("a"), "m"), "a").filter(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     return others.union(least.select("a", F.col("m").alias("b"))).distinct()
 
 

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .components import Forest, components, shrink
+from .components import Forest, components, dealt_anew, shrink
 from .shared import cut_lineage, own_name, table
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
@@ -207,7 +207,7 @@ def groups(prints: DataFrame, key: str, column: str, radius: int = RADIUS) -> Da
     firsts = cut_lineage(prints.groupBy(F.col(column).alias("fp")).agg(F.min(F.col(key).cast("long")).alias("first_key")))
     roots = components(linked(firsts, "fp", radius)).withColumnRenamed("node", "fp")
     rooted = cut_lineage(firsts.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
-    least = rooted.groupBy("root").agg(F.min("first_key").alias("component"))
+    least = rooted.groupBy("root").agg(F.min("first_key").alias("component")).select(dealt_anew("root"), "component")
     return rooted.join(least, "root").select(F.col("fp").alias(column), "component")
 
 
