@@ -14,9 +14,11 @@ zero: the denominator counts every occurrence of the context word in the corpus,
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +29,8 @@ from .shared import cut_lineage, table
 KINDS = ("email", "ip", "card", "phone")
 #: Patterns need so many distinct seed instances; confidence and score bounds; rounds of scoring.
 MIN_SEEDS, MIN_CONFIDENCE, ACCEPT, ROUNDS = 5, 0.6, 0.9, 3
+#: Context words that a task counts in one pass, and confident patterns that a task may hold (more: an error that asks for stricter bounds).
+LOT, MAX_HELD = 50_000, 500_000
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
@@ -134,8 +138,18 @@ def mentions(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def context_counts(docs: DataFrame, contexts: DataFrame, text: str = "text") -> DataFrame:
-    """How often each context word stands in the corpus. ``contexts`` is bounded: see ``learn_patterns``."""
-    wanted = frozenset(r["word"] for r in contexts.select("word").distinct().collect())
+    """How often each context word stands in the corpus: word, ``seen``.
+
+    Tasks hold the words that they count, so the words are dealt by hash into lots of about ``LOT``, each counted in a pass of its own.
+    """
+    words = cut_lineage(contexts.select("word").distinct())
+    lots = max(1, math.ceil(words.count() / LOT))
+    counted = [_count(docs, text, words.filter(F.pmod(F.xxhash64("word"), F.lit(lots)) == i)) for i in range(lots)]
+    return reduce(DataFrame.unionByName, counted)
+
+
+def _count(docs: DataFrame, text: str, lot: DataFrame) -> DataFrame:
+    wanted = frozenset(r["word"] for r in lot.collect())  # about LOT words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
@@ -148,16 +162,12 @@ def context_counts(docs: DataFrame, contexts: DataFrame, text: str = "text") ->
     return counted.groupBy("word").agg(F.sum("n").alias("seen"))
 
 
-def learn_patterns(docs: DataFrame, text: str = "text", max_patterns: int = 5000) -> DataFrame | None:
-    """Confident patterns: kind, side, word, confidence; None if there are none.
-
-    Only the ``max_patterns`` contexts with most distinct seeds are scored. The bound keeps the list that every task holds small; it
-    does not grow with the input.
-    """
+def learn_patterns(docs: DataFrame, text: str = "text") -> DataFrame | None:
+    """Confident patterns: kind, side, word, confidence; None if there are none. All contexts with enough seeds are scored."""
     seen = cut_lineage(mentions(docs, text).groupBy("kind", "instance", "side", "word").agg(F.sum("n").alias("n")))
     seeds = seen.filter("kind IS NOT NULL")
     contexts = seeds.groupBy("kind", "side", "word").agg(F.count(F.lit(1)).alias("distinct_seeds"), F.sum("n").alias("hits"))
-    contexts = cut_lineage(contexts.filter(F.col("distinct_seeds") >= MIN_SEEDS).orderBy(F.desc("distinct_seeds"), "kind", "side", "word").limit(max_patterns))
+    contexts = cut_lineage(contexts.filter(F.col("distinct_seeds") >= MIN_SEEDS))
     if contexts.isEmpty():
         return None
     # a context that seeds and candidates fill less often than the least confidence asks can never reach it
@@ -201,9 +211,11 @@ def extract(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFra
     ``kind:start:end`` (code points, end exclusive) in order of kind, then start.
     """
     learned = learn_patterns(docs, text)
-    patterns = {(r["side"], r["word"]): {} for r in (learned.collect() if learned is not None else [])}
+    if learned is not None and learned.count() > MAX_HELD:
+        raise ValueError(f"more than {MAX_HELD} patterns are confident")
+    patterns: dict[tuple[str, str], dict[str, float]] = {}
     for r in learned.collect() if learned is not None else []:
-        patterns[r["side"], r["word"]][r["kind"]] = r["confidence"]
+        patterns.setdefault((r["side"], r["word"]), {})[r["kind"]] = r["confidence"]
 
     def added(x: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
         out = []
