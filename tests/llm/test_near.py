@@ -89,6 +89,16 @@ def test_near_duplicates_without_rows_or_keys(spark):
     assert simhash.near_duplicates(odd_documents(spark)).count() == odd_documents(spark).count()
 
 
+def test_one_row_of_each_component_stays(spark):
+    r = random.Random(8)
+    one, two, three, four, five = (" ".join(r.choice("abcdefghijklmnop") * 3 for _ in range(40)) for _ in range(5))
+    rows = [(None, one), (None, two), (None, two), (7, three), (7, four), (7, four), (9, five), (3, five), (None, five)]
+    rows += [(7, one)]  # a smaller key than null in the component of ``one``
+    kept = simhash.keep_one(spark.createDataFrame([(k, t, "x") for k, t in rows], "doc_id long, text string, source string"))
+    assert kept.columns == ["doc_id", "text", "source"]
+    assert sorted(((r["doc_id"] or 0), r["text"]) for r in kept.collect()) == sorted([(7, one), (0, two), (7, three), (7, four), (3, five)])
+
+
 def vectors(spark):
     rng = np.random.default_rng(5)
     x = rng.normal(size=(400, 16))

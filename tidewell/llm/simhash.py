@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import Forest, components, dealt_anew, shrink
-from .shared import cut_lineage, own_name, table
+from .shared import cut_lineage, own_name, table, text_or_empty
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
 #: Home rows aimed at per shard, rows of a shard beyond which it is split, the sample that the upper levels are grown from, leaf size.
@@ -202,13 +202,17 @@ def linked(prints: DataFrame, column: str, radius: int = RADIUS) -> DataFrame:
     return shrink(rows.groupBy("shard", "i", "j").applyInPandas(searched, "a bigint, b bigint"))
 
 
+def rooted(firsts: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """``firsts``, one row per distinct fingerprint ``fp``, with the ``root`` of the fingerprint's component."""
+    roots = components(linked(firsts, "fp", radius)).withColumnRenamed("node", "fp")
+    return cut_lineage(firsts.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
+
+
 def groups(prints: DataFrame, key: str, column: str, radius: int = RADIUS) -> DataFrame:
     """(fingerprint, component): for each distinct fingerprint the smallest key of all rows in its component."""
-    firsts = cut_lineage(prints.groupBy(F.col(column).alias("fp")).agg(F.min(F.col(key).cast("long")).alias("first_key")))
-    roots = components(linked(firsts, "fp", radius)).withColumnRenamed("node", "fp")
-    rooted = cut_lineage(firsts.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
-    least = rooted.groupBy("root").agg(F.min("first_key").alias("component")).select(dealt_anew("root"), "component")
-    return rooted.join(least, "root").select(F.col("fp").alias(column), "component")
+    every = rooted(cut_lineage(prints.groupBy(F.col(column).alias("fp")).agg(F.min(F.col(key).cast("long")).alias("first_key"))), radius)
+    least = every.groupBy("root").agg(F.min("first_key").alias("component")).select(dealt_anew("root"), "component")
+    return every.join(least, "root").select(F.col("fp").alias(column), "component")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
@@ -224,15 +228,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` that have the smallest key of their component, with the columns of ``docs``.
+    """One row of each component, with the columns of ``docs``: the smallest key, of equal keys the smallest SHA-256 of the text.
 
-    Rows that repeat a kept key are kept with it only if they are in the same component; of rows equal in key one is kept.
+    Null keys lose against others; a component of null keys only keeps one of them. Equal keys of different components are kept
+    each. Rows that repeat both key and text are one document: one of them is kept.
     """
-    found = near_duplicates(docs, key, text, shingle, radius)
-    chosen = own_name(docs, "component_id")
-    kept = found.filter(F.col(key).cast("long").eqNullSafe(F.col("component_id"))).select(key).distinct().withColumnRenamed(key, chosen)
-    rows = docs.join(kept, F.col(key).eqNullSafe(F.col(chosen)), "left_semi")
-    return rows.dropDuplicates([key]) if docs.groupBy(key).count().filter("count > 1").head(1) else rows
+    digest, chosen_key, chosen_digest = (own_name(docs, c) for c in ("digest_of_text", "chosen_key", "chosen_digest"))
+    marked = docs.withColumn(digest, F.unhex(F.sha2(text_or_empty(text), 256)))
+    prints = cut_lineage(with_fingerprint(marked, text, "fp_of_text", shingle, [key, digest]))
+    rank = F.struct(F.col(key).isNull().alias("no_key"), F.col(key).cast("long").alias("number"), F.col(digest).alias("digest"), F.col(key).alias("key"))
+    every = rooted(cut_lineage(prints.groupBy(F.col("fp_of_text").alias("fp")).agg(F.min(rank).alias("first"))), radius)
+    kept = every.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.key").alias(chosen_key), F.col("first.digest").alias(chosen_digest))
+    # equal digests are in one component, so that key and digest name the chosen row of one component only
+    rows = marked.join(kept, F.col(key).eqNullSafe(F.col(chosen_key)) & (F.col(digest) == F.col(chosen_digest)), "left_semi")
+    if prints.groupBy(key, digest).count().filter("count > 1").head(1):
+        rows = rows.dropDuplicates([key, digest])
+    return rows.select(*docs.columns)
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
