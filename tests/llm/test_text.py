@@ -86,6 +86,17 @@ def test_contexts_discover_identifiers(spark, monkeypatch, lot):
     assert all(got[i]["n_email"] == 1 and got[i]["n_added"] == 0 for i in range(60))
 
 
+def test_contexts_beside_punctuation(spark):
+    assert pii.tokens("see (mail:u1@h.org), Kindly.", [("email", 10, 18)]) == (["see", "mail", "u1@h.org", "kindly"], [("mail", "kindly")])
+    long = "x" * 50
+    assert pii.tokens(f"{long} 12 {long}", [(None, 51, 53)])[1] == [(pii._word(long), pii._word(long))]
+    rows = [(i, f"word mailto:u{i}@host{i % 9}.example.org, kindly {i % 7} , word") for i in range(60)]
+    rows += [(100, "of mailto:hidden77[at]host, kindly the"), (101, "of mailto: (hidden78[at]host). Kindly the"), (102, "a , 12 , b")]
+    got = {x["doc_id"]: x for x in pii.extract(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    text = dict(rows)[101]
+    assert got[101]["spans"] == f"email:{text.index('hidden')}:{text.index(')')}" and got[102]["n_added"] == 0
+
+
 def test_pii_of_odd_rows(spark):
     assert pii.extract(empty(spark)).count() == 0
     assert pii.extract(odd_documents(spark).withColumn("spans", F.lit(1))).count() == odd_documents(spark).count()

@@ -8,7 +8,8 @@ kind, an instance's score is the noisy-or of its patterns' confidences; both are
 times. A candidate is added as a span if its score reaches ``ACCEPT`` and at least two patterns of that kind support it.
 
 Contexts that seeds share by chance (common words) are followed by ordinary words nearly always, so their confidence is near
-zero: the denominator counts every occurrence of the context word in the corpus, not only candidates.
+zero: the denominator counts every occurrence of the context word in the corpus, not only candidates. Both are taken from one stream
+of words (``tokens``), in which punctuation and identifiers glued to a word don't hide it.
 """
 
 from __future__ import annotations
@@ -92,11 +93,37 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return spans
 
 
-def _context(text: str, start: int, end: int) -> tuple[str, str]:
-    """The word before and the word after a span, lower case, at most 40 characters each; empty at the text's ends."""
-    before = text[max(0, start - 60) : start].split()
-    after = text[end : end + 60].split()
-    return (before[-1].lower()[-40:] if before else ""), (after[0].lower()[:40] if after else "")
+def _word(word: str) -> str:
+    """A word as contexts know it: itself, or its digest if it is longer than 40 characters."""
+    return word if len(word) <= 40 else hashlib.sha256(word.encode("utf-8", "surrogatepass")).hexdigest()
+
+
+def _words(text: str) -> list[str]:
+    """Lower case words between white space, without punctuation at the edges; none for punctuation only."""
+    return [w if len(w) <= 40 else _word(w) for x in text.lower().split() if (w := x.strip(EDGE))]
+
+
+def tokens(text: str, spans: list[tuple[str | None, int, int]]) -> tuple[list[str], list[tuple[str, str]]]:
+    """The words of a text, and the word before and the word after each span, empty at the text's ends.
+
+    Spans cut the text even where they are glued to their surroundings; a span, or spans that overlap, are one word. Contexts and
+    the counts of how often their words are seen both come from these words.
+    """
+    words: list[str] = []
+    at = [0] * len(spans)
+    order = sorted(range(len(spans)), key=lambda i: spans[i][1:])
+    end = k = 0
+    while k < len(order):
+        start, until = spans[order[k]][1:]
+        words += _words(text[end:start])
+        while k < len(order) and spans[order[k]][1] < until:
+            until = max(until, spans[order[k]][2])
+            at[order[k]] = len(words)
+            k += 1
+        words.append(_word(text[start:until].lower()))
+        end = until
+    words += _words(text[end:])
+    return words, [(words[i - 1] if i else "", words[i + 1] if i + 1 < len(words) else "") for i in at]
 
 
 def candidates(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[int, int]]:
@@ -125,8 +152,8 @@ def mentions(docs: DataFrame, text: str = "text") -> DataFrame:
             for t in b.column(0):
                 x = t.as_py() or ""
                 spans = base_spans(x)
-                for kind, s, e in [*spans, *[(None, *c) for c in candidates(x, spans)]]:
-                    before, after = _context(x, s, e)
+                every = [*spans, *[(None, *c) for c in candidates(x, spans)]]
+                for (kind, s, e), (before, after) in zip(every, tokens(x, every)[1] if every else [], strict=True):
                     instance = x[s:e].lower()
                     for side, word in (("before", before), ("after", after)):
                         if word:
@@ -155,7 +182,10 @@ def _count(docs: DataFrame, text: str, lot: DataFrame) -> DataFrame:
         total: Counter = Counter()
         for b in batches:
             for t in b.column(0):
-                total.update(filter(wanted.__contains__, (t.as_py() or "").lower().split()))
+                x = t.as_py() or ""
+                spans = base_spans(x)
+                words, _ = tokens(x, [*spans, *[(None, *c) for c in candidates(x, spans)]])
+                total.update(filter(wanted.__contains__, words))
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], names=["word", "n"])
 
     counted = docs.select(text).mapInArrow(run, "word string, n bigint")
@@ -219,8 +249,9 @@ def extract(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFra
 
     def added(x: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
         out = []
-        for s, e in candidates(x, spans):
-            before, after = _context(x, s, e)
+        others = [(None, *c) for c in candidates(x, spans)]
+        around = tokens(x, [*spans, *others])[1][len(spans) :] if others else []
+        for (_, s, e), (before, after) in zip(others, around, strict=True):
             support = [patterns.get(("before", before), {}), patterns.get(("after", after), {})]
             for kind in KINDS:
                 p = [q[kind] for q in support if kind in q]
