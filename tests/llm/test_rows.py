@@ -90,29 +90,49 @@ def test_cuckoo_filter_has_no_false_negatives():
     assert not all(f.add(d) for d in digests)
 
 
-def test_index_over_batches(spark):
+def summed(marked):
+    return {bytes(r["digest"]): (r["n"], r["k"]) for r in marked.groupBy("digest").agg(F.count("*").alias("n"), F.max("doc_id").alias("k")).collect()}
+
+
+def test_index_over_batches(spark, tmp_path, monkeypatch):
     docs = odd_documents(spark)
     marked = exact_dedup.digested(docs, "text")
-    first, second = (exact_dedup.combine(marked.filter(F.coalesce("doc_id", F.lit(0)) % 2 == k), "doc_id", "digest") for k in (0, 1))
+    first, second = (marked.filter(F.coalesce("doc_id", F.lit(0)) % 2 == k) for k in (0, 1))
     index = CuckooIndex(spark, 16)
-    index.insert(first)
-    index.insert(second)
-    live = {bytes(r["digest"]): (r["copies"], r["keep_id"]) for r in index.live().collect()}
-    want = {bytes(r["digest"]): (r["copies"], r["keep_id"]) for r in exact_dedup.combine(marked, "doc_id", "digest").collect()}
-    assert live == want
-    index.delete(second)
-    assert {bytes(r["digest"]): r["copies"] for r in index.live().collect()} == {bytes(r["digest"]): r["copies"] for r in first.collect()}
+    assert index.live().count() == 0 and index.counters()["hits"] == 0
+    index.insert(exact_dedup.combine(first, "doc_id", "digest"))
+    index.save(str(tmp_path / "index"))
+    index = CuckooIndex.load(spark, str(tmp_path / "index"))
+    index.insert(exact_dedup.combine(second, "doc_id", "digest"))
+    live = lambda: {bytes(r["digest"]): (r["copies"], r["keep_id"]) for r in index.live().collect()}
+    assert live() == summed(marked)
+    shared = summed(first).keys() & summed(second).keys()
+    assert index.counters()["hits"] >= len(shared) > 0
+    monkeypatch.setattr(exact_dedup, "KEYS_PER_BUCKET", 1)
+    index.insert(exact_dedup.combine(first.limit(0), "doc_id", "digest"))
+    assert index.buckets > 16 and live() == summed(marked)  # dealt anew from the stored digests
+    index.delete(exact_dedup.combine(second, "doc_id", "digest"))
+    assert {d: n for d, (n, _) in live().items()} == {d: n for d, (n, _) in summed(first).items()}
+
+
+def test_repeats_meet_in_the_index(spark):
+    docs = spark.createDataFrame([(i, f"text {i % 40}") for i in range(400)], "doc_id long, text string").repartition(4)
+    index = exact_dedup.indexed(exact_dedup.digested(docs, "text"), "doc_id", "digest")
+    arrived = exact_dedup.combine(exact_dedup.digested(docs, "text"), "doc_id", "digest").count()
+    # every digest that arrives from a second batch of rows is a hit that the content confirms
+    assert index.counters()["hits"] == arrived - 40 > 0
+    assert {(r["copies"], r["keep_id"]) for r in index.live().collect()} == {(10, 360 + i) for i in range(40)}
 
 
 def test_one_row_of_equal_texts_stays(spark):
-    docs = odd_documents(spark).withColumn("digest", F.lit(1))
+    docs = odd_documents(spark).withColumn("digest", F.lit(1)).withColumn("Dedup_keep", F.lit("mine"))
     rows = docs.collect()
     groups = defaultdict(list)
     for r in rows:
         groups[r["text"] or ""].append(r["doc_id"])
     for r in exact_dedup.resolve(docs).collect():
         ids = [i for i in groups[r["text"] or ""] if i is not None]
-        assert r["dedup_keep"] == (max(ids) if ids else None) and r["dedup_copies"] == len(groups[r["text"] or ""])
+        assert r["_dedup_keep"] == (max(ids) if ids else None) and r["dedup_copies"] == len(groups[r["text"] or ""])
         assert bytes(r["dedup_digest"]) == hashlib.sha256((r["text"] or "").encode()).digest()
     kept = exact_dedup.keep_one(docs)
     assert kept.columns == docs.columns and sorted(r["text"] or "" for r in kept.collect()) == sorted(groups)

@@ -5,24 +5,27 @@ The index holds the digests (SHA-256) of all live texts, in buckets by the diges
 * a cuckoo filter: buckets of four 16-bit fingerprints, two places per digest, which takes insertions and deletions, and
 * its content: every live digest with its number of copies and the key that stays.
 
-A batch is combined per digest before it reaches a bucket, so a text with a third of all rows arrives as one row from each
-map task. In the bucket each incoming digest is looked up in the filter; a hit is verified against the content (a false
-positive is then inserted as new), a miss is inserted. When an insertion finds no place, the filter is doubled and rebuilt
-from the stored digests. Deletion subtracts copies and removes the fingerprint of a digest with none left.
+Map tasks sum up the repeats within one batch of rows, so a text with a third of all rows arrives as one row from each such
+batch; the repeats of different batches meet in the bucket. There each incoming digest is looked up in the filter; a hit is verified against the
+content and merged with it (a false positive is inserted as new), a miss is inserted. When an insertion finds no place, the filter is
+doubled and rebuilt from the stored digests. Deletion subtracts copies and removes the fingerprint of a digest with none left.
 
-The number of buckets grows with the batch, so that one bucket stays within ``KEYS_PER_BUCKET`` digests on average.
+The state is a table: written in the shared folder after every batch, so that it has no lineage, and dealt to more buckets from the stored digests
+when they hold more than twice ``KEYS_PER_BUCKET`` on average.
 """
 
 from __future__ import annotations
 
 import math
 from array import array
+from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import cut_lineage, table, text_or_empty
+from .shared import cut_lineage, own_name, table, text_or_empty
 
 KEYS_PER_BUCKET = 4096
 SLOTS, MAX_KICKS = 4, 200
@@ -83,6 +86,7 @@ class Bucket:
 
     def __init__(self, cells: bytes | None = None, content: dict | None = None, room: int = 64):
         self.content: dict[bytes, list] = content or {}
+        self.hits = self.false_hits = self.resizes = 0
         if cells is None:
             self.filter = CuckooFilter(room)
             for d in self.content:
@@ -94,14 +98,24 @@ class Bucket:
         if self.filter.add(digest):
             return
         room = max(len(self.content), 1)
+        self.resizes += 1
         while True:  # rebuild from the stored digests; ``digest`` is one of them
             room = max(2 * room, 2 * len(self.filter.cells))
             self.filter = CuckooFilter(room)
             if all(self.filter.add(d) for d in self.content):
                 return
 
+    def _verified(self, digest: bytes) -> list | None:
+        """The content of a digest that the filter holds; a hit that the content doesn't know is false."""
+        if digest not in self.filter:
+            return None
+        known = self.content.get(digest)
+        self.hits += known is not None
+        self.false_hits += known is None
+        return known
+
     def insert(self, digest: bytes, copies: int, keep: int | None) -> None:
-        known = self.content.get(digest) if digest in self.filter else None
+        known = self._verified(digest)
         if known is None:
             self.content[digest] = [copies, keep]
             self._mark(digest)
@@ -111,7 +125,7 @@ class Bucket:
             known[1] = keep
 
     def delete(self, digest: bytes, copies: int) -> None:
-        known = self.content.get(digest) if digest in self.filter else None
+        known = self._verified(digest)
         if known is None:
             return
         known[0] -= copies
@@ -120,13 +134,14 @@ class Bucket:
             self.filter.remove(digest)
 
 
-STATE = "bucket long, digest binary, copies long, keep_id long, cells binary"
+STATE = "bucket long, digest binary, copies long, keep_id long, cells binary, hits long, false_hits long, resizes long"
+COLUMNS = [c.split()[0] for c in STATE.split(", ")]
 
 
 def _state(bucket: int, b: Bucket) -> pd.DataFrame:
-    rows = [(bucket, d, n, k, None) for d, (n, k) in b.content.items()]
-    out = pd.DataFrame([*rows, (bucket, None, None, None, b.filter.cells.tobytes())], columns=["bucket", "digest", "copies", "keep_id", "cells"])
-    return out.astype({"copies": "Int64", "keep_id": "Int64"})
+    rows = [(bucket, d, n, k, None, None, None, None) for d, (n, k) in b.content.items()]
+    out = pd.DataFrame([*rows, (bucket, None, None, None, b.filter.cells.tobytes(), b.hits, b.false_hits, b.resizes)], columns=COLUMNS)
+    return out.astype(dict.fromkeys(("copies", "keep_id", "hits", "false_hits", "resizes"), "Int64"))
 
 
 def _number(x: object) -> int | None:
@@ -134,20 +149,34 @@ def _number(x: object) -> int | None:
 
 
 def _load(state: pd.DataFrame) -> Bucket:
-    cells = [c for c in state["cells"] if c is not None]
     held = state[state["digest"].notna()]
     content = {bytes(d): [int(n), _number(k)] for d, n, k in zip(held["digest"], held["copies"], held["keep_id"], strict=True)}
-    return Bucket(bytes(cells[0]) if cells else None, content)
+    filters = state[state["cells"].notna()]
+    b = Bucket(bytes(filters["cells"].iloc[0]) if len(filters) else None, content)
+    if len(filters):
+        b.hits, b.false_hits, b.resizes = (int(filters[c].iloc[0]) for c in ("hits", "false_hits", "resizes"))
+    return b
 
 
-def _update(key: tuple, state: pd.DataFrame, batch: pd.DataFrame) -> pd.DataFrame:
-    b = _load(state)
+def _apply(b: Bucket, batch: pd.DataFrame) -> Bucket:
     for d, n, k in zip(batch["digest"], batch["copies"], batch["keep_id"], strict=True):
         if n > 0:
             b.insert(bytes(d), int(n), _number(k))
         else:
             b.delete(bytes(d), -int(n))
-    return _state(int(key[0]), b)
+    return b
+
+
+def _update(key: tuple, state: pd.DataFrame, batch: pd.DataFrame) -> pd.DataFrame:
+    return _state(int(key[0]), _apply(_load(state), batch))
+
+
+def _first(key: tuple, batch: pd.DataFrame) -> pd.DataFrame:
+    return _state(int(key[0]), _apply(Bucket(), batch))
+
+
+def _deal(key: tuple, held: pd.DataFrame) -> pd.DataFrame:
+    return _state(int(key[0]), _load(held))
 
 
 def digested(docs: DataFrame, text: str, name: str = "digest") -> DataFrame:
@@ -155,20 +184,31 @@ def digested(docs: DataFrame, text: str, name: str = "digest") -> DataFrame:
 
 
 def combine(docs: DataFrame, key: str, digest: str) -> DataFrame:
-    """One row per digest: copies and the largest key. Combined in the map tasks first."""
-    return docs.groupBy(F.col(digest).alias("digest")).agg(F.count(F.lit(1)).alias("copies"), F.max(F.col(key).cast("long")).alias("keep_id"))
+    """Digest, ``copies`` and the largest key, summed up within each batch of rows that a map task reads: no shuffle, and a digest may come again
+    from another batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            # the largest key is null only if all are
+            t = pa.Table.from_batches([b]).group_by("digest").aggregate([("one", "sum"), ("keep_id", "max")])
+            columns = [t[c].combine_chunks() if t.num_rows else t[c].cast(k) for c, k in (("digest", pa.binary()), ("one_sum", pa.int64()), ("keep_id_max", pa.int64()))]
+            yield from pa.table(columns, names=["digest", "copies", "keep_id"]).to_batches()
+
+    rows = docs.select(F.col(digest).alias("digest"), F.lit(1).cast("long").alias("one"), F.col(key).cast("long").alias("keep_id"))
+    return rows.mapInArrow(run, "digest binary, copies long, keep_id long")
+
 
 class CuckooIndex:
     """The index over successive batches. ``state`` is a DataFrame with one row per live digest and one per bucket's filter.
 
-    The number of buckets is fixed when the index is made: ``buckets``, a power of two. Null texts count as empty; null keys
-    lose against any other key of their group. An empty batch changes nothing.
+    ``buckets``, a power of two, is how many there are at first. Null texts count as empty; null keys lose against any other key of
+    their group. An empty batch changes nothing. Deleting what isn't held changes nothing.
     """
 
     def __init__(self, spark: SparkSession, buckets: int, state: DataFrame | None = None):
         if buckets & (buckets - 1):
             raise ValueError("buckets must be a power of two")
-        self.buckets, self.state = buckets, spark.createDataFrame([], STATE) if state is None else state
+        self.spark, self.buckets, self.state = spark, buckets, state
 
     @staticmethod
     def buckets_for(rows: int) -> int:
@@ -178,40 +218,68 @@ class CuckooIndex:
         lead = F.conv(F.hex(F.substring("digest", 1, 6)), 16, 10).cast("long")
         return digests.withColumn("bucket", lead % self.buckets)
 
-    def insert(self, combined: DataFrame, fresh: bool = False) -> None:
+    def insert(self, combined: DataFrame) -> None:
+        """Insert rows of digest, copies, keep_id; negative copies delete."""
         batch = self._bucketed(combined.select("digest", "copies", "keep_id"))
-        if fresh:  # nothing is stored yet: no state to bring together with the batch
-            self.state = batch.groupBy("bucket").applyInPandas(_first, STATE)
+        if self.state is None:  # nothing is stored yet: no state to bring together with the batch
+            after = batch.groupBy("bucket").applyInPandas(_first, STATE)
         else:
-            self.state = self.state.groupBy("bucket").cogroup(batch.groupBy("bucket")).applyInPandas(_update, STATE)
+            after = self.state.groupBy("bucket").cogroup(batch.groupBy("bucket")).applyInPandas(_update, STATE)
+        self.state = cut_lineage(after)
+        held = self.live().count()
+        if held > 2 * KEYS_PER_BUCKET * self.buckets:
+            self.rebucket(self.buckets_for(held))
 
     def delete(self, combined: DataFrame) -> None:
         self.insert(combined.withColumn("copies", -F.col("copies")))
 
+    def rebucket(self, buckets: int) -> None:
+        """Deal the stored digests to so many buckets; every filter is built anew from them."""
+        self.buckets = buckets
+        held = self._bucketed(self.state.filter("digest IS NOT NULL").drop("bucket")).select(*COLUMNS)
+        self.state = cut_lineage(held.groupBy("bucket").applyInPandas(_deal, STATE))
+
     def live(self) -> DataFrame:
         """Digest, copies, keep_id of all live texts."""
+        if self.state is None:
+            return self.spark.createDataFrame([], "digest binary, copies long, keep_id long")
         return self.state.filter(F.col("digest").isNotNull()).select("digest", "copies", "keep_id")
 
+    def counters(self) -> dict[str, int]:
+        """Hits that the content confirmed, hits that it refused, and filters rebuilt, since the last ``rebucket``."""
+        names = ("hits", "false_hits", "resizes")
+        if self.state is None:
+            return dict.fromkeys(names, 0)
+        r = self.state.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names]).first()
+        return {c: r[c] for c in names}
 
-def _first(key: tuple, batch: pd.DataFrame) -> pd.DataFrame:
-    return _update(key, pd.DataFrame({c: [] for c in ("digest", "copies", "keep_id", "cells")}), batch)
+    def save(self, path: str) -> None:
+        self.state.withColumn("buckets", F.lit(self.buckets)).write.mode("overwrite").parquet(path)
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> CuckooIndex:
+        state = spark.read.parquet(path)
+        return CuckooIndex(spark, state.agg(F.max("buckets")).first()[0] or 16, state.drop("buckets"))
+
+
+def indexed(marked: DataFrame, key: str, digest: str) -> CuckooIndex:
+    """The index of all rows of ``marked``."""
+    index = CuckooIndex(marked.sparkSession, CuckooIndex.buckets_for(marked.count()))
+    index.insert(combine(marked, key, digest))
+    return index
 
 
 def resolve(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with ``dedup_digest``, ``dedup_keep`` (key of the row that stays), ``dedup_copies``.
 
-    Texts are equal when identical; null is the empty text. Of equal texts the row with the largest key stays; if all keys of
-    a group are null, ``dedup_keep`` is null. Rows that repeat key and text count as copies and share their fate.
+    Texts are equal when identical; null is the empty text; texts of any length are read whole, by their digest. Of equal texts the row with the
+    largest key stays; if all keys of a group are null, ``dedup_keep`` is null. Rows that repeat key and text count as copies and share their
+    fate. An empty table gives an empty table. Where ``docs`` has such a column, the new one is named with underscores before it.
     """
-    clash = [c for c in docs.columns if c.lower().startswith("dedup_")]
-    if clash:
-        raise ValueError(f"reserved column names: {clash}")
-    marked = digested(docs, text, "dedup_digest")
-    groups = cut_lineage(combine(marked, key, "dedup_digest"))
-    index = CuckooIndex(docs.sparkSession, CuckooIndex.buckets_for(groups.count()))
-    index.insert(groups, fresh=True)
-    live = index.live().select(F.col("digest").alias("dedup_digest"), F.col("keep_id").alias("dedup_keep"), F.col("copies").alias("dedup_copies"))
-    return marked.join(live, "dedup_digest")
+    digest, keep, copies = (own_name(docs, n) for n in ("dedup_digest", "dedup_keep", "dedup_copies"))
+    marked = digested(docs, text, digest)
+    live = indexed(marked, key, digest).live()
+    return marked.join(live.select(F.col("digest").alias(digest), F.col("keep_id").alias(keep), F.col("copies").alias(copies)), digest)
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -219,10 +287,11 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 
     Rows that repeat both key and text are one document: one of them is kept.
     """
+    digest, keep = own_name(docs, "dedup_digest"), own_name(docs, "dedup_keep")
     resolved = resolve(docs, key, text)
-    kept = resolved.filter(F.col(key).cast("long").eqNullSafe(F.col("dedup_keep")))
+    kept = resolved.filter(F.col(key).cast("long").eqNullSafe(F.col(keep)))
     if docs.groupBy(key).count().filter("count > 1").head(1):
-        kept = kept.dropDuplicates([key, "dedup_digest"])
+        kept = kept.dropDuplicates([key, digest])
     return kept.select(*docs.columns)
 
 
@@ -232,14 +301,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         F.col("dedup_keep").alias("keep_id"),
         F.col("dedup_copies").alias("group_size"),
-        (F.col("doc_id") == F.col("dedup_keep")).alias("kept"),
+        F.col("doc_id").eqNullSafe(F.col("dedup_keep")).alias("kept"),
         F.lower(F.hex("dedup_digest")).alias("text_sha256"),
     )
 
 
 OP3_SQL = """
-SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id IS NOT DISTINCT FROM max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
-
-
