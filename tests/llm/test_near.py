@@ -109,10 +109,14 @@ def vectors(spark):
     return spark.createDataFrame(list(enumerate(every)), "vec_id long, embedding array<float>").withColumn("rep", F.lit(0)), every
 
 
-@pytest.mark.parametrize("beam", [24, 8])
-def test_vectors(spark, monkeypatch, beam):
+@pytest.mark.parametrize("beam, recall", [(24, 0.99), (8, 0.99), (8, 2.0)])
+def test_vectors(spark, monkeypatch, beam, recall):
     monkeypatch.setattr(hnsw, "BEAM", beam)  # a narrow beam fills up: the exact way must give the rest
+    monkeypatch.setattr(hnsw, "RECALL", recall)  # more than all: the audit fails at every width, shards are scanned
     df, every = vectors(spark)
+    classes = hnsw.classes_of(df, "vec_id", "embedding")
+    audited = hnsw.audited_beam(classes, hnsw.graphs_of(classes, 3))
+    assert set(audited) == {2, 16} and all((width == 0) == (recall > 1) for width, _ in audited.values())
     usable = [v if v and all(c is not None and np.isfinite(c) for c in v) and any(v) else None for v in every]
     n = len(every)
     pairs = []
@@ -143,7 +147,7 @@ def test_graph_recall():
     exact = np.argsort(-(q @ hnsw.unit(x).astype(np.float32).T), axis=1)[:, :10]
     found = g.order[np.maximum(ids, 0)]
     assert np.mean([len(set(e) & set(f)) for e, f in zip(exact, found, strict=True)]) >= 9
-    again, _ = hnsw.Graph.load(g.dump())
+    again, _ = hnsw.Graph.load(g.dump(x))
     assert (again.search(q, 64)[0] == ids).all()
 
 

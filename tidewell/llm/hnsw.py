@@ -3,13 +3,16 @@
 Equal vectors are one class first (their number counts in the links), so a hot vector is one node. Classes are dealt to shards by hash;
 each shard's graph is built by one task, every class queries the graph of every shard, and pairs are verified by cosine
 in double precision. A query whose beam is full of vectors within the threshold may have more of them in that shard than the
-beam holds: it scans the shard exactly. The beam's width starts small and is doubled until an audit passes: for a
-bounded sample of classes, and a copy of each that is moved until it only just links, the ten nearest of all vectors are found
-exactly; nearly all that link must be found through the graphs.
+beam holds: it scans the shard exactly. The beam's width starts small and is doubled until an audit passes: for a bounded sample of classes of each
+vector length, and a copy of each that is moved until it only just links, all links to all classes of that length are counted exactly, and
+the graphs must give nearly all of them. If the widest beam fails too, every query of that length scans every shard exactly.
 
 Graphs: node order is a fixed permutation, level k holds its first n / 16^k nodes, nodes are inserted in waves that double up to a
 limit, neighbours are chosen by the usual diversity rule (nearer to the node than to any chosen neighbour, then filled up
 with the nearest). Queries step through a level together, in blocks, as arrays.
+
+Every query meets every shard, so what is moved grows with vectors x shards; shards and query blocks are sized in bytes, as large as a task may hold
+(``SHARD_BYTES``, ``QUERY_BYTES``), which divides both.
 """
 
 from __future__ import annotations
@@ -22,15 +25,16 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .components import Forest, components, shrink
 from .shared import cut_lineage, table
 
 THRESHOLD = 0.95
-#: Shards at least, classes per shard at most on average, classes of one query task.
-SHARDS, SHARD_ROWS, QUERY_ROWS = 8, 100_000, 16_384
-#: Neighbours on upper levels and on the lowest, beam while building, first beam of queries and the widest tried, audit size,
-#: recall of links asked for.
+#: Shards at least (fewer for few vectors), bytes of vectors in a shard and in a query block on average.
+SHARDS, SHARD_LEAST, SHARD_BYTES, QUERY_BYTES = 6, 2048, 48 << 20, 32 << 20
+#: Neighbours on upper levels and on the lowest, beam while building, first beam of queries and the widest tried (beyond it: exactly), sampled
+#: classes of each vector length, recall of links asked for.
 M, M0, BUILD_BEAM, BEAM, WIDEST, AUDIT, RECALL = 12, 24, 28, 8, 768, 400, 0.99
 FANOUT, WAVE, AT_ONCE, FLAT = 16, 1024, 3, 2048
 
@@ -220,20 +224,27 @@ class Graph:
             out_s.append(sims)
         return np.vstack(out_i), np.vstack(out_s)
 
-    def dump(self, **more: np.ndarray) -> bytes:
+    def dump(self, raw: np.ndarray, **more: np.ndarray) -> bytes:
+        """The graph over ``raw``, the vectors that it was built from: what they give need not be stored again."""
         f = io.BytesIO()
-        np.savez(f, order=self.order, vectors=self.vectors, **{f"level{k}": x for k, x in enumerate(self.levels)}, **more)
+        np.savez(f, order=self.order.astype(np.int32), raw=raw, **{f"level{k}": x for k, x in enumerate(self.levels)}, **more)
         return f.getvalue()
 
     @staticmethod
     def load(blob: bytes) -> tuple[Graph, dict[str, np.ndarray]]:
         x = dict(np.load(io.BytesIO(blob)))
         levels = [x.pop(f"level{k}") for k in range(sum(n.startswith("level") for n in x))]
-        return Graph(x.pop("vectors"), x.pop("order"), levels), x
+        order = x.pop("order")
+        return Graph(unit(x["raw"][order].astype(np.float64)).astype(np.float32), order, levels), x
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
-    return np.array([np.asarray(v, dtype=np.float64) for v in column])
+    """Rows of the column's own type: single precision stays so until it is computed with."""
+    return np.stack([np.asarray(v) for v in column])
+
+
+def _units(column: pd.Series) -> np.ndarray:
+    return unit(_matrix(column).astype(np.float64))
 
 
 def classes_of(vectors: DataFrame, key: str, vector: str) -> DataFrame:
@@ -247,7 +258,7 @@ def classes_of(vectors: DataFrame, key: str, vector: str) -> DataFrame:
 def _build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.sort_values("rep")
     raw = _matrix(rows["vec"])
-    blob = Graph.build(raw).dump(rep=rows["rep"].to_numpy(), copies=rows["copies"].to_numpy(), raw=raw)
+    blob = Graph.build(raw).dump(raw, rep=rows["rep"].to_numpy(), copies=rows["copies"].to_numpy())
     return pd.DataFrame({"dims": [key[0]], "shard": [key[1]], "graph": [blob]})
 
 
@@ -257,53 +268,83 @@ def graphs_of(classes: DataFrame, shards: int) -> DataFrame:
     return cut_lineage(placed.groupBy("dims", "shard").applyInPandas(_build, "dims int, shard int, graph binary"))
 
 
-def audited_beam(classes: DataFrame, graphs: DataFrame, threshold: float = THRESHOLD) -> tuple[int, float]:
-    """The beam at which the audit passes, and the recall of links at it."""
-    sample = classes.orderBy(F.xxhash64("rep", F.lit(3)), "rep").limit(AUDIT).select("rep", "vec", "dims").collect()
-    if not sample:
-        return BEAM, 1.0
-    dims = sample[0]["dims"]
-    sample = [r for r in sample if r["dims"] == dims]
-    q = unit(np.array([r["vec"] for r in sample], dtype=np.float64))
-    if q.shape[1] > 1:  # copies at an angle just inside the threshold: the hardest links to find
-        away = np.random.default_rng(7).normal(size=q.shape)
-        away = unit(away - (away * q).sum(1, keepdims=True) * q)
-        c = threshold + 0.1 * (1 - threshold)
-        q = np.vstack([q, c * q + np.sqrt(1 - c * c) * away])
-
-    def best(reps_here: np.ndarray, sims: np.ndarray, k: int = 10) -> pd.DataFrame:
-        k = min(k, sims.shape[1])
-        top = np.argpartition(-sims, k - 1, axis=1)[:, :k]
-        r = np.repeat(np.arange(len(sims)), k)
-        return pd.DataFrame({"q": r, "rep": reps_here[top.ravel()] if reps_here.ndim == 1 else reps_here[r, top.ravel()], "sim": sims[r, top.ravel()]})
+def audited_beam(classes: DataFrame, graphs: DataFrame, threshold: float = THRESHOLD) -> dict[int, tuple[int, float]]:
+    """For each vector length the beam at which the audit passes and the recall of links at it; beam 0: none passes, scan exactly.
+
+    The sample is ``AUDIT`` classes of each length; the exact way counts every link of the sample, in blocks of all classes.
+    """
+    nth = F.row_number().over(Window.partitionBy("dims").orderBy(F.xxhash64("rep", F.lit(3)), "rep"))
+    # thinned out by hash first, so that no task ranks all classes; a length that the sample misses is scanned exactly
+    thinned = max(1, classes.count() // (64 * AUDIT))
+    sampled = classes.filter(F.pmod(F.xxhash64("rep", F.lit(5)), F.lit(thinned)) == 0)
+    rows = sampled.select("rep", "vec", "dims", nth.alias("nth")).filter(F.col("nth") <= AUDIT).orderBy("dims", "nth").collect()  # AUDIT of each length
+    questions: dict[int, np.ndarray] = {}
+    for d in sorted({r["dims"] for r in rows}):
+        q = unit(np.array([r["vec"] for r in rows if r["dims"] == d], dtype=np.float64))
+        if d > 1:  # copies at an angle just inside the threshold: the hardest links to find
+            away = np.random.default_rng(7).normal(size=q.shape)
+            away = unit(away - (away * q).sum(1, keepdims=True) * q)
+            c = threshold + 0.1 * (1 - threshold)
+            q = np.vstack([q, c * q + np.sqrt(1 - c * c) * away])
+        questions[d] = q
+
+    def total(df: DataFrame) -> dict[int, int]:
+        return {r["dims"]: r["n"] for r in df.groupBy("dims").agg(F.sum("n").alias("n")).collect()}
 
     def exact(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            f = f[f["dims"] == dims]
-            if len(f):
-                yield best(f["rep"].to_numpy(), q @ unit(_matrix(f["vec"])).T)
-
-    schema = "q long, rep long, sim double"
-    top = lambda df: {(r["q"], x["rep"]): x["sim"] for r in df.groupBy("q").agg(F.slice(F.sort_array(F.collect_list(F.struct("sim", "rep")), asc=False), 1, 10).alias("t")).collect() for x in r["t"]}
-    wanted = top(classes.select("rep", "vec", "dims").mapInPandas(exact, schema))
-    linked = {k for k, sim in wanted.items() if sim >= threshold}
-    width, recall = BEAM, 0.0
-    while True:
-
-        def found(frames: Iterator[pd.DataFrame], width: int = width) -> Iterator[pd.DataFrame]:
+            for d, own in f.groupby("dims"):
+                if d in questions:
+                    there = _units(own["vec"])
+                    step = max(1, (1 << 22) // len(questions[d]))
+                    n = sum(int((questions[d] @ there[i : i + step].T >= threshold).sum()) for i in range(0, len(there), step))
+                    yield pd.DataFrame({"dims": [d], "n": [n]})
+
+    wanted = total(classes.select("vec", "dims").mapInPandas(exact, "dims int, n long"))
+    passed: dict[int, tuple[int, float]] = {}
+    width = BEAM
+    while len(passed) < len(questions) and width <= WIDEST:
+        asked = {d: q for d, q in questions.items() if d not in passed}
+
+        def found(frames: Iterator[pd.DataFrame], width: int = width, asked: dict[int, np.ndarray] = asked) -> Iterator[pd.DataFrame]:
             for f in frames:
                 for d, blob in zip(f["dims"], f["graph"], strict=True):
-                    if d == dims:
+                    if d in asked:
                         g, x = Graph.load(blob)
-                        ids, sims = g.search(q.astype(np.float32), width)
-                        out = best(np.where(ids < 0, -1, x["rep"][g.order[np.maximum(ids, 0)]]), np.where(ids < 0, -2, sims).astype(np.float64))
-                        yield out[out["sim"] > -2]
-
-        got = top(graphs.mapInPandas(found, schema))
-        recall = len(linked & got.keys()) / max(1, len(linked))
-        if recall >= RECALL or width >= WIDEST:
-            return width, recall
+                        n = int(_linked(g, unit(x["raw"].astype(np.float64)), asked[d], width, threshold)[0].size)
+                        yield pd.DataFrame({"dims": [d], "n": [n]})
+
+        got = total(graphs.mapInPandas(found, "dims int, n long"))
+        for d in asked:
+            own = len(asked[d]) // 2 if d > 1 else len(asked[d])  # a sampled class finds itself: that says nothing
+            recall = (got.get(d, 0) - own) / max(1, wanted.get(d, 0) - own)
+            if recall >= RECALL or wanted.get(d, 0) <= own:
+                passed[d] = (width, recall)
         width *= 2
+    return passed | {d: (0, 1.0) for d in questions if d not in passed}
+
+
+def _linked(g: Graph, there: np.ndarray, q: np.ndarray, width: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(query, row) of the verified links of unit queries into one shard, whose unit vectors are ``there``. Queries whose beam is full of links, and all if
+    ``width`` is 0, scan the shard."""
+    out_q, out_r = [], []
+    full = np.ones(len(q), bool)
+    if width:
+        ids, sims = g.search(q.astype(np.float32), width)
+        full = (ids[:, -1] >= 0) & (sims[:, -1] >= threshold - 1e-3) if ids.shape[1] < len(there) else np.zeros(len(q), bool)
+        r, c = np.nonzero((ids >= 0) & (sims >= threshold - 1e-3) & ~full[:, None])
+        o = g.order[ids[r, c]]
+        sure = np.einsum("ij,ij->i", q[r], there[o]) >= threshold
+        out_q.append(r[sure])
+        out_r.append(o[sure])
+    step = max(1, (1 << 21) // max(1, len(there)))
+    rest = np.nonzero(full)[0]
+    for i in range(0, len(rest), step):
+        block = rest[i : i + step]
+        a, b = np.nonzero(q[block] @ there.T >= threshold)
+        out_q.append(block[a])
+        out_r.append(b)
+    return np.concatenate(out_q or [np.zeros(0, np.int64)]), np.concatenate(out_r or [np.zeros(0, np.int64)])
 
 
 def _links(key: tuple, queries: pd.DataFrame, graphs: pd.DataFrame, width: int, threshold: float) -> pd.DataFrame:
@@ -311,31 +352,17 @@ def _links(key: tuple, queries: pd.DataFrame, graphs: pd.DataFrame, width: int,
     if not len(queries) or not len(graphs):
         return pd.DataFrame({"a": [], "b": [], "links": []}).astype("Int64")
     g, x = Graph.load(graphs["graph"].iloc[0])
-    reps, q = queries["rep"].to_numpy(), unit(_matrix(queries["vec"]))
-    held, copies, there = x["rep"], x["copies"], unit(x["raw"])
+    reps, held, copies, there = queries["rep"].to_numpy(), x["rep"], x["copies"], unit(x["raw"].astype(np.float64))
     every, at = np.unique(np.concatenate([reps, held]), return_inverse=True)
     me, them = at[: len(reps)], at[len(reps) :]
     forest, links = Forest(len(every)), np.zeros(len(reps), np.int64)
-    ids, sims = g.search(q.astype(np.float32), width)
-    full = (ids[:, -1] >= 0) & (sims[:, -1] >= threshold - 1e-3) if ids.shape[1] < len(held) else np.zeros(len(reps), bool)
-
-    def take(rows: np.ndarray, others: np.ndarray) -> None:
+    for i in range(0, len(queries), 4096):  # a block's links are counted and united before the next is asked
+        rows, others = _linked(g, there, _units(queries["vec"].iloc[i : i + 4096]), width, threshold)
+        rows = rows + i
         other = me[rows] != them[others]
         rows, others = rows[other], others[other]
         np.add.at(links, rows, copies[others])
         forest.union(me[rows], them[others])
-
-    near = (ids >= 0) & (sims >= threshold - 1e-3) & ~full[:, None]
-    r, c = np.nonzero(near)
-    o = g.order[ids[r, c]]
-    sure = np.einsum("ij,ij->i", q[r], there[o]) >= threshold
-    take(r[sure], o[sure])
-    step = max(1, (1 << 21) // max(1, len(held)))
-    rest = np.nonzero(full)[0]
-    for i in range(0, len(rest), step):  # the exact way for queries with more links than the beam holds
-        block = rest[i : i + step]
-        a, b = np.nonzero(q[block] @ there.T >= threshold)
-        take(block[a], b)
     n, r = forest.edges()
     some = links > 0
     return pd.DataFrame({"a": np.concatenate([reps[some], every[n]]), "b": pd.array([pd.NA] * int(some.sum()) + every[r].tolist(), "Int64"), "links": pd.array(links[some].tolist() + [pd.NA] * len(n), "Int64")})
@@ -346,22 +373,24 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
 
     Vectors that are null, empty, zero or hold null or non-finite components, and those without a key, link with nothing. Vectors of
     different length don't link. Equal vectors link with one another. Of rows that repeat a key each counts as a vector.
-    An empty table gives an empty table. Other columns are not carried.
+    An empty table gives an empty table. Vectors of any length are compared whole. Other columns are not carried.
     """
     rows = vectors.select(F.col(key).alias("key"), F.col(vector).alias("vec"))
     classes = cut_lineage(classes_of(rows, "key", "vec"))
     n = classes.count()
-    shards = max(SHARDS, math.ceil(n / SHARD_ROWS))
+    width_of = {"float": 4, "double": 8}.get(rows.schema["vec"].dataType.elementType.simpleString(), 8)
+    size = (classes.agg(F.sum("dims")).first()[0] or 0) * width_of
+    shards = max(min(SHARDS, math.ceil(n / SHARD_LEAST)), math.ceil(size / SHARD_BYTES), 1)
     graphs = graphs_of(classes, shards)
-    width, _ = audited_beam(classes, graphs, threshold)
-    parts = max(1, math.ceil(n / QUERY_ROWS))
+    beams = {d: width for d, (width, _) in audited_beam(classes, graphs, threshold).items()}
+    parts = max(1, math.ceil(size / QUERY_BYTES))
     part = F.pmod(F.xxhash64("rep", F.lit(9)), F.lit(parts)).cast("int")
     asked = classes.select("dims", "rep", "vec", part.alias("part")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     served = graphs.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     by = ("dims", "shard", "part")
 
     def run(k: tuple, q: pd.DataFrame, g: pd.DataFrame) -> pd.DataFrame:
-        return _links(k, q, g, width, threshold)
+        return _links(k, q, g, beams.get(int(k[0]), 0), threshold)
 
     found = cut_lineage(asked.groupBy(*by).cogroup(served.groupBy(*by)).applyInPandas(run, "a long, b long, links long"))
     roots = components(shrink(found.filter("b IS NOT NULL"))).withColumnRenamed("node", "rep")
