@@ -7,12 +7,14 @@ block distances and the search radius is that smaller one.
 A tree's node has a vantage point and a distance: fingerprints no farther than it belong left, the others right. A fingerprint
 searches both sides only if its own distance is within the radius of the boundary (the triangle bound). The upper levels are grown
 on the driver from a bounded sample and deal the fingerprints out to shards: one home shard each, and further shards
-whose boundary its search ball overlaps. Each shard then grows the lower levels over its own rows in the same way; at
-the leaves every home fingerprint is compared with every searching one by full 64-bit distance, in blocks. What leaves a shard
-is a spanning forest of the pairs found, never the pairs themselves.
+whose boundary its search ball overlaps. Shards with more than ``SHARD_CAP`` rows grow further levels on Spark, a level of all of
+them at a time: each one's vantage point and distances come from aggregates over its own rows, and the rows are dealt on by column expressions.
+So the number of levels follows the number of fingerprints. Each shard then grows the lower levels over its own rows in the
+same way; at the leaves every home fingerprint is compared with every searching one by full 64-bit distance, in blocks. What leaves a
+shard is a spanning forest of the pairs found, never the pairs themselves.
 
 Where a block has one value for too many fingerprints to split further (a large group of near copies), the shard's tree goes
-on with the full 64 bits and the full radius. A shard with more rows than ``SHARD_CAP`` is split into cells of
+on with the full 64 bits and the full radius. A shard that neither splits (nearly every ball crosses every boundary) is divided into cells of
 home rows x searching rows, each a task of its own, so that no group lands in one task whole.
 
 Copies meet only as one fingerprint: the documents behind it are summed up before any search.
@@ -22,13 +24,15 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .components import Forest, components, dealt_anew, shrink
 from .shared import cut_lineage, own_name, table, text_or_empty
@@ -36,6 +40,8 @@ from .shared import cut_lineage, own_name, table, text_or_empty
 SHINGLE, RADIUS, SEED = 4, 4, 42
 #: Home rows aimed at per shard, rows of a shard beyond which it is split, the sample that the upper levels are grown from, leaf size.
 SHARD_ROWS, SHARD_CAP, SAMPLE, LEAF = 8192, 65536, 20000, 256
+#: Levels that the driver grows at most (a shard then has ten sample points or more on average); a further level must leave the sides at most this many times the rows.
+TOP_LEVELS, WORTH = 11, 1.8
 #: Three blocks of the 64 bits.
 BLOCKS = tuple(np.uint64(((1 << b) - 1) ^ ((1 << a) - 1)) for a, b in ((0, 21), (21, 43), (43, 64)))
 ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -155,16 +161,69 @@ def search(points: np.ndarray, home: np.ndarray, mask: np.uint64, radius: int, f
             forest.union(a[differ], b[differ])
 
 
+def _apart(a: Column | str, b: Column | str, whole: Column | str, mask: Column | str) -> Column:
+    """Bits in which two fingerprints differ, within the shard's block or (``whole``) all of them."""
+    a, b, whole, mask = (F.col(x) if isinstance(x, str) else x for x in (a, b, whole, mask))
+    x = a.bitwiseXOR(b)
+    return F.bit_count(F.when(whole, x).otherwise(x.bitwiseAND(mask)))
+
+
+def grow_further(rows: DataFrame, radius: int, near: int) -> DataFrame:
+    """Deal shards of more than ``SHARD_CAP`` rows on, level by level: rows (tree, shard, whole, fp, home) with finer ``shard`` numbers.
+
+    ``whole`` says that a shard's distances are those of all 64 bits. A shard is left as it is when a level in its own distance and one
+    in the whole distance would both copy nearly all rows to both sides.
+    """
+    mask = F.when(F.col("tree") == 0, F.lit(int(BLOCKS[0].view(np.int64)))).when(F.col("tree") == 1, F.lit(int(BLOCKS[1].view(np.int64)))).otherwise(F.lit(int(BLOCKS[2].view(np.int64))))
+    reach = F.when(F.col("whole"), F.lit(radius)).otherwise(F.lit(near))
+    by = ["tree", "shard"]
+    done: list[DataFrame] = []
+    level = 0
+    open_ = rows.withColumn("stuck", F.lit(False))
+    while True:
+        level += 1
+        sizes = open_.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min_by("fp", F.xxhash64("fp", F.lit(level))).alias("start"), F.max("stuck").alias("was_stuck"))
+        large = cut_lineage(sizes.filter((F.col("n") > SHARD_CAP) & ~F.col("was_stuck")).select(*by, "n", "start"))
+        if large.isEmpty():
+            break
+        small = open_.join(large.select(*by), by, "left_anti")
+        done.append(small.drop("stuck"))
+        mine = cut_lineage(open_.join(large, by).withColumn("mask", mask))
+        # the row farthest from a random one is the vantage point; its distances are counted to find the middle
+        far = mine.groupBy(*by).agg(F.max_by("fp", F.struct(_apart("fp", "start", "whole", "mask"), "fp")).alias("vantage"))
+        told = mine.join(far, by).withColumn("d", _apart("fp", "vantage", "whole", "mask"))
+        counts = told.groupBy(*by, "d", "whole").agg(F.count(F.lit(1)).alias("m"))
+        up_to = Window.partitionBy(*by).orderBy("d")
+        all_ = F.sum("m").over(Window.partitionBy(*by))
+        below = counts.select(*by, "d", "whole", "m", F.sum("m").over(up_to).alias("left"), all_.alias("all"))
+        # rows that a boundary at d copies: those within the radius of it
+        copied = [F.sum("m").over(up_to.rangeBetween(1 - r, r)) if r else F.lit(0) for r in (radius, near)]
+        below = below.withColumn("copied", F.when(F.col("whole"), copied[0]).otherwise(copied[1]))
+        cost = F.greatest("left", F.col("all") - F.col("left")) + F.col("copied")
+        best = below.filter(F.col("left") < F.col("all")).groupBy(*by).agg(F.min_by(F.struct(F.col("d").alias("limit"), ((F.col("all") + F.col("copied")) <= WORTH * F.col("all")).alias("worth")), cost).alias("b"))
+        cuts = cut_lineage(far.join(best, by, "left").select(*by, "vantage", "b.limit", F.coalesce("b.worth", F.lit(False)).alias("worth")))
+        told = mine.join(cuts, by).withColumn("d", _apart("fp", "vantage", "whole", "mask"))
+        split = told.filter("worth")
+        side = lambda number, within, own: F.when(within, F.struct((F.col("shard") * 2 + number).alias("shard"), (F.col("home") & own).alias("home")))
+        limit, d = F.col("limit"), F.col("d")
+        sides = F.filter(F.array(side(0, d <= limit + reach, d <= limit), side(1, d > limit - reach, d > limit)), lambda x: x.isNotNull())
+        dealt = split.select("tree", "whole", "fp", F.inline(sides)).select("tree", "shard", "whole", "fp", "home", F.lit(False).alias("stuck"))
+        # what its block doesn't split goes on with all 64 bits; what they don't split either stays together
+        rest = told.filter("NOT worth").select("tree", (F.col("shard") * 2).alias("shard"), F.lit(True).alias("whole"), "fp", "home", F.col("whole").alias("stuck"))
+        open_ = cut_lineage(dealt.unionByName(rest))
+    # numbers of finished shards must not meet those of later levels: they carry their level
+    finished = [d.withColumn("level", F.lit(i)) for i, d in enumerate([*done, open_.drop("stuck")])]
+    return reduce(DataFrame.unionByName, finished)
+
+
 def linked(prints: DataFrame, column: str, radius: int = RADIUS) -> DataFrame:
     """Edges (a, b) of a graph over the distinct non-null fingerprints whose components are those of all pairs within ``radius`` bits."""
-    spark = prints.sparkSession
     distinct = cut_lineage(prints.select(F.col(column).alias("fp")).distinct())
     n = distinct.count()
     sample = np.array([r[0] for r in distinct.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()], dtype=np.int64).view(np.uint64)
-    depth = max(0, math.ceil(math.log2(max(1, n) / SHARD_ROWS)))
+    depth = min(TOP_LEVELS, max(0, math.ceil(math.log2(max(1, n) / SHARD_ROWS))))
     trees = [grow(sample, mask, depth, k) for k, mask in enumerate(BLOCKS)]
     near = radius // len(BLOCKS)
-    width = 1 << depth
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -172,7 +231,7 @@ def linked(prints: DataFrame, column: str, radius: int = RADIUS) -> DataFrame:
             points = raw.view(np.uint64)
             for k, mask in enumerate(BLOCKS):
                 for shard, at, home in deal(trees[k], mask, near, points):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), k * width + shard, np.int64)), pa.array(raw[at]), pa.array(home)], names=["shard", "fp", "home"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), k, np.int32)), pa.array(np.full(len(at), shard, np.int64)), pa.array(np.zeros(len(at), bool)), pa.array(raw[at]), pa.array(home)], names=["tree", "shard", "whole", "fp", "home"])
 
     def searched(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         points = rows["fp"].to_numpy().view(np.uint64)
@@ -181,25 +240,26 @@ def linked(prints: DataFrame, column: str, radius: int = RADIUS) -> DataFrame:
         home = np.zeros(len(values), bool)
         np.logical_or.at(home, at, rows["home"].to_numpy())
         forest = Forest(len(values))
-        search(values, home, BLOCKS[int(key[0]) // width], near, radius, forest)
+        mask, reach = (ALL, radius) if key[2] else (BLOCKS[int(key[0])], near)
+        search(values, home, mask, reach, radius, forest)
         x, r = forest.edges()
         return pd.DataFrame({"a": values[x].view(np.int64), "b": values[r].view(np.int64)})
 
-    rows = distinct.mapInArrow(dealt, "shard bigint, fp bigint, home boolean")
-    sizes = rows.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > SHARD_CAP).collect()
-    parts = {r["shard"]: math.ceil(r["n"] / SHARD_CAP) for r in sizes}
-    if parts:
-        large = F.broadcast(spark.createDataFrame([(int(k), int(v)) for k, v in parts.items()], "shard bigint, parts bigint"))
-        rows = rows.join(large, "shard", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    rows = distinct.mapInArrow(dealt, "tree int, shard bigint, whole boolean, fp bigint, home boolean")
+    sizes = rows.groupBy("tree", "shard").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    by = ["tree", "shard", "whole"]
+    if (sizes or 0) > SHARD_CAP:
+        rows = grow_further(cut_lineage(rows), radius, near)
+        by = [*by, "level"]
+        large = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > SHARD_CAP).select(*by, F.ceil(F.col("n") / SHARD_CAP).alias("parts"))
+        rows = rows.join(large, by, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
         mine = F.pmod(F.xxhash64("fp", F.lit(1)), "parts")
         # home rows go to one part of the homes and every part of the searchers, searchers the other way round
         every = F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)
-        homes = rows.filter("home").withColumn("j", F.explode(every)).select("shard", mine.alias("i"), "j", "fp", "home")
-        seekers = rows.withColumn("i", F.explode(every)).select("shard", "i", mine.alias("j"), "fp", F.lit(False).alias("home"))
-        rows = homes.union(seekers)
-    else:
-        rows = rows.select("shard", F.lit(0).cast("bigint").alias("i"), F.lit(0).cast("bigint").alias("j"), "fp", "home")
-    return shrink(rows.groupBy("shard", "i", "j").applyInPandas(searched, "a bigint, b bigint"))
+        homes = rows.filter("home").withColumn("j", F.explode(every)).select(*by, mine.alias("i"), "j", "fp", "home")
+        seekers = rows.withColumn("i", F.explode(every)).select(*by, "i", mine.alias("j"), "fp", F.lit(False).alias("home"))
+        rows, by = homes.union(seekers), [*by, "i", "j"]
+    return shrink(rows.groupBy(*by).applyInPandas(searched, "a bigint, b bigint"))
 
 
 def rooted(firsts: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -218,8 +278,8 @@ def groups(prints: DataFrame, key: str, column: str, radius: int = RADIUS) -> Da
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One row per row of ``docs``: key, ``fingerprint`` (16 hex digits) and ``component_id``, the smallest key that links reach.
 
-    Null and empty texts have fingerprint 0, which links like any other. Null keys lose against others (a component of null keys
-    only has a null id). Repeated rows share a fingerprint. Other columns are not carried.
+    Null and empty texts have fingerprint 0, which links like any other; texts of any length are read whole. Null keys lose against others (a
+    component of null keys only has a null id). Repeated rows share a fingerprint. An empty table gives an empty table. Other columns are not carried.
     """
     prints = cut_lineage(with_fingerprint(docs, text, "fp_of_text", shingle, [key]))
     found = groups(prints, key, "fp_of_text", radius)
