@@ -1,12 +1,15 @@
 """Sharding, mixing, exact dedup: laws that must hold, brute force on small tables, odd inputs."""
 
 import hashlib
+import math
 import random
+import zlib
 from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import SF
 from tidewell.llm import exact_dedup, mixing, sharding
 from tidewell.llm.exact_dedup import Bucket, CuckooFilter, CuckooIndex
 
@@ -37,6 +40,28 @@ def test_shards_move_only_into_the_new_one(spark):
     assert sharding.number_slots(sharding.assign_shards(empty(spark), "doc_id", {0: 1.0}), "doc_id").count() == 0
 
 
+def test_shards_keep_clashing_columns_and_spread_null_keys(spark):
+    df = spark.createDataFrame([(None, i, "a", "b") for i in range(300)], "doc_id long, size int, shard string, slot string")
+    rows = sharding.number_slots(sharding.assign_shards(df, "doc_id", {0: 1.0}), "doc_id", "_shard", ties=("size",)).collect()
+    assert sorted(r["_slot"] for r in rows) == list(range(300)) and {(r["shard"], r["slot"]) for r in rows} == {("a", "b")}
+
+
+def test_sharding_query(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+
+    def wins(key, shards):
+        u = lambda s: (int(hashlib.md5(f"{key}:{s}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+        return max((-1 / math.log(u(s)), s) for s in range(shards))[1]
+
+    want = {r["doc_id"]: (len((r["text"] or "").encode()) + 1, zlib.crc32((r["text"] or "").encode()), "key", wins(r["doc_id"], 8), wins(r["doc_id"], 9)) for r in docs}
+    got = sharding.op1(spark, SF).collect()
+    assert {r["doc_id"]: (r["size"], r["text_crc32"], r["law"], r["shard"], r["grown_shard"]) for r in got} == want and len(got) == len(docs)
+    slots = defaultdict(list)
+    for r in got:
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 def test_shards_follow_weights(spark):
     counts = dict(sharding.assign_shards(spark.range(20000), "id", {0: 1.0, 1: 3.0}).groupBy("shard").count().collect())
     assert 0.72 < counts[1] / 20000 < 0.78
@@ -62,8 +87,9 @@ def test_mix_shares_the_budget(spark):
     key = lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "", r["mix_taken"])
     assert sorted(map(key, rows)) == sorted(map(key, again))
     assert mixing.mix(empty(spark), mixing.words()).count() == 0
-    with pytest.raises(ValueError):
-        mixing.mix(docs.withColumn("mix_size", F.lit(1)), mixing.words())
+    clashing = mixing.mix(docs.withColumns({"Mix_size": F.lit(1), "Size": F.lit(2), "_mix_hi": F.lit(3), "key": F.lit(4)}), mixing.words())
+    assert clashing.columns == [*docs.columns, "Mix_size", "Size", "_mix_hi", "key", "_mix_size", "mix_source_size", "mix_target", "mix_repeats", "mix_taken"]
+    assert sorted(map(key, clashing.collect())) == sorted(map(key, rows))
 
 
 def test_mix_targets_on_even_documents(spark):
@@ -72,7 +98,7 @@ def test_mix_targets_on_even_documents(spark):
     for t, n in got.values():
         assert abs(t - n) <= 6
     assert got["s0"][0] == 12000  # its weight asks for more than twice its size
-    kept = mixing.repeat_rows(mixing.mix(docs, mixing.words()))
+    kept = mixing.repeat_rows(docs, mixing.mix(docs, mixing.words()))
     assert kept.columns == docs.columns and kept.count() == 9000
 
 

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -45,8 +46,62 @@ def test_quality_of_odd_rows(spark):
     assert len(rows) == docs.count() and all(0 <= r["quality_score"] <= 1 for r in rows)
     assert quality.score(empty(spark), chain).count() == 0
     assert quality.fit([]).marginals(quality.line_features([b"x"]), np.array([1]))[0] == pytest.approx(0.5)
-    with pytest.raises(ValueError):
-        quality.score(docs.withColumn("quality_score", F.lit(1)), chain)
+    clashing = docs.withColumn("Quality_score", F.lit("mine"))
+    again = quality.score(clashing, chain)
+    assert sorted(r["_quality_score"] for r in again.collect()) == sorted(r["quality_score"] for r in rows) and quality.keep_good(clashing, chain).columns == clashing.columns
+
+
+def test_blocks_score_like_whole_documents():
+    rng = np.random.default_rng(2)
+    chain = quality.Chain(rng.normal(size=quality.FEATURES) / 3, rng.normal(size=(2, 2)), np.zeros(quality.FEATURES), np.ones(quality.FEATURES))
+    r = random.Random(5)
+    for n in (1, 2, 3, 7, 64, 65, 500):
+        lines = [" ".join(r.choice(["Ab", "c.", "12", "|", "$$", "é"]) for _ in range(r.randrange(7))) for _ in range(n)]
+        raw = "\n".join(lines).encode()
+        split = raw.split(b"\n")
+        p = chain.marginals(quality.line_features(split), np.array([n]))
+        w = np.array([len(x) for x in split]) + 1e-6
+        for block in (1, 2, 8, 1000):
+            assert quality.score_in_blocks(raw, chain, block) == pytest.approx((p * w).sum() / w.sum(), abs=1e-9)
+    assert quality.score_in_blocks(b"a\n" * 300_000, chain, 4096) >= 0
+
+
+def test_long_documents_score_alike(spark, monkeypatch):
+    chain = quality.fit([("Good prose here.\nMore of it.", 1), ("!!! $$$ ###\n$$$", 0)] * 5)
+    docs = spark.createDataFrame([(i, "\n".join("Some words." if (i + j) % 3 else "$$ !!" for j in range(5 * i))) for i in range(12)], "doc_id long, text string")
+    whole = {r["doc_id"]: r["quality_score"] for r in quality.score(docs, chain).collect()}
+    monkeypatch.setattr(quality, "BLOCK", 16)
+    assert {r["doc_id"]: r["quality_score"] for r in quality.score(docs, chain).collect()} == pytest.approx(whole)
+
+
+def test_fit_climbs_its_likelihood():
+    documents = [("Good prose here.\nMore of it.\n$$", 1), ("!!! $$$ ###\n$$$", 0), ("Prose.", 1), ("### x", 0), ("", 0)]
+    labels, sizes = np.array([y for _, y in documents]), np.array([len(quality.lines_of(t)) for t, _ in documents])
+
+    def likelihood(c):
+        x = np.vstack([quality.line_features(quality.lines_of(t)) for t, _ in documents])
+        u, total, at = ((x - c.mean) / c.scale) @ c.weights, 0.0, 0
+        for y, n in zip(labels, sizes, strict=True):
+            energy = lambda v: sum(a / 2 * (2 * b - 1) for a, b in zip(u[at : at + n], v, strict=True)) + sum(c.pairs[a, b] for a, b in zip(v, v[1:], strict=False))  # noqa: B023, E731
+            every = [energy([k >> i & 1 for i in range(n)]) for k in range(1 << n)]
+            total += (energy([y] * n) - np.log(np.exp(every).sum())) / n * 0.5 / (labels == y).sum()
+            at += n
+        return total - quality.L2 / 2 * ((c.weights**2).sum() + (c.pairs**2).sum())
+
+    best = quality.fit(documents, epochs=600, rate=0.05)
+    rng = np.random.default_rng(0)
+    for _ in range(20):  # no step away from it is better
+        moved = quality.Chain(best.weights + rng.normal(size=quality.FEATURES) * 0.05, best.pairs + rng.normal(size=(2, 2)) * 0.05, best.mean, best.scale)
+        assert likelihood(moved) < likelihood(best)
+
+
+def test_fit_is_bounded(spark):
+    docs = spark.createDataFrame([(i, "Good words here." if i % 2 else "$$ !! ##") for i in range(40)] + [(1, "Good words here."), (None, "x")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(1, 1)], "doc_id long, quality int")
+    chain = quality.learn(docs, labels, max_fit=12, max_bytes=150)
+    good, bad = (quality.score(spark.createDataFrame([(1, t)], "doc_id long, text string"), chain).first()["quality_score"] for t in ("Other good words.", "%% !! ##"))
+    assert good > bad
+    assert quality.learn(docs.limit(0), labels).weights.sum() == 0
 
 
 def slow_spans(text):
@@ -97,6 +152,90 @@ def test_contexts_beside_punctuation(spark):
     assert got[101]["spans"] == f"email:{text.index('hidden')}:{text.index(')')}" and got[102]["n_added"] == 0
 
 
+def slow_beliefs(texts):
+    """Scores of (kind, value) by the definition: rounds over all mentions of a small corpus held in memory."""
+    from collections import Counter, defaultdict
+
+    mentions, seen = [], Counter()
+    for x in texts:
+        base, failed = pii._found(x)
+        every = [*base, *[(None, *c) for c in pii.candidates(x, base, failed)]]
+        words, around = pii.tokens(x, every)
+        seen.update(words)
+        for (kind, a, b), (w, v) in zip(every, around, strict=True):
+            passes, fails = pii.standing(x[a:b])
+            looks = f"{pii.shape(x[a:b])} {passes}"
+            sides = {"shape": [("s", looks)], "before": [("w", w), ("ws", w, looks)] if w else [], "after": [("w", v), ("ws", v, looks)] if v else []}
+            mentions.append((kind, x[a:b].lower(), fails, sides))
+    occurs = defaultdict(list)
+    for m in mentions:
+        for side, patterns in m[3].items():
+            for p in patterns:
+                occurs[side, p].append(m)
+    believed = {(m[0], m[1]): 1.0 for m in mentions if m[0]}
+    for _ in range(pii.ROUNDS):
+        confidence = {}
+        for (side, p), of in occurs.items():
+            for k in pii.KINDS:
+                if len({m[1] for m in of if m[0] == k}) >= pii.MIN_SEEDS:
+                    total = (max(len(of), seen[p[1]]) if p[0] == "w" else len(of)) + 1
+                    hits = sum(m[0] == k or (m[0] is None and (k, m[1]) in believed and not m[2] >> pii.KINDS.index(k) & 1) for m in of)
+                    if len(of) >= pii.MIN_CONFIDENCE * total and hits / total >= pii.MIN_CONFIDENCE:
+                        confidence[k, side, p] = hits / total
+        added = {}
+        for k in pii.KINDS:
+            sums, n = Counter(), Counter()
+            for kind, value, fails, sides in mentions:
+                if kind is None:
+                    miss = 1.0
+                    for side, patterns in sides.items():
+                        best = max([confidence.get((k, side, p), 0) for p in patterns], default=0)
+                        miss *= 1 - min(best, 0.999)
+                    n[value] += 1
+                    sums[value] += 0 if fails >> pii.KINDS.index(k) & 1 else 1 - miss
+            added |= {(k, v): sums[v] / n[v] for v in n if sums[v] / n[v] >= pii.ACCEPT}
+        believed = {(m[0], m[1]): 1.0 for m in mentions if m[0]} | {x: s for x, s in added.items() if x not in believed or believed[x] < 1}
+    return believed
+
+
+def test_beliefs_equal_the_definition(spark):
+    r = random.Random(11)
+    word = lambda: r.choice(["the", "of", "word", "and", "call", "for", "is"])
+    texts = []
+    for i in range(90):
+        texts.append(f"{word()} {word()} call: +1 ({100 + i}) 555-{1000 + i} {word()}")
+        texts.append(f"{word()} card {4000000000000000 + 7 * i} {word()} {10 + i % 9}.{i}.3.4 {word()}")
+        texts.append(f"server {i}.1.2.{i % 200} answers" if i % 3 else f"server node{i}-x answers {word()} {i}")
+    texts += ["call: 0049-30-1234 now", "server db7 answers", "server db7 answers", "chapter 12 and 13", "+1 (226) 555-4081 190.137.223.204 x", "card 4000000000000002", "", "see call 5 of the 9"]
+    found = pii.read(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "doc_id", "text").filter("what = 'mention'")
+    names = {}
+    for x in texts:
+        base, failed = pii._found(x)
+        names |= {pii.value(x[a:b]): x[a:b].lower() for a, b in [(a, b) for _, a, b in base] + pii.candidates(x, base, failed)}
+    got = {(pii.KINDS[r["kind"]], names[bytes(r["instance"])]): r["score"] for r in pii.learn(found, spark.createDataFrame([(t,) for t in texts], "text string")).collect()}
+    want = slow_beliefs(texts)
+    assert got == pytest.approx(want) and ("phone", "+1 (226) 555-4081") in got and any(s < 1 for s in got.values())
+
+
+def test_hidden_identifiers_and_decoys(spark):
+    valid = lambda n: next(x for i in range(10) if pii.luhn(x := str(n // 10 * 10 + i)))
+    rows = [(i, f"words here {valid(4000000000000000 + 7919 * i)} and +1 ({200 + i}) 555-{2000 + i} there") for i in range(30)]
+    pair = f"{4111111111111112} {valid(4999999999990000)}"  # one match of the card rule whose check fails
+    decoys = [(200 + i, f"order no {valid(5000000000000000 + 31 * i)[:-1]}{(int(valid(5000000000000000 + 31 * i)[-1]) + 3) % 10} shipped") for i in range(5)]
+    rows += [(100, f"a {pair} b"), (101, "mail +1 (226) 555-4081 190.137.223.204 now"), (102, "x" * 1_000_000 + " 1")] + decoys
+    got = {r["doc_id"]: r for r in pii.extract(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[100]["spans"] == "card:19:35" and got[100]["n_card"] == 0 and got[100]["n_added"] == 1
+    assert got[101]["spans"] == "ip:23:38,phone:5:22" and got[101]["n_added"] == 1 and got[101]["n_spans"] == 2
+    assert all(got[i]["n_added"] == 0 for i in [*range(30), 102, *range(200, 205)])
+
+
+def test_candidates_take_linear_time():
+    began = time.time()
+    assert pii.candidates("a" * 1_000_000 + " b" + "c" * 1_000_000 + "1", []) != []
+    assert pii.base_spans("x" * 500_000 + "+1" + " " * 500_000 + "1.2.3") is not None
+    assert time.time() - began < 1
+
+
 def test_pii_of_odd_rows(spark):
     assert pii.extract(empty(spark)).count() == 0
     assert pii.extract(odd_documents(spark).withColumn("spans", F.lit(1))).count() == odd_documents(spark).count()
@@ -109,9 +248,25 @@ def test_bpe_equals_the_library():
     texts = ["", "<|endoftext|>", "a<|startoftext|>b <|endoftext|>  c", "don't 's''s !'s", "a" * 5000, "q" * 300 + "xz" * 99, *["".join(r.choice(letters) for _ in range(r.randrange(60))) for _ in range(800)]]
     for t in texts:
         want = e.tokenizer.encode(t, add_special_tokens=False).ids
-        ids, decoded = e.encode(t)
-        assert np.frombuffer(ids, "<u4").tolist() == want and decoded == e.tokenizer.decode(want, skip_special_tokens=False) == e.decode(ids)
-    assert e.encode(None) == (b"", "")
+        ids = e.encode(t)
+        assert np.frombuffer(ids, "<u4").tolist() == want and e.decode(ids) == e.tokenizer.decode(want, skip_special_tokens=False)
+    assert e.encode(None) == b"" and e.decode(b"") == ""
+
+
+def test_bpe_of_other_files(tmp_path):
+    import json
+
+    spec = json.load(open(bpe.default_path(), encoding="utf-8"))
+    other = spec | {"normalizer": {"type": "Sequence", "normalizers": [{"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}]}}  # keeps upper case
+    other["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": "[\\p{L}]+|[^\\s\\p{L}]+"}, "behavior": "Removed", "invert": True}, bpe.BYTES]}
+    (tmp_path / "other.json").write_text(json.dumps(other))
+    e = bpe.ForcedBoundaryBPE(str(tmp_path / "other.json"))
+    for t in ("Hello  World 12.5", "don't É", "<|endoftext|>A"):
+        assert np.frombuffer(e.encode(t), "<u4").tolist() == e.tokenizer.encode(t, add_special_tokens=False).ids
+    for change in ({"decoder": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}}, {"added_tokens": [spec["added_tokens"][0] | {"lstrip": True}]}, {"normalizer": None}):
+        (tmp_path / "refused.json").write_text(json.dumps(spec | change))
+        with pytest.raises(ValueError):
+            bpe.ForcedBoundaryBPE(str(tmp_path / "refused.json"))
 
 
 def test_forced_cuts_stand_between_no_tokens():
@@ -149,6 +304,29 @@ def test_locating_turns():
     assert chat.locate([]).output == ""
 
 
+def test_any_text_and_many_turns():
+    held = "".join(map(chr, range(0xE000, 0xE100))) + "qxq" + "x" * 99
+    x = chat.locate([("user", held), ("assistant", "q" + "x" * 100 + "q"), ("user", "x")])
+    assert [x.output[a:b] for a, b in x.texts] == [held, "q" + "x" * 100 + "q", "x"]
+    turns = [("user" if i % 2 else "assistant", f"word {i} " * 140) for i in range(3000)]
+    began = time.time()
+    x = chat.locate(turns)
+    assert time.time() - began < 10 and [x.output[a:b] for a, b in x.texts] == [t for _, t in turns]
+    short = chat.locate(turns[:300])
+    assert short.turns == x.turns[:300] and short.texts == x.texts[:300]
+
+
+@pytest.mark.parametrize("late", [chat.WHOLE + 3, chat.WHOLE + 70])
+def test_windows_see_late_changes(late):
+    turns = [("a", f"t{i}") for i in range(chat.WHOLE + 90)]
+    numbered = lambda ts: "".join(f"<{i}:{t}>" for i, (_, t) in enumerate(ts))
+    x = chat.locate(turns, numbered)  # what a turn looks like depends on its number: windows alone would be wrong
+    assert x.rewritten_at is None and x.output == numbered(turns) and [x.output[a:b] for a, b in x.texts] == [t for _, t in turns]
+    forgets = lambda ts: "".join(f"<{t}>" for _, t in (ts if len(ts) <= late else ts[-2:]))
+    y = chat.locate(turns, forgets)
+    assert y.rewritten_at == late and y.texts[-1] != (-1, -1) and y.texts[0] == (-1, -1)
+
+
 def test_chat_of_odd_rows(spark):
     rows = [(1, 0, "user", "a", 1), (1, 1, None, None, 1), (1, 1, "assistant", "x", 1), (1, 1, "assistant", "x", 1), (None, None, "assistant", "q", 1), (2, 5, "system", "s" * 100_000, 1)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, formatted int")

@@ -30,7 +30,11 @@ from .shared import table
 CACHE_SIZE, PIECE_CACHE_SIZE, CACHED_LENGTH = 120_000, 150_000, 40
 #: Rows that are turned to results at a time: bounds what a worker holds besides its input batch.
 SLICE = 500
-#: The tokenizer's own pre-token pattern, narrowed to lower-case printable ASCII without white space.
+#: Files whose normaliser and pre-tokenizer are these have quick ways; for others the library's own are called.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLIT = {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}
+BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+#: That pattern, narrowed to lower-case printable ASCII without white space.
 ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 OTHER_SPACE = re.compile("[\x1c-\x1f]")
 
@@ -46,44 +50,56 @@ class ForcedBoundaryBPE:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
+        spaces = [n for n in (spec["normalizer"] or {}).get("normalizers", [spec["normalizer"]]) if n and n["type"] == "Replace" and n["pattern"] == {"Regex": r"\s+"} and n["content"] == " "]
+        if model["type"] != "BPE" or not model.get("end_of_word_suffix") or model.get("dropout") or model.get("continuing_subword_prefix") or not spaces:
+            raise ValueError("only BPE with word ends whose normaliser makes white space single spaces is cut at certain places here")
+        if any(a["single_word"] or a["lstrip"] or a["rstrip"] or a["normalized"] for a in spec["added_tokens"]):
+            raise ValueError("added tokens must be taken as they stand")
+        if spec["decoder"] is not None:
+            raise ValueError("decoders other than joining tokens by spaces are not built")
         self.suffix = model["end_of_word_suffix"]
+        self.plain = spec["normalizer"] == NORMALIZER
+        self.ascii = self.plain and spec["pre_tokenizer"] == {"type": "Sequence", "pretokenizers": [SPLIT, BYTES]}
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.final = self.tokenizer.model
         self.inner = BPE(vocab=model["vocab"], merges=merges)
         self.pairs = {s[i : i + 2] for t in model["vocab"] for s in [t.removesuffix(self.suffix)] for i in range(len(s) - 1)}
         self.special = {a["content"]: a["id"] for a in spec["added_tokens"]}
-        self.special_split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.names = {i: t for t, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
-        self.cache: dict[str, tuple[bytes, str]] = {}
-        self.older: dict[str, tuple[bytes, str]] = {}
-        self.pieces: dict[str, tuple[bytes, str]] = {}
+        longest_first = sorted(self.special, key=len, reverse=True)
+        self.special_split = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if self.special else None
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.names = [""] * (max(vocabulary.values()) + 1)
+        for t, i in vocabulary.items():
+            self.names[i] = t
+        self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def fragments(self, piece: str) -> list[str]:
         """A pre-token (byte-level symbols) cut wherever a pair of symbols occurs in no token."""
         cuts = [i for i in range(1, len(piece)) if piece[i - 1 : i + 1] not in self.pairs]
         return [piece[a:b] for a, b in zip([0, *cuts], [*cuts, len(piece)], strict=True)]
 
-    def _piece(self, piece: str) -> tuple[bytes, str]:
+    def _piece(self, piece: str) -> bytes:
         *inner, last = self.fragments(piece)
         tokens = self.final.tokenize(last)
         if inner:
             tokens = [t for f in inner for t in self.inner.tokenize(f)] + tokens
-        found = array("I", [t.id for t in tokens]).tobytes(), " ".join([t.value for t in tokens])
+        found = array("I", [t.id for t in tokens]).tobytes()
         if len(piece) <= CACHED_LENGTH:
             if len(self.pieces) >= PIECE_CACHE_SIZE:
                 self.pieces.clear()
             self.pieces[piece] = found
         return found
 
-    def _chunk(self, chunk: str) -> tuple[bytes, str]:
+    def _chunk(self, chunk: str) -> bytes:
         found = self.older.get(chunk)
         if found is None:
-            if chunk.isascii() and chunk.isprintable():
+            if self.ascii and chunk.isascii() and chunk.isprintable():
                 pieces = ASCII_PIECES.findall(chunk)
             else:
                 pieces = [p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(chunk)]
-            parts = [self.pieces.get(p) or self._piece(p) for p in pieces]
-            found = parts[0] if len(parts) == 1 else (b"".join([p[0] for p in parts]), " ".join([p[1] for p in parts]))
+            found = b"".join([self.pieces.get(p) or self._piece(p) for p in pieces])
         if len(chunk) <= CACHED_LENGTH:
             if len(self.cache) >= CACHE_SIZE:
                 self.older, self.cache = self.cache, {}
@@ -92,34 +108,35 @@ class ForcedBoundaryBPE:
 
     def chunks(self, text: str) -> list[str]:
         """Fragments between white space of the normalised text."""
-        try:  # Latin-1 is composed already and lower-cases letter by letter
-            text.encode("latin-1")
-            if not OTHER_SPACE.search(text):
-                return text.lower().split()
-        except UnicodeEncodeError:
-            pass
+        if self.plain:
+            try:  # Latin-1 is composed already and lower-cases letter by letter
+                text.encode("latin-1")
+                if not OTHER_SPACE.search(text):
+                    return text.lower().split()
+            except UnicodeEncodeError:
+                pass
         return [c for c in self.tokenizer.normalizer.normalize_str(text).split(" ") if c]
 
-    def _plain(self, text: str) -> list[tuple[bytes, str]]:
+    def _plain(self, text: str) -> list[bytes]:
         chunks = self.chunks(text)
         found = list(map(self.cache.get, chunks))
         if None in found:
-            found = [f or self.cache.get(c) or self._chunk(c) for f, c in zip(found, chunks, strict=True)]
+            found = [self._chunk(c) if f is None else f for f, c in zip(found, chunks, strict=True)]
         return found
 
-    def encode(self, text: str | None) -> tuple[bytes, str]:
-        """(ids as little-endian unsigned 32-bit integers, decoded text); a null text counts as empty."""
+    def encode(self, text: str | None) -> bytes:
+        """Ids as little-endian unsigned 32-bit integers; a null text counts as empty."""
         text = text or ""
         if self.special_split is None or not self.special_split.search(text):
-            parts = self._plain(text)
-        else:
-            parts = []
-            for s in self.special_split.split(text):
-                parts += [(array("I", [self.special[s]]).tobytes(), s)] if s in self.special else self._plain(s)
-        return b"".join([p[0] for p in parts]), " ".join([p[1] for p in parts if p[0]])
+            return b"".join(self._plain(text))
+        parts = []
+        for s in self.special_split.split(text):
+            parts += [array("I", [self.special[s]]).tobytes()] if s in self.special else self._plain(s)
+        return b"".join(parts)
 
     def decode(self, ids: bytes) -> str:
-        return " ".join([self.names[i] for i in array("I", ids)])
+        """The tokens of ids joined by single spaces."""
+        return " ".join(map(self.names.__getitem__, array("I", ids)))
 
 
 @lru_cache(maxsize=2)
@@ -136,7 +153,8 @@ def default_path() -> str:
 def encode(docs: DataFrame, text: str = "text", key: str = "doc_id", path: str | None = None, keep_ids: bool = True) -> DataFrame:
     """Per row: key, ``n_tokens``, ``ids`` (array of int; left out on request), digests of ids and of the decoded text.
 
-    Null and empty texts have no tokens. Repeated rows are encoded alike. Other columns are not carried: join on the key.
+    Null and empty texts have no tokens; texts of any length are encoded whole; an empty table gives an empty table; null keys are kept. Repeated rows are
+    encoded alike. Other columns are not carried: join on the key. ``path`` may name any tokenizer file with word ends; others are refused.
     """
     path = path or default_path()
 
@@ -147,10 +165,10 @@ def encode(docs: DataFrame, text: str = "text", key: str = "doc_id", path: str |
                 b = whole.slice(i, SLICE)
                 counts, digests, decoded, ids = [], [], [], []
                 for t in b.column(1):
-                    coded, text_again = e.encode(t.as_py())
+                    coded = e.encode(t.as_py())
                     counts.append(len(coded) // 4)
                     digests.append(hashlib.sha256(coded).hexdigest())
-                    decoded.append(hashlib.sha256(text_again.encode("utf-8")).hexdigest())
+                    decoded.append(hashlib.sha256(e.decode(coded).encode("utf-8")).hexdigest())
                     if keep_ids:
                         ids.append(coded)
                 columns = [b.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string())]
@@ -172,7 +190,7 @@ def decode(coded: DataFrame, key: str = "doc_id", ids: str = "ids", path: str |
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)
         for b in batches:
-            texts = [" ".join([e.names[i] for i in x.as_py() or []]) for x in b.column(1)]
+            texts = [e.decode(array("I", x.as_py() or []).tobytes()) for x in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=[key, "decoded"])
 
     return coded.select(key, ids).mapInArrow(run, f"`{key}` {coded.schema[key].dataType.simpleString()}, decoded string")

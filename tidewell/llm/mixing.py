@@ -1,6 +1,6 @@
 """Mixing sources to target weights by weighted fair queueing.
 
-Each source is a queue of its documents in a shuffled order (MD5 of seed and document key), passed up to
+Each source is a queue of its documents in a shuffled order (MD5 of seed, document key and size), passed up to
 ``max_repeats`` times. A document's virtual finish time is its source's cumulative size divided by the source's
 weight. Served by finish time until the total budget is used, the queues share it by weight, a queue that runs
 out leaves its part to the others, and no document is taken more than ``max_repeats`` times.
@@ -18,15 +18,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .shared import WORD, cut_lineage, key_text, table
+from .shared import WORD, cut_lineage, key_text, own_name, table
 
 WEIGHTS = (5.0, 2.0, 1.0)
 BUDGET_SHARE = 1.5
 MAX_REPEATS = 2
 SEED = "mix-1"
 CELLS = 64
-#: Prefix of every column that the operator adds while it works; no input column may start with it.
+#: Prefix of every column that the operator adds while it works (on a table without other columns that the caller named).
 P = "_mix_"
+#: Columns that the operator returns besides those of its input.
+RETURNED = ("mix_size", "mix_source_size", "mix_target", "mix_repeats", "mix_taken")
 
 
 def words(text: str = "text") -> Column:
@@ -55,7 +57,7 @@ def source_targets(sized: DataFrame, weights: Sequence[float], share: float, rep
 
 def queued(docs: DataFrame, key: str, seed: str, targets: DataFrame, offsets: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """``docs`` (with ``size`` and ``source``) with their cumulative source size in the shuffled order, and the cells' offsets."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), key_text(key)))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), key_text(key), F.lit(":"), F.col("size").cast("string")))
     cell = F.conv(F.substring(digest, 1, 3), 16, 10).cast("int")
     celled = docs.withColumns({f"{P}order": digest, f"{P}hi": F.floor(cell / CELLS).cast("int"), f"{P}lo": (cell % CELLS).cast("int")})
     hi, lo, source = f"{P}hi", f"{P}lo", f"{P}source"
@@ -95,25 +97,27 @@ def mix(
 ) -> DataFrame:
     """``docs`` with ``mix_size``, ``mix_source_size``, ``mix_target``, ``mix_repeats`` (times taken) and ``mix_taken`` (size taken).
 
-    Rows that are not taken stay, with 0. Null texts have size 0 and are taken when their turn comes; null sources form one
-    source, ordered last; null keys share one place in the shuffle; rows that are equal in key and size are interchangeable.
-    An empty table gives an empty table. Input columns must not start with ``_mix_`` or ``mix_``.
+    Rows that are not taken stay, with 0. Null texts have size 0 and are taken when their turn comes; texts of any length are measured whole; null sources form one
+    source, ordered last; rows that are equal in key and size (null keys too) are interchangeable. An empty table gives an empty table.
+    Where ``docs`` has a column of such a name, the new one is named with underscores before it (see ``returned``).
     """
-    clash = [c for c in docs.columns if c.lower().startswith(("mix_", P))]
-    if clash:
-        raise ValueError(f"reserved column names: {clash}")
-    narrow = cut_lineage(docs.select(F.col(key).alias("key"), "source", size.alias("size")))
+    # the caller's columns travel as one struct: no name of theirs can meet one of ours
+    wide = docs.select(F.col(key).alias("key"), F.col("source").alias("source"), size.alias("size"), F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
+    narrow = cut_lineage(wide.drop("row"))
     targets = source_targets(narrow, weights, share, repeats)
     queue, offsets = queued(narrow, "key", seed, targets)
     last = _cut(queue, share, repeats)
-    wide = docs.select("*", size.alias("size")) if "size" not in docs.columns else docs.withColumnRenamed("size", f"{P}own_size").withColumn("size", size)
-    out, _ = queued(wide, key, seed, targets, offsets)
+    out, _ = queued(wide, "key", seed, targets, offsets)
     taken = F.lit(0)
     for r in range(repeats):
         taken = taken + _served(r, last).cast("int")
-    out = out.withColumns({"mix_size": F.col("size"), "mix_source_size": F.col(f"{P}source_size"), "mix_target": F.col(f"{P}target"), "mix_repeats": taken, "mix_taken": (F.col("size") * taken).cast("long")})
-    out = out.drop("size").withColumnRenamed(f"{P}own_size", "size")
-    return out.drop(*[c for c in out.columns if c.startswith(P)])
+    values = (F.col("size"), F.col(f"{P}source_size"), F.col(f"{P}target"), taken, (F.col("size") * taken).cast("long"))
+    return out.select("row.*", *[v.alias(n) for v, n in zip(values, returned(docs), strict=True)])
+
+
+def returned(docs: DataFrame) -> list[str]:
+    """The names of the operator's columns for this input, in the order of ``RETURNED``."""
+    return [own_name(docs, n) for n in RETURNED]
 
 
 def _served(repeat: int, last: tuple | None) -> Column:
@@ -150,10 +154,11 @@ def _cut(queue: DataFrame, share: float, repeats: int) -> tuple | None:
     return tuple(found) if found else None
 
 
-def repeat_rows(mixed: DataFrame) -> DataFrame:
-    """Every row of ``mixed`` as often as it was taken, without the operator's columns."""
-    copies = mixed.filter(F.col("mix_repeats") > 0).withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_repeats"))))
-    return copies.drop(*[c for c in copies.columns if c.startswith("mix_")])
+def repeat_rows(docs: DataFrame, mixed: DataFrame) -> DataFrame:
+    """Every row of ``docs`` as often as ``mixed``, its mix, takes it."""
+    repeats = F.col(returned(docs)[RETURNED.index("mix_repeats")])
+    copies = mixed.filter(repeats > 0).select(F.struct(*docs.columns).alias("row"), F.explode(F.sequence(F.lit(1), repeats)))
+    return copies.select("row.*")
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,7 +170,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP2_SQL = r"""
-WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size, md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null')) AS o FROM documents),
+WITH c AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+d AS (SELECT doc_id, source, size, md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null') || ':' || size::VARCHAR) AS o FROM c),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight FROM d GROUP BY source),
 r AS (SELECT *, source_size * 2 AS most, (source_size * 2)::DOUBLE / weight AS full_at FROM s),
 l AS (SELECT *, (sum(source_size) OVER ()::DOUBLE * 1.5 - coalesce(sum(most) OVER w, 0)::DOUBLE) / greatest(sum(weight) OVER () - coalesce(sum(weight) OVER w, 0), 1e-9) AS level FROM r

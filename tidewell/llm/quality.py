@@ -2,12 +2,14 @@
 
 Every line is labelled good or bad. A line's features describe its characters, words and repetition, and those of the lines
 before and after it; two labels that follow one another have a weight of their own. The field is fitted to labelled documents
-(each line of a document takes the document's label) by gradient descent on the regularised likelihood. A document's score is the
-mean of its lines' forward-backward marginals of "good", weighted by line length; documents without a letter to score
-have one line with only the constant feature.
-
-Fitting uses at most ``MAX_FIT`` labelled documents, taken in the order of a hash of the key, a documented bound that keeps
-the fit on one machine; scoring is a map over all rows: no shuffle, and memory is bounded by a batch of texts.
+(each line of a document takes the document's label) by gradient ascent on one regularised likelihood: the sum over documents of the log-probability
+of their labels per line, both labels weighing the same in total. A document's score is the mean of its lines' forward-backward
+marginals of "good", weighted by line length; documents without a letter to score have one line with only the constant feature.
+
+Fitting uses at most ``MAX_FIT`` labelled documents of at most ``MAX_FIT_BYTES`` together, taken in the order of a hash of the key: documented bounds
+that keep the fit on one machine. Scoring is a map over all rows: no shuffle. Short documents are scored together; a document of more
+than ``BLOCK`` lines is scored in blocks, forward to keep the messages at the blocks' ends, then backward. What a worker holds is a block's features and a
+few numbers per line.
 Labels, lang, source and key are never inputs of a score.
 """
 
@@ -21,15 +23,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .shared import table
+from .shared import own_name, table
 
-MAX_FIT = 6000
-#: Documents with more lines than this are left out of the fit (not of the scoring).
-MAX_FIT_LINES = 2000
+MAX_FIT, MAX_FIT_BYTES = 6000, 64 << 20
 EPOCHS, RATE, L2 = 100, 0.15, 1e-3
-#: Documents that are scored at a time: bounds what a worker holds besides its input batch.
-SLICE = 500
+#: Lines that are scored at a time: bounds what a worker holds besides its input batch.
+BLOCK = 16_384
 #: Predicted good from this score on.
 THRESHOLD = 0.3
 
@@ -46,8 +47,8 @@ OWN = len(CLASSES) - 1 + 6
 FEATURES = 3 * OWN + 3
 
 
-def line_features(lines: list[bytes]) -> np.ndarray:
-    """One row per line of one document: own features, those of both neighbours, first, last and constant."""
+def own_features(lines: list[bytes], repeated: np.ndarray) -> np.ndarray:
+    """One row per line: shares of character classes, words, and whether the document has the line again."""
     n = len(lines)
     lengths = np.array([len(x) for x in lines])
     codes = _CLASS[np.frombuffer(b"\n".join(lines) + b"\n", np.uint8)]
@@ -58,24 +59,23 @@ def line_features(lines: list[bytes]) -> np.ndarray:
     size = np.maximum(lengths, 1)[:, None]
     words = [x.split() for x in lines]
     n_words = np.array([len(w) for w in words])
-    seen = Counter(lines)
     distinct = np.array([len(set(w)) for w in words])
-    extra = np.column_stack(
-        [
-            np.log1p(n_words) / 5,
-            counts[:, :3].sum(1) / np.maximum(n_words, 1) / 10,
-            distinct / np.maximum(n_words, 1),
-            [float(seen[x] > 1) for x in lines],
-            (n_words == 0).astype(float),
-            (n_words < 4).astype(float),
-        ]
-    )
-    own = np.hstack([counts[:, [i for i, c in enumerate(CLASSES) if c != "other"]] / size, extra])
-    before, after = np.vstack([np.zeros((1, OWN)), own[:-1]]), np.vstack([own[1:], np.zeros((1, OWN))])
-    ends = np.zeros((n, 3))
-    ends[0, 0] = ends[-1, 1] = 1
-    ends[:, 2] = 1
-    return np.hstack([own, before, after, ends])
+    extra = np.column_stack([np.log1p(n_words) / 5, counts[:, :3].sum(1) / np.maximum(n_words, 1) / 10, distinct / np.maximum(n_words, 1), repeated.astype(float), (n_words == 0).astype(float), (n_words < 4).astype(float)])
+    return np.hstack([counts[:, [i for i, c in enumerate(CLASSES) if c != "other"]] / size, extra])
+
+
+def with_neighbours(own: np.ndarray, before: np.ndarray | None, after: np.ndarray | None) -> np.ndarray:
+    """Own features, those of both neighbours, first, last and constant. ``before`` and ``after``: the lines next to these; none at a document's ends."""
+    none = np.zeros((1, OWN))
+    ends = np.zeros((len(own), 3))
+    ends[0, 0], ends[-1, 1], ends[:, 2] = before is None, after is None, 1
+    return np.hstack([own, np.vstack([none if before is None else before, own[:-1]]), np.vstack([own[1:], none if after is None else after]), ends])
+
+
+def line_features(lines: list[bytes]) -> np.ndarray:
+    """One row per line of one document."""
+    seen = Counter(lines)
+    return with_neighbours(own_features(lines, np.array([seen[x] > 1 for x in lines])), None, None)
 
 
 def lines_of(text: str | None) -> list[bytes]:
@@ -101,19 +101,19 @@ class Chain:
         return Chain(**{k: np.array(v) for k, v in json.loads(x).items()})
 
 
-def forward_backward(unary: np.ndarray, pairs: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def forward_backward(unary: np.ndarray, pairs: np.ndarray, sizes: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Marginals of "good" per line, and expected counts of label pairs, for chains of the given lengths laid end to end.
 
-    Chains are stepped through together, longest first, so a step works on all chains that are that long.
+    The counts of a chain are weighted by ``weights`` (default: 1 each). Chains are stepped through together, longest first, so a step works
+    on all chains that are that long.
     """
     order = np.argsort(-sizes, kind="stable")
     first = (np.cumsum(sizes) - sizes)[order]
     length = sizes[order]
+    weight = np.ones(len(sizes)) if weights is None else weights[order]
     longest = int(length[0]) if len(length) else 0
     active = [int(np.searchsorted(-length, -t, side="left")) for t in range(longest)]  # chains with more than t lines
-    phi = np.exp(pairs - pairs.max())
-    half = np.clip(unary, -60, 60) / 2
-    node = np.stack([np.exp(-half), np.exp(half)], 1)
+    phi, node = _potentials(unary, pairs)
     alpha, beta = np.empty_like(node), np.ones_like(node)
     for t in range(longest):
         at = first[: active[t]] + t
@@ -124,13 +124,54 @@ def forward_backward(unary: np.ndarray, pairs: np.ndarray, sizes: np.ndarray) ->
         at = first[: active[t + 1]] + t
         onward = node[at + 1] * beta[at + 1]
         joint = alpha[at][:, :, None] * phi * onward[:, None, :]
-        expected += (joint / joint.sum((1, 2), keepdims=True)).sum(0)
+        expected += (joint * (weight[: active[t + 1]] / joint.sum((1, 2)))[:, None, None]).sum(0)
         b = onward @ phi.T
         beta[at] = b / b.sum(1, keepdims=True)
     both = alpha * beta
     return both[:, 1] / both.sum(1), expected
 
 
+def _potentials(unary: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    half = np.clip(unary, -60, 60) / 2
+    return np.exp(pairs - pairs.max()), np.stack([np.exp(-half), np.exp(half)], 1)
+
+
+def score_in_blocks(raw: bytes, chain: Chain, block: int) -> float:
+    """The score of one document of any number of lines; what is held is a block's features and a few numbers per line."""
+    ends = np.concatenate([np.flatnonzero(np.frombuffer(raw, np.uint8) == 10), [len(raw)]])
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    line = lambda i: raw[starts[i] : ends[i]]
+    n = len(ends)
+    marks = np.fromiter((hash(line(i)) for i in range(n)), np.int64, n)
+    values, counts = np.unique(marks, return_counts=True)
+    repeated = counts[np.searchsorted(values, marks)] > 1
+    del marks, values, counts
+    unary = np.empty(n)
+    for i in range(0, n, block):
+        # a line's neighbours may stand in other blocks
+        a, b = max(0, i - 1), min(n, i + block + 1)
+        own = own_features([line(j) for j in range(a, b)], repeated[a:b])
+        inside = own[i - a : len(own) - (b - min(n, i + block))]
+        x = with_neighbours(inside, own[:1] if a < i else None, own[-1:] if b > min(n, i + block) else None)
+        unary[i : i + block] = ((x - chain.mean) / chain.scale) @ chain.weights
+    phi = np.exp(chain.pairs - chain.pairs.max())
+    (p, q), (r, s) = phi.tolist()
+    half = np.clip(unary, -60, 60) / 2
+    ratio = np.exp(2 * half)  # good over bad of each line by itself
+    forward, last = np.empty(n), None  # good over bad given the lines so far
+    for i, u in enumerate(ratio):
+        last = u if last is None else u * (q + last * s) / (p + last * r)
+        forward[i] = last
+    total, weight, back = 0.0, 0.0, 1.0
+    for i in range(n - 1, -1, -1):
+        both = forward[i] * back
+        w = float(ends[i] - starts[i]) + 1e-6
+        total, weight = total + w * (both / (1 + both) if both < 1e300 else 1.0), weight + w
+        onward = ratio[i] * back
+        back = (r + onward * s) / (p + onward * q)
+    return min(1.0, max(0.0, total / weight))
+
+
 def fit(documents: list[tuple[str | None, int]], epochs: int = EPOCHS, rate: float = RATE, l2: float = L2) -> Chain:
     """Fit to (text, label) pairs. Both labels weigh the same in total. No pairs, or one label only: a constant chain."""
     split = [lines_of(t) for t, _ in documents]
@@ -146,21 +187,17 @@ def fit(documents: list[tuple[str | None, int]], epochs: int = EPOCHS, rate: flo
     mean[-1], scale[scale < 1e-9] = 0.0, 1.0
     x = (raw - mean) / scale
     y = np.repeat(labels, sizes)
-    by_doc = np.where(labels == 1, 0.5 / (labels == 1).sum(), 0.5 / (labels == 0).sum())
-    # chains of one label: the gradient of a label's pair counts is the number of steps less the expected one
+    # a document's weight: both labels the same in total, each line of it an equal part
+    by_doc = np.where(labels == 1, 0.5 / (labels == 1).sum(), 0.5 / (labels == 0).sum()) / sizes
+    per_line = np.repeat(by_doc, sizes)
+    # chains of one label: its pair occurs at every step
+    seen = np.diag([float((by_doc * (sizes - 1))[labels == v].sum()) for v in (0, 1)])
     weights, pairs = np.zeros(FEATURES), np.zeros((2, 2))
-    groups = [(labels == v, np.repeat(labels == v, sizes)) for v in (0, 1)]
     state = [np.zeros(FEATURES + 4), np.zeros(FEATURES + 4)]
-    per_line = np.repeat(by_doc / sizes, sizes)
     for step in range(1, epochs + 1):
-        grad_w, grad_p = -l2 * weights, -l2 * pairs
-        for v, (docs_of, lines_in) in enumerate(groups):
-            p, expected = forward_backward(x[lines_in] @ weights, pairs, sizes[docs_of])
-            grad_w = grad_w + x[lines_in].T @ ((y[lines_in] - p) * per_line[lines_in])
-            steps = float((sizes[docs_of] - 1).sum())
-            seen = np.zeros((2, 2))
-            seen[v, v] = steps
-            grad_p = grad_p + (seen - expected) * 0.5 / max(sizes[docs_of].sum(), 1)
+        p, expected = forward_backward(x @ weights, pairs, sizes, by_doc)
+        grad_w = x.T @ ((y - p) * per_line) - l2 * weights
+        grad_p = seen - expected - l2 * pairs
         g = np.concatenate([grad_w, grad_p.ravel()])
         state = [0.9 * state[0] + 0.1 * g, 0.99 * state[1] + 0.01 * g * g]
         move = rate * (state[0] / (1 - 0.9**step)) / (np.sqrt(state[1] / (1 - 0.99**step)) + 1e-8)
@@ -172,46 +209,73 @@ def held_out(key: str = "doc_id") -> F.Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % 5 == 0
 
 
-def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", max_fit: int = MAX_FIT) -> Chain:
-    """Fit on rows with a label whose key is not held out; at most ``max_fit`` of them, in the order of a hash of the key."""
-    usable = labels.filter(~held_out(key) & F.col("quality").isin(0, 1)).select(F.col(key).alias("_key"), "quality")
-    chosen = usable.orderBy(F.xxhash64("_key"), "_key", "quality").limit(max_fit)
-    rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_key").filter(F.col("_text").isNotNull())
-    rows = rows.filter(F.regexp_count("_text", F.lit("\n")) < MAX_FIT_LINES)
-    pairs = sorted((r["_key"], r["_text"], r["quality"]) for r in rows.select("_key", "_text", "quality").collect())
-    return fit([(t, q) for _, t, q in pairs])
+def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", max_fit: int = MAX_FIT, max_bytes: int = MAX_FIT_BYTES) -> Chain:
+    """Fit on rows with a text and a label whose key is not held out, in the order of a hash of the key: at most ``max_fit`` of them, and only
+    as long as their texts take no more than ``max_bytes`` together. Rows that repeat key and text are one."""
+    usable = labels.filter(~held_out(key) & F.col("quality").isin(0, 1)).select(F.col(key).alias("_key"), "quality").distinct()
+    texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).filter(F.col("_text").isNotNull()).withColumn("_mark", F.xxhash64("_text"))
+    sized = texts.select("_key", "_mark", F.octet_length("_text").alias("_bytes")).join(usable, "_key").distinct()
+    order = [F.xxhash64("_key"), "_key", "_mark", "quality"]
+    few = sized.orderBy(*order).limit(max_fit)
+    total = F.sum("_bytes").over(Window.orderBy(*order))  # over max_fit narrow rows
+    chosen = few.withColumn("_total", total).filter(F.col("_total") <= max_bytes).select("_key", "_mark", "quality")
+    rows = texts.join(F.broadcast(chosen), ["_key", "_mark"]).dropDuplicates(["_key", "_mark", "quality"])
+    pairs = sorted((r["_key"], r["quality"], r["_text"]) for r in rows.select("_key", "_text", "quality").collect())  # max_fit rows of max_bytes
+    return fit([(t, q) for _, q, t in pairs])
 
 
 def score(docs: DataFrame, chain: Chain, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` of ``docs`` (default: all), ``quality_score`` (0 to 1) and ``quality_predicted``.
 
-    Null and empty texts are scored as one empty line; repeated rows get equal scores.
+    Null and empty texts are scored as one empty line; texts of any length are scored whole; repeated rows get equal scores; an empty table gives an empty
+    table. Where ``keep`` has a column of such a name, the new one is named with underscores before it.
     """
     model = chain.dump()
     keep = docs.columns if keep is None else keep
+    names = [*keep, *(own_name(docs.select(*keep), n) for n in ("quality_score", "quality_predicted"))]
+
+    def together(c: Chain, split: list[list[bytes]]) -> np.ndarray:
+        sizes = np.array([len(x) for x in split], dtype=np.int64)
+        p = c.marginals(np.vstack([line_features(x) for x in split]), sizes)
+        weight = np.array([len(x) for lines in split for x in lines], dtype=float) + 1e-6
+        ends = np.cumsum(sizes) - sizes
+        return np.clip(np.add.reduceat(p * weight, ends) / np.add.reduceat(weight, ends), 0.0, 1.0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = Chain.load(model)
-        for whole in batches:
-            for i in range(0, whole.num_rows, SLICE):
-                b = whole.slice(i, SLICE)
-                split = [lines_of(t.as_py()) for t in b.column(b.num_columns - 1)]
-                sizes = np.array([len(x) for x in split], dtype=np.int64)
-                p = c.marginals(np.vstack([line_features(x) for x in split]), sizes)
-                weight = np.array([len(x) for lines in split for x in lines], dtype=float) + 1e-6
-                ends = np.cumsum(sizes) - sizes
-                scores = np.clip(np.add.reduceat(p * weight, ends) / np.add.reduceat(weight, ends), 0.0, 1.0)
-                yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(scores), pa.array((scores >= THRESHOLD).astype(np.int32))], names=[*keep, "quality_score", "quality_predicted"])
-
-    clash = [c for c in keep if c.lower() in ("quality_score", "quality_predicted")]
-    if clash:
-        raise ValueError(f"reserved column names: {clash}")
+        for b in batches:
+            scores = np.zeros(b.num_rows)
+            held: list[list[bytes]] = []
+            at: list[int] = []
+            lines = 0
+            for i, t in enumerate(b.column(b.num_columns - 1)):
+                raw = (t.as_py() or "").encode("utf-8", "surrogatepass")
+                n = raw.count(b"\n") + 1
+                if n > BLOCK:
+                    scores[i] = score_in_blocks(raw, c, BLOCK)
+                    continue
+                if lines + n > BLOCK:
+                    scores[at] = together(c, held)
+                    held, at, lines = [], [], 0
+                held.append(raw.split(b"\n"))
+                at.append(i)
+                lines += n
+            if held:
+                scores[at] = together(c, held)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(scores), pa.array((scores >= THRESHOLD).astype(np.int32))], names=names)
+
     from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-    schema = StructType([*docs.select(*keep).schema.fields, StructField("quality_score", DoubleType()), StructField("quality_predicted", IntegerType())])
+    schema = StructType([*docs.select(*keep).schema.fields, StructField(names[-2], DoubleType()), StructField(names[-1], IntegerType())])
     return docs.select(*keep, F.col(text).alias("_scored_text")).mapInArrow(run, schema)
 
 
+def keep_good(docs: DataFrame, chain: Chain, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are predicted good, with its columns."""
+    predicted = own_name(docs, "quality_predicted")
+    return score(docs, chain, text).filter(F.col(predicted) == 1).select(*docs.columns)
+
+
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     chain = learn(docs, table(spark, sf_dir, "labels"))

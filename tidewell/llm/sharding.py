@@ -40,15 +40,22 @@ def rendezvous(key: Column, weights: Mapping[int, float]) -> Column:
 def assign_shards(df: DataFrame, key: str, weights: Mapping[int, float], shard: str = "shard") -> DataFrame:
     """``df`` with column ``shard``. A narrow plan: no shuffle.
 
-    Null keys count as one key. Repeated keys share a shard. An empty table stays empty.
+    Null keys count as one key. Repeated keys share a shard, whatever else their rows hold. An empty table stays empty. If ``df`` has a column of that
+    name already, the new one is named with underscores before it.
     """
-    return df.withColumn(shard, rendezvous(key_text(key), weights))
+    return df.withColumn(own_name(df, shard), rendezvous(key_text(key), weights))
 
 
 def number_slots(df: DataFrame, key: str, shard: str = "shard", slot: str = "slot", ties: tuple[str, ...] = ()) -> DataFrame:
-    """``df`` with a slot in each shard, gapless from 0; within a cell rows are ordered by ``key``, then ``ties``."""
+    """``df`` with a slot in each shard, gapless from 0; within a cell rows are ordered by ``key``, then ``ties``.
+
+    Rows are dealt to cells by key and ties, so rows that share a key (a null one, say) are spread if they differ in ties; rows that are equal in all of them are
+    interchangeable and share a cell. Null keys come first in their cell. If ``df`` has a column ``slot`` already, the new one is named with underscores before it.
+    """
+    slot = own_name(df, slot)
     hi, lo, base = (own_name(df, n) for n in ("cell_hi", "cell_lo", "cell_base"))
-    digest = F.conv(F.substring(F.md5(key_text(key)), 1, 3), 16, 10).cast("int")
+    marks = F.concat_ws("\n", key_text(key), *[F.coalesce(F.col(t).cast("string"), F.lit("null")) for t in ties])
+    digest = F.conv(F.substring(F.md5(marks), 1, 3), 16, 10).cast("int")
     celled = df.withColumns({hi: F.floor(digest / CELLS).cast("int"), lo: (digest % CELLS).cast("int")})
     counts = celled.groupBy(shard, hi, lo).agg(F.count(F.lit(1)).alias("n"))
     before = (Window.unboundedPreceding, -1)
@@ -66,6 +73,7 @@ def write_shards(df: DataFrame, path: str, shard: str = "shard") -> None:
 
 
 def op1(spark: SparkSession, sf_dir: str, shards: int = 8) -> DataFrame:
+    """Null and empty texts have size 1 and CRC 0; long texts are measured whole."""
     docs = table(spark, sf_dir, "documents").select(
         "doc_id",
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),

@@ -15,15 +15,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the session names in ``spark.checkpoint.dir``; without one, a local folder, on a single machine only."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("on a cluster spark.checkpoint.dir must name a folder that all machines share")
+    return (named or tempfile.mkdtemp(prefix="tidewell-checkpoint-")).rstrip("/")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """``df`` as a reliable checkpoint in the folder that the session names.
-
-    The folder is ``spark.checkpoint.dir``; only a session without one (tests) gets a local folder.
-    """
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(shared or tempfile.mkdtemp(prefix="tidewell-checkpoint-"))
+    """``df`` as a reliable checkpoint in the shared folder."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
