@@ -2,25 +2,23 @@
 
 Each stage gets all rows that the one before it kept, as Parquet in the folder that the cluster shares, and returns the columns of
 documents; the last returns one row per document (repeats of the mix included) with token counts and digests. An empty
-table passes through every stage. Columns of documents besides doc_id, text and source are carried as they are.
+table passes through every stage. Columns of documents besides doc_id, text and source are carried as they are, whatever their names.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidewell.llm import bpe, exact_dedup, mixing, quality, simhash
-from tidewell.llm.shared import table
+from tidewell.llm.shared import shared_folder, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line field predicts to be good. Fitted on the labelled rows that are not held out."""
     chain = quality.learn(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, chain).filter(F.col("quality_predicted") == 1).select(*docs.columns)
+    return quality.keep_good(docs, chain)
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +33,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it: 0, 1 or 2 times."""
-    return mixing.repeat_rows(mixing.mix(docs, mixing.words()))
+    return mixing.repeat_rows(docs, mixing.mix(docs, mixing.words()))
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,11 +54,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what each returns is written and read again."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidewell-pipeline-")
-    folder = f"{shared.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    """All stages over ``documents``; what each returns is written in the shared folder and read again, then what it read is deleted."""
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
+        if k:
+            done = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{k - 1}")
+            done.getFileSystem(spark._jsc.hadoopConfiguration()).delete(done, True)
     return docs
