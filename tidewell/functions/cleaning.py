@@ -2,14 +2,19 @@
 
 A blank field, a placeholder or a text that can't be read gives a null value with a reason code; a value that is used but
 doubtful carries a warning. Nothing here raises on data, whatever the session's ANSI setting: only ``try_`` casts are used.
+
+Amounts, dates, times and categories take and return a table, since they work in steps (``text.Steps``): a text is taken apart once, by its shape
+(digits as 9, letters as a) and its tokens; which layout it has is then a look at a short list of shapes. The other fields are column expressions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from string import ascii_letters, digits
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .text import collapse, field, first_reason, full, is_placeholder, let, lookup, normalise_key, strip
+from .text import PLACEHOLDERS, Steps, collapse, field, first_reason, full, is_placeholder, lookup, normalise_key, strip
 
 USD, USD_CENTS = "USD", "USD_CENTS"
 MDY, DMY = "MDY", "DMY"
@@ -41,76 +46,103 @@ PAYER_CATEGORIES = {
     "OTHER": ("TRICARE", "Workers Comp"),
     "UNKNOWN": ("N/A",),
 }
+# Names of months.
 MONTHS = {
     "jan": 1, "january": 1, "feb": 2, "february": 2, "mar": 3, "march": 3, "apr": 4, "april": 4, "may": 5, "jun": 6, "june": 6,
     "jul": 7, "july": 7, "aug": 8, "august": 8, "sep": 9, "sept": 9, "september": 9, "oct": 10, "october": 10, "nov": 11, "november": 11, "dec": 12, "december": 12,
 }
 
 
-def _spelling_key(text: str) -> str:
-    return "-".join(x.strip() for x in " ".join(text.split()).split("-")).upper()
+VOCABULARIES = {"encounter_type": ENCOUNTER_TYPES, "claim_status": CLAIM_STATUSES, "payer_category": PAYER_CATEGORIES}
+
+
+def vocabulary(spark: SparkSession) -> DataFrame:
+    """The spellings as a relation: field, category, spelling, and the key by which delivered texts find them."""
+    rows = [(name, category, spelling) for name, table in VOCABULARIES.items() for category, spelled in table.items() for spelling in spelled]
+    return spark.createDataFrame(rows, "field string, category string, spelling string").withColumn("key", normalise_key(F.col("spelling")))
+
+
+def vocabulary_problems(words: DataFrame) -> DataFrame:
+    """Keys that belong to two categories of one field; none: the vocabulary may be used."""
+    return words.groupBy("field", "key").agg(F.count_distinct("category").alias("n")).filter("n > 1").select("field", "key")
+
+
+def _blank(text: Column, prefix: str) -> list[tuple[Column, str]]:
+    return [(text == "", f"{prefix}_MISSING"), (F.upper(text).isin(*PLACEHOLDERS), f"{prefix}_PLACEHOLDER")]
+
 
+def _all_digits(c: Column) -> Column:
+    return (c != "") & (F.translate(c, digits, "") == "")
 
-def spellings(table: dict[str, tuple[str, ...]]) -> dict[str, str]:
-    """Key of each spelling -> category; refuses a spelling of two categories."""
-    out: dict[str, str] = {}
-    for category, texts in table.items():
-        for text in texts:
-            if out.setdefault(_spelling_key(text), category) != category:
-                raise ValueError(f"spelling {text!r} belongs to two categories")
-    return out
 
+def _shape(text: Column) -> Column:
+    return F.translate(text, digits + ascii_letters, "9" * len(digits) + "a" * len(ascii_letters))
 
-def clean_amount(c: Column, unit: Column | str = USD) -> Column:
-    """Money as DECIMAL(18,2) dollars. Amounts too large for that type count as unparseable."""
-    unit = F.lit(unit) if isinstance(unit, str) else unit
-    return let(strip(c), lambda text: _amount(text, unit))
 
+def _as_column(x: Column | str) -> Column:
+    return F.lit(x) if isinstance(x, str) else x
 
-def _amount(text: Column, unit: Column) -> Column:
-    pattern = r"(?i)\A(?:(USD)\s*|(\$)\s*)?([0-9]{1,3}(?:,[0-9]{3})+|[0-9]+)(?:\.([0-9]+))?(\s*K)?(?:\s*(USD))?\z"
-    part = lambda n: F.regexp_extract(text, pattern, n)
-    matched = text.rlike(pattern)
-    before, dollar, digits, fraction, thousands, after = (part(n) for n in range(1, 7))
-    markers = sum((F.length(m) > 0).cast("int") for m in (before, dollar, after))
-    cents, k = unit == USD_CENTS, F.length(thousands) > 0
-    number = F.concat(F.regexp_replace(digits, ",", ""), F.lit("."), F.rpad(F.substring(fraction, 1, 5), 5, "0")).try_cast("decimal(38,5)")
-    dollars = F.when(cents, number / 100).when(k, number * 1000).otherwise(number).try_cast("decimal(18,2)")
-    exact = F.when(cents, fraction.rlike(full("0*"))).when(k, fraction.rlike(full("[0-9]{0,5}0*"))).otherwise(fraction.rlike(full("[0-9]{0,2}0*")))
+
+#: What may stand between a number and its marks.
+INNER_SPACE = " \t\n\r\f\v"
+
+
+def clean_amount(df: DataFrame, out: str, c: Column, unit: Column | str = USD) -> DataFrame:
+    """``df`` with ``out``: money as DECIMAL(18,2) dollars. Amounts too large for that type count as unparseable.
+
+    Marks are taken off the ends first (currency before or after, then K); what is left must be a number: groups of three after commas, or none.
+    """
+    s = Steps(df, out)
+    s.add(text=strip(c), cents=_as_column(unit) == USD_CENTS)
+    s.add(upper=F.translate(s["text"], "usdk", "USDK"))
+    t = s["upper"]
+    s.add(lead=F.when(F.startswith(t, F.lit("USD")), 3).when(F.startswith(t, F.lit("$")), 1).otherwise(0), tail=F.when(F.endswith(t, F.lit("USD")), 3).otherwise(0))
+    s.add(body=F.btrim(F.substring(t, s["lead"] + 1, F.length(t) - s["lead"] - s["tail"]), F.lit(INNER_SPACE)))
+    s.add(kilo=F.endswith(s["body"], F.lit("K")))
+    s.add(number=F.when(s["kilo"], F.rtrim(F.substring(s["body"], F.lit(1), F.length(s["body"]) - 1), F.lit(INNER_SPACE))).otherwise(s["body"]))
+    s.add(whole=F.substring_index(s["number"], ".", 1), dotted=F.contains(s["number"], F.lit(".")))
+    s.add(fraction=F.when(s["dotted"], F.substring(s["number"], F.length(s["whole"]) + 2, F.length(s["number"]))).otherwise("0"), plain=F.translate(s["whole"], ",", ""), groups=_shape(s["whole"]))
+    first = F.replace(s["groups"], F.lit(",999"), F.lit(""))  # the first group, if the others have three digits each
+    grouped = (s["plain"] == s["whole"]) | (F.length(first).between(1, 3) & (first == F.substring_index(s["groups"], ",", 1)))
+    s.add(read=_all_digits(s["plain"]) & grouped & _all_digits(s["fraction"]), places=F.length(F.rtrim(s["fraction"], F.lit("0"))))
+    exact = F.concat(s["plain"], F.lit("."), F.rpad(F.substring(s["fraction"], 1, 5), 5, "0")).try_cast("decimal(38,5)")
+    s.add(exact=F.when(s["read"], exact))
+    s.add(dollars=F.when(s["cents"], s["exact"] / 100).when(s["kilo"], s["exact"] * 1000).otherwise(s["exact"]).try_cast("decimal(18,2)"))
+    marked = (s["lead"] > 0).cast("int") + (s["tail"] > 0).cast("int")
     reason = first_reason(
-        (text == "", "AMOUNT_MISSING"),
-        (is_placeholder(text), "AMOUNT_PLACEHOLDER"),
-        (F.upper(text).isin(*SPREADSHEET_ERRORS), "AMOUNT_SPREADSHEET_ERROR"),
-        (~matched | (markers > 1), "AMOUNT_UNPARSEABLE"),
-        (cents & k, "AMOUNT_K_SUFFIX_NOT_ALLOWED"),
-        (cents & (markers > 0), "AMOUNT_UNPARSEABLE"),
-        (~exact, "AMOUNT_FRACTIONAL_CENTS"),
-        (dollars.isNull(), "AMOUNT_UNPARSEABLE"),
+        *_blank(s["text"], "AMOUNT"),
+        (F.upper(s["text"]).isin(*SPREADSHEET_ERRORS), "AMOUNT_SPREADSHEET_ERROR"),
+        (~s["read"] | (marked > 1), "AMOUNT_UNPARSEABLE"),
+        (s["cents"] & s["kilo"], "AMOUNT_K_SUFFIX_NOT_ALLOWED"),
+        (s["cents"] & (marked > 0), "AMOUNT_UNPARSEABLE"),
+        (s["places"] > F.when(s["cents"], 0).when(s["kilo"], 5).otherwise(2), "AMOUNT_FRACTIONAL_CENTS"),
+        (s["dollars"].isNull(), "AMOUNT_UNPARSEABLE"),
     )
-    return field(dollars, reason)
+    return s.done(s["dollars"], reason)
 
 
-def clean_category(c: Column, table: dict[str, tuple[str, ...]], prefix: str, blank: str | None = None) -> Column:
-    """A category by spelling. A blank is ``blank`` with a warning, or a reason if there is none for it."""
-    text = strip(c)
-    found = lookup(spellings(table), normalise_key(text))
+def clean_category(df: DataFrame, out: str, c: Column, table: dict[str, tuple[str, ...]], prefix: str, blank: str | None = None) -> DataFrame:
+    """``df`` with ``out``: a category by spelling. A blank is ``blank`` with a warning, or a reason if there is none for it."""
+    keyed = F.create_map(*[x for category, spelled in table.items() for spelling in spelled for x in (normalise_key(F.lit(spelling)), F.lit(category))])
+    s = Steps(df, out)
+    s.add(text=strip(c))
+    s.add(found=F.when(s["text"] == "", F.lit(blank)).otherwise(F.try_element_at(keyed, normalise_key(s["text"]))))
     missing, unmapped = F.lit(f"{prefix}_MISSING"), F.lit(f"{prefix}_UNMAPPED")
     if blank is None:
-        return field(found, F.when(text == "", missing).when(found.isNull(), unmapped))
-    value = F.when(text == "", F.lit(blank)).otherwise(found)
-    return field(value, F.when(value.isNull(), unmapped), F.when(text == "", missing))
+        return s.done(s["found"], F.when(s["text"] == "", missing).when(s["found"].isNull(), unmapped))
+    return s.done(s["found"], F.when(s["found"].isNull(), unmapped), F.when(s["text"] == "", missing))
 
 
-def clean_encounter_type(c: Column) -> Column:
-    return clean_category(c, ENCOUNTER_TYPES, "ENCOUNTER_TYPE", "UNKNOWN")
+def clean_encounter_type(df: DataFrame, out: str, c: Column) -> DataFrame:
+    return clean_category(df, out, c, ENCOUNTER_TYPES, "ENCOUNTER_TYPE", "UNKNOWN")
 
 
-def clean_claim_status(c: Column) -> Column:
-    return clean_category(c, CLAIM_STATUSES, "CLAIM_STATUS")
+def clean_claim_status(df: DataFrame, out: str, c: Column) -> DataFrame:
+    return clean_category(df, out, c, CLAIM_STATUSES, "CLAIM_STATUS")
 
 
-def clean_payer_category(c: Column) -> Column:
-    return clean_category(c, PAYER_CATEGORIES, "PAYER", "UNKNOWN")
+def clean_payer_category(df: DataFrame, out: str, c: Column) -> DataFrame:
+    return clean_category(df, out, c, PAYER_CATEGORIES, "PAYER", "UNKNOWN")
 
 
 def _wall(year: Column, month: Column, day: Column, hour: Column, minute: Column, second: Column) -> Column:
@@ -119,78 +151,77 @@ def _wall(year: Column, month: Column, day: Column, hour: Column, minute: Column
     return F.when(ok, F.try_make_timestamp_ntz(year, month, day, hour, minute, second.cast("decimal(16,6)")))
 
 
-def clean_date(c: Column, order: Column | str, century: Column | int | None, delivered: Column) -> Column:
-    """A DATE no later than ``delivered`` (a DATE in UTC). ``century`` is added to two-digit years; null: none is known."""
-    order = F.lit(order) if isinstance(order, str) else order
-    century = F.lit(century).cast("int") if century is None or isinstance(century, int) else century
-    return let(strip(c), lambda text: _date(text, order, century, delivered))
-
-
-def _date(text: Column, order: Column, century: Column, delivered: Column) -> Column:
-    iso = r"\A([0-9]{4})-([0-9]{2})-([0-9]{2})(?:T([0-9]{2}):([0-9]{2}):([0-9]{2}))?\z"
-    numeric = r"\A([0-9]{1,2})([/-])([0-9]{1,2})\2([0-9]{4}|[0-9]{2})\z"
-    month_first = r"\A([A-Za-z]+)\.? ([0-9]{1,2}),? ([0-9]{4})\z"
-    day_first = r"\A([0-9]{1,2}) ([A-Za-z]+)\.? ([0-9]{4})\z"
-    part = lambda p, n: F.regexp_extract(text, p, n)
-    number = lambda p, n: part(p, n).try_cast("int")
-    is_iso, is_numeric, is_mf, is_df = (text.rlike(p) for p in (iso, numeric, month_first, day_first))
-    short = is_numeric & (F.length(part(numeric, 4)) == 2)
-    mdy = order == MDY
-    name = F.lower(F.when(is_mf, part(month_first, 1)).otherwise(part(day_first, 2)))
-    named = F.try_element_at(F.create_map(*[F.lit(x) for pair in MONTHS.items() for x in pair]), name)
-    year = F.when(is_iso, number(iso, 1)).when(short, number(numeric, 4) + century).when(is_numeric, number(numeric, 4)).when(is_mf, number(month_first, 3)).otherwise(number(day_first, 3))
-    month = F.when(is_iso, number(iso, 2)).when(is_numeric & mdy, number(numeric, 1)).when(is_numeric, number(numeric, 3)).otherwise(named)
-    day = F.when(is_iso, number(iso, 3)).when(is_numeric & mdy, number(numeric, 3)).when(is_numeric, number(numeric, 1)).when(is_mf, number(month_first, 2)).otherwise(number(day_first, 1))
-    clock = [F.coalesce(F.when(is_iso, number(iso, n)), F.lit(0)) for n in (4, 5, 6)]
-    value = _wall(year, month, day, *clock).cast("date")
+ONE_OR_TWO = ("9", "99")
+#: Layouts as shapes; runs of letters count as one.
+ISO_DAY, ISO_MOMENT = "9999-99-99", "9999-99-99a99:99:99"
+NUMBERS = [f"{a}{x}{b}{x}" for x in "/-" for a in ONE_OR_TWO for b in ONE_OR_TWO]
+MONTH_FIRST = [f"a{dot} {d}{comma} 9999" for dot in ("", ".") for d in ONE_OR_TWO for comma in ("", ",")]
+DAY_FIRST = [f"{d} a{dot} 9999" for dot in ("", ".") for d in ONE_OR_TWO]
+
+
+def clean_date(df: DataFrame, out: str, c: Column, order: Column | str, century: Column | int | None, delivered: Column) -> DataFrame:
+    """``df`` with ``out``: a DATE no later than ``delivered`` (a DATE in UTC). ``century`` is added to two-digit years; null: none is known."""
+    s = Steps(df, out)
+    s.add(text=strip(c))
+    s.add(shape=F.regexp_replace(_shape(s["text"]), "a+", "a"), token=F.split(s["text"], "[^0-9A-Za-z]+"), mdy=_as_column(order) == MDY, century=F.lit(century).cast("int") if century is None or isinstance(century, int) else century)
+    timed = (s["shape"] == ISO_MOMENT) & (F.substring(s["text"], 11, 1) == "T") & (F.length(s["text"]) == len(ISO_MOMENT))
+    layout = F.when((s["shape"] == ISO_DAY) | timed, "iso").when(s["shape"].isin(*[f"{n}{y}" for n in NUMBERS for y in ("99", "9999")]), "numbers").when(s["shape"].isin(*MONTH_FIRST), "month first").when(s["shape"].isin(*DAY_FIRST), "day first")
+    s.add(layout=layout)
+    token = lambda i: F.get(s["token"], F.lit(i))
+    kind = lambda *values: F.when(s["layout"] == "iso", values[0]).when(s["layout"] == "numbers", values[1]).when(s["layout"] == "month first", values[2]).when(s["layout"] == "day first", values[3])
+    name = lambda i: lookup(MONTHS, F.lower(token(i)))
+    number = lambda x: x.try_cast("int")
+    swap = lambda a, b: F.when(s["mdy"], a).otherwise(b)
+    s.add(
+        short=(s["layout"] == "numbers") & (F.length(token(2)) == 2),
+        year=number(kind(token(0), token(2), token(2), token(2))),
+        month=kind(number(token(1)), number(swap(token(0), token(1))), name(0), name(1)),
+        day=number(kind(F.substring(token(2), 1, 2), swap(token(1), token(0)), token(1), token(0))),
+        clock=F.when((s["layout"] == "iso") & (s["shape"] == ISO_MOMENT), F.array(*[number(F.substring(s["text"], at, 2)) for at in (12, 15, 18)])).otherwise(F.array(*[F.lit(0)] * 3)),
+    )
+    year = F.when(s["short"], s["year"] + s["century"]).otherwise(s["year"])
+    s.add(read=_wall(year, s["month"], s["day"], *[F.get(s["clock"], F.lit(i)) for i in range(3)]).cast("date"))
     reason = first_reason(
-        (text == "", "DATE_MISSING"),
-        (is_placeholder(text), "DATE_PLACEHOLDER"),
-        (~(is_iso | is_numeric | is_mf | is_df), "DATE_UNPARSEABLE"),
-        ((is_mf | is_df) & named.isNull(), "DATE_UNPARSEABLE"),
-        (short & century.isNull(), "DATE_CENTURY_UNKNOWN"),
-        (value.isNull(), "DATE_INVALID"),
-        (value > delivered, "DATE_AFTER_DELIVERY"),
+        *_blank(s["text"], "DATE"),
+        (s["layout"].isNull() | (s["layout"].endswith("first") & s["month"].isNull()), "DATE_UNPARSEABLE"),
+        (s["short"] & s["century"].isNull(), "DATE_CENTURY_UNKNOWN"),
+        (s["read"].isNull(), "DATE_INVALID"),
+        (s["read"] > delivered, "DATE_AFTER_DELIVERY"),
     )
-    return field(value, reason)
+    return s.done(s["read"], reason)
+
+
+ISO_STAMPS = [f"9999-99-99{x}99:99:99{y}" for x in "a " for y in ("", "a", "+99:99", "-99:99")]
 
 
-def clean_timestamp(c: Column, zone: Column | str, order: Column | str) -> Column:
-    """An instant as UTC TIMESTAMP_NTZ. Without an offset the text is local time of ``zone``: a time that the zone skips is no value, of
+def clean_timestamp(df: DataFrame, out: str, c: Column, zone: Column | str, order: Column | str) -> DataFrame:
+    """``df`` with ``out``: an instant as UTC TIMESTAMP_NTZ. Without an offset the text is local time of ``zone``: a time that the zone skips is no value, of
     a time that it has twice the earlier instant is taken, with a warning."""
-    zone, order = (F.lit(x) if isinstance(x, str) else x for x in (zone, order))
-    return let(strip(c), lambda text: _timestamp(text, zone, order))
-
-
-def _timestamp(text: Column, zone: Column, order: Column) -> Column:
-    iso = r"(?i)\A([0-9]{4})-([0-9]{2})-([0-9]{2})[T ]([0-9]{2}):([0-9]{2}):([0-9]{2})(Z|[+-][0-9]{2}:[0-9]{2})?\z"
-    numeric = r"\A([0-9]{1,2})([/-])([0-9]{1,2})\2([0-9]{4}) ([0-9]{2}):([0-9]{2}):([0-9]{2})\z"
-    is_iso, is_numeric = text.rlike(iso), text.rlike(numeric)
-    part = lambda p, n: F.regexp_extract(text, p, n)
-    number = lambda p, n: part(p, n).try_cast("int")
-    mdy = order == MDY
-    pick = lambda i, n: F.when(is_iso, number(iso, i)).otherwise(n)
-    wall = _wall(
-        pick(1, number(numeric, 4)), pick(2, F.when(mdy, number(numeric, 1)).otherwise(number(numeric, 3))), pick(3, F.when(mdy, number(numeric, 3)).otherwise(number(numeric, 1))),
-        *(pick(i, number(numeric, i + 1)) for i in (4, 5, 6)),
-    )
-    offset = F.when(is_iso, part(iso, 7)).otherwise("")
-    hours, minutes = F.substring(offset, 2, 2).try_cast("int"), F.substring(offset, 5, 2).try_cast("int")
-    minutes_off = F.when(F.upper(offset) == "Z", F.lit(0)).when((hours <= 23) & (minutes <= 59), (hours * 60 + minutes) * F.when(F.substring(offset, 1, 1) == "-", -1).otherwise(1))
-    has_offset = offset != ""
-    fixed = wall - F.make_dt_interval(F.lit(0), F.lit(0), minutes_off)
-    local = F.convert_timezone(zone, F.lit("UTC"), wall)
-    hour = F.expr("INTERVAL '1' HOUR")
-    skipped = ~has_offset & (F.convert_timezone(F.lit("UTC"), zone, local) != wall)
-    twice = ~has_offset & (F.convert_timezone(F.lit("UTC"), zone, local + hour) == wall)
+    zone = _as_column(zone)
+    s = Steps(df, out)
+    s.add(text=strip(c), mdy=_as_column(order) == MDY)
+    s.add(shape=_shape(s["text"]), rest=F.upper(F.substring(s["text"], 20, 6)))
+    at = lambda i, n: F.substring(s["text"], i, n).try_cast("int")
+    iso = s["shape"].isin(*ISO_STAMPS) & F.substring(s["text"], 11, 1).isin("T", "t", " ") & ((F.length(s["text"]) != 20) | (s["rest"] == "Z"))
+    s.add(iso=iso, numbers=s["shape"].isin(*[f"{n}9999 99:99:99" for n in NUMBERS]), token=F.split(s["text"], "[^0-9]+"))
+    token = lambda i: F.get(s["token"], F.lit(i)).try_cast("int")
+    swap = lambda a, b: F.when(s["mdy"], token(a)).otherwise(token(b))
+    pick = lambda fixed, free: F.when(s["iso"], fixed).when(s["numbers"], free)
+    wall = _wall(pick(at(1, 4), token(2)), pick(at(6, 2), swap(0, 1)), pick(at(9, 2), swap(1, 0)), pick(at(12, 2), token(3)), pick(at(15, 2), token(4)), pick(at(18, 2), token(5)))
+    hours, minutes = F.substring(s["rest"], 2, 2).try_cast("int"), F.substring(s["rest"], 5, 2).try_cast("int")
+    sign = F.when(F.startswith(s["rest"], F.lit("-")), -1).otherwise(1)
+    s.add(wall=wall, off=F.when(s["rest"] == "Z", 0).when((hours <= 23) & (minutes <= 59), (hours * 60 + minutes) * sign), stated=s["iso"] & (s["rest"] != ""))
+    s.add(local=F.when(~s["stated"], F.convert_timezone(zone, F.lit("UTC"), s["wall"])))
+    back = lambda t: F.convert_timezone(F.lit("UTC"), zone, t) == s["wall"]
+    s.add(skipped=~back(s["local"]), twice=back(s["local"] + F.expr("INTERVAL '1' HOUR")))
     reason = first_reason(
-        (text == "", "TIMESTAMP_MISSING"),
-        (is_placeholder(text), "TIMESTAMP_PLACEHOLDER"),
-        (~(is_iso | is_numeric), "TIMESTAMP_UNPARSEABLE"),
-        (wall.isNull() | (has_offset & minutes_off.isNull()), "TIMESTAMP_INVALID"),
-        (skipped, "TIMESTAMP_NONEXISTENT_LOCAL_TIME"),
+        *_blank(s["text"], "TIMESTAMP"),
+        (~(s["iso"] | s["numbers"]), "TIMESTAMP_UNPARSEABLE"),
+        (s["wall"].isNull() | (s["stated"] & s["off"].isNull()), "TIMESTAMP_INVALID"),
+        (s["skipped"], "TIMESTAMP_NONEXISTENT_LOCAL_TIME"),
     )
-    return field(F.when(has_offset, fixed).otherwise(local), reason, F.when(twice, F.lit("TIMESTAMP_AMBIGUOUS_LOCAL_TIME")))
+    instant = F.when(s["stated"], s["wall"] - F.make_dt_interval(F.lit(0), F.lit(0), s["off"])).otherwise(s["local"])
+    return s.done(instant, reason, F.when(s["twice"], F.lit("TIMESTAMP_AMBIGUOUS_LOCAL_TIME")))
 
 
 def clean_icd10(c: Column, in_reference: Column | None = None) -> Column:

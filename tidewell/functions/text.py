@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -11,6 +10,9 @@ from pyspark.sql import functions as F
 #: White space as Unicode sees it; Spark's own trim takes U+0020 only.
 SPACE = r"[\s\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
+#: The same characters, for trimming.
+SPACES = "".join(map(chr, (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+
 # Words that stand for "no value yet".
 PLACEHOLDERS = ("N/A", "PENDING", "TBD")
 
@@ -22,7 +24,7 @@ def full(pattern: str) -> str:
 
 def strip(c: Column) -> Column:
     """Without Unicode white space at both ends; null is empty."""
-    return F.regexp_replace(F.regexp_replace(F.coalesce(c, F.lit("")), rf"\A{SPACE}+", ""), rf"{SPACE}+\z", "")
+    return F.btrim(F.coalesce(c, F.lit("")), F.lit(SPACES))
 
 
 def collapse(c: Column) -> Column:
@@ -52,9 +54,24 @@ def first_reason(*rules: tuple[Column, str]) -> Column:
     return reduce(lambda done, rule: done.when(*rule), rules[1:], F.when(*rules[0]))
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of ``value``, which is computed once: a lambda's variable isn't inlined, so large expressions stay small."""
-    return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
+class Steps:
+    """Columns of one field on its way, step by step. A step's columns are computed once per row, however often later steps use them: the
+    optimizer doesn't merge a projection into one that uses its expressions twice."""
+
+    def __init__(self, df: DataFrame, out: str):
+        self.df, self.out, self.names = df, out, []
+
+    def __getitem__(self, name: str) -> Column:
+        return F.col(f"_{self.out}_{name}")
+
+    def add(self, **columns: Column) -> None:
+        self.names += [f"_{self.out}_{n}" for n in columns]
+        self.df = self.df.withColumns({f"_{self.out}_{n}": c for n, c in columns.items()})
+
+    def done(self, value: Column, reason: Column, warning: Column | None = None) -> DataFrame:
+        """The table with the cleaned field and without the steps."""
+        self.add(value=value, reason=reason, **({} if warning is None else {"warning": warning}))
+        return self.df.withColumn(self.out, field(self["value"], self["reason"], None if warning is None else self["warning"])).drop(*self.names)
 
 
 def once(df: DataFrame, **columns: Column) -> DataFrame:
@@ -68,7 +85,7 @@ def expand(prefix: str, cleaned: Column, warning: bool = True) -> list[Column]:
     return [*out, cleaned["warning"].alias(f"{prefix}_warning")] if warning else out
 
 
-def lookup(mapping: dict[str, str], key: Column) -> Column:
+def lookup(mapping: dict[str, object], key: Column) -> Column:
     """A small fixed mapping as an expression; null for other keys."""
     pairs = [F.lit(x) for pair in mapping.items() for x in pair]
     return F.try_element_at(F.create_map(*pairs), key)

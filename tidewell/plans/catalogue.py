@@ -297,7 +297,11 @@ def _cleaned(column: Callable[[], F.Column]) -> Query:
     return lambda spark, d: views.texts(spark, d).withColumn("c", column()).select("k", "c.value", "c.reason", "c.warning")
 
 
-QUERIES["clean_amount"] = _cleaned(lambda: clean.clean_amount(F.col("amount"), F.col("unit")))
+def _stepwise(clean_field: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, d: clean_field(views.texts(spark, d)).select("k", "c.value", "c.reason", "c.warning")
+
+
+QUERIES["clean_amount"] = _stepwise(lambda t: clean.clean_amount(t, "c", F.col("amount"), F.col("unit")))
 SQL["clean_amount"] = f"""WITH {TEXTS_SQL}, t AS (SELECT k, unit, trim(amount) AS a FROM texts),
 m AS (SELECT *, regexp_full_match(a, '(?i)((USD)\\s*|\\$\\s*)?([0-9]{{1,3}}(,[0-9]{{3}})+|[0-9]+)(\\.[0-9]+)?(\\s*K)?(\\s*USD)?') AS ok, a ILIKE '%usd%' OR a LIKE '%$%' AS marked, a ILIKE '%k' AS kilo, regexp_replace(a, '[^0-9.]', '', 'g') AS num FROM t),
 n AS (SELECT *, CASE WHEN ok THEN CAST(num AS DECIMAL(30, 6)) END AS x FROM m),
@@ -306,24 +310,24 @@ v AS (SELECT *, CASE WHEN unit = 'USD_CENTS' THEN x / 100 WHEN kilo THEN x * 100
     WHEN unit = 'USD_CENTS' AND marked THEN 'AMOUNT_UNPARSEABLE' WHEN unit = 'USD_CENTS' AND x <> floor(x) THEN 'AMOUNT_FRACTIONAL_CENTS' WHEN unit = 'USD' AND x * 100 <> floor(x * 100) AND NOT kilo THEN 'AMOUNT_FRACTIONAL_CENTS' END AS reason FROM n)
 SELECT k, CASE WHEN reason IS NULL THEN CAST(y AS DECIMAL(18, 2)) END AS value, reason, CAST(NULL AS VARCHAR) AS warning FROM v"""
 
-QUERIES["clean_date"] = _cleaned(lambda: clean.clean_date(F.col("day"), F.col("ord"), F.col("century"), F.to_date(F.lit("2000-06-30"))))
+QUERIES["clean_date"] = _stepwise(lambda t: clean.clean_date(t, "c", F.col("day"), F.col("ord"), F.col("century"), F.to_date(F.lit("2000-06-30"))))
 SQL["clean_date"] = f"""WITH {TEXTS_SQL}, t AS (SELECT *, regexp_extract(day, '^([0-9]+)[/-]([0-9]+)[/-]([0-9]+)$', ['a', 'b', 'y']) AS g, k % 10 AS r FROM texts),
 v AS (SELECT *, CASE WHEN r IN (0, 8) THEN TRY_CAST(left(day, 10) AS DATE) WHEN r IN (1, 2, 3) THEN TRY_CAST(lpad(CAST(TRY_CAST(g.y AS INTEGER) + CASE WHEN length(g.y) = 2 THEN century ELSE 0 END AS VARCHAR), 4, '0') || '-' || CASE WHEN ord = 'MDY' THEN g.a || '-' || g.b ELSE g.b || '-' || g.a END AS DATE)
   WHEN r = 4 THEN CAST(strptime(day, '%b %d, %Y') AS DATE) WHEN r = 5 THEN CAST(strptime(day, '%d %B %Y') AS DATE) END AS x FROM t),
 w AS (SELECT *, CASE WHEN day = '' THEN 'DATE_MISSING' WHEN r = 7 THEN 'DATE_PLACEHOLDER' WHEN r = 3 AND century IS NULL THEN 'DATE_CENTURY_UNKNOWN' WHEN x IS NULL THEN 'DATE_INVALID' WHEN x > DATE '2000-06-30' THEN 'DATE_AFTER_DELIVERY' END AS reason FROM v)
 SELECT k, CASE WHEN reason IS NULL THEN x END AS value, reason, CAST(NULL AS VARCHAR) AS warning FROM w"""
 
-QUERIES["clean_timestamp"] = _cleaned(lambda: clean.clean_timestamp(F.col("moment"), "UTC", F.col("ord")))
+QUERIES["clean_timestamp"] = _stepwise(lambda t: clean.clean_timestamp(t, "c", F.col("moment"), "UTC", F.col("ord")))
 SQL["clean_timestamp"] = f"""WITH {TEXTS_SQL} SELECT k, CASE k % 6 WHEN 0 THEN CAST(left(moment, 19) AS TIMESTAMP) WHEN 1 THEN CAST(left(moment, 19) AS TIMESTAMP) - INTERVAL 330 MINUTE END AS value,
   CASE WHEN k % 6 IN (2, 3) THEN 'TIMESTAMP_INVALID' WHEN k % 6 = 4 THEN 'TIMESTAMP_UNPARSEABLE' WHEN k % 6 = 5 THEN 'TIMESTAMP_PLACEHOLDER' END AS reason, CAST(NULL AS VARCHAR) AS warning FROM texts"""
 
-QUERIES["clean_encounter_type"] = _cleaned(lambda: clean.clean_encounter_type(F.col("kind")))
+QUERIES["clean_encounter_type"] = _stepwise(lambda t: clean.clean_encounter_type(t, "c", F.col("kind")))
 SQL["clean_encounter_type"] = f"WITH {TEXTS_SQL} SELECT k, CASE WHEN trim(kind) = '' THEN 'UNKNOWN' ELSE CASE regexp_replace(regexp_replace(upper(trim(kind)), ' +', ' ', 'g'), ' ?- ?', '-', 'g') WHEN 'IN-PATIENT' THEN 'INPATIENT' WHEN 'EMERGENCY ROOM' THEN 'EMERGENCY' WHEN 'WALK-IN URGENT' THEN 'URGENT_CARE' WHEN 'VIRTUAL' THEN 'TELEHEALTH' END END AS value, CASE WHEN kind = 'helicopter' THEN 'ENCOUNTER_TYPE_UNMAPPED' END AS reason, CASE WHEN trim(kind) = '' THEN 'ENCOUNTER_TYPE_MISSING' END AS warning FROM texts"
 
-QUERIES["clean_claim_status"] = _cleaned(lambda: clean.clean_claim_status(F.col("claim")))
+QUERIES["clean_claim_status"] = _stepwise(lambda t: clean.clean_claim_status(t, "c", F.col("claim")))
 SQL["clean_claim_status"] = f"WITH {TEXTS_SQL} SELECT k, CASE regexp_replace(regexp_replace(upper(trim(claim)), ' +', ' ', 'g'), ' ?- ?', '-', 'g') WHEN 'CLOSED-PAID' THEN 'PAID' WHEN 'IN PROCESS' THEN 'SUBMITTED' WHEN 'VOIDED' THEN 'VOID' WHEN 'DENIED' THEN 'DENIED' END AS value, CASE WHEN trim(claim) = '' THEN 'CLAIM_STATUS_MISSING' WHEN claim = 'lost' THEN 'CLAIM_STATUS_UNMAPPED' END AS reason, CAST(NULL AS VARCHAR) AS warning FROM texts"
 
-QUERIES["clean_payer_category"] = _cleaned(lambda: clean.clean_payer_category(F.col("payer")))
+QUERIES["clean_payer_category"] = _stepwise(lambda t: clean.clean_payer_category(t, "c", F.col("payer")))
 SQL["clean_payer_category"] = f"WITH {TEXTS_SQL} SELECT k, CASE WHEN payer = '' THEN 'UNKNOWN' ELSE CASE regexp_replace(regexp_replace(upper(trim(payer)), ' +', ' ', 'g'), ' ?- ?', '-', 'g') WHEN 'MEDICARE-PART B' THEN 'MEDICARE' WHEN 'N/A' THEN 'UNKNOWN' WHEN 'SELF PAY' THEN 'SELF_PAY' WHEN 'BCBS' THEN 'COMMERCIAL' END END AS value, CASE WHEN payer = 'barter' THEN 'PAYER_UNMAPPED' END AS reason, CASE WHEN payer = '' THEN 'PAYER_MISSING' END AS warning FROM texts"
 
 QUERIES["clean_icd10"] = _cleaned(lambda: clean.clean_icd10(F.col("dx"), clean.icd10_code(F.col("dx")).isin("E11.9")))

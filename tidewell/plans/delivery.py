@@ -71,8 +71,7 @@ def observed(raw: DataFrame, conventions: DataFrame) -> DataFrame:
     """Raw rows with their record key, instant and the reason for a missing one. The file's system counts, not the row's column."""
     c = F.broadcast(conventions.select(F.col("source_system").alias("file_source_system"), "date_order", "amount_unit", "timestamp_timezone", "century"))
     rows = raw.join(c, "file_source_system")
-    ts = clean.clean_timestamp(F.col("last_updated_ts"), F.col("timestamp_timezone"), F.col("date_order"))
-    rows = once(rows, _ts=ts).withColumns({"version_ts": F.col("_ts.value"), "version_ts_reason": F.col("_ts.reason"), "last_updated_ts_warning": F.col("_ts.warning")}).drop("_ts")
+    rows = clean.clean_timestamp(rows, "_ts", F.col("last_updated_ts"), F.col("timestamp_timezone"), F.col("date_order")).withColumns({"version_ts": F.col("_ts.value"), "version_ts_reason": F.col("_ts.reason"), "last_updated_ts_warning": F.col("_ts.warning")}).drop("_ts")
     rows = rows.withColumn("encounter_key", F.when(clean.has_record_id(F.col("source_record_id")), record_key("encounter/v1", F.col("file_source_system"), F.col("source_record_id"))))
     return rows.withColumn("version_key", F.when(F.col("version_ts").isNotNull() & F.col("encounter_key").isNotNull(), version_key("version/v1", F.col("file_source_system"), F.col("source_record_id"), F.col("version_ts"))))
 
@@ -86,17 +85,21 @@ def cleaned_fields(versions: DataFrame, config: Config) -> DataFrame:
     npi = clean.clean_npi(F.col("attending_npi"))
     rows = rows.withColumn("_code", clean.icd10_code(F.col("primary_dx_code"))).join(known, F.col("_code") == F.col("_dx"), "left")
     rows = once(rows, _n=npi).join(listed, F.col("_n.value") == F.col("_npi"), "left")
-    dates = [clean.clean_date(F.col(c), F.col("date_order"), F.col("century"), F.col("delivered_date")) for c in ("admit_date", "discharge_date")]
-    rows = once(rows, _admit=dates[0], _discharge=dates[1])
+    for out, c in (("_admit", "admit_date"), ("_discharge", "discharge_date")):
+        rows = clean.clean_date(rows, out, F.col(c), F.col("date_order"), F.col("century"), F.col("delivered_date"))
+    rows = clean.clean_encounter_type(rows, "_type", F.col("encounter_type"))
+    rows = clean.clean_claim_status(rows, "_status", F.col("claim_status"))
+    rows = clean.clean_payer_category(rows, "_payer", F.col("payer_name"))
+    rows = clean.clean_amount(rows, "_amount", F.col("billed_amount"), F.col("amount_unit"))
     keys = ["version_key", "batch_id", *LINEAGE]
     return rows.select(
         *keys, "facility_id", "facility_id_reason", "last_updated_ts_warning",
         *expand("admit_date", F.col("_admit"), warning=False), *expand("discharge_date", F.col("_discharge"), warning=False),
         clean.discharge_before_admit(F.col("_admit.value"), F.col("_discharge.value")).alias("discharge_date_warning"),
-        *expand("encounter_type", clean.clean_encounter_type(F.col("encounter_type"))), *expand("claim_status", clean.clean_claim_status(F.col("claim_status")), warning=False),
-        *expand("payer_category", clean.clean_payer_category(F.col("payer_name"))), *expand("primary_dx_code", clean.clean_icd10(F.col("primary_dx_code"), F.col("_in_reference"))),
+        *expand("encounter_type", F.col("_type")), *expand("claim_status", F.col("_status"), warning=False),
+        *expand("payer_category", F.col("_payer")), *expand("primary_dx_code", clean.clean_icd10(F.col("primary_dx_code"), F.col("_in_reference"))),
         F.col("_n.value").alias("attending_npi"), F.col("_n.reason").alias("attending_npi_reason"), clean.flag_not_in_roster(F.col("_n.value"), F.col("_in_roster")).alias("attending_npi_warning"),
-        *expand("billed_amount_usd", clean.clean_amount(F.col("billed_amount"), F.col("amount_unit")), warning=False),
+        *expand("billed_amount_usd", F.col("_amount"), warning=False),
     )
 
 
@@ -175,8 +178,9 @@ def replay_history(store: Store, config: Config) -> DataFrame:
 def people(store: Store, config: Config) -> DataFrame:
     """Attributes per raw row that identify nobody: key, link status, sex, age band, ZIP area. Recomputed from all accepted rows."""
     rows = store.committed("raw").join(F.broadcast(config.conventions.select(F.col("source_system").alias("file_source_system"), "date_order", "century")), "file_source_system")
-    date = lambda c: clean.clean_date(F.col(c), F.col("date_order"), F.col("century"), F.col("delivered_date"))["value"]
-    rows = once(rows, _born=date("patient_dob"), _admit=date("admit_date"), _sex=clean.clean_sex(F.col("patient_sex")), _last=clean.clean_last_name(F.col("patient_last_name"))["value"], _first=clean.clean_first_name(F.col("patient_first_name"))["value"])
+    for out, c in (("_dob", "patient_dob"), ("_adm", "admit_date")):
+        rows = clean.clean_date(rows, out, F.col(c), F.col("date_order"), F.col("century"), F.col("delivered_date"))
+    rows = once(rows, _born=F.col("_dob.value"), _admit=F.col("_adm.value"), _sex=clean.clean_sex(F.col("patient_sex")), _last=clean.clean_last_name(F.col("patient_last_name"))["value"], _first=clean.clean_first_name(F.col("patient_first_name"))["value"])
     rows = rows.withColumns({"_known_sex": F.nullif(F.col("_sex.value"), F.lit("UNKNOWN")), "_mrn": strip(F.col("patient_mrn"))})
     found = identity.link_identities(rows, "file_source_system", "_mrn", ["_last", "_first", "_born", "_known_sex"], F.col("_born").isNotNull())
     found = found.withColumn("patient_key", keyed_hash(config.secret, F.col("key_parts"))).drop("key_parts")
