@@ -208,7 +208,9 @@ def clean_timestamp(df: DataFrame, out: str, c: Column, zone: Column | str, orde
     swap = lambda a, b: F.when(s["mdy"], token(a)).otherwise(token(b))
     pick = lambda fixed, free: F.when(s["iso"], fixed).when(s["numbers"], free)
     wall = _wall(pick(at(1, 4), token(2)), pick(at(6, 2), swap(0, 1)), pick(at(9, 2), swap(1, 0)), pick(at(12, 2), token(3)), pick(at(15, 2), token(4)), pick(at(18, 2), token(5)))
-    hours, minutes = F.substring(s["rest"], 2, 2).try_cast("int"), F.substring(s["rest"], 5, 2).try_cast("int")
+    # only digits are cast: a cast that fails costs many times one that doesn't
+    shifted = s["iso"] & (F.length(s["rest"]) == 6)
+    hours, minutes = (F.when(shifted, F.substring(s["rest"], i, 2).try_cast("int")) for i in (2, 5))
     sign = F.when(F.startswith(s["rest"], F.lit("-")), -1).otherwise(1)
     s.add(wall=wall, off=F.when(s["rest"] == "Z", 0).when((hours <= 23) & (minutes <= 59), (hours * 60 + minutes) * sign), stated=s["iso"] & (s["rest"] != ""))
     s.add(local=F.when(~s["stated"], F.convert_timezone(zone, F.lit("UTC"), s["wall"])))
