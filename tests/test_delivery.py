@@ -1,13 +1,15 @@
 """Landing folders end to end: validation, history, gate, rebuild, exports."""
 
+import dataclasses
 import hashlib
 import json
+import shutil
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidewell.operators import quality
+from tidewell.operators import facts, quality
 from tidewell.plans import delivery
 from tidewell.sources import exports, landing, reference
 
@@ -127,6 +129,7 @@ def test_mart(run, config):
     assert quality.orphans(mart["fact_version"], "admit_date", mart["dim_date"], "date_key").count() == 0
     assert sorted((r["source_record_id"], r["readmit_30d_flag"]) for r in delivery.cohort(store).collect()) == [("1", 0), ("2", 0)]
     report = delivery.quality_report(store, config)
+    assert {r["status"] for r in quality.status_counts(report).collect()} == {"PASS", "WARN", "FAIL", "NOT_EVALUATED"}
     by = {(r["batch_id"], r["file_name"], r["check_code"]): r for r in report.collect()}
     assert len(by) == report.count()
     per_batch = {b: sum(k[0] == b for k in by) for b in ("batch_001", "batch_002", "batch_003", "batch_004")}
@@ -137,6 +140,81 @@ def test_mart(run, config):
     assert by["batch_001", "a.csv", "RECON_HISTORY_ROWS"]["status"] == "PASS" and by["batch_001", "a.csv", "RECON_QUARANTINE_ROWS"]["observed_count"] == 3
 
 
+def test_bad_configuration_is_refused(run, config, spark):
+    store, _, root = run
+    changed = lambda **x: dataclasses.replace(config, **x)
+    for bad, word in (
+        (changed(contracts=config.contracts.union(config.contracts.limit(1))), "contracts"), (changed(conventions=config.conventions.filter("source_system = 'A'")), "a system without conventions"),
+        (changed(conventions=config.conventions.union(config.conventions)), "two conventions"), (changed(codes=config.codes.union(config.codes)), "code list"), (changed(facilities=config.facilities.union(config.facilities)), "facilities"),
+        (changed(aliases=config.aliases.union(config.aliases)), "facility names"), (changed(rosters=config.rosters.union(config.rosters)), "rosters"), (changed(rosters=config.rosters.withColumn("primary_facility_id", F.lit("F9"))), "PARENT_UNKNOWN"),
+        (changed(canonical=[*CANONICAL, CANONICAL[0]]), "canonical columns"),
+    ):
+        with pytest.raises(quality.PipelineError, match=word):
+            delivery.run_pending(store, root, bad)
+    delivery.require_usable(config)
+
+
+def test_a_changed_delivery_warns(run, config, tmp_path):
+    store, _, root = run
+    shutil.copytree(root, tmp_path / "again")
+    with open(tmp_path / "again" / "batch_001" / "a.csv", "ab") as f:
+        f.write(b"more")
+    with pytest.warns(UserWarning, match="batch_001$"):
+        assert delivery.run_pending(store, str(tmp_path / "again"), config) == {}
+
+
+def test_failed_invariants_abort(run, config, spark, tmp_path):
+    store, _, _ = run
+    delivery.rebuild_mart(store, config)
+    shutil.copytree(store.root, tmp_path / "copy")
+    broken = delivery.Store(spark, str(tmp_path / "copy"))
+    facts_now = store.read("fact_version").filter("source_record_id <> '2'")
+    broken.replace("fact_version", facts_now)
+    with pytest.raises(quality.PipelineError, match="failed invariants"):
+        delivery.quality_report(broken, config)
+    broken.replace("fact_version", store.read("fact_version"))
+    delivery.quality_report(broken, config)
+    stray = store.read("issues").limit(1).withColumn("source_row_number", F.lit(99))
+    broken.replace("issues", store.read("issues").union(stray.select(*store.read("issues").columns)))
+    with pytest.raises(quality.PipelineError, match="failed invariants"):
+        delivery.quality_report(broken, config)
+
+
+def test_the_callers_cached_tables_stay(run, config, spark, tmp_path):
+    mine = spark.range(3).cache()
+    mine.count()
+    deliver(tmp_path / "landing", 1, [("A", csv_bytes(V1, [ROW]), 2), ("B", csv_bytes(V1, [ROW]), 1)])
+    assert delivery.run_pending(delivery.Store(spark, str(tmp_path / "store")), str(tmp_path / "landing"), config) == {"batch_001": "REJECTED"}
+    assert mine.is_cached and spark._jsparkSession.sharedState().cacheManager().lookupCachedData(mine._jdf).isDefined()
+    mine.unpersist()
+
+
+def test_every_table_is_exported(run, config, spark, tmp_path):
+    store, _, _ = run
+    delivery.rebuild_mart(store, config)
+    delivery.quality_report(store, config)
+    for _ in range(2):  # the second replaces the first
+        delivery.export_all(store, config, str(tmp_path))
+    names = {p.name for p in tmp_path.iterdir() if not p.name.startswith(".")}
+    assert names == {*exports.EXPORTED, "batch_audit", "chronic_acute_encounters"} and len(exports.EXPORTED) == 15
+    read = lambda n: spark.read.csv(str(tmp_path / n), header=True).collect()
+    rows = read("batch_audit")
+    assert rows[0].asDict().keys() == exports.AUDIT_COLUMNS.keys() and [r["batch_id"] for r in rows] == sorted(r["batch_id"] for r in rows)
+    first = rows[0]
+    assert (first["accepted_count"], first["new_encounter_count"], first["reconciliation_status"]) == ("3", "3", "RECONCILED") and first["start_time"] < first["end_time"] and first["end_time"].endswith("Z")
+    rejected = next(r for r in rows if r["status"] == "REJECTED")
+    assert rejected["accepted_count"] == "0" and rejected["reconciliation_status"] is None
+    assert len(read("dq_report")) == store.read("dq_report").count() and len(read("chronic_acute_encounters")[0]) == 28
+    assert [r["file_name"] for r in read("dq_report") if r["batch_id"] == "batch_004"][0] is None  # nulls first
+
+
+def test_volume_report(run, config):
+    store, _, _ = run
+    delivery.rebuild_mart(store, config)
+    report = facts.volume_report(store.read("fact_current"), store.read("issues"), store.read("dim_date"), store.read("dim_facility")).collect()
+    assert [(r["year"], r["month"], r["facility_id"], r["facility_name"], r["encounters"], r["billed_amount_usd"]) for r in report] == [(2024, 3, "F1", "North Clinic", 2, Decimal("10000.00")), (2024, 3, "F2", "South", 1, Decimal("123.45"))]
+
+
 def test_export(run, config, spark, tmp_path):
     store, _, _ = run
     table = delivery.rebuild_mart(store, config)["fact_current"]
@@ -207,7 +285,7 @@ def test_reference_inputs(spark, tmp_path):
     (tmp_path / "al.json").write_text(json.dumps({"source_systems": {"A": {"F1": {"facility_name": "N", "aliases": ["n ", "M"]}}}}))
     aliases = reference.read_aliases(spark, str(tmp_path / "al.json"))
     assert aliases.count() == 2
-    assert [r[0] for r in reference.facility_index_problems(facilities, aliases).collect()] == ["a name is listed more than once"]
+    assert [r[0] for r in reference.facility_index_problems(facilities, aliases).collect()] == ["two entries share one name"]
     rosters = tmp_path / "rosters"
     rosters.mkdir()
     head = "as_of_date,npi,provider_last_name,provider_first_name,credential,specialty,primary_facility_id,employment_status\n"

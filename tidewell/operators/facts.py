@@ -37,6 +37,23 @@ def monthly_volume(facts: DataFrame, date: str, by: Sequence[str], amount: str,
     return dated.groupBy("year", "month", *by).agg(F.count(F.lit(1)).alias("n"), F.sum(amount).alias("total"))
 
 
+def volume_report(facts: DataFrame, issues: DataFrame, calendar: DataFrame, facilities: DataFrame, key: str = "version_key") -> DataFrame:
+    """Encounters and billed dollars by month, facility (with its name, if it is known) and type, in order: current state, without VOID and without errors.
+
+    Months come from the calendar, so encounters without a day in it are left out. ``facts``: facility_id, encounter_type, claim_status, admit_date, billed_amount_usd.
+    """
+    rows = without_errors(facts.filter(not_void(F.col("claim_status"))), issues, key)
+    dated = rows.join(calendar.select(F.col("date_key").alias("admit_date"), "year", "month"), "admit_date")
+    named = dated.join(facilities.select("facility_id", "facility_name"), "facility_id", "left")
+    volume = named.groupBy("year", "month", "facility_id", "facility_name", "encounter_type").agg(F.count(F.lit(1)).alias("encounters"), F.sum("billed_amount_usd").alias("billed_amount_usd"))
+    return order_by_all(volume)
+
+
+def order_by_all(report: DataFrame) -> DataFrame:
+    """A report's rows in the order of all its columns, nulls first."""
+    return report.orderBy(*[F.asc_nulls_first(c) for c in report.columns])
+
+
 def readmission_flag(index: DataFrame, candidates: DataFrame, person: str, key: str, start: str, end: str, days: tuple[int, int] = READMIT_DAYS) -> DataFrame:
     """``index`` with ``readmitted``: 1 if a candidate of the same person starts ``days`` after the row's end.
 

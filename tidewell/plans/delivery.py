@@ -7,8 +7,10 @@ that counts, and repeating it overwrites the same partitions (dynamic overwrite)
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +21,7 @@ from ..functions.keys import keyed_hash, record_key, version_key
 from ..functions.text import expand, once, strip
 from ..operators import dimensions, facts, history, identity, quality
 from ..operators.checks import GATE_SOURCES
-from ..sources import landing, reference
+from ..sources import exports, landing, reference
 
 LINEAGE = ["file_name", "source_row_number"]
 
@@ -61,27 +63,46 @@ class Store:
     def committed(self, name: str) -> DataFrame:
         """A table's rows of accepted batches."""
         accepted = self.read("audit").filter("status = 'ACCEPTED'").select("batch_id").distinct()
-        return self.read(name).join(F.broadcast(accepted), "batch_id", "left_semi")
+        return self.read(name).join(accepted, "batch_id", "left_semi")
 
 
-AUDIT = "file_name string, source_system string, expected_count bigint, received_count bigint, status string, reason string, new_encounter bigint, new_version bigint, duplicate bigint, stale bigint, stale_new_version bigint, quarantined bigint, history_rows bigint, current_changed bigint, batch_id string"
+AUDIT = "file_name string, source_system string, expected_count bigint, received_count bigint, status string, reason string, new_encounter bigint, new_version bigint, duplicate bigint, stale bigint, stale_new_version bigint, quarantined bigint, history_rows bigint, current_changed bigint, accepted_count bigint, reconciliation_status string, start_time timestamp_ntz, end_time timestamp_ntz, batch_id string"
 
 
 def observed(raw: DataFrame, conventions: DataFrame) -> DataFrame:
     """Raw rows with their record key, instant and the reason for a missing one. The file's system counts, not the row's column."""
-    c = F.broadcast(conventions.select(F.col("source_system").alias("file_source_system"), "date_order", "amount_unit", "timestamp_timezone", "century"))
-    rows = raw.join(c, "file_source_system")
+    c = conventions.select(F.col("source_system").alias("file_source_system"), "date_order", "amount_unit", "timestamp_timezone", "century")
+    rows = raw.join(c, "file_source_system", "left")  # every contract's system has conventions: see ``require_usable``
     rows = clean.clean_timestamp(rows, "_ts", F.col("last_updated_ts"), F.col("timestamp_timezone"), F.col("date_order")).withColumns({"version_ts": F.col("_ts.value"), "version_ts_reason": F.col("_ts.reason"), "last_updated_ts_warning": F.col("_ts.warning")}).drop("_ts")
     rows = rows.withColumn("encounter_key", F.when(clean.has_record_id(F.col("source_record_id")), record_key("encounter/v1", F.col("file_source_system"), F.col("source_record_id"))))
     return rows.withColumn("version_key", F.when(F.col("version_ts").isNotNull() & F.col("encounter_key").isNotNull(), version_key("version/v1", F.col("file_source_system"), F.col("source_record_id"), F.col("version_ts"))))
 
 
+def require_usable(config: Config) -> None:
+    """Refuse a configuration that would give wrong tables: contracts, reference inputs, vocabulary, a system without conventions."""
+    spark = config.contracts.sparkSession
+    systems = config.contracts.select("source_system").distinct()
+    for what, problems in (
+        ("contracts", landing.contract_problems(config.contracts, config.canonical)),
+        ("conventions", systems.join(config.conventions, "source_system", "left_anti").select(F.lit("a system without conventions").alias("problem"))),
+        ("conventions", config.conventions.groupBy("source_system").count().filter("count > 1").select(F.lit("two conventions of one system").alias("problem"))),
+        ("code list", reference.code_problems(config.codes)),
+        ("facilities", reference.facility_problems(config.facilities)),
+        ("facility names", reference.facility_index_problems(config.facilities, config.aliases)),
+        ("rosters", reference.roster_problems(config.rosters)),
+        ("rosters", dimensions.snapshot_problems(config.rosters, "npi", "as_of_date", "primary_facility_id", config.facilities.select("facility_id"))),
+        ("vocabulary", clean.vocabulary_problems(clean.vocabulary(spark)).select(F.lit("a spelling of two categories").alias("problem"))),
+    ):
+        quality.require_no_problem(problems, what)
+
+
 def cleaned_fields(versions: DataFrame, config: Config) -> DataFrame:
     """Cleaned columns of versions: value and reason of each field, warnings where a value can be doubtful."""
     index = reference.facility_index(config.facilities, config.aliases)
-    rows = reference.resolve_facility(versions, F.broadcast(index), "facility_name", "file_source_system")
-    known = F.broadcast(config.codes.select(F.col("icd10_code").alias("_dx"), F.lit(True).alias("_in_reference")))
-    listed = F.broadcast(config.rosters.select(F.col("npi").alias("_npi")).distinct().withColumn("_in_roster", F.lit(True)))
+    # Spark broadcasts what it knows to be small
+    rows = reference.resolve_facility(versions, index, "facility_name", "file_source_system")
+    known = config.codes.select(F.col("icd10_code").alias("_dx"), F.lit(True).alias("_in_reference"))
+    listed = config.rosters.select(F.col("npi").alias("_npi")).distinct().withColumn("_in_roster", F.lit(True))
     npi = clean.clean_npi(F.col("attending_npi"))
     rows = rows.withColumn("_code", clean.icd10_code(F.col("primary_dx_code"))).join(known, F.col("_code") == F.col("_dx"), "left")
     rows = once(rows, _n=npi).join(listed, F.col("_n.value") == F.col("_npi"), "left")
@@ -105,17 +126,24 @@ def cleaned_fields(versions: DataFrame, config: Config) -> DataFrame:
 
 def run_batch(store: Store, files: DataFrame, batch_id: str, config: Config) -> str:
     """Validate, load, classify, clean and gate one batch; returns ACCEPTED or REJECTED. The audit rows are written last."""
+    began = datetime.now(timezone.utc)
     own = files.filter(F.col("batch_id") == batch_id)
+    kept: list[DataFrame] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(df.persist())
+        return kept[-1]
+
     contract_files = config.contracts.select("source_system", "file_name").distinct()
     entries, manifest_failures = landing.read_manifests(own, contract_files)
-    records = landing.read_strict_csv(own).cache()
+    records = keep(landing.read_strict_csv(own))
     try:
         failures, matched = landing.check_files(own, entries, records, config.contracts)
         received = records.filter("kind <> 'failure'").groupBy("batch_id", "file_name").agg(F.count_if(F.col("kind") == "record").alias("received"))
-        audit = landing.decide_batches(entries, manifest_failures, failures, received).cache()
+        audit = keep(landing.decide_batches(entries, manifest_failures, failures, received))
         # the decision is a handful of rows: one per file of the batch
         if audit.filter("status = 'REJECTED'").head(1):
-            _commit(store, audit)
+            _commit(store, audit, began)
             return "REJECTED"
         raw = landing.to_canonical(records, matched, config.canonical)
         stamped = entries.select("batch_id", "file_name", clean.delivered_date(F.col("delivered_at")).alias("delivered_date"), F.col("sha256").alias("file_sha256"))
@@ -129,10 +157,10 @@ def run_batch(store: Store, files: DataFrame, batch_id: str, config: Config) ->
         else:
             held = rows.limit(0)
         numbered = lambda df: df.withColumn("batch_no", F.regexp_extract("batch_id", "([0-9]+)", 1).cast("int"))
-        classified = history.classify_batch(numbered(rows), numbered(held), ["encounter_key"], "version_ts", "batch_no", LINEAGE, **options).cache()
+        classified = keep(history.classify_batch(numbered(rows), numbered(held), ["encounter_key"], "version_ts", "batch_no", LINEAGE, **options))
         outcomes = classified.select("batch_id", *LINEAGE, F.col("file_source_system").alias("source_system"), "source_record_id", "encounter_key", "version_key", "outcome", "outcome_reason", "match_type")
         added = history.new_versions(classified)
-        fields = cleaned_fields(added, config).cache()
+        fields = keep(cleaned_fields(added, config))
         store.append("outcomes", outcomes)
         store.append("versions", added.select("batch_id", *LINEAGE, "version_key", "encounter_key", F.col("file_source_system").alias("source_system"), "source_record_id", F.col("version_ts").alias("last_updated_ts_utc"), F.col("outcome").alias("arrival_outcome")))
         store.append("fields", fields)
@@ -141,29 +169,41 @@ def run_batch(store: Store, files: DataFrame, batch_id: str, config: Config) ->
         quality.require_none(history.reconcile(counts, expected, ["batch_id", "file_name"]), "the batch doesn't reconcile")
         every = fields if not store.exists("audit") else store.committed("fields").filter(F.col("batch_id") < batch_id).unionByName(fields)
         keys = ["batch_id", *LINEAGE, "source_system", "source_record_id"]
-        issues = quality.gate_issues(outcomes, every, "version_key", keys, GATE_SOURCES).cache()
+        issues = keep(quality.gate_issues(outcomes, every, "version_key", keys, GATE_SOURCES))
         gate = quality.publish_gate(outcomes, issues, "batch_id", LINEAGE, config.max_error_share)
         if gate.filter("failed").head(1):
             store.append("gate_rejected_issues", issues)
-            _commit(store, audit.withColumns({"status": F.lit("REJECTED"), "reason": F.lit("DQ_GATE_FAILED")}))
+            _commit(store, audit.withColumns({"status": F.lit("REJECTED"), "reason": F.lit("DQ_GATE_FAILED")}), began)
             return "REJECTED"
         flags = landing.duplicate_files(own, store.committed("ingested").filter(F.col("batch_id") < batch_id)) if store.exists("audit") else None
         if flags is not None:
             audit = audit.join(flags, ["batch_id", "file_name"], "left").withColumn("reason", F.coalesce("reason", "flag")).drop("flag")
-        _commit(store, audit.join(counts.drop("received"), ["batch_id", "file_name"], "left"))
+        # the batch reconciled above, or it had not come this far
+        done = audit.join(counts.drop("received"), ["batch_id", "file_name"], "left")
+        _commit(store, done.withColumns({"accepted_count": F.col("new_encounter") + F.col("new_version"), "reconciliation_status": F.lit("RECONCILED")}), began)
         return "ACCEPTED"
     finally:
-        store.spark.catalog.clearCache()
+        for df in kept:  # the caller's own cached tables stay
+            df.unpersist()
 
 
-def _commit(store: Store, audit: DataFrame) -> None:
+def _commit(store: Store, audit: DataFrame, began: datetime) -> None:
+    """Write audit rows; nothing of a rejected file is accepted."""
+    utc = lambda t: F.lit(t.replace(tzinfo=None).isoformat(" ")).cast("timestamp_ntz")
+    audit = audit.withColumns({"start_time": utc(began), "end_time": utc(datetime.now(timezone.utc)), "accepted_count": F.col("accepted_count") if "accepted_count" in audit.columns else F.lit(0)})
     kinds = dict(x.rsplit(" ", 1) for x in AUDIT.split(", "))
     store.append("audit", audit.select(*[(F.col(c) if c in audit.columns else F.lit(None)).cast(k).alias(c) for c, k in kinds.items()]))
 
 
 def run_pending(store: Store, landing_folder: str, config: Config) -> dict[str, str]:
-    """All batches without audit rows, in order; each is final once it is decided."""
+    """All batches without audit rows, in order; each is final once it is decided. A configuration with problems is refused; a processed batch whose
+    folder now holds other data is left as it is, with a warning."""
+    require_usable(config)
     files = landing.scan_batches(store.spark, landing_folder)
+    if store.exists("ingested"):
+        changed = landing.changed_redelivery(files.filter(F.col("file_name") != landing.MANIFEST), store.committed("ingested")).orderBy("batch_id").limit(20).collect()
+        if changed:
+            warnings.warn(f"delivered anew with other data, not read again: {', '.join(r['batch_id'] for r in changed)}", stacklevel=2)
     batches = files.select("batch_id").distinct()
     pending = landing.pending_batches(batches, store.read("audit")) if store.exists("audit") else batches.orderBy("batch_id")
     return {r["batch_id"]: run_batch(store, files, r["batch_id"], config) for r in pending.collect()}  # one row per delivered folder
@@ -236,6 +276,22 @@ def cohort(store: Store, year: int = 2024, least: str = "5000.00") -> DataFrame:
 
 
 def quality_report(store: Store, config: Config) -> DataFrame:
+    """The quality report, stored; a failed invariant raises, since the tables then contradict the library's own rules."""
+    store.replace("dq_report", build_report(store, config))
+    report = store.read("dq_report")
+    quality.require_none(quality.failed_invariants(report), "failed invariants")
+    return report
+
+
+def export_all(store: Store, config: Config, folder: str) -> None:
+    """All exported tables, the audit and the cohort as CSV. Needs ``rebuild_mart`` and ``quality_report`` first."""
+    committed = ("versions", "outcomes", "fields")
+    exports.export_tables({n: store.committed(n) if n in committed else store.read(n) for n in exports.EXPORTED}, folder)
+    exports.export_audit(store.read("audit"), f"{folder.rstrip('/')}/batch_audit")
+    exports.export_cohort(cohort(store), f"{folder.rstrip('/')}/chronic_acute_encounters")
+
+
+def build_report(store: Store, config: Config) -> DataFrame:
     """The whole quality report: 51 rows per file, two per batch, one more per rejected batch. Needs ``rebuild_mart`` first.
 
     Every number is an aggregate by (batch, file); the report joins a handful of such small tables.
@@ -265,9 +321,11 @@ def quality_report(store: Store, config: Config) -> DataFrame:
     measured = {
         "RECON_RAW_ROWS": ("received_count", "raw", c("received_count")), "RECON_ROW_OUTCOMES": ("received_count", "outcomes", c("received_count")), "RECON_PATIENT_ROWS": ("received_count", "people", c("received_count")),
         "RECON_QUARANTINE_ROWS": ("received_count", "quarantine", c("quarantined") + c("error_versions")), "RECON_HISTORY_ROWS": ("versions", "versions", c("history_expected")), "RECON_VERSION_FIELD_ROWS": ("versions", "fields", c("versions")),
-        "RECON_FACT_VERSION_ROWS": ("versions", "facts", c("versions")), "RECON_DQ_PARTITION": ("versions", "partition", c("versions")), "RECON_CURRENT_ROWS": ("versions", "current", null), "ROW_COUNT_MATCH": ("one", "received_count", c("expected_count")),
+        "RECON_FACT_VERSION_ROWS": ("versions", "facts", c("versions")), "RECON_DQ_PARTITION": ("versions", "in_partition", c("versions")), "RECON_CURRENT_ROWS": ("versions", "current", null), "ROW_COUNT_MATCH": ("one", "received_count", c("expected_count")),
     }
-    base = base.withColumn("one", F.lit(1))
+    # issues that no version accounts for make a file's partition too large
+    strays = quality.issues_without_version(issues, store.committed("versions"), ["version_key", *by, "source_row_number"]).groupBy(*by).agg(F.count_distinct("version_key").alias("strays"))
+    base = base.join(strays, by, "left").withColumns({"one": F.lit(1), "in_partition": F.col("partition") + F.coalesce("strays", F.lit(0))})
     structs = F.array(*[F.struct(F.lit(k).alias("k"), c(a).cast("bigint").alias("a"), c(b).cast("bigint").alias("b"), x.cast("bigint").alias("x")) for k, (a, b, x) in measured.items()])
     parts = [counts(base.withColumn("m", F.explode(structs)), c("m.k"), c("m.a"), c("m.b"), c("m.x"))]
     structural = [s for s in quality.catalogue.STRUCTURAL if s != "ROW_COUNT_MATCH"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,3 +54,70 @@ def export_csv(df: DataFrame, path: str, name: str, order: Sequence[str], layer:
     by = [F.asc_nulls_first(c) for c in order]
     rows = df.coalesce(1).sortWithinPartitions(*by) if single_file else df.orderBy(*by)
     formatted(rows, columns).write.mode("overwrite").option("header", True).option("emptyValue", "").option("lineSep", "\n").csv(path)
+
+
+# The exported tables, the layer each belongs to, and the columns that order its rows.
+EXPORTED = {
+    "versions": ("clean", ("version_key",)),
+    "outcomes": ("clean", ("batch_id", "file_name", "source_row_number")),
+    "people": ("clean", ("batch_id", "file_name", "source_row_number")),
+    "fields": ("clean", ("version_key",)),
+    "dim_date": ("mart", ("date_key",)),
+    "dim_facility": ("mart", ("facility_id",)),
+    "dim_diagnosis": ("mart", ("icd10_code",)),
+    "dim_payer": ("mart", ("payer_category",)),
+    "dim_provider": ("mart", ("sk",)),
+    "dim_patient": ("mart", ("patient_key",)),
+    "fact_version": ("mart", ("version_key",)),
+    "fact_current": ("mart", ("encounter_key",)),
+    "issues": ("clean", ("version_key", "check_code")),
+    "dq_report": ("ops", ("batch_id", "file_name", "check_code")),
+    "quarantine": ("ops", ("batch_id", "file_name", "source_row_number", "quarantine_level")),
+}
+
+
+def export_tables(tables: Mapping[str, DataFrame], folder: str) -> None:
+    """Write all of ``EXPORTED`` as folders of CSV: first beside their places, then moved there, so that a failed export leaves the last one as it was."""
+    for name, (layer, order) in EXPORTED.items():
+        missing = set(order) - set(tables[name].columns)
+        if missing:
+            raise ValueError(f"{name} lacks the columns that order its export: {', '.join(sorted(missing))}")
+        assert_exportable(name, tables[name].columns, layer)
+    for name, (layer, order) in EXPORTED.items():
+        replace_with(tables[name], f"{folder.rstrip('/')}/{name}", lambda df, path, name=name, layer=layer, order=order: export_csv(df, path, name, order, layer))
+
+
+def replace_with(df: DataFrame, path: str, write: Callable[[DataFrame, str], None]) -> None:
+    """``write`` to a folder beside ``path``, then put it in its place."""
+    spark = df.sparkSession
+    new, old = (spark._jvm.org.apache.hadoop.fs.Path(x) for x in (f"{path}.new", path))
+    files = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(new, True)
+    write(df, f"{path}.new")
+    files.delete(old, True)
+    if not files.rename(new, old):
+        raise OSError(f"{path}.new can't be moved to {path}")
+
+
+# Columns of the audit export, and what they are called in the audit table.
+AUDIT_COLUMNS = {
+    "batch_id": "batch_id", "file_name": "file_name", "source_system": "source_system", "expected_count": "expected_count", "received_count": "received_count", "accepted_count": "accepted_count",
+    "new_encounter_count": "new_encounter", "new_version_count": "new_version", "duplicate_count": "duplicate", "stale_count": "stale", "stale_new_version_count": "stale_new_version",
+    "quarantined_count": "quarantined", "history_rows_written": "history_rows", "current_changed_count": "current_changed", "reconciliation_status": "reconciliation_status", "status": "status",
+    "reason": "reason", "start_time": "start_time", "end_time": "end_time",
+}
+
+
+def audit_rows(audit: DataFrame) -> DataFrame:
+    """The audit as exported: its 19 columns, times in UTC with milliseconds and Z."""
+    stamp = lambda c: F.concat(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("Z"))
+    return audit.select(*[(stamp(c) if n.endswith("_time") else F.col(c)).alias(n) for n, c in AUDIT_COLUMNS.items()])
+
+
+def export_audit(audit: DataFrame, path: str) -> None:
+    replace_with(audit_rows(audit), path, lambda df, new: export_csv(df, new, "batch_audit", ["batch_id", "file_name"], "ops", single_file=True))
+
+
+def export_cohort(cohort: DataFrame, path: str) -> None:
+    """The cohort as CSV, in the order of its keys."""
+    replace_with(cohort, path, lambda df, new: export_csv(df, new, "chronic_acute_encounters", ["source_system", "source_record_id", "encounter_key"]))

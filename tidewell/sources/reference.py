@@ -42,17 +42,21 @@ def read_master(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     document = spark.read.schema(f"source_systems array<struct<{SYSTEM.replace(' ', ':').replace(',:', ',')}>>, facilities array<struct<{FACILITY.replace(' ', ':').replace(',:', ',')}>>").json(path, multiLine=True)
     facilities = document.select(F.posexplode("facilities").alias("i", "f")).select((F.col("i") + 1).alias("source_position"), "f.*").withColumn("go_live_date", F.col("go_live_date").try_cast("date"))
     systems = document.select(F.explode("source_systems").alias("s")).select("s.*")
+    # fixed value: the phrase by which notes state a century
     century = F.regexp_extract("notes", r"two-digit years mean (\d{2})xx", 1)
     conventions = systems.select("source_system", "file_name", "date_order", "amount_unit", "timestamp_timezone", (century.try_cast("int") * 100).alias("century"))
     return facilities, conventions
 
 
 def facility_problems(facilities: DataFrame) -> DataFrame:
-    needed = ["facility_id", "facility_name", "source_system", "facility_type", "city", "state", "ownership"]
-    blank = reduce(lambda a, b: a | b, [strip(F.col(c)) == "" for c in needed])
+    """Of the columns that the table has."""
+    texts = [c for c in ("facility_id", "facility_name", "source_system", "facility_type", "city", "state", "ownership") if c in facilities.columns]
+    blank = reduce(lambda a, b: a | b, [strip(F.col(c)) == "" for c in texts])
+    undated = F.col("go_live_date").isNull() if "go_live_date" in facilities.columns else F.lit(False)
+    beds = ~F.coalesce(F.col("bed_count") >= 0, F.lit(False)) if "bed_count" in facilities.columns else F.lit(False)
     return _problems(
-        facilities.filter(blank | F.col("go_live_date").isNull()).select(F.lit("blank or unreadable member").alias("problem")),
-        facilities.filter(~F.coalesce(F.col("bed_count") >= 0, F.lit(False))).select(F.lit("bed count").alias("problem")),
+        facilities.filter(blank | undated).select(F.lit("blank or unreadable member").alias("problem")),
+        facilities.filter(beds).select(F.lit("bed count").alias("problem")),
         facilities.groupBy("facility_id").count().filter("count > 1").select(F.lit("id not unique").alias("problem")),
     )
 
@@ -70,8 +74,9 @@ def read_rosters(spark: SparkSession, folder: str) -> DataFrame:
 def roster_problems(rosters: DataFrame) -> DataFrame:
     texts = ["provider_last_name", "provider_first_name", "credential", "specialty", "primary_facility_id", "employment_status"]
     blank = reduce(lambda a, b: a | b, [strip(F.col(c)) == "" for c in texts])
+    dated = F.col("as_of_date").eqNullSafe(F.col("file_date")) if "file_date" in rosters.columns else F.col("as_of_date").isNotNull()
     return _problems(
-        rosters.filter(~F.col("as_of_date").eqNullSafe(F.col("file_date"))).select(F.lit("date differs from the file's name").alias("problem")),
+        rosters.filter(~dated).select(F.lit("date differs from the file's name").alias("problem")),
         rosters.filter(~F.coalesce(F.col("npi").rlike(NPI) & F.call_function("luhn_check", F.concat(F.lit("80840"), "npi")), F.lit(False))).select(F.lit("provider number").alias("problem")),
         rosters.filter(blank).select(F.lit("blank text").alias("problem")),
         rosters.groupBy("as_of_date", "npi").count().filter("count > 1").select(F.lit("number not unique in its snapshot").alias("problem")),
@@ -98,11 +103,11 @@ def facility_index_problems(facilities: DataFrame, aliases: DataFrame) -> DataFr
     master = facilities.select("facility_id", F.col("source_system").alias("own_system"), F.col("facility_name").alias("own_name"))
     joined = aliases.join(master, "facility_id", "left")
     return _problems(
-        index.groupBy("source_system", "name_key").count().filter("count > 1").select(F.lit("a name is listed more than once").alias("problem")),
+        index.groupBy("source_system", "name_key").count().filter("count > 1").select(F.lit("two entries share one name").alias("problem")),
         index.filter("name_key = ''").select(F.lit("empty name").alias("problem")),
-        joined.filter("own_system IS NULL").select(F.lit("alias of an unknown facility").alias("problem")),
-        joined.filter("own_system <> source_system").select(F.lit("alias under the wrong system").alias("problem")),
-        joined.filter("own_name <> facility_name").select(F.lit("alias repeats another name").alias("problem")),
+        joined.filter("own_system IS NULL").select(F.lit("alias without a facility").alias("problem")),
+        joined.filter("own_system <> source_system").select(F.lit("alias in another system than its facility").alias("problem")),
+        joined.filter("own_name <> facility_name").select(F.lit("alias entry names its facility differently").alias("problem")),
         facilities.groupBy("facility_id").count().filter("count > 1").select(F.lit("id not unique").alias("problem")),
     )
 
