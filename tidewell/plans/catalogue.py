@@ -81,7 +81,7 @@ def _(spark, d):
     return history.version_history(v, history.current_state(v, ["rec"], "v", LINEAGE, "batch_no"), ["rec"], "v").select("rec", "v", "batch_no", "outcome", "is_current")
 
 
-@query("append_versions_twice", f"WITH {CLASSIFIED_SQL} SELECT count(*) AS first_apply, CAST(0 AS BIGINT) AS second_apply FROM versions")
+@query("append_versions_twice", f"WITH {CLASSIFIED_SQL} SELECT count(*) AS first_apply, count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM versions h WHERE h.rec = w.rec AND h.v = w.v)) AS second_apply FROM versions w")
 def _(spark, d):
     c = _classified(spark, d)
     first = history.new_versions(c)
@@ -430,10 +430,10 @@ def _(spark, d):
     return _gate(spark, d)[1]
 
 
-@query("publish_gate", GATE_SQL + ", r AS (SELECT batch_no, count(*) AS received_rows FROM classified GROUP BY 1), e AS (SELECT batch_no, count(DISTINCT (file_name, row_no)) AS error_rows FROM gate GROUP BY 1) SELECT r.batch_no, received_rows, error_rows, CAST(5.00 AS DECIMAL(7, 2)) AS threshold_pct, error_rows * 100 > received_rows * 5 AS failed FROM r JOIN e USING (batch_no)")
+@query("publish_gate", GATE_SQL + ", r AS (SELECT batch_no, count(*) AS received_rows FROM classified GROUP BY 1), e AS (SELECT batch_no, count(DISTINCT (file_name, row_no)) AS error_rows FROM gate GROUP BY 1) SELECT r.batch_no, received_rows, error_rows, CAST(5.00 AS DECIMAL(7, 2)) AS threshold_pct, CAST(round_even(CAST(error_rows AS DECIMAL(20, 0)) * 100 / received_rows, 2) AS DECIMAL(7, 2)) AS error_pct, error_rows * 100 > received_rows * 5 AS failed FROM r JOIN e USING (batch_no)")
 def _(spark, d):
     outcomes, issues = _gate(spark, d)
-    return quality.publish_gate(outcomes, issues, "batch_no", ["file_name", "row_no"], Decimal("0.05")).drop("error_pct")
+    return quality.publish_gate(outcomes, issues, "batch_no", ["file_name", "row_no"], Decimal("0.05"))
 
 
 @query("observed_pct", f"WITH {CLASSIFIED_SQL} SELECT batch_no, CAST(round_even(CAST(count(*) FILTER (WHERE outcome = 'DUPLICATE') AS DECIMAL(20, 0)) * 100 / count(*), 2) AS DECIMAL(7, 2)) AS pct FROM classified GROUP BY batch_no")
@@ -521,11 +521,6 @@ def _(spark, d):
     return quality.rows_per_file({"raw": (views.delivery(spark, d), "batch_no", "file_name"), "versions": (_versions(spark, d), "batch_no", "file_name")})
 
 
-@query("state_digest")
-def _(spark, d):
-    return quality.state_digest(_classified(spark, d))
-
-
 # --- files ----------------------------------------------------------------------------------------
 
 FILES_SQL = "files AS (SELECT 'batch_' || lpad(CAST(doc_id % 5 AS VARCHAR), 3, '0') AS batch_id, 'f' || CAST(doc_id AS VARCHAR) AS file_name, sha256(text) AS sha256 FROM documents)"
@@ -542,10 +537,16 @@ def _(spark, d):
     return landing.duplicate_files(files, files)
 
 
-@query("changed_redelivery", f"WITH {FILES_SQL} SELECT 'batch_003' AS batch_id")
+@query(
+    "changed_redelivery",
+    f"""WITH {FILES_SQL}, t AS (SELECT batch_id, file_name, CASE WHEN batch_id = 'batch_003' AND file_name LIKE '%3' THEN 'other' ELSE sha256 END AS sha256 FROM files WHERE batch_id <> 'batch_004' AND file_name <> 'f6'),
+n AS (SELECT * FROM files WHERE batch_id IN (SELECT batch_id FROM t))
+SELECT DISTINCT coalesce(n.batch_id, t.batch_id) AS batch_id FROM n FULL JOIN t ON n.batch_id = t.batch_id AND n.file_name = t.file_name WHERE n.sha256 IS DISTINCT FROM t.sha256""",
+)
 def _(spark, d):
     files = _files(spark, d)
-    then = files.withColumn("sha256", F.when((F.col("batch_id") == "batch_003"), F.reverse("sha256")).otherwise(F.col("sha256")))
+    other = (F.col("batch_id") == "batch_003") & F.endswith("file_name", F.lit("3"))
+    then = files.filter("batch_id <> 'batch_004' AND file_name <> 'f6'").withColumn("sha256", F.when(other, "other").otherwise(F.col("sha256")))
     return landing.changed_redelivery(files, then)
 
 
@@ -609,8 +610,14 @@ def _(spark, d):
 
 
 def queries() -> dict[str, Query]:
+    _all_registered()
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _all_registered()
     return dict(SQL)
+
+
+def _all_registered() -> None:
+    from . import file_queries, report_queries  # noqa: F401  (they register their queries here)
