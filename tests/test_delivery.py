@@ -99,6 +99,34 @@ def test_nothing_of_a_rejected_batch_counts(run):
     assert {r[0] for r in store.committed("versions").select("batch_id").distinct().collect()} == {"batch_001", "batch_002"}
 
 
+def test_batches_read_touched_buckets_only(run, config):
+    store, _, _ = run
+    held = store.read("held").select("encounter_key", delivery.BUCKET).distinct().collect()
+    assert {r[1] for r in store.read("held").select("encounter_key", delivery.key_bucket(config).alias("b")).distinct().collect()} == {r[1] for r in held}
+    plan = store.committed("held", [held[0][1]])._jdf.queryExecution().executedPlan().toString()
+    assert any("PartitionFilters" in line and delivery.BUCKET in line.split("PartitionFilters")[1].split("]")[0] for line in plan.splitlines())
+    assert delivery.BUCKET not in store.committed("fields").columns
+
+
+def test_a_batch_without_versions_comes_first(spark, config, tmp_path):
+    root = tmp_path / "landing"
+    deliver(root, 1, [("A", csv_bytes(V1, [ROW | {"source_record_id": " "}]), 1)])
+    deliver(root, 2, [("A", csv_bytes(V1, [ROW]), 1)])
+    store = delivery.Store(spark, str(tmp_path / "store"))
+    assert delivery.run_pending(store, str(root), config) == {"batch_001": "REJECTED", "batch_002": "ACCEPTED"}
+    assert audit(store)["batch_002", "a.csv"]["new_encounter"] == 1
+
+
+def test_a_repeated_attempt_replaces_the_first(spark, tmp_path):
+    store = delivery.Store(spark, str(tmp_path / "store"))
+    rows = spark.sql("SELECT 'batch_001' AS batch_id, id, CAST(id AS INT) AS b FROM range(4)")
+    store.append("t", rows, "batch_001", ["b"])
+    store.append("t", rows.filter("id = 2").withColumn("more", F.lit(1)), "batch_001", ["b"])
+    assert [(r["id"], r["more"]) for r in store.read("t").collect()] == [(2, 1)]
+    store.append("t", rows.filter("id > 9"), "batch_001", ["b"])
+    assert store.read("t").count() == 0 and set(store.read("t").columns) == {"batch_id", "id", "b", "more"}
+
+
 def test_a_second_run_finds_nothing_to_do(run, config):
     store, _, root = run
     assert delivery.run_pending(store, root, config) == {}

@@ -103,13 +103,13 @@ def classify_history(
 
 
 def classify_batch(batch_rows: DataFrame, held: DataFrame, record: Sequence[str], ts: str, batch: str, lineage: Sequence[str], values: Sequence[str], **options: object) -> DataFrame:
-    """One batch against the first-seen rows of the versions held before it (same columns as ``batch_rows``).
+    """One batch against the first-seen rows of the versions held before it (the columns that are named here are enough).
 
     Only history of records that the batch touches is read.
     """
     touched = batch_rows.select(*record).distinct()
-    known = held.join(touched, list(record), "left_semi").select(*batch_rows.columns)
-    marked = known.withColumn("_is_new", F.lit(False)).unionByName(batch_rows.withColumn("_is_new", F.lit(True)))
+    known = held.join(touched, list(record), "left_semi").select(*[c for c in batch_rows.columns if c in held.columns])
+    marked = batch_rows.withColumn("_is_new", F.lit(True)).unionByName(known.withColumn("_is_new", F.lit(False)), allowMissingColumns=True)
     return classify_history(marked, record, ts, batch, lineage, values, **options).filter("_is_new").drop("_is_new")
 
 

@@ -2,11 +2,13 @@
 
 Tables are Parquet folders under one root, partitioned by ``batch_id`` where they are appended to. A batch is committed by its audit
 rows, which are written last: readers take only batches whose audit says ACCEPTED, so a run that died leaves nothing
-that counts, and repeating it overwrites the same partitions (dynamic overwrite) instead of adding to them.
+that counts, and repeating it writes the batch's partitions anew. What later batches look up by record (``held``, ``fields``) is also
+partitioned by a bucket of the record's key, so that a batch reads the history of the buckets it touches only.
 """
 
 from __future__ import annotations
 
+import json
 import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -15,6 +17,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import cleaning as clean
 from ..functions.keys import keyed_hash, record_key, version_key
@@ -24,6 +27,7 @@ from ..operators.checks import GATE_SOURCES
 from ..sources import exports, landing, reference
 
 LINEAGE = ["file_name", "source_row_number"]
+BUCKET = "key_bucket"
 
 
 @dataclass
@@ -39,6 +43,8 @@ class Config:
     rosters: DataFrame
     secret: bytes = field(repr=False, default=b"")
     max_error_share: Decimal = Decimal("0.10")
+    #: folders per batch of what is looked up by record; fixed for the life of a store
+    key_buckets: int = 64
 
 
 class Store:
@@ -47,8 +53,28 @@ class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def append(self, name: str, df: DataFrame) -> None:
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{self.root}/{name}")
+    def append(self, name: str, df: DataFrame, batch_id: str, by: Sequence[str] = ()) -> None:
+        """Write a batch's rows of a table, in folders by ``by`` too. What an attempt that died left of the batch goes first."""
+        self._delete(f"{self.root}/{name}/batch_id={batch_id}")
+        self._note_schema(name, df)
+        rows = df.hint("rebalance", *by) if by else df
+        rows.write.mode("append").partitionBy("batch_id", *by).parquet(f"{self.root}/{name}")
+
+    def _note_schema(self, name: str, df: DataFrame) -> None:
+        """Keep a table's columns beside it: an empty batch leaves no file to infer them from, and later batches may have more."""
+        known = self._schemas(name)
+        if known is None or any(f.name not in known.names for f in df.schema):
+            fields = [*(known or []), *[f for f in df.schema if known is None or f.name not in known.names]]
+            self.spark.createDataFrame([(StructType(fields).json(),)], "value string").write.mode("overwrite").text(f"{self.root}/_schemas/{name}")
+
+    def _schemas(self, name: str) -> StructType | None:
+        if not self.exists(f"_schemas/{name}"):
+            return None
+        return StructType.fromJson(json.loads(self.spark.read.text(f"{self.root}/_schemas/{name}", wholetext=True).first()[0]))
+
+    def _delete(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def replace(self, name: str, df: DataFrame) -> None:
         df.write.mode("overwrite").parquet(f"{self.root}/{name}")
@@ -58,12 +84,15 @@ class Store:
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.option("mergeSchema", "false").parquet(f"{self.root}/{name}")
+        schema = self._schemas(name)
+        reader = self.spark.read.option("mergeSchema", "false") if schema is None else self.spark.read.schema(schema)
+        return reader.parquet(f"{self.root}/{name}")
 
-    def committed(self, name: str) -> DataFrame:
-        """A table's rows of accepted batches."""
+    def committed(self, name: str, buckets: Sequence[int] | None = None) -> DataFrame:
+        """A table's rows of accepted batches; with ``buckets``, those of these buckets of record keys: no other folder is read."""
         accepted = self.read("audit").filter("status = 'ACCEPTED'").select("batch_id").distinct()
-        return self.read(name).join(accepted, "batch_id", "left_semi")
+        rows = self.read(name) if buckets is None else self.read(name).filter(F.col(BUCKET).isin(list(buckets)))
+        return rows.drop(BUCKET).join(accepted, "batch_id", "left_semi")
 
 
 AUDIT = "file_name string, source_system string, expected_count bigint, received_count bigint, status string, reason string, new_encounter bigint, new_version bigint, duplicate bigint, stale bigint, stale_new_version bigint, quarantined bigint, history_rows bigint, current_changed bigint, accepted_count bigint, reconciliation_status string, start_time timestamp_ntz, end_time timestamp_ntz, batch_id string"
@@ -78,6 +107,11 @@ def observed(raw: DataFrame, conventions: DataFrame) -> DataFrame:
     return rows.withColumn("version_key", F.when(F.col("version_ts").isNotNull() & F.col("encounter_key").isNotNull(), version_key("version/v1", F.col("file_source_system"), F.col("source_record_id"), F.col("version_ts"))))
 
 
+def key_bucket(config: Config) -> Column:
+    """The bucket of a row's record; rows without a record key share one."""
+    return F.pmod(F.xxhash64("encounter_key"), F.lit(config.key_buckets)).cast("int")
+
+
 def require_usable(config: Config) -> None:
     """Refuse a configuration that would give wrong tables: contracts, reference inputs, vocabulary, a system without conventions."""
     spark = config.contracts.sparkSession
@@ -112,7 +146,7 @@ def cleaned_fields(versions: DataFrame, config: Config) -> DataFrame:
     rows = clean.clean_claim_status(rows, "_status", F.col("claim_status"))
     rows = clean.clean_payer_category(rows, "_payer", F.col("payer_name"))
     rows = clean.clean_amount(rows, "_amount", F.col("billed_amount"), F.col("amount_unit"))
-    keys = ["version_key", "batch_id", *LINEAGE]
+    keys = ["version_key", "batch_id", *LINEAGE, BUCKET]
     return rows.select(
         *keys, "facility_id", "facility_id_reason", "last_updated_ts_warning",
         *expand("admit_date", F.col("_admit"), warning=False), *expand("discharge_date", F.col("_discharge"), warning=False),
@@ -143,56 +177,60 @@ def run_batch(store: Store, files: DataFrame, batch_id: str, config: Config) ->
         audit = keep(landing.decide_batches(entries, manifest_failures, failures, received))
         # the decision is a handful of rows: one per file of the batch
         if audit.filter("status = 'REJECTED'").head(1):
-            _commit(store, audit, began)
+            _commit(store, audit, batch_id, began)
             return "REJECTED"
         raw = landing.to_canonical(records, matched, config.canonical)
         stamped = entries.select("batch_id", "file_name", clean.delivered_date(F.col("delivered_at")).alias("delivered_date"), F.col("sha256").alias("file_sha256"))
-        store.append("raw", raw.join(F.broadcast(stamped), ["batch_id", "file_name"]))
-        store.append("ingested", matched.select("batch_id", "file_name", "source_system", "version", F.col("fields").alias("source_header")).join(stamped.withColumnRenamed("file_sha256", "sha256"), ["batch_id", "file_name"]).join(entries.select("batch_id", "file_name", "row_count"), ["batch_id", "file_name"]))
+        store.append("raw", raw.join(F.broadcast(stamped), ["batch_id", "file_name"]), batch_id)
+        store.append("ingested", matched.select("batch_id", "file_name", "source_system", "version", F.col("fields").alias("source_header")).join(stamped.withColumnRenamed("file_sha256", "sha256"), ["batch_id", "file_name"]).join(entries.select("batch_id", "file_name", "row_count"), ["batch_id", "file_name"]), batch_id)
         loaded = store.read("raw").filter(F.col("batch_id") == batch_id)
         rows = observed(loaded, config.conventions)
         options = {"values": list(config.canonical), "loose": ["last_updated_ts"], "ts_reason": "version_ts_reason", "blank": F.col("encounter_key").isNull()}
-        if store.exists("versions"):
-            held = observed(store.committed("raw").filter(F.col("batch_id") < batch_id).join(store.committed("versions").select("batch_id", *LINEAGE), ["batch_id", *LINEAGE], "left_semi"), config.conventions)
-        else:
-            held = rows.limit(0)
+        rows = keep(rows.withColumn(BUCKET, key_bucket(config)))
+        # at most ``key_buckets`` numbers
+        touched = [r[0] for r in rows.filter("version_key IS NOT NULL").select(BUCKET).distinct().collect()]
+        before = F.col("batch_id") < batch_id
+        compared = ["batch_id", *LINEAGE, "encounter_key", "version_ts", *config.canonical]
+        held = store.committed("held", touched).filter(before) if store.exists("held") else rows.limit(0).select(*compared)
         numbered = lambda df: df.withColumn("batch_no", F.regexp_extract("batch_id", "([0-9]+)", 1).cast("int"))
         classified = keep(history.classify_batch(numbered(rows), numbered(held), ["encounter_key"], "version_ts", "batch_no", LINEAGE, **options))
         outcomes = classified.select("batch_id", *LINEAGE, F.col("file_source_system").alias("source_system"), "source_record_id", "encounter_key", "version_key", "outcome", "outcome_reason", "match_type")
         added = history.new_versions(classified)
         fields = keep(cleaned_fields(added, config))
-        store.append("outcomes", outcomes)
-        store.append("versions", added.select("batch_id", *LINEAGE, "version_key", "encounter_key", F.col("file_source_system").alias("source_system"), "source_record_id", F.col("version_ts").alias("last_updated_ts_utc"), F.col("outcome").alias("arrival_outcome")))
-        store.append("fields", fields)
+        store.append("outcomes", outcomes, batch_id)
+        store.append("versions", added.select("batch_id", *LINEAGE, "version_key", "encounter_key", F.col("file_source_system").alias("source_system"), "source_record_id", F.col("version_ts").alias("last_updated_ts_utc"), F.col("outcome").alias("arrival_outcome")), batch_id)
+        store.append("held", added.select(*compared, BUCKET), batch_id, [BUCKET])
+        store.append("fields", fields, batch_id, [BUCKET])
         counts = history.outcome_counts(classified, ["batch_id", "file_name"], ["encounter_key"])
         expected = entries.select("batch_id", "file_name", "row_count")
         quality.require_none(history.reconcile(counts, expected, ["batch_id", "file_name"]), "the batch doesn't reconcile")
-        every = fields if not store.exists("audit") else store.committed("fields").filter(F.col("batch_id") < batch_id).unionByName(fields)
+        read = ["version_key", *GATE_SOURCES]
+        every = fields if not store.exists("audit") else store.committed("fields", touched).filter(before).select(*read).unionByName(fields.select(*read))
         keys = ["batch_id", *LINEAGE, "source_system", "source_record_id"]
         issues = keep(quality.gate_issues(outcomes, every, "version_key", keys, GATE_SOURCES))
         gate = quality.publish_gate(outcomes, issues, "batch_id", LINEAGE, config.max_error_share)
         if gate.filter("failed").head(1):
-            store.append("gate_rejected_issues", issues)
-            _commit(store, audit.withColumns({"status": F.lit("REJECTED"), "reason": F.lit("DQ_GATE_FAILED")}), began)
+            store.append("gate_rejected_issues", issues, batch_id)
+            _commit(store, audit.withColumns({"status": F.lit("REJECTED"), "reason": F.lit("DQ_GATE_FAILED")}), batch_id, began)
             return "REJECTED"
         flags = landing.duplicate_files(own, store.committed("ingested").filter(F.col("batch_id") < batch_id)) if store.exists("audit") else None
         if flags is not None:
             audit = audit.join(flags, ["batch_id", "file_name"], "left").withColumn("reason", F.coalesce("reason", "flag")).drop("flag")
         # the batch reconciled above, or it had not come this far
         done = audit.join(counts.drop("received"), ["batch_id", "file_name"], "left")
-        _commit(store, done.withColumns({"accepted_count": F.col("new_encounter") + F.col("new_version"), "reconciliation_status": F.lit("RECONCILED")}), began)
+        _commit(store, done.withColumns({"accepted_count": F.col("new_encounter") + F.col("new_version"), "reconciliation_status": F.lit("RECONCILED")}), batch_id, began)
         return "ACCEPTED"
     finally:
         for df in kept:  # the caller's own cached tables stay
             df.unpersist()
 
 
-def _commit(store: Store, audit: DataFrame, began: datetime) -> None:
+def _commit(store: Store, audit: DataFrame, batch_id: str, began: datetime) -> None:
     """Write audit rows; nothing of a rejected file is accepted."""
     utc = lambda t: F.lit(t.replace(tzinfo=None).isoformat(" ")).cast("timestamp_ntz")
     audit = audit.withColumns({"start_time": utc(began), "end_time": utc(datetime.now(timezone.utc)), "accepted_count": F.col("accepted_count") if "accepted_count" in audit.columns else F.lit(0)})
     kinds = dict(x.rsplit(" ", 1) for x in AUDIT.split(", "))
-    store.append("audit", audit.select(*[(F.col(c) if c in audit.columns else F.lit(None)).cast(k).alias(c) for c, k in kinds.items()]))
+    store.append("audit", audit.select(*[(F.col(c) if c in audit.columns else F.lit(None)).cast(k).alias(c) for c, k in kinds.items()]), batch_id)
 
 
 def run_pending(store: Store, landing_folder: str, config: Config) -> dict[str, str]:
