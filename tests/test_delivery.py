@@ -117,6 +117,15 @@ def test_a_batch_without_versions_comes_first(spark, config, tmp_path):
     assert audit(store)["batch_002", "a.csv"]["new_encounter"] == 1
 
 
+def test_a_store_of_an_earlier_layout_is_refused(spark, config, tmp_path):
+    root = tmp_path / "landing"
+    deliver(root, 1, [("A", csv_bytes(V1, [ROW]), 1)])
+    store = delivery.Store(spark, str(tmp_path / "store"))
+    store.append("versions", spark.sql("SELECT 'batch_000' AS batch_id, 'k' AS version_key"), "batch_000")
+    with pytest.raises(ValueError, match="earlier layout"):
+        delivery.run_pending(store, str(root), config)
+
+
 def test_a_repeated_attempt_replaces_the_first(spark, tmp_path):
     store = delivery.Store(spark, str(tmp_path / "store"))
     rows = spark.sql("SELECT 'batch_001' AS batch_id, id, CAST(id AS INT) AS b FROM range(4)")

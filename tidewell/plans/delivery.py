@@ -191,6 +191,8 @@ def run_batch(store: Store, files: DataFrame, batch_id: str, config: Config) ->
         touched = [r[0] for r in rows.filter("version_key IS NOT NULL").select(BUCKET).distinct().collect()]
         before = F.col("batch_id") < batch_id
         compared = ["batch_id", *LINEAGE, "encounter_key", "version_ts", *config.canonical]
+        if store.exists("versions") and not store.exists("held"):  # ``held`` is written first
+            raise ValueError("the store has versions but no table 'held': it is of an earlier layout, run its batches into a new one")
         held = store.committed("held", touched).filter(before) if store.exists("held") else rows.limit(0).select(*compared)
         numbered = lambda df: df.withColumn("batch_no", F.regexp_extract("batch_id", "([0-9]+)", 1).cast("int"))
         classified = keep(history.classify_batch(numbered(rows), numbered(held), ["encounter_key"], "version_ts", "batch_no", LINEAGE, **options))
@@ -198,8 +200,8 @@ def run_batch(store: Store, files: DataFrame, batch_id: str, config: Config) ->
         added = history.new_versions(classified)
         fields = keep(cleaned_fields(added, config))
         store.append("outcomes", outcomes, batch_id)
-        store.append("versions", added.select("batch_id", *LINEAGE, "version_key", "encounter_key", F.col("file_source_system").alias("source_system"), "source_record_id", F.col("version_ts").alias("last_updated_ts_utc"), F.col("outcome").alias("arrival_outcome")), batch_id)
         store.append("held", added.select(*compared, BUCKET), batch_id, [BUCKET])
+        store.append("versions", added.select("batch_id", *LINEAGE, "version_key", "encounter_key", F.col("file_source_system").alias("source_system"), "source_record_id", F.col("version_ts").alias("last_updated_ts_utc"), F.col("outcome").alias("arrival_outcome")), batch_id)
         store.append("fields", fields, batch_id, [BUCKET])
         counts = history.outcome_counts(classified, ["batch_id", "file_name"], ["encounter_key"])
         expected = entries.select("batch_id", "file_name", "row_count")
