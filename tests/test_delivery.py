@@ -117,6 +117,22 @@ def test_a_batch_without_versions_comes_first(spark, config, tmp_path):
     assert audit(store)["batch_002", "a.csv"]["new_encounter"] == 1
 
 
+def test_a_first_batch_that_dies_is_repeated(spark, config, tmp_path, monkeypatch):
+    root = tmp_path / "landing"
+    deliver(root, 1, [("A", csv_bytes(V1, [ROW, ROW | {"source_record_id": "2"}]), 2)])
+    store = delivery.Store(spark, str(tmp_path / "store"))
+
+    def die(*_):
+        raise RuntimeError("lost driver")
+
+    with monkeypatch.context() as m, pytest.raises(RuntimeError, match="lost driver"):
+        m.setattr(delivery, "_commit", die)
+        delivery.run_pending(store, str(root), config)
+    assert store.committed("held").count() == 0
+    assert delivery.run_pending(store, str(root), config) == {"batch_001": "ACCEPTED"}
+    assert audit(store)["batch_001", "a.csv"]["new_encounter"] == 2 and store.committed("held").count() == 2
+
+
 def test_a_store_of_an_earlier_layout_is_refused(spark, config, tmp_path):
     root = tmp_path / "landing"
     deliver(root, 1, [("A", csv_bytes(V1, [ROW]), 1)])

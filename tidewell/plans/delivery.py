@@ -90,8 +90,10 @@ class Store:
 
     def committed(self, name: str, buckets: Sequence[int] | None = None) -> DataFrame:
         """A table's rows of accepted batches; with ``buckets``, those of these buckets of record keys: no other folder is read."""
-        accepted = self.read("audit").filter("status = 'ACCEPTED'").select("batch_id").distinct()
         rows = self.read(name) if buckets is None else self.read(name).filter(F.col(BUCKET).isin(list(buckets)))
+        if not self.exists("audit"):  # the first batch was never decided
+            return rows.drop(BUCKET).limit(0)
+        accepted = self.read("audit").filter("status = 'ACCEPTED'").select("batch_id").distinct()
         return rows.drop(BUCKET).join(accepted, "batch_id", "left_semi")
 
 
