@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, exact_dedup, hnsw, licenses, mixing, pii, quality, sharding, simhash
+from . import alignment, bpe, chat, exact_dedup, hnsw, licenses, mixing, pii, quality, secrets, sharding, simhash, whitening
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_forced_boundary_bpe": bpe.op8,
         "op9_incremental_chat": chat.op9,
         "op10_license_scan": licenses.op10,
+        "op11_zstd_secrets": secrets.op11,
+        "op12_pointer_jumping": alignment.op12,
+        "op13_polarised_whitening": whitening.op13,
     }
 
 
