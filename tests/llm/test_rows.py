@@ -4,7 +4,7 @@ import hashlib
 import math
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -109,7 +109,7 @@ def test_cuckoo_filter_has_no_false_negatives():
         b.insert(d, 1, 1)
     assert all(d in b.filter for d in digests) and len(b.filter.cells) > 5000
     for d in digests[:4000]:
-        b.delete(d, 1)
+        b.replace(d, 0, None)
     assert all(d in b.filter for d in digests[4000:]) and len(b.content) == 1000
     assert sum(hashlib.sha256(f"x{i}".encode()).digest() in b.filter for i in range(5000)) < 50
     f = CuckooFilter(2)
@@ -137,19 +137,50 @@ def test_index_over_batches(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(exact_dedup, "KEYS_PER_BUCKET", 1)
     index.insert(exact_dedup.combine(first.limit(0), "doc_id", "digest"))
     assert index.buckets > 16 and live() == summed(marked)  # dealt anew from the stored digests
-    index.delete(exact_dedup.combine(second, "doc_id", "digest"))
-    assert {d: n for d, (n, _) in live().items()} == {d: n for d, (n, _) in summed(first).items()}
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_deletion_keeps_the_largest_key_that_is_left(spark, tmp_path, seed):
+    r = random.Random(seed)
+    index, held = CuckooIndex(spark, 16), Counter()
+    for batch in range(4):
+        rows = [(f"text {r.randrange(8)}", r.choice([None, *range(12)]), r.choice([1, 1, -1]) if batch else 1) for _ in range(40)]
+        if batch == 2:  # the largest key of every text goes
+            rows += [(t, k, -n) for (t, k), n in held.items() if k == max((x for y, x in held if y == t and x is not None), default=None)]
+        for t, k in {(t, k) for t, k, _ in rows}:
+            held[t, k] = max(0, held[t, k] + sum(n for x, y, n in rows if (x, y) == (t, k)))
+        held = +held
+        docs = exact_dedup.digested(spark.createDataFrame(rows, "text string, doc_id long, n long"), "text")
+        r.shuffle(rows)
+        signed = exact_dedup.changes(docs.filter("n > 0"), "doc_id", "digest").unionByName(exact_dedup.changes(docs.filter("n < 0"), "doc_id", "digest", -1))
+        index.change(signed if batch != 2 else docs.select("digest", F.col("doc_id").alias("keep_id"), F.col("n").alias("copies")))
+        want = {}
+        for (t, k), n in held.items():
+            d = hashlib.sha256(t.encode()).digest()
+            copies, keep = want.get(d, (0, None))
+            want[d] = copies + n, k if keep is None else max(keep, k if k is not None else keep)
+        assert {bytes(x["digest"]): (x["copies"], x["keep_id"]) for x in index.live().collect()} == want
+        index.save(str(tmp_path / f"index{batch}"))
+        index = CuckooIndex.load(spark, str(tmp_path / f"index{batch}"))
+    with pytest.raises(ValueError):
+        index.insert(exact_dedup.combine(docs, "doc_id", "digest"))
 
 
 def test_repeats_meet_in_the_index(spark):
     docs = spark.createDataFrame([(i, f"text {i % 40}") for i in range(400)], "doc_id long, text string").repartition(4)
     index = exact_dedup.indexed(exact_dedup.digested(docs, "text"), "doc_id", "digest")
     arrived = exact_dedup.combine(exact_dedup.digested(docs, "text"), "doc_id", "digest").count()
-    # every digest that arrives from a second batch of rows is a hit that the content confirms
-    assert index.counters()["hits"] == arrived - 40 > 0
+    # every row but a text's first is a hit that the content confirms, in its task or in the index
+    assert index.counters()["hits"] == 360 and 40 < arrived < 400
     assert {(r["copies"], r["keep_id"]) for r in index.live().collect()} == {(10, 360 + i) for i in range(40)}
 
 
+def test_the_query_looks_up_its_repeats(spark):
+    docs = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet")
+    marked = exact_dedup.digested(docs, "text")
+    assert exact_dedup.indexed(marked, "doc_id", "digest").counters()["hits"] == docs.count() - marked.select("digest").distinct().count() > 0
+
+
 def test_one_row_of_equal_texts_stays(spark):
     docs = odd_documents(spark).withColumn("digest", F.lit(1)).withColumn("Dedup_keep", F.lit("mine"))
     rows = docs.collect()

@@ -5,10 +5,15 @@ The index holds the digests (SHA-256) of all live texts, in buckets by the diges
 * a cuckoo filter: buckets of four 16-bit fingerprints, two places per digest, which takes insertions and deletions, and
 * its content: every live digest with its number of copies and the key that stays.
 
-Map tasks sum up the repeats within one batch of rows, so a text with a third of all rows arrives as one row from each such
-batch; the repeats of different batches meet in the bucket. There each incoming digest is looked up in the filter; a hit is verified against the
-content and merged with it (a false positive is inserted as new), a miss is inserted. When an insertion finds no place, the filter is
-doubled and rebuilt from the stored digests. Deletion subtracts copies and removes the fingerprint of a digest with none left.
+Map tasks look up every row in a bucket of their own first: repeats hit its filter, are verified and merged there, so a text with a third of
+all rows leaves a task as one row for each ``HELD`` distinct texts. What different tasks found meets in the index's buckets: each incoming digest is looked
+up in the filter; a hit is verified against the content and merged with it (a false positive is inserted as new), a miss is inserted. When an
+insertion finds no place, the filter is doubled and rebuilt from the stored digests.
+
+An index that takes deletions also has a table of its keys: digest, key, copies. A batch of changes counts by its net effect, whatever the order of its
+rows, and no key falls below none. The digests that a batch touches then get their copies and the largest key that is left
+from that table by an aggregate (no task sees all keys of a text), and the buckets take them in: a digest with none left is
+deleted and its fingerprint removed.
 
 The state is a table: written in the shared folder after every batch, so that it has no lineage, and dealt to more buckets from the stored digests
 when they hold more than twice ``KEYS_PER_BUCKET`` on average.
@@ -29,6 +34,8 @@ from .shared import cut_lineage, own_name, table, text_or_empty
 
 KEYS_PER_BUCKET = 4096
 SLOTS, MAX_KICKS = 4, 200
+#: Distinct texts that a map task holds before it hands them on.
+HELD = 32_768
 
 
 class CuckooFilter:
@@ -124,14 +131,17 @@ class Bucket:
         if keep is not None and (known[1] is None or keep > known[1]):
             known[1] = keep
 
-    def delete(self, digest: bytes, copies: int) -> None:
+    def replace(self, digest: bytes, copies: int, keep: int | None) -> None:
+        """What is live of a digest now; no copies: nothing."""
         known = self._verified(digest)
-        if known is None:
-            return
-        known[0] -= copies
-        if known[0] <= 0:
+        if known is not None and copies:
+            known[:] = [copies, keep]
+        elif known is not None:
             del self.content[digest]
             self.filter.remove(digest)
+        elif copies:
+            self.content[digest] = [copies, keep]
+            self._mark(digest)
 
 
 STATE = "bucket long, digest binary, copies long, keep_id long, cells binary, hits long, false_hits long, resizes long"
@@ -159,11 +169,9 @@ def _load(state: pd.DataFrame) -> Bucket:
 
 
 def _apply(b: Bucket, batch: pd.DataFrame) -> Bucket:
-    for d, n, k in zip(batch["digest"], batch["copies"], batch["keep_id"], strict=True):
-        if n > 0:
-            b.insert(bytes(d), int(n), _number(k))
-        else:
-            b.delete(bytes(d), -int(n))
+    for d, n, k, hits, whole in zip(batch["digest"], batch["copies"], batch["keep_id"], batch["hits"], batch["whole"], strict=True):
+        (b.replace if whole else b.insert)(bytes(d), int(n), _number(k))
+        b.hits += int(hits)
     return b
 
 
@@ -184,31 +192,45 @@ def digested(docs: DataFrame, text: str, name: str = "digest") -> DataFrame:
 
 
 def combine(docs: DataFrame, key: str, digest: str) -> DataFrame:
-    """Digest, ``copies`` and the largest key, summed up within each batch of rows that a map task reads: no shuffle, and a digest may come again
-    from another batch."""
+    """Digest, ``copies``, the largest key, and ``hits``, the rows that were found in the task's own bucket: no shuffle, and a digest may come again from
+    another task."""
+
+    def handed_on(b: Bucket) -> pa.RecordBatch:
+        digests, held = list(b.content), list(b.content.values())
+        columns = [pa.array(digests, pa.binary()), *[pa.array(x, pa.int64()) for x in ([n for n, _ in held], [k for _, k in held], [n - 1 for n, _ in held])]]
+        return pa.RecordBatch.from_arrays(columns, names=["digest", "copies", "keep_id", "hits"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Bucket()
         for b in batches:
-            # the largest key is null only if all are
-            t = pa.Table.from_batches([b]).group_by("digest").aggregate([("one", "sum"), ("keep_id", "max")])
-            columns = [t[c].combine_chunks() if t.num_rows else t[c].cast(k) for c, k in (("digest", pa.binary()), ("one_sum", pa.int64()), ("keep_id_max", pa.int64()))]
-            yield from pa.table(columns, names=["digest", "copies", "keep_id"]).to_batches()
+            for d, k in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                own.insert(d, 1, k)
+                if len(own.content) >= HELD:
+                    yield handed_on(own)
+                    own = Bucket()
+        yield handed_on(own)
+
+    rows = docs.select(F.col(digest).alias("digest"), F.col(key).cast("long").alias("keep_id"))
+    return rows.mapInArrow(run, "digest binary, copies long, keep_id long, hits long")
 
-    rows = docs.select(F.col(digest).alias("digest"), F.lit(1).cast("long").alias("one"), F.col(key).cast("long").alias("keep_id"))
-    return rows.mapInArrow(run, "digest binary, copies long, keep_id long")
+
+def changes(docs: DataFrame, key: str, digest: str, copies: int = 1) -> DataFrame:
+    """Rows to insert into an index that takes deletions (``copies`` below 0: to delete from it)."""
+    return docs.select(F.col(digest).alias("digest"), F.col(key).cast("long").alias("keep_id"), F.lit(copies).cast("long").alias("copies"))
 
 
 class CuckooIndex:
     """The index over successive batches. ``state`` is a DataFrame with one row per live digest and one per bucket's filter.
 
     ``buckets``, a power of two, is how many there are at first. Null texts count as empty; null keys lose against any other key of
-    their group. An empty batch changes nothing. Deleting what isn't held changes nothing.
+    their group. An empty batch changes nothing. Deleting what isn't held changes nothing. ``insert`` adds to an index that is only added to; ``change``
+    takes insertions and deletions, and keeps ``keys`` for them. An index is used in one of these ways.
     """
 
-    def __init__(self, spark: SparkSession, buckets: int, state: DataFrame | None = None):
+    def __init__(self, spark: SparkSession, buckets: int, state: DataFrame | None = None, keys: DataFrame | None = None):
         if buckets & (buckets - 1):
             raise ValueError("buckets must be a power of two")
-        self.spark, self.buckets, self.state = spark, buckets, state
+        self.spark, self.buckets, self.state, self.keys = spark, buckets, state, keys
 
     @staticmethod
     def buckets_for(rows: int) -> int:
@@ -219,8 +241,27 @@ class CuckooIndex:
         return digests.withColumn("bucket", lead % self.buckets)
 
     def insert(self, combined: DataFrame) -> None:
-        """Insert rows of digest, copies, keep_id; negative copies delete."""
-        batch = self._bucketed(combined.select("digest", "copies", "keep_id"))
+        """Add what ``combine`` gives."""
+        if self.keys is not None:
+            raise ValueError("an index that takes deletions is changed by `change`")
+        self._take(combined.select("digest", "copies", "keep_id", "hits", F.lit(False).alias("whole")))
+
+    def change(self, rows: DataFrame) -> None:
+        """Insert and delete rows of digest, keep_id and copies (below 0: deleted), by their net effect."""
+        if self.keys is None and self.state is not None:
+            raise ValueError("an index made by `insert` has no keys to delete by")
+        # few rows against many: only touched digests leave the table of keys for the buckets
+        net = rows.groupBy("digest", "keep_id").agg(F.sum("copies").alias("copies"))
+        net = cut_lineage(net)
+        both = net if self.keys is None else self.keys.unionByName(net)
+        self.keys = cut_lineage(both.groupBy("digest", "keep_id").agg(F.sum("copies").alias("copies")).filter("copies > 0"))
+        touched = net.select("digest").distinct()
+        left = self.keys.join(touched, "digest", "left_semi").groupBy("digest").agg(F.sum("copies").alias("copies"), F.max("keep_id").alias("keep_id"))
+        now = touched.join(left, "digest", "left").withColumn("copies", F.coalesce("copies", F.lit(0)))
+        self._take(now.select("digest", "copies", "keep_id", F.lit(0).cast("long").alias("hits"), F.lit(True).alias("whole")))
+
+    def _take(self, rows: DataFrame) -> None:
+        batch = self._bucketed(rows)
         if self.state is None:  # nothing is stored yet: no state to bring together with the batch
             after = batch.groupBy("bucket").applyInPandas(_first, STATE)
         else:
@@ -230,9 +271,6 @@ class CuckooIndex:
         if held > 2 * KEYS_PER_BUCKET * self.buckets:
             self.rebucket(self.buckets_for(held))
 
-    def delete(self, combined: DataFrame) -> None:
-        self.insert(combined.withColumn("copies", -F.col("copies")))
-
     def rebucket(self, buckets: int) -> None:
         """Deal the stored digests to so many buckets; every filter is built anew from them."""
         self.buckets = buckets
@@ -254,12 +292,15 @@ class CuckooIndex:
         return {c: r[c] for c in names}
 
     def save(self, path: str) -> None:
-        self.state.withColumn("buckets", F.lit(self.buckets)).write.mode("overwrite").parquet(path)
+        self.state.withColumn("buckets", F.lit(self.buckets)).write.mode("overwrite").parquet(f"{path}/state")
+        if self.keys is not None:
+            self.keys.write.mode("overwrite").parquet(f"{path}/keys")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> CuckooIndex:
-        state = spark.read.parquet(path)
-        return CuckooIndex(spark, state.agg(F.max("buckets")).first()[0] or 16, state.drop("buckets"))
+        state, keys = spark.read.parquet(f"{path}/state"), spark._jvm.org.apache.hadoop.fs.Path(f"{path}/keys")
+        has_keys = keys.getFileSystem(spark._jsc.hadoopConfiguration()).exists(keys)
+        return CuckooIndex(spark, state.agg(F.max("buckets")).first()[0] or 16, state.drop("buckets"), spark.read.parquet(f"{path}/keys") if has_keys else None)
 
 
 def indexed(marked: DataFrame, key: str, digest: str) -> CuckooIndex:
