@@ -6,8 +6,8 @@ before and after it; two labels that follow one another have a weight of their o
 of their labels per line, both labels weighing the same in total. A document's score is the mean of its lines' forward-backward
 marginals of "good", weighted by line length; documents without a letter to score have one line with only the constant feature.
 
-Fitting uses at most ``MAX_FIT`` labelled documents of at most ``MAX_FIT_BYTES`` together, taken in the order of a hash of the key: documented bounds
-that keep the fit on one machine. Scoring is a map over all rows: no shuffle. Short documents are scored together; a document of more
+Fitting uses at most ``MAX_FIT`` labelled documents, taken in the order of a hash of the key, and of each at most ``FIT_LINES`` lines that follow one
+another: documented bounds that keep the fit on one machine. Their features are computed where the texts are. Scoring is a map over all rows: no shuffle. Short documents are scored together; a document of more
 than ``BLOCK`` lines is scored in blocks, forward to keep the messages at the blocks' ends, then backward. What a worker holds is a block's features and a
 few numbers per line.
 Labels, lang, source and key are never inputs of a score.
@@ -16,6 +16,7 @@ Labels, lang, source and key are never inputs of a score.
 from __future__ import annotations
 
 import json
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -23,11 +24,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .shared import own_name, table
 
-MAX_FIT, MAX_FIT_BYTES = 6000, 64 << 20
+MAX_FIT, FIT_LINES = 6000, 64
 EPOCHS, RATE, L2 = 100, 0.15, 1e-3
 #: Lines that are scored at a time: bounds what a worker holds besides its input batch.
 BLOCK = 16_384
@@ -78,6 +78,18 @@ def line_features(lines: list[bytes]) -> np.ndarray:
     return with_neighbours(own_features(lines, np.array([seen[x] > 1 for x in lines])), None, None)
 
 
+def sampled_features(text: str | None, most: int) -> np.ndarray:
+    """Features of a document's lines, or of ``most`` of them that follow one another, from a place that the text's checksum gives."""
+    lines = lines_of(text)
+    first = zlib.crc32((text or "").encode("utf-8", "surrogatepass")) % (len(lines) - most + 1) if len(lines) > most else 0
+    a, b = max(0, first - 1), min(len(lines), first + most + 1)  # with the neighbours
+    seen = Counter(lines)
+    own = own_features(lines[a:b], np.array([seen[x] > 1 for x in lines[a:b]]))
+    after = b > first + most
+    inside = own[first - a : len(own) - after]
+    return with_neighbours(inside, own[:1] if a < first else None, own[-1:] if after else None)
+
+
 def lines_of(text: str | None) -> list[bytes]:
     """A text's lines; null and empty texts have one empty line."""
     return (text or "").encode("utf-8", "surrogatepass").split(b"\n")
@@ -173,16 +185,20 @@ def score_in_blocks(raw: bytes, chain: Chain, block: int) -> float:
 
 
 def fit(documents: list[tuple[str | None, int]], epochs: int = EPOCHS, rate: float = RATE, l2: float = L2) -> Chain:
-    """Fit to (text, label) pairs. Both labels weigh the same in total. No pairs, or one label only: a constant chain."""
-    split = [lines_of(t) for t, _ in documents]
-    labels = np.array([y for _, y in documents], dtype=float)
-    sizes = np.array([len(x) for x in split], dtype=np.int64)
+    """Fit to (text, label) pairs, all lines of each."""
+    return fit_features([line_features(lines_of(t)) for t, _ in documents], [y for _, y in documents], epochs, rate, l2)
+
+
+def fit_features(parts: list[np.ndarray], of: list[int], epochs: int = EPOCHS, rate: float = RATE, l2: float = L2) -> Chain:
+    """Fit to documents' line features and labels. Both labels weigh the same in total. No documents, or one label only: a constant chain."""
+    labels = np.array(of, dtype=float)
+    sizes = np.array([len(x) for x in parts], dtype=np.int64)
     if len(set(labels.tolist())) < 2:
         prior = 4.0 * (labels.mean() - 0.5) if len(labels) else 0.0
         weights = np.zeros(FEATURES)
         weights[-1] = prior
         return Chain(weights, np.zeros((2, 2)), np.zeros(FEATURES), np.ones(FEATURES))
-    raw = np.vstack([line_features(x) for x in split])
+    raw = np.vstack(parts)
     mean, scale = raw.mean(0), raw.std(0)
     mean[-1], scale[scale < 1e-9] = 0.0, 1.0
     x = (raw - mean) / scale
@@ -209,19 +225,24 @@ def held_out(key: str = "doc_id") -> F.Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % 5 == 0
 
 
-def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", max_fit: int = MAX_FIT, max_bytes: int = MAX_FIT_BYTES) -> Chain:
-    """Fit on rows with a text and a label whose key is not held out, in the order of a hash of the key: at most ``max_fit`` of them, and only
-    as long as their texts take no more than ``max_bytes`` together. Rows that repeat key and text are one."""
+def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", max_fit: int = MAX_FIT, fit_lines: int = FIT_LINES) -> Chain:
+    """Fit on rows with a text and a label whose key is not held out, in the order of a hash of the key: at most ``max_fit`` of them, and at most
+    ``fit_lines`` lines of each, so a long text shuts out no other. Rows that repeat key and text are one. No such rows: a constant chain."""
     usable = labels.filter(~held_out(key) & F.col("quality").isin(0, 1)).select(F.col(key).alias("_key"), "quality").distinct()
     texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).filter(F.col("_text").isNotNull()).withColumn("_mark", F.xxhash64("_text"))
-    sized = texts.select("_key", "_mark", F.octet_length("_text").alias("_bytes")).join(usable, "_key").distinct()
-    order = [F.xxhash64("_key"), "_key", "_mark", "quality"]
-    few = sized.orderBy(*order).limit(max_fit)
-    total = F.sum("_bytes").over(Window.orderBy(*order))  # over max_fit narrow rows
-    chosen = few.withColumn("_total", total).filter(F.col("_total") <= max_bytes).select("_key", "_mark", "quality")
-    rows = texts.join(F.broadcast(chosen), ["_key", "_mark"]).dropDuplicates(["_key", "_mark", "quality"])
-    pairs = sorted((r["_key"], r["quality"], r["_text"]) for r in rows.select("_key", "_text", "quality").collect())  # max_fit rows of max_bytes
-    return fit([(t, q) for _, q, t in pairs])
+    known = texts.select("_key", "_mark").join(usable, "_key").distinct()
+    chosen = known.orderBy(F.xxhash64("_key"), "_key", "_mark", "quality").limit(max_fit)
+    rows = texts.join(F.broadcast(chosen), ["_key", "_mark"]).select("_key", "_mark", "quality", "_text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            features = [sampled_features(t.as_py(), fit_lines).astype(np.float32).tobytes() for t in b.column(3)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(features, pa.binary())], names=["_key", "_mark", "quality", "features"])
+
+    kind = {f.name: f.dataType.simpleString() for f in rows.schema}
+    found = rows.mapInArrow(run, f"_key {kind['_key']}, _mark bigint, quality {kind['quality']}, features binary").dropDuplicates(["_key", "_mark", "quality"])
+    held = sorted(found.collect(), key=lambda r: (r["_key"], r["_mark"], r["quality"]))  # at most max_fit x fit_lines lines
+    return fit_features([np.frombuffer(r["features"], np.float32).reshape(-1, FEATURES).astype(np.float64) for r in held], [r["quality"] for r in held])
 
 
 def score(docs: DataFrame, chain: Chain, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -267,7 +288,7 @@ def score(docs: DataFrame, chain: Chain, text: str = "text", keep: list[str] | N
     from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
     schema = StructType([*docs.select(*keep).schema.fields, StructField(names[-2], DoubleType()), StructField(names[-1], IntegerType())])
-    return docs.select(*keep, F.col(text).alias("_scored_text")).mapInArrow(run, schema)
+    return docs.select(*keep, F.col(text).alias(own_name(docs.select(*keep), "scored_text"))).mapInArrow(run, schema)
 
 
 def keep_good(docs: DataFrame, chain: Chain, text: str = "text") -> DataFrame:
