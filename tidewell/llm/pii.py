@@ -1,14 +1,14 @@
 """Personal data by bootstrapped contextual extraction.
 
 Seeds are the spans that the base rules find (e-mail, IP address, card, phone). Candidates are other identifier-like strings
-outside base spans: tokens with a digit or an at sign, and runs of up to ``LONGEST`` tokens inside places where a base rule
+outside base spans: tokens with a digit or an at sign, and runs of tokens with 9 to 19 digits inside places where a base rule
 matched but its check failed. Every seed and candidate stands in a slot: the word before, the word after, and its own shape
 (digits as 9, letters as a, and the kinds whose rule it would pass alone). A slot's lexical patterns are
 
 * ``shape``: the shape;
 * ``before`` and ``after``: the word, and the word together with the shape.
 
-Spark scores the bipartite graph of patterns and instances in rounds. A pattern with at least ``MIN_SEEDS`` distinct seeds of a kind has as
+Spark scores the bipartite graph of patterns and instances in rounds until they believe no more (the log has their number). A pattern with at least ``MIN_SEEDS`` distinct seeds of a kind has as
 confidence the share of its occurrences that are believed to be of the kind; occurrences of a word are counted over the whole corpus,
 ordinary neighbours included, so chance contexts have a confidence near zero. One occurrence more than seen is assumed, so confidence grows with
 evidence. A candidate's score in a slot is the noisy-or over the three sides of the most confident pattern of each; an
@@ -24,6 +24,7 @@ hash of the whole value, long words by a digest.
 from __future__ import annotations
 
 import hashlib
+import logging
 import re
 from bisect import bisect_left
 from collections import Counter
@@ -38,11 +39,12 @@ from pyspark.sql.types import StructField, StructType
 
 from .shared import cut_lineage, table
 
+log = logging.getLogger(__name__)
 KINDS = ("email", "ip", "card", "phone")
-#: Patterns need so many distinct seed instances; confidence and score bounds; rounds of scoring.
-MIN_SEEDS, MIN_CONFIDENCE, ACCEPT, ROUNDS = 5, 0.6, 0.9, 3
-#: Tokens of the longest candidate; context words that every task may hold; words that a task counts before it hands the counts on; rows per result batch.
-LONGEST, LOT, HELD_WORDS, SLICE = 6, 50_000, 200_000, 2000
+#: Patterns need so many distinct seed instances; confidence and score bounds.
+MIN_SEEDS, MIN_CONFIDENCE, ACCEPT = 5, 0.6, 0.9
+#: Digits of a run of tokens; context words that every task may hold; words that a task counts before it hands the counts on; rows per result batch.
+DIGITS, LOT, HELD_WORDS, SLICE = (9, 19), 50_000, 200_000, 2000
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
@@ -159,7 +161,7 @@ def tokens(text: str, spans: list[tuple[str | None, int, int]]) -> tuple[list[st
 
 def candidates(text: str, spans: list[tuple[str, int, int]], failed: list[tuple[int, int]] = ()) -> list[tuple[int, int]]:
     """Identifier-like strings that touch no base span, in order: tokens without punctuation at the edges, and, inside ``failed``
-    places, runs of up to ``LONGEST`` tokens with 9 to 19 digits."""
+    places, runs of tokens that have 9 to 19 digits together and begin and end with a token that has some."""
     out = set()
     for m in CANDIDATE.finditer(text):
         a, b = m.span()
@@ -169,17 +171,17 @@ def candidates(text: str, spans: list[tuple[str, int, int]], failed: list[tuple[
         if a < b and IDENTIFYING.search(text, a, b):
             out.add((a, b))
     for start, end in failed:
-        parts, at = [], start
+        parts, at = [], start  # tokens with digits: a run has at most 19 of them
         for p in text[start:end].split(" "):
-            parts.append((at, at + len(p)))
+            if n := len(_digits(p)):
+                parts.append((at, at + len(p), n))
             at += len(p) + 1
-        for i in range(len(parts)):
-            for j in range(i + 1, min(i + LONGEST, len(parts))):
-                a, b = parts[i][0], parts[j][1]
-                n = len(_digits(text[a:b]))
-                if n > 19:
+        for i, (a, b, n) in enumerate(parts):
+            for _, b, more in parts[i + 1 : i + DIGITS[1]]:
+                n += more
+                if n > DIGITS[1]:
                     break
-                if n >= 9 and parts[i][0] < parts[i][1] and parts[j][0] < parts[j][1]:
+                if n >= DIGITS[0]:
                     out.add((a, b))
     taken = sorted((a, b) for _, a, b in spans)
     starts, reach = [a for a, _ in taken], [0, *accumulate((b for _, b in taken), max)]  # the farthest end of the first spans
@@ -322,8 +324,9 @@ def learn(mentions: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame
     open_ = edges.filter("kind < 0").drop("kind").join(rated.select("kind", *PATTERN), PATTERN)
     open_ = cut_lineage(open_.filter("shiftright(fails, kind) & 1 = 0"))
     often = uses.filter("kind < 0").groupBy("instance").agg(F.sum("n").alias("all_n"))
-    believed, found = known, -1
-    for _ in range(ROUNDS):
+    believed, found, rounds = known, -1, 0
+    while True:
+        rounds += 1
         gained = open_.join(believed.select("kind", "instance"), ["kind", "instance"]).groupBy("kind", *PATTERN).agg(F.sum("n").alias("gained"))
         patterns = rated.join(gained, ["kind", *PATTERN], "left")
         patterns = patterns.select("kind", *PATTERN, ((F.col("hits") + F.coalesce("gained", F.lit(0))) / F.col("seen")).alias("confidence")).filter(F.col("confidence") >= MIN_CONFIDENCE)
@@ -332,6 +335,7 @@ def learn(mentions: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame
         before, found = found, accepted.count()
         if found == max(before, 0):  # confidences only grow from round to round: nothing new is nothing more
             break
+    log.info("beliefs settled in round %d: %d candidates", rounds, found)
     return believed
 
 
