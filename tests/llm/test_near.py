@@ -184,6 +184,8 @@ def test_license_scan(spark, monkeypatch, anchored):
             if best >= 0.8:
                 want[i, name] = best
     assert got == pytest.approx(want) and len(want) > 100 and (None, templates[0][0]) in got  # every window that holds a template is found
+    nameless = spark.createDataFrame([(None, c) for _, _, c in templates[:2] * 2], "doc_id long, text string")
+    assert licenses.scan(nameless, licenses.default_templates(spark)).count() >= 4  # rows without a key are documents of their own
     assert licenses.scan(docs.limit(0), licenses.default_templates(spark)).count() == 0
     assert licenses.scan(docs, licenses.default_templates(spark).limit(0)).count() == 0
 

@@ -142,7 +142,7 @@ def scan(docs: DataFrame, templates: DataFrame, key: str = "doc_id", text: str =
 
     ``containment`` is the largest over the document's windows, ``first_word`` the word (from 0) at which the first of the matching
     windows begins, ``n_windows`` how many match. Null and empty texts, texts of fewer than five words and empty tables match nothing; texts of
-    any length are read whole. Rows that repeat a key are read as one document, those with a null key too. Templates need five words. Other columns are not carried.
+    any length are read whole. Rows that repeat a key are read as one document; a row with a null key is a document of its own. Templates need five words. Other columns are not carried.
     """
     spelled = F.split(normalised(F.col("t")), " ")
     known = shingles(templates.select("template_id", "license", F.col("text").alias("t")), "t", "of_template").withColumn("spelled", spelled)
@@ -160,20 +160,21 @@ def scan(docs: DataFrame, templates: DataFrame, key: str = "doc_id", text: str =
     numbered = F.transform("held", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
     hits = F.filter(numbered, lambda s: F.get("bits", F.pmod(s["h"], F.lit(BITS)).cast("int")))
     read = once(read, "hits", hits).filter(F.size("hits") > 0).select("key", "held", "hits", F.monotonically_increasing_id().alias("row"))
+    own = F.when(F.col("key").isNull(), F.col("row")).alias("own")
     read = cut_lineage(read)  # texts with a possible mark only; row numbers stay what they are
     n, step, long = F.col("n"), F.greatest(F.lit(1), F.floor(F.col("n") / STEPS)), F.col("n") * LONG
     first = F.greatest(F.lit(0), F.ceil((F.col("i") - long + 1) / step))
     starts = read.select("row", F.inline("hits")).join(marks, "h").select("row", "n", F.explode(F.sequence(first, F.floor(F.col("i") / step))).alias("k")).distinct()
     at = (F.col("k") * step).cast("int")
-    windows = starts.join(read.select("row", "key", "held"), "row").select("key", n, at.alias("at"), F.array_distinct(F.slice("held", at + 1, long)).alias("window"))
-    of_windows = banded(once(windows, "low", minima(F.col("window"))), "low", "bands").select("key", "n", "at", "window", F.explode("bands").alias("band"))
+    windows = starts.join(read.select("row", "key", "held"), "row").select("key", own, n, at.alias("at"), F.array_distinct(F.slice("held", at + 1, long)).alias("window"))
+    of_windows = banded(once(windows, "low", minima(F.col("window"))), "low", "bands").select("key", "own", "n", "at", "window", F.explode("bands").alias("band"))
     of_templates = banded(known, "low", "bands").select("n", F.explode("bands").alias("band"), "template_id", "license", "of_template").distinct()
     met = of_windows.join(of_templates, ["n", "band"])
     # a window meets a template in many bands: verify, then count each once
     verified = met.withColumn("share", F.size(F.array_intersect("window", "of_template")) / F.size("of_template")).filter(F.col("share") >= containment)
-    each = verified.groupBy("key", "template_id", "license", "at").agg(F.max("share").alias("share"))
-    found = each.groupBy("key", "template_id", "license").agg(F.max("share").alias("containment"), F.min("at").cast("long").alias("first_word"), F.count(F.lit(1)).alias("n_windows"))
-    return found.withColumnRenamed("key", key)
+    each = verified.groupBy("key", "own", "template_id", "license", "at").agg(F.max("share").alias("share"))
+    found = each.groupBy("key", "own", "template_id", "license").agg(F.max("share").alias("containment"), F.min("at").cast("long").alias("first_word"), F.count(F.lit(1)).alias("n_windows"))
+    return found.drop("own").withColumnRenamed("key", key)
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
