@@ -18,9 +18,9 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +33,12 @@ from .shared import cut_lineage, own_name, table
 CUT = re.compile(r"(?<=\S) (?=\S)")
 UNEVEN = re.compile(r"\s | \s|\A | \Z")
 #: Entries of each half of a worker's fragment cache; longest fragment that is cached; rows that are aligned together; pairs that may be broadcast (16 bytes each).
-CACHE_SIZE, CACHED_LENGTH, SLICE, FEW_PAIRS = 100_000, 40, 200, 1_000_000
+CACHE_SIZE, CACHED_LENGTH, SLICE, FEW_PAIRS = 150_000, 40, 200, 1_000_000
 SHIFT = 32
+#: What follows an id in a group's text: another of its side, the other side, the next group.
+MARKS = ",|;"
+#: Of a fragment: tokens of a and of b, its groups as text, its links as 64-bit numbers.
+Aligned = tuple[int, int, str, bytes]
 
 
 def byte_level() -> dict[str, int]:
@@ -91,67 +95,83 @@ class Aligner:
                 raise ValueError("pieces that go on over a space can't be cut before it")
         self.size_a = np.array([len(self.bytes_a.get(i, b"")) for i in range(max(self.bytes_a) + 1)])
         self.size_b = np.array([len(x) for x in self.bytes_b])
-        self.cache: dict[str, tuple | None] = {}
-        self.older: dict[str, tuple | None] = {}
-
-    def align(self, new: list[str]) -> dict[str, tuple | None]:
-        """Of each fragment: number of tokens of a and of b, its groups as text, its links; None if the tokens' bytes are other than its own."""
-        out: dict[str, tuple | None] = dict.fromkeys(new)
+        # every id as text with what may follow it, and how long that is
+        most = max(len(self.size_a), len(self.size_b))
+        self.spelled = [f"{i}{mark}" for mark in MARKS for i in range(most)]
+        self.spelled_size = np.array([len(x) for x in self.spelled])
+        self.most = most
+        self.cache: dict[str, Aligned | None] = {}
+        self.older: dict[str, Aligned | None] = {}
+
+    def align(self, new: list[str]) -> dict[str, Aligned | None]:
+        """The alignment of each fragment; None if the tokens' bytes are other than its own."""
+        out: dict[str, Aligned | None] = dict.fromkeys(new)
         same, ids_a, ids_b = [], [], []
         coded = self.a.encode_batch([f" {f}" for f in new], add_special_tokens=False)
-        for f, a, b in zip(new, (e.ids for e in coded), self.b.encode(new, num_threads=1), strict=True):
+        of_a, of_b = self.bytes_a.__getitem__, self.bytes_b.__getitem__
+        for f, a, b in zip(new, [e.ids for e in coded], self.b.encode(new, num_threads=1), strict=True):
             own = f" {f}".encode()
-            if b"".join(map(self.bytes_a.__getitem__, a)) == own == b"".join(map(self.bytes_b.__getitem__, b)):
+            if b"".join(map(of_a, a)) == own == b"".join(map(of_b, b)):
                 same.append(f)
                 ids_a.append(a)
                 ids_b.append(b)
         if not same:
             return out
-        flat_a, flat_b = (np.fromiter((i for x in ids for i in x), np.int64) for ids in (ids_a, ids_b))
+        n_a, n_b = (np.fromiter(map(len, ids), np.int64, len(ids)) for ids in (ids_a, ids_b))
+        flat_a, flat_b = (np.fromiter(chain.from_iterable(ids), np.int64) for ids in (ids_a, ids_b))
         last_a, last_b = group_labels(np.cumsum(self.size_a[flat_a]), np.cumsum(self.size_b[flat_b]))
-        # a group's last token on either side, in order; labels never fall
-        end_a, end_b = (np.flatnonzero(np.append(x[1:] != x[:-1], True)) for x in (last_a, last_b))
-        links = flat_a[end_a] << SHIFT | flat_b[end_b]
-        text_a, text_b = list(map(str, flat_a.tolist())), list(map(str, flat_b.tolist()))
-        until_a, until_b = (end_a + 1).tolist(), (end_b + 1).tolist()
-        from_a, from_b, g = 0, 0, 0
-        done_a = 0
-        for f, a, b in zip(same, ids_a, ids_b, strict=True):
-            done_a += len(a)
-            groups, first = [], g
-            while from_a < done_a:
-                groups.append(f"{','.join(text_a[from_a : until_a[g]])}|{','.join(text_b[from_b : until_b[g]])}")
-                from_a, from_b = until_a[g], until_b[g]
-                g += 1
-            out[f] = len(a), len(b), ";".join(groups), links[first:g].tolist()
+        # labels never fall: a group's tokens stand together, and its last one is where they change
+        end_a, end_b = (np.append(x[1:] != x[:-1], True) for x in (last_a, last_b))
+        links = (flat_a[end_a] << SHIFT | flat_b[end_b]).tobytes()
+        # all tokens in the order of the text: a group's of a, then its of b
+        group_a, group_b = (np.cumsum(end) - end for end in (end_a, end_b))
+        through_a, through_b = np.flatnonzero(end_a) + 1, np.flatnonzero(end_b) + 1
+        at_a = np.arange(len(flat_a)) + np.concatenate([[0], through_b])[group_a]
+        at_b = np.arange(len(flat_b)) + through_a[group_b]
+        order = np.empty(len(flat_a) + len(flat_b), np.int64)
+        order[at_a] = flat_a + np.where(end_a, self.most, 0)
+        order[at_b] = flat_b + np.where(end_b, 2 * self.most, 0)
+        text = "".join(map(self.spelled.__getitem__, order.tolist()))
+        tokens = np.cumsum(n_a + n_b)
+        until = np.cumsum(self.spelled_size[order])[tokens - 1].tolist()
+        groups = (np.cumsum(end_a)[np.cumsum(n_a) - 1] * 8).tolist()
+        start = first = 0
+        for f, a, b, end, last in zip(same, n_a.tolist(), n_b.tolist(), until, groups, strict=True):
+            out[f] = (a, b, text[start:end], links[first:last])
+            start, first = end, last
         return out
 
-    def _known(self, texts: list[list[str]]) -> dict[str, tuple | None]:
+    def _known(self, texts: list[list[str]]) -> dict[str, Aligned | None]:
         """The alignment of every fragment of some texts."""
-        wanted = {f for x in texts for f in x}
-        found = {f: self.cache[f] if f in self.cache else self.older[f] for f in wanted if f in self.cache or f in self.older}
-        found |= self.align([f for f in wanted if f not in found])
-        kept = {f: x for f, x in found.items() if len(f) <= CACHED_LENGTH}
-        if len(self.cache) + len(kept) > CACHE_SIZE:
+        found: dict[str, Aligned | None] = {}
+        new = []
+        for f in set(chain.from_iterable(texts)):
+            if f in self.cache:
+                found[f] = self.cache[f]
+            elif f in self.older:
+                found[f] = self.cache[f] = self.older[f]
+            else:
+                new.append(f)
+        more = self.align(new)
+        self.cache |= {f: x for f, x in more.items() if len(f) <= CACHED_LENGTH}
+        if len(self.cache) > CACHE_SIZE:
             self.older, self.cache = self.cache, {}
-        self.cache |= kept
-        return found
+        return found | more
 
-    def rows(self, texts: list[str | None]) -> list[tuple[int, int, int, str, dict[int, int]]]:
-        """Of each text: tokens of a and of b, groups, digest of the groups, how often each link stands in it."""
+    def rows(self, texts: list[str | None]) -> list[tuple[int, int, int, str, np.ndarray, np.ndarray]]:
+        """Of each text: tokens of a and of b, groups, digest of the groups, its different links and how often each stands in it."""
         cut = [fragments(x) if x else [] for x in texts]
         known = self._known(cut)
         out = []
         for x in cut:
             parts = list(map(known.__getitem__, x))
             if not parts or None in parts:
-                out.append((0, 0, 0, "", {}))
+                out.append((0, 0, 0, "", *np.zeros((2, 0), np.int64)))
                 continue
             a, b, groups, links = zip(*parts, strict=True)
-            counts: Counter = Counter()
-            for each in links:
-                counts.update(each)
-            out.append((sum(a), sum(b), sum(map(len, links)), hashlib.sha256(";".join(groups).encode()).hexdigest(), counts))
+            linked = np.frombuffer(b"".join(links), np.int64)
+            digest = hashlib.sha256("".join(groups)[:-1].encode()).hexdigest()
+            out.append((sum(a), sum(b), len(linked), digest, *np.unique(linked, return_counts=True)))
         return out
 
 
@@ -182,10 +202,9 @@ def align(docs: DataFrame, text: str = "text", key: str = "doc_id", paths: tuple
         for whole in batches:
             for i in range(0, whole.num_rows, SLICE):
                 b = whole.slice(i, SLICE)
-                n_a, n_b, groups, digests, counts = zip(*e.rows(b.column(2).to_pylist()), strict=True)
-                offsets = np.concatenate([[0], np.cumsum([len(c) for c in counts])]).astype(np.int32)
-                pairs = pa.array([p for c in counts for p in c], pa.int64())
-                times = pa.array([n for c in counts for n in c.values()], pa.int32())
+                n_a, n_b, groups, digests, links, counts = zip(*e.rows(b.column(2).to_pylist()), strict=True)
+                offsets = np.concatenate([[0], np.cumsum([len(x) for x in links])]).astype(np.int32)
+                pairs, times = pa.array(np.concatenate(links)), pa.array(np.concatenate(counts).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), b.column(1), *[pa.array(x, pa.int64()) for x in (n_a, n_b, groups)], pa.array(digests, pa.string()), pa.ListArray.from_arrays(offsets, pairs), pa.ListArray.from_arrays(offsets, times)],
                     names=names,
