@@ -95,17 +95,17 @@ def test_decisions(run):
 
 def test_nothing_of_a_rejected_batch_counts(run):
     store, _, _ = run
-    assert {r[0] for r in store.committed("raw").select("batch_id").distinct().collect()} == {"batch_001", "batch_002"}
-    assert {r[0] for r in store.committed("versions").select("batch_id").distinct().collect()} == {"batch_001", "batch_002"}
+    assert {r[0] for r in store.read("raw").select("batch_id").distinct().collect()} == {"batch_001", "batch_002"}
+    assert {r[0] for r in store.read("versions").select("batch_id").distinct().collect()} == {"batch_001", "batch_002"}
 
 
 def test_batches_read_touched_buckets_only(run, config):
     store, _, _ = run
     held = store.read("held").select("encounter_key", delivery.BUCKET).distinct().collect()
     assert {r[1] for r in store.read("held").select("encounter_key", delivery.key_bucket(config).alias("b")).distinct().collect()} == {r[1] for r in held}
-    plan = store.committed("held", [held[0][1]])._jdf.queryExecution().executedPlan().toString()
+    plan = delivery.committed(store, "held", [held[0][1]])._jdf.queryExecution().executedPlan().toString()
     assert any("PartitionFilters" in line and delivery.BUCKET in line.split("PartitionFilters")[1].split("]")[0] for line in plan.splitlines())
-    assert delivery.BUCKET not in store.committed("fields").columns
+    assert delivery.BUCKET not in delivery.committed(store, "fields").columns
 
 
 def test_a_batch_without_versions_comes_first(spark, config, tmp_path):
@@ -128,9 +128,9 @@ def test_a_first_batch_that_dies_is_repeated(spark, config, tmp_path, monkeypatc
     with monkeypatch.context() as m, pytest.raises(RuntimeError, match="lost driver"):
         m.setattr(delivery, "_commit", die)
         delivery.run_pending(store, str(root), config)
-    assert store.committed("held").count() == 0
+    assert not store.exists("held") and not store.exists("raw")
     assert delivery.run_pending(store, str(root), config) == {"batch_001": "ACCEPTED"}
-    assert audit(store)["batch_001", "a.csv"]["new_encounter"] == 2 and store.committed("held").count() == 2
+    assert audit(store)["batch_001", "a.csv"]["new_encounter"] == 2 and store.read("held").count() == 2
 
 
 def test_a_store_of_an_earlier_layout_is_refused(spark, config, tmp_path):
@@ -146,6 +146,7 @@ def test_a_repeated_attempt_replaces_the_first(spark, tmp_path):
     store = delivery.Store(spark, str(tmp_path / "store"))
     rows = spark.sql("SELECT 'batch_001' AS batch_id, id, CAST(id AS INT) AS b FROM range(4)")
     store.append("t", rows, "batch_001", ["b"])
+    assert store.rows("t") == store.rows("t", "batch_001") == 4
     store.append("t", rows.filter("id = 2").withColumn("more", F.lit(1)), "batch_001", ["b"])
     assert [(r["id"], r["more"]) for r in store.read("t").collect()] == [(2, 1)]
     store.append("t", rows.filter("id > 9"), "batch_001", ["b"])
@@ -160,7 +161,7 @@ def test_a_second_run_finds_nothing_to_do(run, config):
 def test_replay_gives_what_the_batches_gave(run, config):
     store, _, _ = run
     columns = ["batch_id", "file_name", "source_row_number", "outcome", "outcome_reason", "match_type", "version_key"]
-    assert quality.symmetric_difference(store.committed("outcomes").select(*columns), delivery.replay_history(store, config).select(*columns)).count() == 0
+    assert quality.symmetric_difference(store.read("outcomes").select(*columns), delivery.replay_history(store, config).select(*columns)).count() == 0
 
 
 def test_mart(run, config):

@@ -1,14 +1,13 @@
-"""Delivery runs: validate batches, load, classify, clean, gate, commit; then rebuild what is derived.
+"""Delivery runs: validate batches, load, classify, clean, gate, publish; then rebuild what is derived.
 
-Tables are Parquet folders under one root, partitioned by ``batch_id`` where they are appended to. A batch is committed by its audit
-rows, which are written last: readers take only batches whose audit says ACCEPTED, so a run that died leaves nothing
-that counts, and repeating it writes the batch's partitions anew. What later batches look up by record (``held``, ``fields``) is also
-partitioned by a bucket of the record's key, so that a batch reads the history of the buckets it touches only.
+Tables are folders of Parquet that a log publishes (``sources.store``). All that a batch writes, its audit rows included, becomes visible with one
+entry of the log, or, if the batch is rejected, its audit rows and gate issues only; a run that died leaves nothing that counts. The mart and the
+quality report are published together too, and only if no invariant fails. What later batches look up by record (``held``, ``fields``) is in folders
+by a bucket of the record's key, so that a batch reads the history of the buckets it touches only.
 """
 
 from __future__ import annotations
 
-import json
 import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -17,7 +16,6 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from ..functions import cleaning as clean
 from ..functions.keys import keyed_hash, record_key, version_key
@@ -25,6 +23,7 @@ from ..functions.text import expand, once, strip
 from ..operators import dimensions, facts, history, identity, quality
 from ..operators.checks import GATE_SOURCES
 from ..sources import exports, landing, reference
+from ..sources.store import Store, Tables, Transaction
 
 LINEAGE = ["file_name", "source_row_number"]
 BUCKET = "key_bucket"
@@ -47,54 +46,10 @@ class Config:
     key_buckets: int = 64
 
 
-class Store:
-    """The tables of one root folder."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-
-    def append(self, name: str, df: DataFrame, batch_id: str, by: Sequence[str] = ()) -> None:
-        """Write a batch's rows of a table, in folders by ``by`` too. What an attempt that died left of the batch goes first."""
-        self._delete(f"{self.root}/{name}/batch_id={batch_id}")
-        self._note_schema(name, df)
-        rows = df.hint("rebalance", *by) if by else df
-        rows.write.mode("append").partitionBy("batch_id", *by).parquet(f"{self.root}/{name}")
-
-    def _note_schema(self, name: str, df: DataFrame) -> None:
-        """Keep a table's columns beside it: an empty batch leaves no file to infer them from, and later batches may have more."""
-        known = self._schemas(name)
-        if known is None or any(f.name not in known.names for f in df.schema):
-            fields = [*(known or []), *[f for f in df.schema if known is None or f.name not in known.names]]
-            self.spark.createDataFrame([(StructType(fields).json(),)], "value string").write.mode("overwrite").text(f"{self.root}/_schemas/{name}")
-
-    def _schemas(self, name: str) -> StructType | None:
-        if not self.exists(f"_schemas/{name}"):
-            return None
-        return StructType.fromJson(json.loads(self.spark.read.text(f"{self.root}/_schemas/{name}", wholetext=True).first()[0]))
-
-    def _delete(self, folder: str) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-
-    def replace(self, name: str, df: DataFrame) -> None:
-        df.write.mode("overwrite").parquet(f"{self.root}/{name}")
-
-    def exists(self, name: str) -> bool:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
-
-    def read(self, name: str) -> DataFrame:
-        schema = self._schemas(name)
-        reader = self.spark.read.option("mergeSchema", "false") if schema is None else self.spark.read.schema(schema)
-        return reader.parquet(f"{self.root}/{name}")
-
-    def committed(self, name: str, buckets: Sequence[int] | None = None) -> DataFrame:
-        """A table's rows of accepted batches; with ``buckets``, those of these buckets of record keys: no other folder is read."""
-        rows = self.read(name) if buckets is None else self.read(name).filter(F.col(BUCKET).isin(list(buckets)))
-        if not self.exists("audit"):  # the first batch was never decided
-            return rows.drop(BUCKET).limit(0)
-        accepted = self.read("audit").filter("status = 'ACCEPTED'").select("batch_id").distinct()
-        return rows.drop(BUCKET).join(accepted, "batch_id", "left_semi")
+def committed(tables: Tables, name: str, buckets: Sequence[int] | None = None) -> DataFrame:
+    """A table's rows of batches; with ``buckets``, those of these buckets of record keys: no other folder is read."""
+    rows = tables.read(name)
+    return (rows if buckets is None else rows.filter(F.col(BUCKET).isin(list(buckets)))).drop(BUCKET)
 
 
 AUDIT = "file_name string, source_system string, expected_count bigint, received_count bigint, status string, reason string, new_encounter bigint, new_version bigint, duplicate bigint, stale bigint, stale_new_version bigint, quarantined bigint, history_rows bigint, current_changed bigint, accepted_count bigint, reconciliation_status string, start_time timestamp_ntz, end_time timestamp_ntz, batch_id string"
@@ -160,106 +115,127 @@ def cleaned_fields(versions: DataFrame, config: Config) -> DataFrame:
     )
 
 
-def run_batch(store: Store, files: DataFrame, batch_id: str, config: Config) -> str:
-    """Validate, load, classify, clean and gate one batch; returns ACCEPTED or REJECTED. The audit rows are written last."""
+def run_batch(store: Store, landing_folder: str, batch_id: str, config: Config) -> str:
+    """Validate, load, classify, clean and gate one batch; returns ACCEPTED or REJECTED. Only the batch's own folder is read. Everything is published at once."""
     began = datetime.now(timezone.utc)
-    own = files.filter(F.col("batch_id") == batch_id)
+    spark, t = store.spark, store.begin()
     kept: list[DataFrame] = []
 
     def keep(df: DataFrame) -> DataFrame:
         kept.append(df.persist())
         return kept[-1]
 
+    listed = landing.scan_batches(spark, landing_folder, [batch_id])
+    own = keep(landing.hashed(spark, listed))
     contract_files = config.contracts.select("source_system", "file_name").distinct()
     entries, manifest_failures = landing.read_manifests(own, contract_files)
-    records = keep(landing.read_strict_csv(own))
+    entries = keep(entries)
+    records = keep(landing.read_records(spark, listed))
     try:
         failures, matched = landing.check_files(own, entries, records, config.contracts)
         received = records.filter("kind <> 'failure'").groupBy("batch_id", "file_name").agg(F.count_if(F.col("kind") == "record").alias("received"))
         audit = keep(landing.decide_batches(entries, manifest_failures, failures, received))
         # the decision is a handful of rows: one per file of the batch
         if audit.filter("status = 'REJECTED'").head(1):
-            _commit(store, audit, batch_id, began)
+            _commit(t, audit, batch_id, began)
             return "REJECTED"
         raw = landing.to_canonical(records, matched, config.canonical)
         stamped = entries.select("batch_id", "file_name", clean.delivered_date(F.col("delivered_at")).alias("delivered_date"), F.col("sha256").alias("file_sha256"))
-        store.append("raw", raw.join(F.broadcast(stamped), ["batch_id", "file_name"]), batch_id)
-        store.append("ingested", matched.select("batch_id", "file_name", "source_system", "version", F.col("fields").alias("source_header")).join(stamped.withColumnRenamed("file_sha256", "sha256"), ["batch_id", "file_name"]).join(entries.select("batch_id", "file_name", "row_count"), ["batch_id", "file_name"]), batch_id)
-        loaded = store.read("raw").filter(F.col("batch_id") == batch_id)
+        loaded = t.append("raw", raw.join(F.broadcast(stamped), ["batch_id", "file_name"]), batch_id)
+        _require_rows(t, "raw", batch_id, entries.agg(F.sum("row_count")).first()[0])
+        ingested = matched.select("batch_id", "file_name", "source_system", "version", F.col("fields").alias("source_header")).join(stamped.withColumnRenamed("file_sha256", "sha256"), ["batch_id", "file_name"])
+        t.append("ingested", ingested.join(entries.select("batch_id", "file_name", "row_count"), ["batch_id", "file_name"]).join(own.select("batch_id", "file_name", "length", "modified"), ["batch_id", "file_name"]), batch_id)
         rows = observed(loaded, config.conventions)
         options = {"values": list(config.canonical), "loose": ["last_updated_ts"], "ts_reason": "version_ts_reason", "blank": F.col("encounter_key").isNull()}
         rows = keep(rows.withColumn(BUCKET, key_bucket(config)))
         # at most ``key_buckets`` numbers
         touched = [r[0] for r in rows.filter("version_key IS NOT NULL").select(BUCKET).distinct().collect()]
-        before = F.col("batch_id") < batch_id
         compared = ["batch_id", *LINEAGE, "encounter_key", "version_ts", *config.canonical]
-        if store.exists("versions") and not store.exists("held"):  # ``held`` is written first
+        if t.exists("versions") and not t.exists("held"):
             raise ValueError("the store has versions but no table 'held': it is of an earlier layout, run its batches into a new one")
-        held = store.committed("held", touched).filter(before) if store.exists("held") else rows.limit(0).select(*compared)
+        earlier = {n: committed(t, n, touched).filter(F.col("batch_id") < batch_id) for n in ("held", "fields") if t.exists(n)}
+        held = earlier.get("held", rows.limit(0).select(*compared))
         numbered = lambda df: df.withColumn("batch_no", F.regexp_extract("batch_id", "([0-9]+)", 1).cast("int"))
         classified = keep(history.classify_batch(numbered(rows), numbered(held), ["encounter_key"], "version_ts", "batch_no", LINEAGE, **options))
         outcomes = classified.select("batch_id", *LINEAGE, F.col("file_source_system").alias("source_system"), "source_record_id", "encounter_key", "version_key", "outcome", "outcome_reason", "match_type")
         added = history.new_versions(classified)
-        fields = keep(cleaned_fields(added, config))
-        store.append("outcomes", outcomes, batch_id)
-        store.append("held", added.select(*compared, BUCKET), batch_id, [BUCKET])
-        store.append("versions", added.select("batch_id", *LINEAGE, "version_key", "encounter_key", F.col("file_source_system").alias("source_system"), "source_record_id", F.col("version_ts").alias("last_updated_ts_utc"), F.col("outcome").alias("arrival_outcome")), batch_id)
-        store.append("fields", fields, batch_id, [BUCKET])
+        outcomes = t.append("outcomes", outcomes, batch_id)
+        _require_rows(t, "outcomes", batch_id, t.rows("raw", batch_id))
+        t.append("held", added.select(*compared, BUCKET), batch_id, [BUCKET])
+        t.append("versions", added.select("batch_id", *LINEAGE, "version_key", "encounter_key", F.col("file_source_system").alias("source_system"), "source_record_id", F.col("version_ts").alias("last_updated_ts_utc"), F.col("outcome").alias("arrival_outcome")), batch_id)
+        fields = t.append("fields", cleaned_fields(added, config), batch_id, [BUCKET])
+        for n in ("held", "fields"):
+            _require_rows(t, n, batch_id, t.rows("versions", batch_id))
         counts = history.outcome_counts(classified, ["batch_id", "file_name"], ["encounter_key"])
         expected = entries.select("batch_id", "file_name", "row_count")
         quality.require_none(history.reconcile(counts, expected, ["batch_id", "file_name"]), "the batch doesn't reconcile")
         read = ["version_key", *GATE_SOURCES]
-        every = fields if not store.exists("audit") else store.committed("fields", touched).filter(before).select(*read).unionByName(fields.select(*read))
+        every = earlier["fields"].select(*read).unionByName(fields.select(*read)) if "fields" in earlier else fields
         keys = ["batch_id", *LINEAGE, "source_system", "source_record_id"]
         issues = keep(quality.gate_issues(outcomes, every, "version_key", keys, GATE_SOURCES))
         gate = quality.publish_gate(outcomes, issues, "batch_id", LINEAGE, config.max_error_share)
         if gate.filter("failed").head(1):
-            store.append("gate_rejected_issues", issues, batch_id)
-            _commit(store, audit.withColumns({"status": F.lit("REJECTED"), "reason": F.lit("DQ_GATE_FAILED")}), batch_id, began)
+            t.discard("raw", "ingested", "outcomes", "held", "versions", "fields")
+            t.append("gate_rejected_issues", issues, batch_id)
+            _commit(t, audit.withColumns({"status": F.lit("REJECTED"), "reason": F.lit("DQ_GATE_FAILED")}), batch_id, began)
             return "REJECTED"
-        flags = landing.duplicate_files(own, store.committed("ingested").filter(F.col("batch_id") < batch_id)) if store.exists("audit") else None
-        if flags is not None:
-            audit = audit.join(flags, ["batch_id", "file_name"], "left").withColumn("reason", F.coalesce("reason", "flag")).drop("flag")
+        flags = landing.duplicate_files(own, t.read("ingested").filter(F.col("batch_id") < batch_id))
+        audit = audit.join(flags, ["batch_id", "file_name"], "left").withColumn("reason", F.coalesce("reason", "flag")).drop("flag")
         # the batch reconciled above, or it had not come this far
         done = audit.join(counts.drop("received"), ["batch_id", "file_name"], "left")
-        _commit(store, done.withColumns({"accepted_count": F.col("new_encounter") + F.col("new_version"), "reconciliation_status": F.lit("RECONCILED")}), batch_id, began)
+        _commit(t, done.withColumns({"accepted_count": F.col("new_encounter") + F.col("new_version"), "reconciliation_status": F.lit("RECONCILED")}), batch_id, began)
         return "ACCEPTED"
     finally:
         for df in kept:  # the caller's own cached tables stay
             df.unpersist()
 
 
-def _commit(store: Store, audit: DataFrame, batch_id: str, began: datetime) -> None:
-    """Write audit rows; nothing of a rejected file is accepted."""
-    utc = lambda t: F.lit(t.replace(tzinfo=None).isoformat(" ")).cast("timestamp_ntz")
+def _require_rows(t: Transaction, name: str, batch_id: str, expected: int | None) -> None:
+    """The rows that were counted as they were written are those that must be there: none was lost or doubled."""
+    if t.rows(name, batch_id) != (expected or 0):
+        raise quality.PipelineError(f"{name}: {t.rows(name, batch_id)} rows written, {expected or 0} expected")
+
+
+def _commit(t: Transaction, audit: DataFrame, batch_id: str, began: datetime) -> None:
+    """Write audit rows and publish; nothing of a rejected file is accepted."""
+    utc = lambda x: F.lit(x.replace(tzinfo=None).isoformat(" ")).cast("timestamp_ntz")
     audit = audit.withColumns({"start_time": utc(began), "end_time": utc(datetime.now(timezone.utc)), "accepted_count": F.col("accepted_count") if "accepted_count" in audit.columns else F.lit(0)})
     kinds = dict(x.rsplit(" ", 1) for x in AUDIT.split(", "))
-    store.append("audit", audit.select(*[(F.col(c) if c in audit.columns else F.lit(None)).cast(k).alias(c) for c, k in kinds.items()]), batch_id)
+    t.append("audit", audit.select(*[(F.col(c) if c in audit.columns else F.lit(None)).cast(k).alias(c) for c, k in kinds.items()]), batch_id)
+    t.commit()
 
 
 def run_pending(store: Store, landing_folder: str, config: Config) -> dict[str, str]:
     """All batches without audit rows, in order; each is final once it is decided. A configuration with problems is refused; a processed batch whose
-    folder now holds other data is left as it is, with a warning."""
+    folder now holds other data is left as it is, with a warning: of processed batches only those are read whose listing has changed."""
     require_usable(config)
-    files = landing.scan_batches(store.spark, landing_folder)
+    spark = store.spark
+    listed = landing.scan_batches(spark, landing_folder)
     if store.exists("ingested"):
-        changed = landing.changed_redelivery(files.filter(F.col("file_name") != landing.MANIFEST), store.committed("ingested")).orderBy("batch_id").limit(20).collect()
-        if changed:
-            warnings.warn(f"delivered anew with other data, not read again: {', '.join(r['batch_id'] for r in changed)}", stacklevel=2)
-    batches = files.select("batch_id").distinct()
+        then = store.read("ingested")
+        data = listed.filter(F.col("file_name") != landing.MANIFEST)
+        suspects = [r[0] for r in landing.suspected_redelivery(data, then).collect()]  # names of folders that were touched
+        if suspects:
+            now = landing.hashed(spark, landing.scan_batches(spark, landing_folder, suspects).filter(F.col("file_name") != landing.MANIFEST))
+            changed = landing.changed_redelivery(now, then.filter(F.col("batch_id").isin(suspects))).orderBy("batch_id").limit(20).collect()
+            if changed:
+                warnings.warn(f"delivered anew with other data, not read again: {', '.join(r['batch_id'] for r in changed)}", stacklevel=2)
+    batches = listed.select("batch_id").distinct()
     pending = landing.pending_batches(batches, store.read("audit")) if store.exists("audit") else batches.orderBy("batch_id")
-    return {r["batch_id"]: run_batch(store, files, r["batch_id"], config) for r in pending.collect()}  # one row per delivered folder
+    return {r["batch_id"]: run_batch(store, landing_folder, r["batch_id"], config) for r in pending.collect()}  # one row per delivered folder
 
 
-def replay_history(store: Store, config: Config) -> DataFrame:
+def replay_history(store: Tables, config: Config) -> DataFrame:
     """All accepted rows classified in one pass: what the batches gave one by one."""
-    rows = observed(store.committed("raw"), config.conventions).withColumn("batch_no", F.regexp_extract("batch_id", "([0-9]+)", 1).cast("int"))
+    rows = observed(store.read("raw"), config.conventions).withColumn("batch_no", F.regexp_extract("batch_id", "([0-9]+)", 1).cast("int"))
     return history.classify_history(rows, ["encounter_key"], "version_ts", "batch_no", LINEAGE, list(config.canonical), loose=["last_updated_ts"], ts_reason="version_ts_reason", blank=F.col("encounter_key").isNull())
 
 
-def people(store: Store, config: Config) -> DataFrame:
+def people(store: Tables, config: Config) -> DataFrame:
     """Attributes per raw row that identify nobody: key, link status, sex, age band, ZIP area. Recomputed from all accepted rows."""
-    rows = store.committed("raw").join(F.broadcast(config.conventions.select(F.col("source_system").alias("file_source_system"), "date_order", "century")), "file_source_system")
+    conventions = config.conventions.select(F.col("source_system").alias("file_source_system"), "date_order", "century").withColumn("_known", F.lit(True))
+    rows = store.read("raw").join(conventions, "file_source_system", "left")  # a row is never lost here
+    quality.require_none(rows.filter("_known IS NULL").select("file_source_system").distinct(), "systems without conventions")
     for out, c in (("_dob", "patient_dob"), ("_adm", "admit_date")):
         rows = clean.clean_date(rows, out, F.col(c), F.col("date_order"), F.col("century"), F.col("delivered_date"))
     rows = once(rows, _born=F.col("_dob.value"), _admit=F.col("_adm.value"), _sex=clean.clean_sex(F.col("patient_sex")), _last=clean.clean_last_name(F.col("patient_last_name"))["value"], _first=clean.clean_first_name(F.col("patient_first_name"))["value"])
@@ -275,9 +251,26 @@ def people(store: Store, config: Config) -> DataFrame:
     )
 
 
-def rebuild_mart(store: Store, config: Config) -> dict[str, DataFrame]:
-    """Dimensions, facts, issues and quarantine from the committed history, each written whole; returns them by name."""
-    versions, fields = store.committed("versions"), store.committed("fields")
+def publish_mart(store: Store, config: Config) -> dict[str, DataFrame]:
+    """Rebuild the mart and the quality report and publish both, unless something is wrong with them: then what was published before stays."""
+    t = store.begin()
+    rebuild_mart(t, config)
+    quality_report(t, config)
+    t.commit()
+    return {n: store.read(n) for n in (*MART, "dq_report")}
+
+
+MART = ("dim_provider", "dim_facility", "dim_payer", "dim_diagnosis", "dim_date", "dim_patient", "fact_version", "fact_current", "issues", "quarantine")
+
+
+def rebuild_mart(store: Store | Transaction, config: Config) -> dict[str, DataFrame]:
+    """Dimensions, facts, issues and quarantine from the published history, each written whole; returns them by name. On a store they are published together."""
+    if isinstance(store, Store):
+        t = store.begin()
+        rebuild_mart(t, config)
+        t.commit()
+        return {n: store.read(n) for n in MART}
+    versions, fields = committed(store, "versions"), committed(store, "fields")
     store.replace("people", people(store, config))
     attributes = ["provider_last_name", "provider_first_name", "credential", "specialty", "primary_facility_id", "employment_status"]
     carried = [c for c in ("file_name", "source_row_number") if c in config.rosters.columns]
@@ -306,34 +299,34 @@ def rebuild_mart(store: Store, config: Config) -> dict[str, DataFrame]:
     quality.require_none(quality.duplicate_rows(store.read("issues"), ["version_key", "check_code"]), "two issues of one check")
     store.replace("dim_patient", identity.latest_attributes(facts_now, "patient_key", ["last_updated_ts_utc", "batch_id", *LINEAGE], ["patient_link_status", "patient_link_reason", "sex", "sex_reason", "zip3", "zip3_reason"], ["sex", "zip3"]))
     rejected = store.read("gate_rejected_issues") if store.exists("gate_rejected_issues") else store.read("issues").limit(0).select("batch_id", *LINEAGE, "source_system", "source_record_id", "check_code", "reason_code")
-    store.replace("quarantine", quality.quarantine(store.read("audit"), rejected, store.committed("outcomes"), store.read("issues"), current))
-    names = ("dim_provider", "dim_facility", "dim_payer", "dim_diagnosis", "dim_date", "dim_patient", "fact_version", "fact_current", "issues", "quarantine")
-    return {n: store.read(n) for n in names}
+    store.replace("quarantine", quality.quarantine(store.read("audit"), rejected, committed(store, "outcomes"), store.read("issues"), current))
+    return {n: store.read(n) for n in MART}
 
 
-def cohort(store: Store, year: int = 2024, least: str = "5000.00") -> DataFrame:
+def cohort(store: Tables, year: int = 2024, least: str = "5000.00") -> DataFrame:
     """The cohort of chronic conditions over the rebuilt star schema."""
     current = store.read("fact_current").withColumnsRenamed({"batch_id": "source_batch_id", "file_name": "source_file_name"})
     return facts.chronic_acute_cohort(current, store.read("issues"), store.read("dim_facility"), store.read("dim_diagnosis"), store.read("dim_provider"), year, least)
 
 
-def quality_report(store: Store, config: Config) -> DataFrame:
-    """The quality report, stored; a failed invariant raises, since the tables then contradict the library's own rules."""
-    store.replace("dq_report", build_report(store, config))
-    report = store.read("dq_report")
+def quality_report(store: Store | Transaction, config: Config) -> DataFrame:
+    """The quality report; a failed invariant raises before anything is published, since the tables then contradict the library's own rules."""
+    t = store.begin() if isinstance(store, Store) else store
+    report = t.replace("dq_report", build_report(t, config))
     quality.require_none(quality.failed_invariants(report), "failed invariants")
+    if isinstance(store, Store):
+        t.commit()
     return report
 
 
-def export_all(store: Store, config: Config, folder: str) -> None:
+def export_all(store: Tables, config: Config, folder: str) -> None:
     """All exported tables, the audit and the cohort as CSV. Needs ``rebuild_mart`` and ``quality_report`` first."""
-    committed = ("versions", "outcomes", "fields")
-    exports.export_tables({n: store.committed(n) if n in committed else store.read(n) for n in exports.EXPORTED}, folder)
+    exports.export_tables({n: committed(store, n) if n in ("versions", "outcomes", "fields") else store.read(n) for n in exports.EXPORTED}, folder)
     exports.export_audit(store.read("audit"), f"{folder.rstrip('/')}/batch_audit")
     exports.export_cohort(cohort(store), f"{folder.rstrip('/')}/chronic_acute_encounters")
 
 
-def build_report(store: Store, config: Config) -> DataFrame:
+def build_report(store: Tables, config: Config) -> DataFrame:
     """The whole quality report: 51 rows per file, two per batch, one more per rejected batch. Needs ``rebuild_mart`` first.
 
     Every number is an aggregate by (batch, file); the report joins a handful of such small tables.
@@ -344,7 +337,7 @@ def build_report(store: Store, config: Config) -> DataFrame:
     files = audit.filter(F.col("file_name") != landing.MANIFEST).withColumnRenamed("status", "batch_status")
     accepted, rejected = files.filter("batch_status = 'ACCEPTED'"), files.filter("batch_status = 'REJECTED'")
     null, no = F.lit(None).cast("bigint"), F.lit(False)
-    issues, outcomes, facts_v = store.read("issues"), store.committed("outcomes"), store.read("fact_version")
+    issues, outcomes, facts_v = store.read("issues"), committed(store, "outcomes"), store.read("fact_version")
 
     def counts(df: DataFrame, check: Column | str, evaluated: Column, observed: Column, expected: Column = null, codes: Column | None = None) -> DataFrame:
         check = F.lit(check) if isinstance(check, str) else check
@@ -352,11 +345,11 @@ def build_report(store: Store, config: Config) -> DataFrame:
         return df.select(*by, check.alias("check_code"), evaluated.cast("bigint").alias("evaluated"), observed.cast("bigint").alias("observed"), expected.cast("bigint").alias("expected"), codes.alias("reason_codes"), no.alias("not_evaluated"))
 
     per_table = quality.rows_per_file({
-        "raw": (store.committed("raw"), *by), "outcomes": (outcomes, *by), "people": (store.read("people"), *by), "versions": (store.committed("versions"), *by), "fields": (store.committed("fields"), *by),
+        "raw": (committed(store, "raw"), *by), "outcomes": (outcomes, *by), "people": (store.read("people"), *by), "versions": (committed(store, "versions"), *by), "fields": (committed(store, "fields"), *by),
         "facts": (facts_v, *by), "current": (store.read("fact_current"), *by), "quarantine": (store.read("quarantine").filter("quarantine_source IN ('HISTORY_ORDERING', 'VERSION_DQ')"), *by),
     }).groupBy(*by).pivot("table", ["raw", "outcomes", "people", "versions", "fields", "facts", "current", "quarantine"]).agg(F.sum("n"))
     errors = issues.filter("severity = 'ERROR'").groupBy(*by).agg(F.countDistinct("version_key").alias("error_versions"))
-    worst = quality.worst_severity(store.committed("versions"), issues, "version_key").join(store.committed("versions").select("version_key", *by), "version_key").groupBy(*by).agg(F.count(F.lit(1)).alias("partition"))
+    worst = quality.worst_severity(committed(store, "versions"), issues, "version_key").join(committed(store, "versions").select("version_key", *by), "version_key").groupBy(*by).agg(F.count(F.lit(1)).alias("partition"))
     history_expected = outcomes.groupBy(*by).agg(F.count_if(F.col("outcome").isin(*history.CREATES_VERSION) | (F.coalesce("outcome_reason", F.lit("")) == "STALE_NEW_VERSION")).alias("history_expected"))
     base = accepted.join(per_table, by, "left").join(errors, by, "left").join(worst, by, "left").join(history_expected, by, "left").fillna(0)
     c = F.col
@@ -366,13 +359,13 @@ def build_report(store: Store, config: Config) -> DataFrame:
         "RECON_FACT_VERSION_ROWS": ("versions", "facts", c("versions")), "RECON_DQ_PARTITION": ("versions", "in_partition", c("versions")), "RECON_CURRENT_ROWS": ("versions", "current", null), "ROW_COUNT_MATCH": ("one", "received_count", c("expected_count")),
     }
     # issues that no version accounts for make a file's partition too large
-    strays = quality.issues_without_version(issues, store.committed("versions"), ["version_key", *by, "source_row_number"]).groupBy(*by).agg(F.count_distinct("version_key").alias("strays"))
+    strays = quality.issues_without_version(issues, committed(store, "versions"), ["version_key", *by, "source_row_number"]).groupBy(*by).agg(F.count_distinct("version_key").alias("strays"))
     base = base.join(strays, by, "left").withColumns({"one": F.lit(1), "in_partition": F.col("partition") + F.coalesce("strays", F.lit(0))})
     structs = F.array(*[F.struct(F.lit(k).alias("k"), c(a).cast("bigint").alias("a"), c(b).cast("bigint").alias("b"), x.cast("bigint").alias("x")) for k, (a, b, x) in measured.items()])
     parts = [counts(base.withColumn("m", F.explode(structs)), c("m.k"), c("m.a"), c("m.b"), c("m.x"))]
     structural = [s for s in quality.catalogue.STRUCTURAL if s != "ROW_COUNT_MATCH"]
     parts.append(counts(base.withColumn("k", F.explode(F.array(*[F.lit(s) for s in structural]))), c("k"), F.lit(1), F.lit(0)))
-    changed = quality.schema_version_changes(store.committed("ingested"), "source_system", "batch_id", "version").select(*by, F.lit(1).alias("changed"))
+    changed = quality.schema_version_changes(committed(store, "ingested"), "source_system", "batch_id", "version").select(*by, F.lit(1).alias("changed"))
     flags = base.join(changed, by, "left").withColumns({"changed": F.coalesce("changed", F.lit(0)), "again": F.startswith(F.coalesce("reason", F.lit("")), F.lit("DUPLICATE_FILE")).cast("int")})
     parts.append(counts(flags, "SCHEMA_VERSION_CHANGED", F.lit(1), c("changed"), codes=F.when(c("changed") == 1, "SCHEMA_VERSION_CHANGED")))
     parts.append(counts(flags, "DUPLICATE_FILE", F.lit(1), c("again"), codes=F.when(c("again") == 1, "DUPLICATE_FILE")))
@@ -400,11 +393,11 @@ def build_report(store: Store, config: Config) -> DataFrame:
     parts.append(failing("FK_FACT_DATE", dates[0].unionByName(dates[1]).distinct()))
     valued = [x for x in ("facility_id", "patient_key", "zip3", "attending_npi", "provider_sk", "admit_date", "discharge_date", "length_of_stay_days", "encounter_type", "claim_status", "primary_dx_code", "payer_category", "billed_amount_usd")]
     parts.append(failing("VALUE_REASON_CONSISTENT", quality.inconsistent_reasons(facts_v, valued, ["age_band", "sex"])))
-    current = history.current_state(store.committed("versions"), ["encounter_key"], "last_updated_ts_utc", ["batch_id", *LINEAGE], "batch_id")
+    current = history.current_state(committed(store, "versions"), ["encounter_key"], "last_updated_ts_utc", ["batch_id", *LINEAGE], "batch_id")
     same = ["encounter_key", "version_key", "version_count", *by, "source_row_number"]
     parts.append(failing("CURRENT_MATCHES_HISTORY", quality.symmetric_difference(store.read("fact_current").select(*same), current.select(*same))))
     twice = []
-    for table, keys in ((facts_v, ["version_key"]), (store.read("fact_current"), ["encounter_key"]), (store.committed("versions"), ["version_key"]), (store.committed("fields"), ["version_key"]), (issues, ["version_key", "check_code"])):
+    for table, keys in ((facts_v, ["version_key"]), (store.read("fact_current"), ["encounter_key"]), (committed(store, "versions"), ["version_key"]), (committed(store, "fields"), ["version_key"]), (issues, ["version_key", "check_code"])):
         twice.append(table.join(quality.duplicate_rows(table, keys).select(*keys), keys, "left_semi").select(*by))
     repeated = twice[0]
     for t in twice[1:]:
@@ -436,7 +429,7 @@ def build_report(store: Store, config: Config) -> DataFrame:
         batches = batches.join(stored, "batch_id", "left")
     else:
         batches = batches.withColumn("stored", null)
-    loaded = quality.rows_per_file({n: (store.committed(n), *by) for n in ("raw", "outcomes", "versions", "fields")}).groupBy("batch_id").agg(F.sum("n").alias("loaded"))
+    loaded = quality.rows_per_file({n: (committed(store, n), *by) for n in ("raw", "outcomes", "versions", "fields")}).groupBy("batch_id").agg(F.sum("n").alias("loaded"))
     batches = batches.join(loaded, "batch_id", "left")
     is_rejected = c("batch_status") == "REJECTED"
 

@@ -66,7 +66,7 @@ def cut(files: DataFrame, size: int = RANGE_BYTES) -> DataFrame:
 def read_ranges(spark: SparkSession, paths: list[str], size: int = RANGE_BYTES) -> DataFrame:
     """Ranges of files in folders named by their batch. A file that is larger than Spark's partitions is read by several tasks."""
     lines = spark.read.option("lineSep", "\n").text(paths)
-    path = F.col("_metadata.file_path")
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     lines = lines.select(F.regexp_extract(path, r"([^/]+)/[^/]+\z", 1).alias("batch_id"), F.regexp_extract(path, r"([^/]+)\z", 1).alias("file_name"), F.col("_metadata.file_block_start").alias("start"), F.col("value").cast("binary").alias("content"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
