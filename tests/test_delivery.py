@@ -247,11 +247,19 @@ def test_every_table_is_exported(run, config, spark, tmp_path):
     store, _, _ = run
     delivery.rebuild_mart(store, config)
     delivery.quality_report(store, config)
+    written = []
     for _ in range(2):  # the second replaces the first
         delivery.export_all(store, config, str(tmp_path))
-    names = {p.name for p in tmp_path.iterdir() if not p.name.startswith(".")}
-    assert names == {*exports.EXPORTED, "batch_audit", "chronic_acute_encounters"} and len(exports.EXPORTED) == 15
-    read = lambda n: spark.read.csv(str(tmp_path / n), header=True).collect()
+        written.append({p.name: p.read_bytes() for p in tmp_path.iterdir() if not p.name.startswith(".")})
+    assert written[0] == written[1]
+    assert written[0].keys() == {f"{n}.csv" for n in (*exports.EXPORTED, "batch_audit", "chronic_acute_encounters")} and len(exports.EXPORTED) == 15
+    for name, (_, order) in exports.EXPORTED.items():
+        header, *lines = written[0][f"{name}.csv"].decode().splitlines()
+        assert header.split(",") == store.read(name).drop(delivery.BUCKET).columns and len(lines) == store.read(name).count()
+        if len(order) == 1:
+            keys = [x.split(",")[header.split(",").index(order[0])] for x in lines]
+            assert keys == sorted(keys)  # empty, for null, first
+    read = lambda n: spark.read.csv(str(tmp_path / f"{n}.csv"), header=True).collect()
     rows = read("batch_audit")
     assert rows[0].asDict().keys() == exports.AUDIT_COLUMNS.keys() and [r["batch_id"] for r in rows] == sorted(r["batch_id"] for r in rows)
     first = rows[0]

@@ -69,6 +69,7 @@ CHECKS = (
 )
 STRUCTURAL = ("FILE_SHA256_MATCH", "FILE_ENCODING_VALID", "FILE_CSV_PARSEABLE", "RECORD_SHAPE_VALID", "SCHEMA_CONTRACT_MATCH", "ROW_COUNT_MATCH")
 
+# Reason codes that several fields share.
 DATE_CODES = ("DATE_MISSING", "DATE_PLACEHOLDER", "DATE_UNPARSEABLE", "DATE_INVALID", "DATE_CENTURY_UNKNOWN", "DATE_AFTER_DELIVERY")
 NPI_CODES = ("NPI_MISSING", "NPI_PLACEHOLDER", "NPI_INVALID_FORMAT", "NPI_CHECKSUM_FAILED")
 TIMESTAMP_CODES = ("TIMESTAMP_MISSING", "TIMESTAMP_PLACEHOLDER", "TIMESTAMP_UNPARSEABLE", "TIMESTAMP_INVALID", "TIMESTAMP_NONEXISTENT_LOCAL_TIME")

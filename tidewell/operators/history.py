@@ -8,8 +8,11 @@ before their batch and with earlier rows of the same batch in lineage order. Fir
 3. the version is known: DUPLICATE, or QUARANTINED if its values conflict with the first arrival;
 4. a new version: NEW_ENCOUNTER for the earliest one of a record that was not held before the batch, else NEW_VERSION.
 
-All of it is one pass of windows that share their partitioning by record, so the plan has a single exchange. A record with
-very many rows stays within one task; the windows spill and need no more memory than a sort.
+All of it is one pass of windows that share their partitioning by record, so the plan has a single exchange. That keeps a record's rows in one
+task. Records with very many rows (``hot_records``) go another way to the same result: what the windows would carry from row to row is the first arrival of each
+version, the latest instant before each batch, and the earliest new instant of each batch. These come from partial aggregates by
+(record, instant) and (record, batch), the instants carried over the few rows that a record has then, one per batch; joins bring them back to the rows,
+and Spark splits such joins where a key is hot.
 """
 
 from __future__ import annotations
@@ -50,11 +53,13 @@ def classify_history(
     loose: Sequence[str] = (),
     ts_reason: str | None = None,
     blank: Column | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """``rows`` of all batches with ``outcome``, ``outcome_reason``, ``match_type``, ``held_current_ts`` and ``is_first_seen``.
 
     ``batch`` orders the batches; ``blank`` says that a record has no key (default: any of its columns is null); ``ts_reason`` is a column that
-    says why an instant is null. Replaying all accepted batches at once gives what classifying them one by one gives.
+    says why an instant is null. Replaying all accepted batches at once gives what classifying them one by one gives. ``hot``: records whose rows are
+    spread over tasks (see ``hot_records``); then no two rows may share batch and lineage.
     """
     blank = reduce(or_, [F.col(c).isNull() for c in record]) if blank is None else blank
     tagged = rows.withColumn(f"{P}why", F.when(blank, F.lit("SOURCE_RECORD_ID_MISSING")).when(F.col(ts).isNull(), F.col(ts_reason) if ts_reason else F.lit("TIMESTAMP_MISSING")))
@@ -62,6 +67,36 @@ def classify_history(
     # rows that can't be placed keep to partitions of their own kind, spread by lineage, so that they make no hot record
     spread = F.when(~F.col(f"{P}ok"), F.pmod(F.xxhash64(*lineage), F.lit(1024)))
     tagged = tagged.withColumn(f"{P}spread", spread)
+    if hot is None:
+        return _decided(_placed_by_windows(tagged, record, ts, batch, lineage, values), ts, batch, values, loose)
+    marked = hot.select(*record, F.lit(True).alias(f"{P}hot")).distinct()
+    tagged = tagged.join(F.broadcast(marked), list(record), "left")  # at most rows / least of them
+    is_hot = F.col(f"{P}ok") & F.coalesce(f"{P}hot", F.lit(False))
+    cold = _placed_by_windows(tagged.filter(~is_hot), record, ts, batch, lineage, values)
+    spread_out = _placed_by_aggregates(tagged.filter(is_hot), record, ts, batch, lineage, values)
+    return _decided(cold.unionByName(spread_out.select(*cold.columns)), ts, batch, values, loose)
+
+
+def hot_records(rows: DataFrame, record: Sequence[str], least: int = 1_000_000) -> DataFrame:
+    """Records with at least ``least`` rows: so few that they may be broadcast."""
+    return rows.groupBy(*record).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least).select(*record).na.drop(how="any")
+
+
+def _placed_by_aggregates(tagged: DataFrame, record: Sequence[str], ts: str, batch: str, lineage: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """What ``_placed_by_windows`` gives, for rows with a record and an instant, with no task that needs all rows of a record."""
+    arrival = F.struct(batch, *lineage)
+    firsts = tagged.groupBy(*record, ts).agg(F.min(arrival).alias(f"{P}arrival"), F.min_by(F.struct(F.col(batch).alias(f"{P}batch"), *values), arrival).alias(f"{P}first"))
+    latest = tagged.groupBy(*record, batch).agg(F.max(ts).alias(f"{P}latest"))  # a row for each batch
+    carried = latest.withColumn("held_current_ts", F.max(f"{P}latest").over(Window.partitionBy(*record).orderBy(batch).rowsBetween(Window.unboundedPreceding, -1)))
+    earliest = firsts.groupBy(*record, F.col(f"{P}first")[f"{P}batch"].alias(batch)).agg(F.min(ts).alias(f"{P}earliest"))
+    by_batch = carried.join(earliest, [*record, batch], "left").drop(f"{P}latest")
+    placed = tagged.join(firsts, [*record, ts], "left").join(by_batch, [*record, batch], "left")
+    return placed.withColumn(f"{P}nth", F.when(arrival == F.col(f"{P}arrival"), 1).otherwise(2))
+
+
+def _placed_by_windows(tagged: DataFrame, record: Sequence[str], ts: str, batch: str, lineage: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Rows with the latest instant held before their batch, their number among the arrivals of their version, its first arrival, and the earliest new instant of
+    their batch."""
     by_record = [f"{P}ok", f"{P}spread", *record]
     before = Window.partitionBy(*by_record).orderBy(batch).rangeBetween(Window.unboundedPreceding, -1)
     arrival = Window.partitionBy(*by_record, ts).orderBy(batch, *lineage)
@@ -74,8 +109,11 @@ def classify_history(
             f"{P}first": F.first_value(F.struct(F.col(batch).alias(f"{P}batch"), *values)).over(arrival),
         }
     )
+    return placed.withColumn(f"{P}earliest", F.min(F.when(F.col(f"{P}nth") == 1, F.col(ts))).over(in_batch))
+
+
+def _decided(placed: DataFrame, ts: str, batch: str, values: Sequence[str], loose: Sequence[str]) -> DataFrame:
     known = F.col(f"{P}nth") > 1
-    placed = placed.withColumn(f"{P}earliest", F.min(F.when(F.col(f"{P}nth") == 1, F.col(ts))).over(in_batch))
     stale = F.col(ts) < F.col("held_current_ts")
     match = F.when(F.col(f"{P}ok") & known, compare_values(f"{P}first", values, loose))
     placed = placed.withColumn("match_type", match)

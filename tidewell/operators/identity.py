@@ -18,10 +18,25 @@ def link_identities(rows: DataFrame, source: str, local_id: str, linkage: Sequen
     All of an identity's rows decide: exactly one complete linkage key (no part null) links it across sources; several conflict,
     none is incomplete or lacks a birth date. A blank local id has no key and never merges.
     """
+    return resolved_identities(merged_identities(identity_states(rows, source, local_id, linkage, has_birth)), source, len(linkage), version)
+
+
+def identity_states(rows: DataFrame, source: str, local_id: str, linkage: Sequence[str], has_birth: Column) -> DataFrame:
+    """What rows say of each (source, local_id): the least and the greatest complete linkage key, and whether any has a birth date.
+
+    Two different keys are as telling as thousands, so a state is one narrow row, and states of parts of the rows merge into that of all.
+    """
     complete = F.when(sum(F.col(c).isNull().cast("int") for c in linkage) == 0, F.struct(*[F.col(c).cast("string").alias(f"k{i}") for i, c in enumerate(linkage)]))
-    keyed = rows.select(F.col(source).alias("source"), strip(F.col(local_id)).alias("local_id"), complete.alias("k"), has_birth.alias("born"))
-    # two different keys are as telling as thousands: only the least and the greatest are kept
-    merged = keyed.groupBy("source", "local_id").agg(F.min("k").alias("low"), F.max("k").alias("high"), F.max("born").alias("born"))
+    keyed = rows.select(F.col(source).alias("source"), strip(F.col(local_id)).alias("local_id"), complete.alias("low"), complete.alias("high"), has_birth.alias("born"))
+    return merged_identities(keyed)
+
+
+def merged_identities(states: DataFrame) -> DataFrame:
+    return states.groupBy("source", "local_id").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.max("born").alias("born"))
+
+
+def resolved_identities(merged: DataFrame, source: str, parts: int, version: str = "patient/v1") -> DataFrame:
+    """Status, reason and key parts of each merged state; ``parts``: how many parts a linkage key has."""
     linked = F.col("low").isNotNull() & F.col("low").eqNullSafe(F.col("high")) & (F.col("local_id") != "")
     reason = (
         F.when(F.col("local_id") == "", "PATIENT_MRN_MISSING")
@@ -30,10 +45,19 @@ def link_identities(rows: DataFrame, source: str, local_id: str, linkage: Sequen
         .when(F.coalesce("born", F.lit(False)), "PATIENT_UNLINKED_INCOMPLETE")
         .otherwise("PATIENT_UNLINKED_NO_DOB")
     )
-    parts = F.when(linked, F.array(F.lit(version), F.lit(LINKED), *[F.col(f"low.k{i}") for i in range(len(linkage))])).when(
+    key = F.when(linked, F.array(F.lit(version), F.lit(LINKED), *[F.col(f"low.k{i}") for i in range(parts)])).when(
         F.col("local_id") != "", F.array(F.lit(version), F.lit(UNLINKED), F.col("source"), F.col("local_id"))
     )
-    return merged.select(F.col("source").alias(source), "local_id", F.when(linked, LINKED).otherwise(UNLINKED).alias("link_status"), reason.alias("link_reason"), parts.alias("key_parts"))
+    return merged.select(F.col("source").alias(source), "local_id", F.when(linked, LINKED).otherwise(UNLINKED).alias("link_status"), reason.alias("link_reason"), key.alias("key_parts"))
+
+
+def changed_identities(before: DataFrame, added: DataFrame, parts: int) -> DataFrame:
+    """Identities whose link ``added`` states change, new ones included: (source, local_id). Only identities that ``added`` names are looked at."""
+    touched = before.join(added.select("source", "local_id").distinct(), ["source", "local_id"], "left_semi")
+    then, now = (resolved_identities(merged_identities(x), "source", parts) for x in (touched, touched.unionByName(added)))
+    joined = now.join(then.withColumnsRenamed({"link_status": "s", "link_reason": "r", "key_parts": "k"}).withColumn("known", F.lit(True)), ["source", "local_id"], "left")
+    same = F.col("known") & F.col("link_status").eqNullSafe(F.col("s")) & F.col("link_reason").eqNullSafe(F.col("r")) & F.col("key_parts").eqNullSafe(F.col("k"))
+    return joined.filter(~F.coalesce(same, F.lit(False))).select("source", "local_id")
 
 
 def attach_identities(rows: DataFrame, identities: DataFrame, source: str, local_id: str) -> DataFrame:

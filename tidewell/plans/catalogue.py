@@ -49,6 +49,19 @@ def _(spark, d):
     return _classified(spark, d).select("batch_no", "file_name", "row_no", "rec", "v", "outcome", "outcome_reason", "match_type", "is_first_seen")
 
 
+#: A third of all rows are of one record.
+HOT_SQL = CLASSIFIED_SQL.replace("ELSE user_id END AS rec", "WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS rec")
+
+
+@query("classify_hot_record", f"WITH {HOT_SQL} SELECT batch_no, file_name, row_no, rec, v, outcome, outcome_reason, match_type, is_first_seen FROM classified")
+def _(spark, d):
+    rows = views.delivery(spark, d)
+    rows = rows.withColumn("rec", F.when(F.col("rec").isNotNull() & (F.col("row_no") % 3 == 0), F.lit(0)).otherwise(F.col("rec")))
+    hot = history.hot_records(rows, ["rec"], 200)
+    classified = history.classify_history(rows, ["rec"], "v", "batch_no", LINEAGE, ["event_type", "bucket", "spelling"], loose=["spelling"], hot=hot)
+    return classified.select("batch_no", "file_name", "row_no", "rec", "v", "outcome", "outcome_reason", "match_type", "is_first_seen")
+
+
 @query("classify_outcome_counts", f"WITH {CLASSIFIED_SQL} SELECT batch_no, outcome, outcome_reason, match_type, count(*) AS n FROM classified GROUP BY ALL")
 def _(spark, d):
     return _classified(spark, d).groupBy("batch_no", "outcome", "outcome_reason", "match_type").agg(F.count(F.lit(1)).alias("n"))
@@ -302,13 +315,10 @@ def _stepwise(clean_field: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 QUERIES["clean_amount"] = _stepwise(lambda t: clean.clean_amount(t, "c", F.col("amount"), F.col("unit")))
-SQL["clean_amount"] = f"""WITH {TEXTS_SQL}, t AS (SELECT k, unit, trim(amount) AS a FROM texts),
-m AS (SELECT *, regexp_full_match(a, '(?i)((USD)\\s*|\\$\\s*)?([0-9]{{1,3}}(,[0-9]{{3}})+|[0-9]+)(\\.[0-9]+)?(\\s*K)?(\\s*USD)?') AS ok, a ILIKE '%usd%' OR a LIKE '%$%' AS marked, a ILIKE '%k' AS kilo, regexp_replace(a, '[^0-9.]', '', 'g') AS num FROM t),
-n AS (SELECT *, CASE WHEN ok THEN CAST(num AS DECIMAL(30, 6)) END AS x FROM m),
-v AS (SELECT *, CASE WHEN unit = 'USD_CENTS' THEN x / 100 WHEN kilo THEN x * 1000 ELSE x END AS y,
-  CASE WHEN a = '' THEN 'AMOUNT_MISSING' WHEN upper(a) IN ('N/A', 'PENDING', 'TBD') THEN 'AMOUNT_PLACEHOLDER' WHEN a = '#REF!' THEN 'AMOUNT_SPREADSHEET_ERROR' WHEN NOT ok THEN 'AMOUNT_UNPARSEABLE' WHEN unit = 'USD_CENTS' AND kilo THEN 'AMOUNT_K_SUFFIX_NOT_ALLOWED'
-    WHEN unit = 'USD_CENTS' AND marked THEN 'AMOUNT_UNPARSEABLE' WHEN unit = 'USD_CENTS' AND x <> floor(x) THEN 'AMOUNT_FRACTIONAL_CENTS' WHEN unit = 'USD' AND x * 100 <> floor(x * 100) AND NOT kilo THEN 'AMOUNT_FRACTIONAL_CENTS' END AS reason FROM n)
-SELECT k, CASE WHEN reason IS NULL THEN CAST(y AS DECIMAL(18, 2)) END AS value, reason, CAST(NULL AS VARCHAR) AS warning FROM v"""
+# written from how ``texts`` spells an amount, by the order's number; every fourth order is in cents
+SQL["clean_amount"] = f"""WITH {TEXTS_SQL}, v AS (SELECT k, CASE k % 12 WHEN 0 THEN k % 1000 + 0.50 WHEN 1 THEN k WHEN 2 THEN (k % 90 + 1) * 1000 + k % 1000 + 0.25 WHEN 3 THEN k * 0.01 WHEN 4 THEN (k % 50) * 1000 + 500 END AS y,
+  CASE k % 12 WHEN 5 THEN 'AMOUNT_PLACEHOLDER' WHEN 6 THEN 'AMOUNT_SPREADSHEET_ERROR' WHEN 7 THEN 'AMOUNT_FRACTIONAL_CENTS' WHEN 8 THEN 'AMOUNT_FRACTIONAL_CENTS' WHEN 9 THEN 'AMOUNT_UNPARSEABLE' WHEN 10 THEN 'AMOUNT_MISSING' WHEN 11 THEN 'AMOUNT_K_SUFFIX_NOT_ALLOWED' END AS reason FROM texts)
+SELECT k, CAST(y AS DECIMAL(18, 2)) AS value, reason, CAST(NULL AS VARCHAR) AS warning FROM v"""
 
 QUERIES["clean_date"] = _stepwise(lambda t: clean.clean_date(t, "c", F.col("day"), F.col("ord"), F.col("century"), F.to_date(F.lit("2000-06-30"))))
 SQL["clean_date"] = f"""WITH {TEXTS_SQL}, t AS (SELECT *, regexp_extract(day, '^([0-9]+)[/-]([0-9]+)[/-]([0-9]+)$', ['a', 'b', 'y']) AS g, k % 10 AS r FROM texts),

@@ -44,6 +44,8 @@ class Config:
     max_error_share: Decimal = Decimal("0.10")
     #: folders per batch of what is looked up by record; fixed for the life of a store
     key_buckets: int = 64
+    #: rows from which a replay spreads a record over tasks
+    hot_rows: int = 1_000_000
 
 
 def committed(tables: Tables, name: str, buckets: Sequence[int] | None = None) -> DataFrame:
@@ -145,6 +147,9 @@ def run_batch(store: Store, landing_folder: str, batch_id: str, config: Config)
         _require_rows(t, "raw", batch_id, entries.agg(F.sum("row_count")).first()[0])
         ingested = matched.select("batch_id", "file_name", "source_system", "version", F.col("fields").alias("source_header")).join(stamped.withColumnRenamed("file_sha256", "sha256"), ["batch_id", "file_name"])
         t.append("ingested", ingested.join(entries.select("batch_id", "file_name", "row_count"), ["batch_id", "file_name"]).join(own.select("batch_id", "file_name", "length", "modified"), ["batch_id", "file_name"]), batch_id)
+        persons = keep(person_rows(loaded, config))
+        t.append("person_rows", persons.drop(*LINKAGE), batch_id)
+        t.append("identity_states", identity_states(persons), batch_id)
         rows = observed(loaded, config.conventions)
         options = {"values": list(config.canonical), "loose": ["last_updated_ts"], "ts_reason": "version_ts_reason", "blank": F.col("encounter_key").isNull()}
         rows = keep(rows.withColumn(BUCKET, key_bucket(config)))
@@ -175,7 +180,7 @@ def run_batch(store: Store, landing_folder: str, batch_id: str, config: Config)
         issues = keep(quality.gate_issues(outcomes, every, "version_key", keys, GATE_SOURCES))
         gate = quality.publish_gate(outcomes, issues, "batch_id", LINEAGE, config.max_error_share)
         if gate.filter("failed").head(1):
-            t.discard("raw", "ingested", "outcomes", "held", "versions", "fields")
+            t.discard("raw", "ingested", "person_rows", "identity_states", "outcomes", "held", "versions", "fields")
             t.append("gate_rejected_issues", issues, batch_id)
             _commit(t, audit.withColumns({"status": F.lit("REJECTED"), "reason": F.lit("DQ_GATE_FAILED")}), batch_id, began)
             return "REJECTED"
@@ -228,29 +233,54 @@ def run_pending(store: Store, landing_folder: str, config: Config) -> dict[str,
 def replay_history(store: Tables, config: Config) -> DataFrame:
     """All accepted rows classified in one pass: what the batches gave one by one."""
     rows = observed(store.read("raw"), config.conventions).withColumn("batch_no", F.regexp_extract("batch_id", "([0-9]+)", 1).cast("int"))
-    return history.classify_history(rows, ["encounter_key"], "version_ts", "batch_no", LINEAGE, list(config.canonical), loose=["last_updated_ts"], ts_reason="version_ts_reason", blank=F.col("encounter_key").isNull())
+    hot = history.hot_records(rows, ["encounter_key"], config.hot_rows)
+    return history.classify_history(rows, ["encounter_key"], "version_ts", "batch_no", LINEAGE, list(config.canonical), loose=["last_updated_ts"], ts_reason="version_ts_reason", blank=F.col("encounter_key").isNull(), hot=hot)
 
 
-def people(store: Tables, config: Config) -> DataFrame:
-    """Attributes per raw row that identify nobody: key, link status, sex, age band, ZIP area. Recomputed from all accepted rows."""
-    conventions = config.conventions.select(F.col("source_system").alias("file_source_system"), "date_order", "century").withColumn("_known", F.lit(True))
-    rows = store.read("raw").join(conventions, "file_source_system", "left")  # a row is never lost here
-    quality.require_none(rows.filter("_known IS NULL").select("file_source_system").distinct(), "systems without conventions")
+LINKAGE = ["_last", "_first", "_born", "_known_sex"]
+
+
+def person_rows(raw: DataFrame, config: Config) -> DataFrame:
+    """Per raw row: its identity (source and local id), what links it (columns with an underscore), and attributes that identify nobody: sex, age band, ZIP area."""
+    conventions = config.conventions.select(F.col("source_system").alias("file_source_system"), "date_order", "century")
+    rows = raw.join(conventions, "file_source_system", "left")  # every contract's system has conventions; a row is never lost here
     for out, c in (("_dob", "patient_dob"), ("_adm", "admit_date")):
         rows = clean.clean_date(rows, out, F.col(c), F.col("date_order"), F.col("century"), F.col("delivered_date"))
     rows = once(rows, _born=F.col("_dob.value"), _admit=F.col("_adm.value"), _sex=clean.clean_sex(F.col("patient_sex")), _last=clean.clean_last_name(F.col("patient_last_name"))["value"], _first=clean.clean_first_name(F.col("patient_first_name"))["value"])
-    rows = rows.withColumns({"_known_sex": F.nullif(F.col("_sex.value"), F.lit("UNKNOWN")), "_mrn": strip(F.col("patient_mrn"))})
-    found = identity.link_identities(rows, "file_source_system", "_mrn", ["_last", "_first", "_born", "_known_sex"], F.col("_born").isNotNull())
-    found = found.withColumn("patient_key", keyed_hash(config.secret, F.col("key_parts"))).drop("key_parts")
-    linked = identity.attach_identities(rows, found, "file_source_system", "_mrn")
-    return linked.select(
-        "batch_id", *LINEAGE, "patient_key", F.col("link_status").alias("patient_link_status"), F.col("link_reason").alias("patient_link_reason"),
+    return rows.withColumn("_known_sex", F.nullif(F.col("_sex.value"), F.lit("UNKNOWN"))).select(
+        "batch_id", *LINEAGE, "file_source_system", strip(F.col("patient_mrn")).alias("local_id"), *LINKAGE,
         F.col("_sex.value").alias("sex"), F.col("_sex.warning").alias("sex_reason"),
         *(lambda a: [a["value"].alias("age_band"), a["warning"].alias("age_band_reason")])(clean.age_band(F.col("_born"), F.col("_admit"))),
         *(lambda z: [z["value"].alias("zip3"), z["reason"].alias("zip3_reason")])(clean.zip3(F.col("patient_zip"))),
     )
 
 
+def identity_states(persons: DataFrame) -> DataFrame:
+    return identity.identity_states(persons, "file_source_system", "local_id", LINKAGE, F.col("_born").isNotNull())
+
+
+def people(store: Tables, config: Config) -> DataFrame:
+    """Attributes per raw row that identify nobody: key, link status, sex, age band, ZIP area. Batches leave their rows and the states of their identities; here the
+    states merge, and no raw row is read again."""
+    found = identity.resolved_identities(identity.merged_identities(store.read("identity_states")), "file_source_system", len(LINKAGE))
+    return linked_people(store.read("person_rows"), found, config)
+
+
+def linked_people(persons: DataFrame, found: DataFrame, config: Config) -> DataFrame:
+    found = found.withColumn("patient_key", keyed_hash(config.secret, F.col("key_parts"))).drop("key_parts")
+    linked = identity.attach_identities(persons, found, "file_source_system", "local_id")
+    return linked.select("batch_id", *LINEAGE, "patient_key", F.col("link_status").alias("patient_link_status"), F.col("link_reason").alias("patient_link_reason"), "sex", "sex_reason", "age_band", "age_band_reason", "zip3", "zip3_reason")
+
+
+def compact(store: Store) -> None:
+    """Few files instead of some for each batch: what is looked up by record, and one state for each identity. Published together."""
+    t = store.begin()
+    for name in ("held", "fields"):
+        t.replace(name, t.read(name), [BUCKET])
+    t.replace("identity_states", identity.merged_identities(t.read("identity_states")))
+    t.commit()
+
+
 def publish_mart(store: Store, config: Config) -> dict[str, DataFrame]:
     """Rebuild the mart and the quality report and publish both, unless something is wrong with them: then what was published before stays."""
     t = store.begin()
@@ -322,8 +352,8 @@ def quality_report(store: Store | Transaction, config: Config) -> DataFrame:
 def export_all(store: Tables, config: Config, folder: str) -> None:
     """All exported tables, the audit and the cohort as CSV. Needs ``rebuild_mart`` and ``quality_report`` first."""
     exports.export_tables({n: committed(store, n) if n in ("versions", "outcomes", "fields") else store.read(n) for n in exports.EXPORTED}, folder)
-    exports.export_audit(store.read("audit"), f"{folder.rstrip('/')}/batch_audit")
-    exports.export_cohort(cohort(store), f"{folder.rstrip('/')}/chronic_acute_encounters")
+    exports.export_audit(store.read("audit"), f"{folder.rstrip('/')}/batch_audit.csv")
+    exports.export_cohort(cohort(store), f"{folder.rstrip('/')}/chronic_acute_encounters.csv")
 
 
 def build_report(store: Tables, config: Config) -> DataFrame:

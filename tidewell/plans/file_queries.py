@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import cleaning as clean
-from ..sources import landing
+from ..sources import csv_ranges, landing
 from . import views
-from .catalogue import query
+from .catalogue import SQL, query
 
 #: CSV files of up to 100 orders each: quoted values, short and long and blank records, files that can't be read, wrong hashes and counts.
 CSV_SQL = """rec AS (SELECT CAST(floor(o_orderkey / 100) AS BIGINT) AS f, o_orderkey AS k, row_number() OVER (PARTITION BY floor(o_orderkey / 100) ORDER BY o_orderkey) AS n, CASE WHEN o_orderkey % 5 = 0 THEN 'x,"' || chr(10) || 'y' ELSE o_orderpriority END AS v FROM orders),
@@ -51,10 +51,17 @@ fails AS (SELECT f, 'SHA256_MISMATCH' AS code, CAST(NULL AS VARCHAR) AS detail F
   UNION ALL SELECT f, 'ROW_COUNT_MISMATCH', 'expected=' || row_count || ',received=' || received FROM fil WHERE NOT unread AND row_count <> received)"""
 
 
+@query("csv_records_in_ranges", SQL["csv_records"])
+def _(spark, d):
+    files = _csv_files(spark, d)[0].persist()
+    ranges = csv_ranges.cut(files, 1000)  # every file in many ranges, cut inside quotes too
+    return csv_ranges.read_strict_csv_ranges(ranges, files).select("file_name", "kind", "row_number", F.array_join("fields", "|").alias("fields"), "detail")
+
+
 @query("file_checks", FAILURES_SQL + " SELECT file_name, code, detail FROM fails JOIN fil USING (f)")
 def _(spark, d):
     files, entries = _csv_files(spark, d)
-    return landing.check_files(files, entries, landing.read_strict_csv(files), _contracts(spark))[0].select("file_name", "code", "detail")
+    return landing.check_files(files, entries, landing.read_strict_csv(files).persist(), _contracts(spark))[0].select("file_name", "code", "detail")
 
 
 @query("record_shapes", FAILURES_SQL + " SELECT file_name, detail FROM fails JOIN fil USING (f) WHERE code = 'MALFORMED_RECORD'")
@@ -69,8 +76,8 @@ def _(spark, d):
 SELECT batch_id, file_name, row_count AS expected_count, CASE WHEN NOT unread THEN received END AS received_count, CASE WHEN rejected THEN 'REJECTED' ELSE 'ACCEPTED' END AS status, CASE WHEN rejected THEN coalesce(codes, 'SIBLING_FILE_REJECTED') ELSE '' END AS codes FROM x""",
 )
 def _(spark, d):
-    files, entries = _csv_files(spark, d)
-    records = landing.read_strict_csv(files)
+    files, entries = (x.persist() for x in _csv_files(spark, d))
+    records = landing.read_strict_csv(files).persist()  # parsed once, asked several things
     failures, _ = landing.check_files(files, entries, records, _contracts(spark))
     received = records.filter("kind <> 'failure'").groupBy("batch_id", "file_name").agg(F.count_if(F.col("kind") == "record").alias("received"))
     decided = landing.decide_batches(entries, failures.limit(0), failures, received)

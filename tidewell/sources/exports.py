@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,6 +56,54 @@ def export_csv(df: DataFrame, path: str, name: str, order: Sequence[str], layer:
     formatted(rows, columns).write.mode("overwrite").option("header", True).option("emptyValue", "").option("lineSep", "\n").csv(path)
 
 
+def export_file(df: DataFrame, path: str, name: str, order: Sequence[str], layer: str = "mart", columns: Sequence[str] | None = None) -> None:
+    """Write a table as one CSV file with one header, sorted by ``order`` with nulls first.
+
+    Tasks write the sorted parts; their bytes are then copied behind one another, in order of their names, by a stream that holds none of them, and the
+    whole file is moved into its place. A failed export leaves the last one as it was; equal tables give equal bytes.
+    """
+    spark, columns = df.sparkSession, list(columns or df.columns)
+    assert_exportable(name, columns, layer)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path
+    new, parts = place(f"{path}.new"), f"{path}.parts"
+    files = new.getFileSystem(conf)
+    # rows that agree in ``order`` are told apart by what is exported of them
+    rows = formatted_in_order(df, columns, order)
+    try:
+        rows.write.mode("overwrite").option("header", False).option("emptyValue", "").option("lineSep", "\n").csv(parts)
+        out = files.create(new, True)
+        try:
+            out.write((",".join(columns) + "\n").encode())
+            for p in sorted(s.getPath().toString() for s in files.listStatus(place(parts)) if s.getPath().getName().startswith("part-")):
+                part = files.open(place(p))
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, out, 1 << 16, False)
+                part.close()
+        finally:
+            out.close()
+    finally:
+        files.delete(place(parts), True)
+    moved(spark, f"{path}.new", path)
+
+
+def formatted_in_order(df: DataFrame, columns: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Rows as export text, sorted by ``order`` with nulls first, then by all that is exported."""
+    by = df.select(*[F.col(c).alias(f"_by_{i}") for i, c in enumerate(order)], *[export_text(F.col(c), df.schema[c].dataType).alias(c) for c in columns])
+    return by.orderBy(*[F.asc_nulls_first(f"_by_{i}") for i in range(len(order))], *columns).select(*columns)
+
+
+def moved(spark: SparkSession, new: str, path: str) -> None:
+    """Put a file or folder in the place of another by one rename where the file system can overwrite."""
+    jvm = spark._jvm
+    option = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    overwrite = spark.sparkContext._gateway.new_array(option, 1)
+    overwrite[0] = option.OVERWRITE
+    source, target = (jvm.org.apache.hadoop.fs.Path(x) for x in (new, path))
+    conf = spark._jsc.hadoopConfiguration()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(source.getFileSystem(conf).getUri(), conf)
+    context.rename(context.makeQualified(source), context.makeQualified(target), overwrite)
+
+
 # The exported tables, the layer each belongs to, and the columns that order its rows.
 EXPORTED = {
     "versions": ("clean", ("version_key",)),
@@ -77,26 +125,14 @@ EXPORTED = {
 
 
 def export_tables(tables: Mapping[str, DataFrame], folder: str) -> None:
-    """Write all of ``EXPORTED`` as folders of CSV: first beside their places, then moved there, so that a failed export leaves the last one as it was."""
+    """Write all of ``EXPORTED`` as one CSV file each. All are checked before the first is written."""
     for name, (layer, order) in EXPORTED.items():
         missing = set(order) - set(tables[name].columns)
         if missing:
             raise ValueError(f"{name} lacks the columns that order its export: {', '.join(sorted(missing))}")
         assert_exportable(name, tables[name].columns, layer)
     for name, (layer, order) in EXPORTED.items():
-        replace_with(tables[name], f"{folder.rstrip('/')}/{name}", lambda df, path, name=name, layer=layer, order=order: export_csv(df, path, name, order, layer))
-
-
-def replace_with(df: DataFrame, path: str, write: Callable[[DataFrame, str], None]) -> None:
-    """``write`` to a folder beside ``path``, then put it in its place."""
-    spark = df.sparkSession
-    new, old = (spark._jvm.org.apache.hadoop.fs.Path(x) for x in (f"{path}.new", path))
-    files = old.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.delete(new, True)
-    write(df, f"{path}.new")
-    files.delete(old, True)
-    if not files.rename(new, old):
-        raise OSError(f"{path}.new can't be moved to {path}")
+        export_file(tables[name], f"{folder.rstrip('/')}/{name}.csv", name, order, layer)
 
 
 # Columns of the audit export, and what they are called in the audit table.
@@ -115,9 +151,9 @@ def audit_rows(audit: DataFrame) -> DataFrame:
 
 
 def export_audit(audit: DataFrame, path: str) -> None:
-    replace_with(audit_rows(audit), path, lambda df, new: export_csv(df, new, "batch_audit", ["batch_id", "file_name"], "ops", single_file=True))
+    export_file(audit_rows(audit), path, "batch_audit", ["batch_id", "file_name"], "ops")
 
 
 def export_cohort(cohort: DataFrame, path: str) -> None:
     """The cohort as CSV, in the order of its keys."""
-    replace_with(cohort, path, lambda df, new: export_csv(df, new, "chronic_acute_encounters", ["source_system", "source_record_id", "encounter_key"]))
+    export_file(cohort, path, "chronic_acute_encounters", ["source_system", "source_record_id", "encounter_key"])

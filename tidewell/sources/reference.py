@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.cleaning import is_icd10
 from ..functions.text import full, normalise_key, strip
 
 NPI = full("[0-9]{10}")
@@ -26,7 +27,7 @@ def read_codes(spark: SparkSession, path: str) -> DataFrame:
 def code_problems(codes: DataFrame) -> DataFrame:
     blank = strip(F.col("description")) == ""
     return _problems(
-        codes.filter(~F.coalesce(F.col("icd10_code"), F.lit("")).rlike(full(r"[A-Z][0-9][0-9A-Z](?:\.[0-9A-Z]{1,4})?"))).select(F.lit("code format").alias("problem")),
+        codes.filter(~is_icd10(F.col("icd10_code"))).select(F.lit("code format").alias("problem")),
         codes.filter(F.col("is_chronic").isNull()).select(F.lit("flag is neither Y nor N").alias("problem")),
         codes.filter(blank | (strip(F.col("category")) == "")).select(F.lit("blank text").alias("problem")),
         codes.groupBy("icd10_code").count().filter("count > 1").select(F.lit("code not unique").alias("problem")),
