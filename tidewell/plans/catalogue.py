@@ -630,4 +630,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 def _all_registered() -> None:
-    from . import file_queries, report_queries  # noqa: F401  (they register their queries here)
+    from . import delivered_report, file_queries, report_queries  # noqa: F401  (they register their queries here)

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -374,65 +375,63 @@ def build_report(store: Tables, config: Config) -> DataFrame:
         codes = F.lit(None).cast("string") if codes is None else codes
         return df.select(*by, check.alias("check_code"), evaluated.cast("bigint").alias("evaluated"), observed.cast("bigint").alias("observed"), expected.cast("bigint").alias("expected"), codes.alias("reason_codes"), no.alias("not_evaluated"))
 
-    per_table = quality.rows_per_file({
-        "raw": (committed(store, "raw"), *by), "outcomes": (outcomes, *by), "people": (store.read("people"), *by), "versions": (committed(store, "versions"), *by), "fields": (committed(store, "fields"), *by),
-        "facts": (facts_v, *by), "current": (store.read("fact_current"), *by), "quarantine": (store.read("quarantine").filter("quarantine_source IN ('HISTORY_ORDERING', 'VERSION_DQ')"), *by),
-    }).groupBy(*by).pivot("table", ["raw", "outcomes", "people", "versions", "fields", "facts", "current", "quarantine"]).agg(F.sum("n"))
-    errors = issues.filter("severity = 'ERROR'").groupBy(*by).agg(F.countDistinct("version_key").alias("error_versions"))
-    worst = quality.worst_severity(committed(store, "versions"), issues, "version_key").join(committed(store, "versions").select("version_key", *by), "version_key").groupBy(*by).agg(F.count(F.lit(1)).alias("partition"))
-    history_expected = outcomes.groupBy(*by).agg(F.count_if(F.col("outcome").isin(*history.CREATES_VERSION) | (F.coalesce("outcome_reason", F.lit("")) == "STALE_NEW_VERSION")).alias("history_expected"))
-    base = accepted.join(per_table, by, "left").join(errors, by, "left").join(worst, by, "left").join(history_expected, by, "left").fillna(0)
+    # each table gives its rows once, as numbers under common names; one sum by file adds them up
+    versions, fact_current = committed(store, "versions"), store.read("fact_current")
+    dims = {n: store.read(n) for n in ("dim_facility", "dim_diagnosis", "dim_payer", "dim_provider", "dim_patient", "dim_date")}
+    foreign = [("FK_FACT_FACILITY", "facility_id", dims["dim_facility"], "facility_id"), ("FK_FACT_DIAGNOSIS", "primary_dx_code", dims["dim_diagnosis"], "icd10_code"), ("FK_FACT_PAYER", "payer_category", dims["dim_payer"], "payer_category"), ("FK_FACT_PROVIDER", "provider_sk", dims["dim_provider"], "sk"), ("FK_FACT_PATIENT", "patient_key", dims["dim_patient"], "patient_key")]
+    dated = [(f"_{d}", d, dims["dim_date"], "date_key") for d in ("admit_date", "discharge_date")]
+    flagged = quality.with_orphan_flags(quality.with_repeated(facts_v, ["version_key"]), [*foreign, *dated])
+    valued = ["facility_id", "patient_key", "zip3", "attending_npi", "provider_sk", "admit_date", "discharge_date", "length_of_stay_days", "encounter_type", "claim_status", "primary_dx_code", "payer_category", "billed_amount_usd"]
+    current = history.current_state(versions, ["encounter_key"], "last_updated_ts_utc", ["batch_id", *LINEAGE], "batch_id")
+    same = ["encounter_key", "version_key", "version_count", *by, "source_row_number"]
+    creates = F.col("outcome").isin(*history.CREATES_VERSION) | (F.coalesce("outcome_reason", F.lit("")) == "STALE_NEW_VERSION")
+    one, repeated = F.lit(1), F.col("repeated")
+    rows = (
+        (store.read("raw"), {"raw": one}), (outcomes, {"outcomes": one, "history_expected": creates}), (store.read("people"), {"people": one}), (quality.with_repeated(versions, ["version_key"]), {"versions": one, "KEY_UNIQUE": repeated}),
+        (quality.with_repeated(committed(store, "fields"), ["version_key"]), {"fields": one, "KEY_UNIQUE": repeated}), (quality.with_repeated(fact_current, ["encounter_key"]), {"current": one, "KEY_UNIQUE": repeated}),
+        (flagged, {"facts": one, "KEY_UNIQUE": repeated, "VALUE_REASON_CONSISTENT": quality.inconsistent(valued, ["age_band", "sex"]), "FK_FACT_DATE": F.col("_admit_date") | F.col("_discharge_date"), **{n: F.col(n) for n, *_rest in foreign}}),
+        (store.read("quarantine"), {"quarantine": F.col("quarantine_source").isin("HISTORY_ORDERING", "VERSION_DQ")}), (quality.with_repeated(issues, ["version_key", "check_code"]), {"KEY_UNIQUE": repeated}),
+        (quality.difference_sizes(fact_current, current, same), {"CURRENT_MATCHES_HISTORY": F.col("n")}),
+        # issues that no version accounts for make a file's partition too large
+        (quality.issues_without_version(issues, versions, ["version_key", *by, "source_row_number"]).select(*by, "version_key").distinct(), {"strays": one}), (issues.filter("severity = 'ERROR'").select(*by, "version_key").distinct(), {"error_versions": one}),
+    )
+    names = list(dict.fromkeys(n for _, x in rows for n in x))
+    numbers = [df.select(*by, *[(x[n].cast("bigint") if n in x else F.lit(0).cast("bigint")).alias(n) for n in names]) for df, x in rows]
+    totals = reduce(DataFrame.unionByName, numbers).groupBy(*by).agg(*[F.sum(n).alias(n) for n in names])
+    base = accepted.join(totals, by, "left").fillna(0, names).withColumns({"one": F.lit(1), "in_partition": F.col("versions") + F.col("strays")})
     c = F.col
     measured = {
         "RECON_RAW_ROWS": ("received_count", "raw", c("received_count")), "RECON_ROW_OUTCOMES": ("received_count", "outcomes", c("received_count")), "RECON_PATIENT_ROWS": ("received_count", "people", c("received_count")),
         "RECON_QUARANTINE_ROWS": ("received_count", "quarantine", c("quarantined") + c("error_versions")), "RECON_HISTORY_ROWS": ("versions", "versions", c("history_expected")), "RECON_VERSION_FIELD_ROWS": ("versions", "fields", c("versions")),
         "RECON_FACT_VERSION_ROWS": ("versions", "facts", c("versions")), "RECON_DQ_PARTITION": ("versions", "in_partition", c("versions")), "RECON_CURRENT_ROWS": ("versions", "current", null), "ROW_COUNT_MATCH": ("one", "received_count", c("expected_count")),
     }
-    # issues that no version accounts for make a file's partition too large
-    strays = quality.issues_without_version(issues, committed(store, "versions"), ["version_key", *by, "source_row_number"]).groupBy(*by).agg(F.count_distinct("version_key").alias("strays"))
-    base = base.join(strays, by, "left").withColumns({"one": F.lit(1), "in_partition": F.col("partition") + F.coalesce("strays", F.lit(0))})
-    structs = F.array(*[F.struct(F.lit(k).alias("k"), c(a).cast("bigint").alias("a"), c(b).cast("bigint").alias("b"), x.cast("bigint").alias("x")) for k, (a, b, x) in measured.items()])
-    parts = [counts(base.withColumn("m", F.explode(structs)), c("m.k"), c("m.a"), c("m.b"), c("m.x"))]
-    structural = [s for s in quality.catalogue.STRUCTURAL if s != "ROW_COUNT_MATCH"]
-    parts.append(counts(base.withColumn("k", F.explode(F.array(*[F.lit(s) for s in structural]))), c("k"), F.lit(1), F.lit(0)))
+    zero = ("FK_FACT_DATE", "VALUE_REASON_CONSISTENT", "CURRENT_MATCHES_HISTORY", "KEY_UNIQUE", *[n for n, *_rest in foreign])
     changed = quality.schema_version_changes(committed(store, "ingested"), "source_system", "batch_id", "version").select(*by, F.lit(1).alias("changed"))
-    flags = base.join(changed, by, "left").withColumns({"changed": F.coalesce("changed", F.lit(0)), "again": F.startswith(F.coalesce("reason", F.lit("")), F.lit("DUPLICATE_FILE")).cast("int")})
-    parts.append(counts(flags, "SCHEMA_VERSION_CHANGED", F.lit(1), c("changed"), codes=F.when(c("changed") == 1, "SCHEMA_VERSION_CHANGED")))
-    parts.append(counts(flags, "DUPLICATE_FILE", F.lit(1), c("again"), codes=F.when(c("again") == 1, "DUPLICATE_FILE")))
+    base = base.join(changed, by, "left").withColumns({"changed": F.coalesce("changed", F.lit(0)), "again": F.startswith(F.coalesce("reason", F.lit("")), F.lit("DUPLICATE_FILE")).cast("int")})
+
+    def measure(check: str, evaluated: Column, observed: Column, expected: Column = null, codes: Column | None = None) -> Column:
+        values = {"evaluated": evaluated, "observed": observed, "expected": expected}
+        return F.struct(F.lit(check).alias("check_code"), *[x.cast("bigint").alias(k) for k, x in values.items()], (F.lit(None).cast("string") if codes is None else codes).alias("own_codes"))
+
+    flag = lambda check, column: measure(check, F.lit(1), c(column), codes=F.when(c(column) == 1, check))
+    counted = [(x[0], x[3]) for x in quality.catalogue.CHECKS if x[6] == "FILE" and x[3] in ("ROW", "VERSION") and x[5] != "RECONCILIATION" and x[0] not in measured]
+    every_check = F.array(
+        *[measure(k, c(a), c(b), x) for k, (a, b, x) in measured.items()],
+        *[measure(k, F.lit(1), F.lit(0)) for k in quality.catalogue.STRUCTURAL if k not in measured],  # an accepted file passed them
+        flag("SCHEMA_VERSION_CHANGED", "changed"), flag("DUPLICATE_FILE", "again"),
+        *[measure(k, c("versions"), c(k), F.lit(0)) for k in zero],  # invariants
+        *[measure(k, c("received_count") if grain == "ROW" else c("versions"), null) for k, grain in counted],  # see hits
+    )
 
     # row and version checks: a count where there is one, else 0
     checks = quality.catalogue.checks(store.spark)
-    reasons = outcomes.filter("outcome_reason IS NOT NULL").select(*by, F.lit("outcome_reason").alias("source"), c("outcome_reason").alias("reason_code"))
-    by_row = quality.classified(reasons).select(*by, "check_code", "reason_code")
-    conflicts = outcomes.filter("outcome = 'STALE' AND match_type = 'CONFLICT'").select(*by, F.lit("STALE_REPLAY_CONFLICT").alias("check_code"), c("outcome_reason").alias("reason_code"))
-    hits = by_row.unionByName(conflicts).unionByName(issues.select(*by, "check_code", "reason_code")).groupBy(*by, "check_code").agg(F.count(F.lit(1)).alias("n"), clean.join_codes(c("reason_code")).alias("codes"))
-    graded = base.crossJoin(F.broadcast(checks.filter("grain IN ('ROW', 'VERSION') AND kind <> 'RECONCILIATION' AND check_code <> 'RECON_CURRENT_ROWS'").select("check_code", c("grain").alias("g"))))
-    graded = graded.join(hits, [*by, "check_code"], "left")
-    parts.append(counts(graded, c("check_code"), F.when(c("g") == "ROW", c("received_count")).otherwise(c("versions")), F.coalesce("n", F.lit(0)), codes=c("codes")))
-
-    # invariants whose expected value is 0
-    def failing(check: str, bad: DataFrame) -> DataFrame:
-        return counts(base.join(bad.groupBy(*by).agg(F.count(F.lit(1)).alias("bad")), by, "left"), check, c("versions"), F.coalesce("bad", F.lit(0)), F.lit(0))
-
-    for check, column, dim, key in (
-        ("FK_FACT_FACILITY", "facility_id", "dim_facility", "facility_id"), ("FK_FACT_DIAGNOSIS", "primary_dx_code", "dim_diagnosis", "icd10_code"), ("FK_FACT_PAYER", "payer_category", "dim_payer", "payer_category"),
-        ("FK_FACT_PROVIDER", "provider_sk", "dim_provider", "sk"), ("FK_FACT_PATIENT", "patient_key", "dim_patient", "patient_key"),
-    ):
-        parts.append(failing(check, quality.orphans(facts_v, column, store.read(dim), key).select(*by)))
-    dates = [quality.orphans(facts_v, d, store.read("dim_date"), "date_key").select(*by, "version_key") for d in ("admit_date", "discharge_date")]
-    parts.append(failing("FK_FACT_DATE", dates[0].unionByName(dates[1]).distinct()))
-    valued = [x for x in ("facility_id", "patient_key", "zip3", "attending_npi", "provider_sk", "admit_date", "discharge_date", "length_of_stay_days", "encounter_type", "claim_status", "primary_dx_code", "payer_category", "billed_amount_usd")]
-    parts.append(failing("VALUE_REASON_CONSISTENT", quality.inconsistent_reasons(facts_v, valued, ["age_band", "sex"])))
-    current = history.current_state(committed(store, "versions"), ["encounter_key"], "last_updated_ts_utc", ["batch_id", *LINEAGE], "batch_id")
-    same = ["encounter_key", "version_key", "version_count", *by, "source_row_number"]
-    parts.append(failing("CURRENT_MATCHES_HISTORY", quality.symmetric_difference(store.read("fact_current").select(*same), current.select(*same))))
-    twice = []
-    for table, keys in ((facts_v, ["version_key"]), (store.read("fact_current"), ["encounter_key"]), (committed(store, "versions"), ["version_key"]), (committed(store, "fields"), ["version_key"]), (issues, ["version_key", "check_code"])):
-        twice.append(table.join(quality.duplicate_rows(table, keys).select(*keys), keys, "left_semi").select(*by))
-    repeated = twice[0]
-    for t in twice[1:]:
-        repeated = repeated.unionByName(t)
-    parts.append(failing("KEY_UNIQUE", repeated))
+    reasons = outcomes.filter("outcome_reason IS NOT NULL").select(*by, F.lit("outcome_reason").alias("source"), c("outcome_reason").alias("reason_code"), "outcome", "match_type")
+    found = quality.classified(reasons)
+    replayed = (c("outcome") == "STALE") & (c("match_type") == "CONFLICT")
+    by_row = found.select(*by, F.explode(F.array(c("check_code"), F.when(replayed, "STALE_REPLAY_CONFLICT"))).alias("check_code"), "reason_code").filter("check_code IS NOT NULL")
+    hits = by_row.unionByName(issues.select(*by, "check_code", "reason_code")).groupBy(*by, "check_code").agg(F.count(F.lit(1)).alias("n"), clean.join_codes(c("reason_code")).alias("codes"))
+    graded = base.select(*by, F.inline(every_check)).join(hits, [*by, "check_code"], "left")
+    parts = [counts(graded, c("check_code"), c("evaluated"), F.coalesce("observed", "n", F.lit(0)), c("expected"), F.coalesce("own_codes", "codes"))]
 
     # rejected batches: structural checks by audit codes, gate checks by the stored issues
     parts.append(quality.structural_counts(rejected))
@@ -441,9 +440,7 @@ def build_report(store: Tables, config: Config) -> DataFrame:
         gated = rejected.filter(F.contains("reason", F.lit("DQ_GATE_FAILED")))
         graded_gate = gated.crossJoin(F.broadcast(checks.filter("severity = 'ERROR' AND kind = 'QUALITY' AND grain IN ('ROW', 'VERSION')").select("check_code"))).join(gate_rows, [*by, "check_code"], "left")
         parts.append(counts(graded_gate, c("check_code"), c("received_count"), F.coalesce("n", F.lit(0)), codes=c("codes")))
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.unionByName(p)
+    every = reduce(DataFrame.unionByName, parts)
     report = quality.report(files.select(*by, "source_system", "batch_status"), every)
     unread = (c("batch_status") == "REJECTED") & (c("status") == quality.NOT_EVALUATED) & c("reason_codes").isNull()
     report = report.withColumn("reason_codes", F.when(unread, "BATCH_REJECTED").otherwise(c("reason_codes")))
