@@ -12,6 +12,7 @@ from types import SimpleNamespace
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import checks, quality
+from ..session import cut_lineage
 from . import catalogue as base
 from . import delivery
 from .catalogue import query
@@ -63,7 +64,7 @@ class Derived:
     """``TABLES`` as a store has them."""
 
     def __init__(self, spark: SparkSession, classified: DataFrame):
-        self.spark, self.tables = spark, {"classified": classified}
+        self.spark, self.tables = spark, {"classified": cut_lineage(classified)}
         for name, sql in TABLES.items():
             read = {n: df for n, df in self.tables.items() if f"{{{n}}}" in sql}
             self.tables[name] = spark.sql(sql, **read).persist()  # a store has them written

@@ -1,10 +1,11 @@
-"""A local Spark session for tests and the benchmark; on a cluster, use the session that is given."""
+"""A local Spark session for tests and the benchmark (on a cluster, use the session that is given), and checkpoints in the folder that a session names."""
 
 from __future__ import annotations
 
 import os
+import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -23,3 +24,14 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """``df`` as a checkpoint in the folder that ``spark.checkpoint.dir`` names; without one, in a local folder, on a single machine only."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not spark.sparkContext.master.startswith("local["):
+            raise ValueError("on a cluster spark.checkpoint.dir must name a folder that all machines share")
+        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="tidewell-checkpoint-"))
+    return df.checkpoint(eager=True)
