@@ -76,18 +76,17 @@ def require_usable(config: Config) -> None:
     """Refuse a configuration that would give wrong tables: contracts, reference inputs, vocabulary, a system without conventions."""
     spark = config.contracts.sparkSession
     systems = config.contracts.select("source_system").distinct()
-    for what, problems in (
-        ("contracts", landing.contract_problems(config.contracts, config.canonical)),
-        ("conventions", systems.join(config.conventions, "source_system", "left_anti").select(F.lit("a system without conventions").alias("problem"))),
-        ("conventions", config.conventions.groupBy("source_system").count().filter("count > 1").select(F.lit("two conventions of one system").alias("problem"))),
-        ("code list", reference.code_problems(config.codes)),
-        ("facilities", reference.facility_problems(config.facilities)),
-        ("facility names", reference.facility_index_problems(config.facilities, config.aliases)),
-        ("rosters", reference.roster_problems(config.rosters)),
-        ("rosters", dimensions.snapshot_problems(config.rosters, "npi", "as_of_date", "primary_facility_id", config.facilities.select("facility_id"))),
-        ("vocabulary", clean.vocabulary_problems(clean.vocabulary(spark)).select(F.lit("a spelling of two categories").alias("problem"))),
-    ):
-        quality.require_no_problem(problems, what)
+    found = {
+        "contracts": landing.contract_problems(config.contracts, config.canonical),
+        "conventions": systems.join(config.conventions, "source_system", "left_anti").select(F.lit("a system without conventions").alias("problem")).unionByName(config.conventions.groupBy("source_system").count().filter("count > 1").select(F.lit("two conventions of one system").alias("problem"))),
+        "code list": reference.code_problems(config.codes),
+        "facilities": reference.facility_problems(config.facilities),
+        "facility names": reference.facility_index_problems(config.facilities, config.aliases),
+        "rosters": reference.roster_problems(config.rosters).select("problem").unionByName(dimensions.snapshot_problems(config.rosters, "npi", "as_of_date", "primary_facility_id", config.facilities.select("facility_id")).select("problem")),
+        "vocabulary": clean.vocabulary_problems(clean.vocabulary(spark)).select(F.lit("a spelling of two categories").alias("problem")),
+    }
+    # one job for all of them
+    quality.require_no_problem(reduce(DataFrame.unionByName, [df.select(F.concat(F.lit(f"{what}: "), "problem").alias("problem")) for what, df in found.items()]), "configuration")
 
 
 def cleaned_fields(versions: DataFrame, config: Config) -> DataFrame:
@@ -128,17 +127,18 @@ def run_batch(store: Store, landing_folder: str, batch_id: str, config: Config)
         kept.append(df.persist())
         return kept[-1]
 
+    # files, manifest entries and decisions of one batch: a row for each file, held by the driver so that later plans are short
+    small = lambda df: spark.createDataFrame(df.collect(), df.schema)
     listed = landing.scan_batches(spark, landing_folder, [batch_id])
-    own = keep(landing.hashed(spark, listed))
+    own = small(landing.hashed(spark, listed))
     contract_files = config.contracts.select("source_system", "file_name").distinct()
-    entries, manifest_failures = landing.read_manifests(own, contract_files)
-    entries = keep(entries)
+    entries, manifest_failures = (small(df) for df in landing.read_manifests(own, contract_files))
     records = keep(landing.read_records(spark, listed))
     try:
         failures, matched = landing.check_files(own, entries, records, config.contracts)
         received = records.filter("kind <> 'failure'").groupBy("batch_id", "file_name").agg(F.count_if(F.col("kind") == "record").alias("received"))
-        audit = keep(landing.decide_batches(entries, manifest_failures, failures, received))
-        # the decision is a handful of rows: one per file of the batch
+        audit = small(landing.decide_batches(entries, manifest_failures, failures, received))
+        matched = small(matched)
         if audit.filter("status = 'REJECTED'").head(1):
             _commit(t, audit, batch_id, began)
             return "REJECTED"
