@@ -274,24 +274,33 @@ def linked_people(persons: DataFrame, found: DataFrame, config: Config) -> DataF
 
 
 def compact(store: Store) -> None:
-    """Few files instead of some for each batch: what is looked up by record, and one state for each identity. Published together."""
+    """Few files instead of some for each batch: what is looked up by record, one state for each identity, and the mart without replaced rows. Published together.
+
+    States of batches that the mart doesn't cover yet lose their batch, so the next mart is rebuilt whole: compact after publishing it.
+    """
     t = store.begin()
     for name in ("held", "fields"):
         t.replace(name, t.read(name), [BUCKET])
     t.replace("identity_states", identity.merged_identities(t.read("identity_states")))
+    for name in ("people", *MART):
+        if t.exists(name):
+            t.fold(name)
     t.commit()
 
 
 def publish_mart(store: Store, config: Config) -> dict[str, DataFrame]:
-    """Rebuild the mart and the quality report and publish both, unless something is wrong with them: then what was published before stays."""
+    """Bring the mart up to date, count the quality report and publish both, unless something is wrong with them: then what was published before stays."""
     t = store.begin()
-    rebuild_mart(t, config)
+    update_mart(t, config)
     quality_report(t, config)
     t.commit()
     return {n: store.read(n) for n in (*MART, "dq_report")}
 
 
 MART = ("dim_provider", "dim_facility", "dim_payer", "dim_diagnosis", "dim_date", "dim_patient", "fact_version", "fact_current", "issues", "quarantine")
+ISSUE_KEYS = ["version_key", "encounter_key", "source_system", "source_record_id", "batch_id", *LINEAGE]
+PATIENT_ORDER = ["last_updated_ts_utc", "batch_id", *LINEAGE]
+PATIENT_ATTRIBUTES = ["patient_link_status", "patient_link_reason", "sex", "sex_reason", "zip3", "zip3_reason"]
 
 
 def rebuild_mart(store: Store | Transaction, config: Config) -> dict[str, DataFrame]:
@@ -303,35 +312,144 @@ def rebuild_mart(store: Store | Transaction, config: Config) -> dict[str, DataFr
         return {n: store.read(n) for n in MART}
     versions, fields = committed(store, "versions"), committed(store, "fields")
     store.replace("people", people(store, config))
+    _write_dimensions(store, config, fields)
+    facts_now = store.replace("fact_version", _facts(store, versions, fields, store.read("people")))
+    _require_facts(versions, facts_now)
+    current = _current(versions)
+    store.replace("fact_current", facts.fact_current(facts_now, current, "version_key", ["version_count", "first_batch"]))
+    issues = store.replace("issues", _issues(facts_now))
+    quality.require_none(quality.duplicate_rows(issues, ["version_key", "check_code"]), "two issues of one check")
+    store.replace("dim_patient", _patients(facts_now))
+    store.replace("quarantine", quality.quarantine(store.read("audit"), _gate_rejected(store), committed(store, "outcomes"), issues, current))
+    _note_covered(store, store.batches("audit"), mart_basis(config))
+    return {n: store.read(n) for n in MART}
+
+
+def update_mart(store: Store | Transaction, config: Config) -> str:
+    """The mart as ``rebuild_mart`` would write it, by what has changed since it was last written; returns UPDATED or REBUILT. On a store it is published.
+
+    Batches decided since then, and the earlier rows of people whose link they change, give the versions whose facts are written; the encounters, people and
+    rows of the quarantine that these touch follow. Facts, issues and the like are merged by key: what is written follows the batch, not the history. History
+    is read by joins with the little that has changed. The code list's, the facilities' and the calendar's tables are written whole: they don't grow with the deliveries.
+    It is rebuilt whole if there is none yet, if the rosters or the secret are others (they reach every fact), or if a new batch's identity states were compacted.
+    """
+    if isinstance(store, Store):
+        t = store.begin()
+        done = update_mart(t, config)
+        t.commit()
+        return done
+    basis = mart_basis(config)
+    covered = {r["batch_id"] for r in store.read("mart_state").filter(F.col("basis") == basis).collect()} if store.exists("mart_state") else set()  # one row per delivered folder
+    decided = store.batches("audit")
+    added = decided - covered
+    loaded = store.batches("outcomes") & added
+    if not store.batches("outcomes") & covered or not loaded <= store.batches("identity_states"):
+        rebuild_mart(store, config)
+        return "REBUILT"
+    versions, fields = committed(store, "versions"), committed(store, "fields")
+    _write_dimensions(store, config, fields)
+    if not added:
+        return "UPDATED"
+    line, kept = ["batch_id", *LINEAGE], []
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(df.persist())
+        return kept[-1]
+
+    try:
+        # people of new rows, and of earlier rows whose identity links otherwise now
+        states = store.read("identity_states", loaded)
+        before = store.read("identity_states", store.batches("identity_states") - loaded)
+        touched = before.join(states.select("source", "local_id").distinct(), ["source", "local_id"], "left_semi").unionByName(states)
+        found = identity.resolved_identities(identity.merged_identities(touched), "file_source_system", len(LINKAGE))
+        flipped = identity.changed_identities(before, states, len(LINKAGE)).withColumnRenamed("source", "file_source_system")
+        earlier = store.read("person_rows", store.batches("person_rows") - loaded).join(flipped, ["file_source_system", "local_id"], "left_semi")
+        persons = store.merge("people", line, linked_people(store.read("person_rows", loaded).unionByName(earlier), found, config))
+
+        old = store.read("fact_version")
+        fresh = versions.join(persons.select(*line), line, "left_semi")
+        facts_new = store.merge("fact_version", ["version_key"], _facts(store, fresh, fields, persons))
+        _require_facts(store.read("versions", loaded), facts_new)
+        issues_new = store.merge("issues", ["version_key"], _issues(facts_new), facts_new)
+        quality.require_none(quality.duplicate_rows(issues_new, ["version_key", "check_code"]), "two issues of one check")
+
+        facts_now, encounters = store.read("fact_version"), facts_new.select("encounter_key").distinct()
+        history_of = keep(versions.join(encounters, "encounter_key", "left_semi"))
+        current = keep(_current(history_of))
+        store.merge("fact_current", ["encounter_key"], facts.fact_current(facts_now, current, "version_key", ["version_count", "first_batch"]))
+        were = old.join(facts_new.select("version_key"), "version_key", "left_semi").select("patient_key")
+        patients = keep(were.unionByName(facts_new.select("patient_key")).distinct())
+        store.merge("dim_patient", ["patient_key"], _patients(facts_now.join(patients, "patient_key", "left_semi")), patients)
+
+        issues_of = store.read("issues").join(encounters, "encounter_key", "left_semi")
+        set_aside = quality.quarantine(store.read("audit", added), _gate_rejected(store, added), store.read("outcomes", loaded), issues_of, current)
+        store.merge("quarantine", ["version_key"], set_aside, history_of)
+        _note_covered(store, decided, basis)
+        return "UPDATED"
+    finally:
+        for df in kept:
+            df.unpersist()
+
+
+def mart_basis(config: Config) -> str:
+    """What every fact depends on besides the batches: a digest of the providers, and of the secret under itself."""
+    secret = keyed_hash(config.secret, F.array(F.lit("mart_basis/v1")))
+    return "|".join(str(x) for x in quality.state_digest(_provider_dim(config)).withColumn("secret", secret).first())
+
+
+def _note_covered(store: Transaction, batches: set[str | None], basis: str) -> None:
+    store.replace("mart_state", store.spark.createDataFrame([(b, basis) for b in sorted(batches)], "batch_id string, basis string"))
+
+
+def _provider_dim(config: Config) -> DataFrame:
     attributes = ["provider_last_name", "provider_first_name", "credential", "specialty", "primary_facility_id", "employment_status"]
     carried = [c for c in ("file_name", "source_row_number") if c in config.rosters.columns]
-    store.replace("dim_provider", dimensions.scd2(config.rosters, "npi", "as_of_date", attributes, carried))
+    return dimensions.scd2(config.rosters, "npi", "as_of_date", attributes, carried)
+
+
+def _write_dimensions(store: Transaction, config: Config, fields: DataFrame) -> None:
+    store.replace("dim_provider", _provider_dim(config))
     store.replace("dim_facility", config.facilities)
     store.replace("dim_payer", dimensions.payer_dim(store.spark))
     store.replace("dim_diagnosis", dimensions.reference_and_observed(config.codes, fields.select(F.col("primary_dx_code").alias("icd10_code")), "icd10_code"))
     store.replace("dim_date", dimensions.calendar_dim(fields, "admit_date", "discharge_date"))
-    joined = facts.fact_versions(versions, fields.drop("batch_id", *LINEAGE), store.read("people"), "version_key", ["batch_id", *LINEAGE])
+
+
+def _facts(store: Transaction, versions: DataFrame, fields: DataFrame, persons: DataFrame) -> DataFrame:
+    """Facts of versions: cleaned fields, the person, the provider at the admission, the length of the stay."""
+    joined = facts.fact_versions(versions, fields.drop("batch_id", *LINEAGE), persons, "version_key", ["batch_id", *LINEAGE])
     placed = dimensions.point_in_time(joined, store.read("dim_provider"), "attending_npi", "admit_date", "attending_npi_reason", dim_key="npi")
     stay = clean.length_of_stay(F.col("admit_date"), F.col("discharge_date"))
     placed = placed.withColumnsRenamed({"sk": "provider_sk", "sk_reason": "provider_sk_reason"}).withColumn("_stay", stay)
-    placed = placed.withColumns({
+    return placed.withColumns({
         "length_of_stay_days": F.col("_stay.value"), "length_of_stay_days_reason": F.col("_stay.reason"), "patient_key_reason": F.when(F.col("patient_key").isNull(), F.col("patient_link_reason")),
     }).drop("_stay")
-    store.replace("fact_version", placed)
-    facts_now = store.read("fact_version")
-    quality.require_none(versions.select("version_key").join(facts_now.select("version_key"), "version_key", "left_anti"), "versions without facts")
-    current = history.current_state(versions, ["encounter_key"], "last_updated_ts_utc", ["batch_id", *LINEAGE], "batch_id")
-    store.replace("fact_current", facts.fact_current(facts_now, current, "version_key", ["version_count", "first_batch"]))
-    keys = ["version_key", "encounter_key", "source_system", "source_record_id", "batch_id", *LINEAGE]
-    sources = [c for c in dict.fromkeys(s for s, *_ in quality.catalogue.CODE_MAP) if c in facts_now.columns]
-    reasons = quality.long_reasons(facts_now, ["version_key"], sources)
-    quality.require_none(quality.unclassified(reasons), "unclassified reason codes")
-    store.replace("issues", quality.version_issues(facts_now, keys, sources))
-    quality.require_none(quality.duplicate_rows(store.read("issues"), ["version_key", "check_code"]), "two issues of one check")
-    store.replace("dim_patient", identity.latest_attributes(facts_now, "patient_key", ["last_updated_ts_utc", "batch_id", *LINEAGE], ["patient_link_status", "patient_link_reason", "sex", "sex_reason", "zip3", "zip3_reason"], ["sex", "zip3"]))
-    rejected = store.read("gate_rejected_issues") if store.exists("gate_rejected_issues") else store.read("issues").limit(0).select("batch_id", *LINEAGE, "source_system", "source_record_id", "check_code", "reason_code")
-    store.replace("quarantine", quality.quarantine(store.read("audit"), rejected, committed(store, "outcomes"), store.read("issues"), current))
-    return {n: store.read(n) for n in MART}
+
+
+def _require_facts(versions: DataFrame, fact_rows: DataFrame) -> None:
+    """Every version met its fields, its person and its provider exactly once."""
+    quality.require_none(versions.select("version_key").join(fact_rows.select("version_key"), "version_key", "left_anti"), "versions without facts")
+    quality.require_none(quality.duplicate_rows(fact_rows, ["version_key"]), "versions with two facts")
+
+
+def _current(versions: DataFrame) -> DataFrame:
+    return history.current_state(versions, ["encounter_key"], "last_updated_ts_utc", ["batch_id", *LINEAGE], "batch_id")
+
+
+def _issues(fact_rows: DataFrame) -> DataFrame:
+    sources = [c for c in dict.fromkeys(s for s, *_ in quality.catalogue.CODE_MAP) if c in fact_rows.columns]
+    quality.require_none(quality.unclassified(quality.long_reasons(fact_rows, ["version_key"], sources)), "unclassified reason codes")
+    return quality.version_issues(fact_rows, ISSUE_KEYS, sources)
+
+
+def _patients(fact_rows: DataFrame) -> DataFrame:
+    return identity.latest_attributes(fact_rows, "patient_key", PATIENT_ORDER, PATIENT_ATTRIBUTES, ["sex", "zip3"])
+
+
+def _gate_rejected(store: Transaction, batches: set[str | None] | None = None) -> DataFrame:
+    if store.exists("gate_rejected_issues"):
+        return store.read("gate_rejected_issues", batches)
+    return store.read("issues").limit(0).select("batch_id", *LINEAGE, "source_system", "source_record_id", "check_code", "reason_code")
 
 
 def cohort(store: Tables, year: int = 2024, least: str = "5000.00") -> DataFrame:
