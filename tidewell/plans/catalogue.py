@@ -630,4 +630,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 def _all_registered() -> None:
-    from . import delivered_report, file_queries, reference_queries, report_queries  # noqa: F401  (they register their queries here)
+    from . import delivered_report, file_queries, reference_queries, report_queries, store_queries  # noqa: F401  (they register their queries here)

@@ -27,11 +27,16 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """``df`` as a checkpoint in the folder that ``spark.checkpoint.dir`` names; without one, in a local folder, on a single machine only."""
-    spark = df.sparkSession
+    """``df`` as a checkpoint in the session's ``work_folder``."""
+    work_folder(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def work_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names; without one, a local folder, on a single machine only."""
     if spark.sparkContext.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
         if named is None and not spark.sparkContext.master.startswith("local["):
             raise ValueError("on a cluster spark.checkpoint.dir must name a folder that all machines share")
         spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="tidewell-checkpoint-"))
-    return df.checkpoint(eager=True)
+    return spark.sparkContext.getCheckpointDir()
