@@ -275,6 +275,7 @@ def test_volume_report(run, config):
     delivery.rebuild_mart(store, config)
     report = facts.volume_report(store.read("fact_current"), store.read("issues"), store.read("dim_date"), store.read("dim_facility")).collect()
     assert [(r["year"], r["month"], r["facility_id"], r["facility_name"], r["encounters"], r["billed_amount_usd"]) for r in report] == [(2024, 3, "F1", "North Clinic", 2, Decimal("10000.00")), (2024, 3, "F2", "South", 1, Decimal("123.45"))]
+    assert delivery.volume_as_of(store, "batch_002").collect() == report and delivery.volume_as_of(store, "batch_000").collect() == []
 
 
 def test_export(run, config, spark, tmp_path):

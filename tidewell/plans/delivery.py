@@ -452,6 +452,12 @@ def _gate_rejected(store: Transaction, batches: set[str | None] | None = None) -
     return store.read("issues").limit(0).select("batch_id", *LINEAGE, "source_system", "source_record_id", "check_code", "reason_code")
 
 
+def volume_as_of(store: Tables, batch_id: str) -> DataFrame:
+    """The volume report as it was known at the end of a batch. An encounter whose version of then has an ERROR is left out; it has no older one in its place."""
+    known = history.state_as_of(store.read("fact_version"), ["encounter_key"], "last_updated_ts_utc", ["batch_id", *LINEAGE], "batch_id", batch_id)
+    return facts.volume_report(known, store.read("issues"), store.read("dim_date"), store.read("dim_facility"))
+
+
 def cohort(store: Tables, year: int = 2024, least: str = "5000.00") -> DataFrame:
     """The cohort of chronic conditions over the rebuilt star schema."""
     current = store.read("fact_current").withColumnsRenamed({"batch_id": "source_batch_id", "file_name": "source_file_name"})

@@ -127,19 +127,35 @@ def _(spark, d):
 # --- facts ---------------------------------------------------------------------------------
 
 
-@query(
-    "volume_report",
-    f"""WITH {ENCOUNTERS_SQL}, {ISSUES_SQL} SELECT CAST(year(admit) AS INTEGER) AS year, CAST(month(admit) AS INTEGER) AS month, CAST(site AS VARCHAR) AS facility_id, n_name AS facility_name, kind AS encounter_type, count(*) AS encounters, CAST(sum(CAST(cents AS DECIMAL(18, 0)) * 0.01) AS DECIMAL(28, 2)) AS billed_amount_usd
-FROM encounters e LEFT JOIN (SELECT * FROM nation WHERE n_nationkey % 6 <> 0) n ON n_nationkey = site WHERE status IS DISTINCT FROM 'VOID' AND admit IS NOT NULL AND NOT EXISTS (SELECT 1 FROM issues i WHERE i.enc = e.enc AND i.severity = 'ERROR') GROUP BY ALL ORDER BY ALL""",
-)
-def _(spark, d):
-    e, c = views.encounters(spark, d), F.col
+_VOLUME_SQL = """SELECT CAST(year(admit) AS INTEGER) AS year, CAST(month(admit) AS INTEGER) AS month, CAST(site AS VARCHAR) AS facility_id, n_name AS facility_name, kind AS encounter_type, count(*) AS encounters, CAST(sum(CAST(cents AS DECIMAL(18, 0)) * 0.01) AS DECIMAL(28, 2)) AS billed_amount_usd
+FROM {} e LEFT JOIN (SELECT * FROM nation WHERE n_nationkey % 6 <> 0) n ON n_nationkey = site WHERE status IS DISTINCT FROM 'VOID' AND admit IS NOT NULL AND NOT EXISTS (SELECT 1 FROM issues i WHERE i.enc = e.enc AND i.severity = 'ERROR') GROUP BY ALL ORDER BY ALL"""
+
+
+def _volume(spark, d, e, known):
+    c = F.col
     dollars = (c("cents").cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast("decimal(18,2)")
-    rows = e.select(c("enc").alias("version_key"), c("site").cast("string").alias("facility_id"), c("kind").alias("encounter_type"), c("status").alias("claim_status"), c("admit").alias("admit_date"), dollars.alias("billed_amount_usd"))
+    rows = known.select(c("enc").alias("version_key"), c("site").cast("string").alias("facility_id"), c("kind").alias("encounter_type"), c("status").alias("claim_status"), c("admit").alias("admit_date"), dollars.alias("billed_amount_usd"))
     facilities = views.table(spark, d, "nation").filter("n_nationkey % 6 <> 0").select(c("n_nationkey").cast("string").alias("facility_id"), c("n_name").alias("facility_name"))
     return facts.volume_report(rows, base._issues(e).withColumnRenamed("enc", "version_key"), dimensions.calendar_dim(e, "admit", "discharge"), facilities)
 
 
+@query("volume_report", f"WITH {ENCOUNTERS_SQL}, {ISSUES_SQL} {_VOLUME_SQL.format('encounters')}")
+def _(spark, d):
+    e = views.encounters(spark, d)
+    return _volume(spark, d, e, e)
+
+
+@query(
+    "volume_report_as_of",
+    f"WITH {ENCOUNTERS_SQL}, {ISSUES_SQL}, known AS (SELECT * FROM encounters WHERE enc % 4 <= 2 QUALIFY row_number() OVER (PARTITION BY person ORDER BY enc DESC) = 1) {_VOLUME_SQL.format('known')}",
+)
+def _(spark, d):
+    # a person's encounters as versions of one record, delivered in four batches; as known at the end of the third
+    e = views.encounters(spark, d)
+    versions = e.withColumn("batch_id", F.concat(F.lit("batch_00"), (F.col("enc") % 4).cast("string")))
+    return _volume(spark, d, e, history.state_as_of(versions, ["person"], "enc", [], "batch_id", "batch_002"))
+
+
 @query(
     "fact_current",
     f"WITH {CLASSIFIED_SQL}, c AS ({CURRENT_SQL.format('')}) SELECT w.rec, w.v, w.batch_no, w.row_no, w.event_type, 'z' || CAST(w.row_no % 7 AS VARCHAR) AS zip, c.version_count FROM versions w JOIN c ON c.rec = w.rec AND c.v = w.v",
