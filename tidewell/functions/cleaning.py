@@ -241,6 +241,21 @@ def clean_icd10(c: Column, in_reference: Column | None = None) -> Column:
     return field(code, reason, warning)
 
 
+def resolve_icd10(df: DataFrame, out: str, c: Column, known: DataFrame) -> DataFrame:
+    """``df`` with ``out``: ``clean_icd10`` in steps, with the reference ``known`` (icd10_code) looked up by the code."""
+    s = Steps(df, out)
+    s.add(text=strip(c))
+    s.add(head=F.upper(strip(F.substring_index(s["text"], "-", 1))))
+    s.add(code=_dotted(s["head"]))
+    reference = known.select(F.col("icd10_code").alias(f"_{out}_dx"), F.lit(True).alias(f"_{out}_known"))
+    s.df = s.df.join(reference, s["code"] == s["dx"], "left")
+    s.names += [f"_{out}_dx", f"_{out}_known"]
+    s.add(looks=shape(s["code"]))
+    s.add(read=_is_icd10_shape(s["looks"]))
+    reason = first_reason((s["text"] == "", "DX_MISSING"), (F.upper(s["text"]).isin(*PLACEHOLDERS), "DX_PLACEHOLDER"), (shape(s["head"]).isin("999", "999.9", "999.99"), "DX_ICD9"), (~s["read"], "DX_UNPARSEABLE"))
+    return s.done(s["code"], reason, F.when(s["known"].isNull(), F.lit("DX_NOT_IN_REFERENCE")))
+
+
 def shape(c: Column) -> Column:
     """A text with its capital letters as A and its digits as 9."""
     return F.translate(c, ascii_uppercase + digits, "A" * 26 + "9" * 10)
@@ -248,7 +263,10 @@ def shape(c: Column) -> Column:
 
 def is_icd10(code: Column) -> Column:
     """Whether a code has a category (letter, digit, letter or digit) and, behind a dot, nothing or one to four letters and digits."""
-    looks = shape(code)
+    return _is_icd10_shape(shape(code))
+
+
+def _is_icd10_shape(looks: Column) -> Column:
     detail = F.substring(looks, 5, 1 << 20)
     detailed = (F.substring(looks, 4, 1) == ".") & F.length(detail).between(1, 4) & (F.translate(detail, "A9", "") == "")
     return F.coalesce(F.substring(looks, 1, 3).isin("A99", "A9A") & ((F.length(looks) == 3) | detailed), F.lit(False))
@@ -256,7 +274,10 @@ def is_icd10(code: Column) -> Column:
 
 def icd10_code(c: Column) -> Column:
     """The text before the first hyphen, upper case, with a dot after three characters: the key to join the reference on."""
-    head = F.upper(strip(F.substring_index(strip(c), "-", 1)))
+    return _dotted(F.upper(strip(F.substring_index(strip(c), "-", 1))))
+
+
+def _dotted(head: Column) -> Column:
     return F.when(~F.contains(head, F.lit(".")) & (F.length(head) > 3), F.concat(F.substring(head, 1, 3), F.lit("."), F.substring(head, 4, 1 << 20))).otherwise(head)
 
 
@@ -273,6 +294,17 @@ def clean_npi(c: Column) -> Column:
     return field(number, reason)
 
 
+def resolve_npi(df: DataFrame, out: str, c: Column) -> DataFrame:
+    """``df`` with ``out``: ``clean_npi`` in steps."""
+    s = Steps(df, out)
+    s.add(text=strip(c))
+    s.add(number=F.regexp_replace(s["text"], r"\.0\z", ""))
+    s.add(ten=(F.length(s["number"]) == 10) & _all_digits(s["number"]))
+    right = F.when(s["ten"], F.call_function("luhn_check", F.concat(F.lit("80840"), s["number"])))
+    reason = first_reason(*_blank(s["text"], "NPI"), (~s["ten"], "NPI_INVALID_FORMAT"), (~right, "NPI_CHECKSUM_FAILED"))
+    return s.done(s["number"], reason)
+
+
 def flag_not_in_roster(npi: Column, in_roster: Column) -> Column:
     return F.when(npi.isNotNull() & ~F.coalesce(in_roster, F.lit(False)), F.lit("NPI_NOT_IN_ROSTER"))
 

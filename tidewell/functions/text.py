@@ -56,7 +56,10 @@ def first_reason(*rules: tuple[Column, str]) -> Column:
 
 class Steps:
     """Columns of one field on its way, step by step. A step's columns are computed once per row, however often later steps use them: the
-    optimizer doesn't merge a projection into one that uses its expressions twice."""
+    optimizer doesn't merge a projection into one that uses its expressions twice.
+
+    A field ends with ``once``, which also ends the Java method that Spark generates: the methods of several fields in a row stay
+    short enough to be compiled (HotSpot interprets those of more than 8,000 bytes, many times slower)."""
 
     def __init__(self, df: DataFrame, out: str):
         self.df, self.out, self.names = df, out, []
@@ -71,7 +74,8 @@ class Steps:
     def done(self, value: Column, reason: Column, warning: Column | None = None) -> DataFrame:
         """The table with the cleaned field and without the steps."""
         self.add(value=value, reason=reason, **({} if warning is None else {"warning": warning}))
-        return self.df.withColumn(self.out, field(self["value"], self["reason"], None if warning is None else self["warning"])).drop(*self.names)
+        kept = [c for c in self.df.columns if c not in (*self.names, self.out)]
+        return once(self.df.drop(self.out), **{self.out: field(self["value"], self["reason"], None if warning is None else self["warning"])}).select(*kept, self.out)
 
 
 def once(df: DataFrame, **columns: Column) -> DataFrame:

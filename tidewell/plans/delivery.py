@@ -91,28 +91,30 @@ def require_usable(config: Config) -> None:
 
 def cleaned_fields(versions: DataFrame, config: Config) -> DataFrame:
     """Cleaned columns of versions: value and reason of each field, warnings where a value can be doubtful."""
-    index = reference.facility_index(config.facilities, config.aliases)
-    # Spark broadcasts what it knows to be small
-    rows = reference.resolve_facility(versions, index, "facility_name", "file_source_system")
-    known = config.codes.select(F.col("icd10_code").alias("_dx"), F.lit(True).alias("_in_reference"))
-    listed = config.rosters.select(F.col("npi").alias("_npi")).distinct().withColumn("_in_roster", F.lit(True))
-    npi = clean.clean_npi(F.col("attending_npi"))
-    rows = rows.withColumn("_code", clean.icd10_code(F.col("primary_dx_code"))).join(known, F.col("_code") == F.col("_dx"), "left")
-    rows = once(rows, _n=npi).join(listed, F.col("_n.value") == F.col("_npi"), "left")
+    # every field ends with a generator, so that no generated method takes in more than one of them: see ``text.Steps``
+    rows = clean.resolve_npi(versions, "_number", F.col("attending_npi"))
     for out, c in (("_admit", "admit_date"), ("_discharge", "discharge_date")):
         rows = clean.clean_date(rows, out, F.col(c), F.col("date_order"), F.col("century"), F.col("delivered_date"))
     rows = clean.clean_encounter_type(rows, "_type", F.col("encounter_type"))
     rows = clean.clean_claim_status(rows, "_status", F.col("claim_status"))
     rows = clean.clean_payer_category(rows, "_payer", F.col("payer_name"))
     rows = clean.clean_amount(rows, "_amount", F.col("billed_amount"), F.col("amount_unit"))
+    # few names and codes stand in most rows, so rows never move by them: facilities and the code list are sent to every task
+    index = reference.facility_index(config.facilities, config.aliases)
+    rows = reference.resolve_facility(rows, F.broadcast(index), "facility_name", "file_source_system")
+    rows = clean.resolve_icd10(rows, "_diagnosis", F.col("primary_dx_code"), F.broadcast(config.codes))
+    # Spark broadcasts a roster that it knows to be small; otherwise rows without a number, which find nothing, are spread
+    listed = config.rosters.select(F.col("npi").alias("_npi")).distinct().withColumn("_in_roster", F.lit(True))
+    sought = F.coalesce(F.col("_number.value"), F.concat(F.lit("row "), F.col("source_row_number")))
+    rows = rows.withColumn("_sought", sought).join(listed, F.col("_sought") == F.col("_npi"), "left")
     keys = ["version_key", "batch_id", *LINEAGE, BUCKET]
     return rows.select(
         *keys, "facility_id", "facility_id_reason", "last_updated_ts_warning",
         *expand("admit_date", F.col("_admit"), warning=False), *expand("discharge_date", F.col("_discharge"), warning=False),
         clean.discharge_before_admit(F.col("_admit.value"), F.col("_discharge.value")).alias("discharge_date_warning"),
         *expand("encounter_type", F.col("_type")), *expand("claim_status", F.col("_status"), warning=False),
-        *expand("payer_category", F.col("_payer")), *expand("primary_dx_code", clean.clean_icd10(F.col("primary_dx_code"), F.col("_in_reference"))),
-        F.col("_n.value").alias("attending_npi"), F.col("_n.reason").alias("attending_npi_reason"), clean.flag_not_in_roster(F.col("_n.value"), F.col("_in_roster")).alias("attending_npi_warning"),
+        *expand("payer_category", F.col("_payer")), *expand("primary_dx_code", F.col("_diagnosis")),
+        F.col("_number.value").alias("attending_npi"), F.col("_number.reason").alias("attending_npi_reason"), clean.flag_not_in_roster(F.col("_number.value"), F.col("_in_roster")).alias("attending_npi_warning"),
         *expand("billed_amount_usd", F.col("_amount"), warning=False),
     )
 
