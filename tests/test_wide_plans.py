@@ -2,6 +2,7 @@
 
 from tests.conftest import SF
 from tidewell.plans import catalogue
+from tidewell.sources import csv_ranges
 
 
 def test_cleaned_fields_compile_and_rows_stay_in_their_tasks(spark):
@@ -15,3 +16,13 @@ def test_cleaned_fields_compile_and_rows_stay_in_their_tasks(spark):
         assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_ranges_of_many_files_share_batches(spark):
+    schema = csv_ranges.arrow_schema(csv_ranges.STATES)
+    rows = [("b", f"f{i}", 0, 0, False, i, None) for i in range(csv_ranges.ROWS + 1)]
+    assert [b.num_rows for b in csv_ranges.batched(rows, schema)] == [csv_ranges.ROWS, 1]
+    large = [("b", "f", 0, i, b"x" * (csv_ranges.BATCH_BYTES // 2)) for i in range(3)]
+    assert [b.num_rows for b in csv_ranges.batched(large, csv_ranges.arrow_schema(csv_ranges.RANGES), sized=(4,))] == [2, 1]
+    plan = catalogue.queries()["csv_records_in_ranges"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "InPandas" not in plan  # a frame per range, file or record costs milliseconds

@@ -19,13 +19,14 @@ import codecs
 import csv
 import io
 from collections.abc import Iterable, Iterator
+from itertools import groupby
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Bytes of a range that tasks aim at; ranges of which the states may be broadcast (about 100 bytes each); rows per result batch.
-RANGE_BYTES, FEW_RANGES, ROWS = 8 << 20, 100_000, 10_000
+#: Bytes of a range that tasks aim at; ranges of which the states may be broadcast (about 100 bytes each); rows and bytes or characters from which a result batch leaves.
+RANGE_BYTES, FEW_RANGES, ROWS, BATCH_BYTES = 8 << 20, 100_000, 10_000, 8 << 20
 #: Bytes of a byte-order mark, which is no part of the first value.
 MARK = b"\xef\xbb\xbf"
 BY = ["batch_id", "file_name"]
@@ -34,6 +35,42 @@ RECORDS = "batch_id string, file_name string, kind string, row_number int, field
 INSIDE = '"'
 
 
+ARROW = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary(), "array<string>": pa.list_(pa.string())}
+
+
+def arrow_schema(kinds: str) -> pa.Schema:
+    return pa.schema([(name, ARROW[kind]) for name, kind in (x.split() for x in kinds.split(", "))])
+
+
+def batched(rows: Iterable[tuple], schema: pa.Schema, sized: tuple[int, ...] = ()) -> Iterator[pa.RecordBatch]:
+    """Rows as record batches, whatever files they come from. ``sized``: columns (texts, bytes or lists of texts) whose sizes count too."""
+    held, n = [], 0
+
+    def done() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), schema.types, strict=True)], schema=schema)
+
+    for row in rows:
+        held.append(row)
+        for x in (row[i] for i in sized):
+            n += 0 if x is None else sum(map(len, x)) if isinstance(x, list) else len(x)
+        if len(held) >= ROWS or n >= BATCH_BYTES:
+            yield done()
+            held, n = [], 0
+    if held:
+        yield done()
+
+
+def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+    for b in batches:
+        yield from zip(*(c.to_pylist() for c in b.columns), strict=True)
+
+
+def _by(rows: Iterable[tuple], n: int) -> Iterator[list[tuple]]:
+    """Sorted rows in groups by their first ``n`` columns."""
+    for _, group in groupby(rows, key=lambda r: r[:n]):
+        yield list(group)
+
+
 def ascii_compatible(encoding: str) -> bool:
     return "\n,\"".encode(encoding) == b"\n,\""
 
@@ -54,13 +91,11 @@ def _grouped(lines: Iterable[bytes], size: int) -> Iterator[bytes]:
 def cut(files: DataFrame, size: int = RANGE_BYTES) -> DataFrame:
     """Ranges of files whose ``content`` is a cell: batch_id, file_name, content."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            for b, n, c in zip(f["batch_id"], f["file_name"], f["content"], strict=True):
-                for part, x in enumerate(_grouped(io.BytesIO(c), size)):
-                    yield pd.DataFrame([(b, n, 0, part, x)], columns=["batch_id", "file_name", "start", "part", "content"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = ((b, n, 0, part, x) for b, n, c in _rows(batches) for part, x in enumerate(_grouped(io.BytesIO(c), size)))
+        yield from batched(parts, arrow_schema(RANGES), sized=(4,))
 
-    return files.select(*BY, "content").mapInPandas(run, RANGES)
+    return files.select(*BY, "content").mapInArrow(run, RANGES)
 
 
 def read_ranges(spark: SparkSession, paths: list[str], size: int = RANGE_BYTES) -> DataFrame:
@@ -69,28 +104,26 @@ def read_ranges(spark: SparkSession, paths: list[str], size: int = RANGE_BYTES)
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     lines = lines.select(F.regexp_extract(path, r"([^/]+)/[^/]+\z", 1).alias("batch_id"), F.regexp_extract(path, r"([^/]+)\z", 1).alias("file_name"), F.col("_metadata.file_block_start").alias("start"), F.col("value").cast("binary").alias("content"))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def ranges(rows: Iterator[tuple]) -> Iterator[tuple]:
         # a task's lines come in order, split by split
         at, part, held, n = None, 0, [], 0
-
-        def done() -> pd.DataFrame:
-            return pd.DataFrame([(*at, part, b"\n".join([*held, b""]))], columns=["batch_id", "file_name", "start", "part", "content"])
-
-        for f in frames:
-            for *here, x in f.itertuples(index=False, name=None):
-                if here != at:
-                    if held:
-                        yield done()
-                    at, part, held, n = here, 0, [], 0
-                held.append(x)
-                n += len(x) + 1
-                if n >= size:
-                    yield done()
-                    part, held, n = part + 1, [], 0
+        for *here, x in rows:
+            if here != at:
+                if held:
+                    yield (*at, part, b"\n".join([*held, b""]))
+                at, part, held, n = here, 0, [], 0
+            held.append(x)
+            n += len(x) + 1
+            if n >= size:
+                yield (*at, part, b"\n".join([*held, b""]))
+                part, held, n = part + 1, [], 0
         if held:
-            yield done()
+            yield (*at, part, b"\n".join([*held, b""]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from batched(ranges(_rows(batches)), arrow_schema(RANGES), sized=(4,))
 
-    return lines.mapInPandas(run, RANGES)
+    return lines.mapInArrow(run, RANGES)
 
 
 def _lines(text: str) -> Iterator[str]:
@@ -166,13 +199,10 @@ def summaries(ranges: DataFrame, encoding: str = "utf-8") -> DataFrame:
         begun1 = max(0, len(found) + end1 - 1)
         return size, None, begun0, begun1, end0, end1, begun0 if failed0 else None, (len(found) - 1 if failed1 else None), blank
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            rows = [(b, n, s, p, *of(c, s == 0 and p == 0)) for b, n, s, p, c in f.itertuples(index=False, name=None)]
-            out = pd.DataFrame(rows, columns=[x.split()[0] for x in SUMMARY.split(", ")])
-            yield out.astype(dict.fromkeys(("bad", "fails0", "fails1"), "Int64"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from batched(((b, n, s, p, *of(c, s == 0 and p == 0)) for b, n, s, p, c in _rows(batches)), arrow_schema(SUMMARY))
 
-    return ranges.select("batch_id", "file_name", "start", "part", "content").mapInPandas(run, SUMMARY)
+    return ranges.select("batch_id", "file_name", "start", "part", "content").mapInArrow(run, SUMMARY)
 
 
 STATES = "batch_id string, file_name string, start bigint, part int, inside boolean, before bigint, detail string"
@@ -181,30 +211,33 @@ STATES = "batch_id string, file_name string, start bigint, part int, inside bool
 def composed(summary: DataFrame) -> DataFrame:
     """Per range: whether it starts inside quotes and how many records begin before it; ``detail``, the file's failure, is on all ranges of a file that has one."""
 
-    def run(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values(["start", "part"])
+    def of(ranges: list[tuple]) -> Iterator[tuple]:
         inside, before, offset, failure, undecoded, rows = False, 0, 0, None, None, []
-        for r in f.itertuples(index=False):
-            rows.append((r.batch_id, r.file_name, r.start, r.part, inside, before))
-            if undecoded is None and not pd.isna(r.bad):
-                undecoded = f"ENCODING_ERROR(byte_offset={offset + int(r.bad)})"
-            offset += r.bytes
+        for batch, name, start, part, size, bad, begun0, begun1, end0, end1, fails0, fails1, _ in ranges:
+            rows.append((batch, name, start, part, inside, before))
+            if undecoded is None and bad is not None:
+                undecoded = f"ENCODING_ERROR(byte_offset={offset + bad})"
+            offset += size
             if failure is None:
-                fails = r.fails1 if inside else r.fails0
-                if not pd.isna(fails):
-                    failure = before + int(fails)
-                before += int(r.begun1 if inside else r.begun0)
-                inside = bool(r.end1 if inside else r.end0)
+                fails = fails1 if inside else fails0
+                if fails is not None:
+                    failure = before + fails
+                before += begun1 if inside else begun0
+                inside = end1 if inside else end0
         if failure is None and inside:  # the file ends inside quotes
             failure = before - 1
         detail = undecoded
         if detail is None and failure is not None:
             detail = f"CSV_PARSE_ERROR({'header' if failure == 0 else f'record={failure}'})"
-        if detail is None and (f["blank"].iloc[0] or not before):
+        if detail is None and (ranges[0][-1] or not before):
             detail = "HEADER_MISSING"
-        return pd.DataFrame([(*r, detail) for r in rows], columns=[x.split()[0] for x in STATES.split(", ")])
+        return ((*r, detail) for r in rows)
 
-    return summary.groupBy(*BY).applyInPandas(run, STATES)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # files follow each other in a task: what is held is a file's numbers
+        yield from batched((row for ranges in _by(_rows(batches), len(BY)) for row in of(ranges)), arrow_schema(STATES))
+
+    return summary.repartition(*BY).sortWithinPartitions(*BY, "start", "part").mapInArrow(run, STATES)
 
 
 def read_strict_csv_ranges(ranges: DataFrame, files: DataFrame, encoding: str = "utf-8") -> DataFrame:
@@ -218,7 +251,7 @@ def read_strict_csv_ranges(ranges: DataFrame, files: DataFrame, encoding: str =
     states = composed(summaries(ranges, encoding)).persist()  # some numbers for each range
     few = states.count() <= FEW_RANGES
     joined = ranges.join(F.broadcast(states) if few else states, [*BY, "start", "part"]).filter("detail IS NULL")
-    names = ["batch_id", "file_name", "kind", "row_number", "fields", "start", "part", "piece"]
+    pieces = "batch_id string, file_name string, kind string, row_number int, fields array<string>, start bigint, part int, piece string"
 
     def rows_of(b: str, n: str, start: int, part: int, content: bytes, inside: bool, before: int) -> Iterator[tuple]:
         text, _ = _decoded(content, codec, start == 0 and part == 0)
@@ -234,30 +267,23 @@ def read_strict_csv_ranges(ranges: DataFrame, files: DataFrame, encoding: str =
         if open_ and (found or not inside):
             yield b, n, "piece", first + len(found), None, start, part, "".join(lines[whole:])
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            held: list[tuple] = []
-            for r in f.itertuples(index=False, name=None):
-                for x in rows_of(*r):
-                    held.append(x)
-                    if len(held) >= ROWS:
-                        yield pd.DataFrame(held, columns=names)
-                        held = []
-            yield pd.DataFrame(held, columns=names)
-
-    def put_together(pieces: pd.Series) -> list[str]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from batched((x for r in _rows(batches) for x in rows_of(*r)), arrow_schema(pieces), sized=(4, 7))
+
+    def put_together(found: Iterable[str]) -> list[str]:
         csv.field_size_limit(1 << 31)
-        return next(csv.reader(_lines("".join(pieces)), strict=True))
+        return next(csv.reader(_lines("".join(found)), strict=True))
 
-    read = joined.select(*BY, "start", "part", "content", "inside", "before").mapInPandas(run, "batch_id string, file_name string, kind string, row_number int, fields array<string>, start bigint, part int, piece string")
+    read = joined.select(*BY, "start", "part", "content", "inside", "before").mapInArrow(run, pieces)
     whole = read.filter("kind <> 'piece'").select(*BY, "kind", "row_number", "fields", F.lit(None).cast("string").alias("detail"))
 
-    def meet(f: pd.DataFrame) -> pd.DataFrame:
-        r = f.iloc[0]
-        fields = put_together(f.sort_values(["start", "part"])["piece"])
-        return pd.DataFrame([(r["batch_id"], r["file_name"], "record" if r["row_number"] else "header", r["row_number"], fields, None)], columns=[x.split()[0] for x in RECORDS.split(", ")])
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # records follow each other in a task, each with its pieces in order
+        records = ((*r[0][:2], "record" if r[0][2] else "header", r[0][2], put_together(x[-1] for x in r), None) for r in _by(_rows(batches), 3))
+        yield from batched(records, arrow_schema(RECORDS), sized=(4,))
 
-    met = read.filter("kind = 'piece'").groupBy(*BY, "row_number").applyInPandas(meet, RECORDS)
+    split = read.filter("kind = 'piece'").select(*BY, "row_number", "start", "part", "piece")
+    met = split.repartition(*BY, "row_number").sortWithinPartitions(*BY, "row_number", "start", "part").mapInArrow(meet, RECORDS)
     failed = states.filter("detail IS NOT NULL").select(*BY, "detail").distinct()
     empty = files.select(*BY).join(states.select(*BY).distinct(), BY, "left_anti").withColumn("detail", F.lit("HEADER_MISSING"))
     failures = failed.unionByName(empty).select(*BY, F.lit("failure").alias("kind"), F.lit(None).cast("int").alias("row_number"), F.lit(None).cast("array<string>").alias("fields"), "detail")
