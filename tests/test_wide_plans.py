@@ -31,3 +31,8 @@ def test_ranges_of_many_files_share_batches(spark):
 def test_small_files_share_batches(spark):
     plan = catalogue.queries()["csv_records"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan and "InPandas" not in plan
+
+
+def test_canonical_rows_come_in_batches(spark):
+    plan = catalogue.queries()["canonical_rows"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "InPandas" not in plan
