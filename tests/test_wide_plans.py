@@ -36,3 +36,8 @@ def test_small_files_share_batches(spark):
 def test_canonical_rows_come_in_batches(spark):
     plan = catalogue.queries()["canonical_rows"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan and "InPandas" not in plan
+
+
+def test_record_shapes_come_in_batches(spark):
+    plan = catalogue.queries()["record_shapes"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "InPandas" not in plan
