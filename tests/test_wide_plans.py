@@ -1,8 +1,9 @@
 """Plans that must stay good for many rows: no method too long to be compiled, no frame per small file."""
 
 from tests.conftest import SF
+from tests.test_csv_ranges import ODD, generated, rows
 from tidewell.plans import catalogue
-from tidewell.sources import csv_ranges
+from tidewell.sources import csv_ranges, landing
 
 
 def test_cleaned_fields_compile_and_rows_stay_in_their_tasks(spark):
@@ -41,3 +42,19 @@ def test_canonical_rows_come_in_batches(spark):
 def test_record_shapes_come_in_batches(spark):
     plan = catalogue.queries()["record_shapes"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan and "InPandas" not in plan
+
+
+def test_canonical_rows_are_parsed_once(spark):
+    plan = catalogue.queries()["canonical_rows"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
+def test_blocks_of_any_size_hold_the_same_records(spark):
+    wide = b"a,b\n" + b"".join(b"1\n" if i % 3 == 0 else b'"x\ny",2\n' for i in range(40))  # more wrong records than are listed
+    contents = [*ODD, wide, *(generated(i) for i in range(60))]
+    files = spark.createDataFrame([("batch_001", f"f{i}.csv", bytearray(c)) for i, c in enumerate(contents)], "batch_id string, file_name string, content binary").repartition(4)
+    sequential = rows(csv_ranges.read_strict_csv_ranges(csv_ranges.cut(files), files))
+    for held in (0, 20, landing.HELD_BYTES):
+        blocks = landing.read_blocks(files, held=held)
+        assert rows(landing.records_of(blocks)) == sequential
+    assert landing.read_blocks(files, held=20).filter("file_name = 'f%d.csv'" % len(ODD)).count() > 5

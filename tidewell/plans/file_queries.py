@@ -88,10 +88,13 @@ def _(spark, d):
 @query("canonical_rows", f"WITH {CSV_SQL} SELECT file_name, CAST(n AS INTEGER) AS source_row_number, 'v1' AS schema_version, v AS b, CAST(k AS VARCHAR) AS a, CAST(NULL AS VARCHAR) AS c FROM fld JOIN fil USING (f) WHERE NOT fil.unread AND width = 2")
 def _(spark, d):
     files, entries = _csv_files(spark, d)
-    records = landing.read_strict_csv(files)
-    _, matched = landing.check_files(files, entries, records, _contracts(spark))
-    whole = records.filter("kind <> 'record' OR size(fields) = 2")  # only batches without malformed records come this far
-    return landing.to_canonical(whole, matched, ["b", "a", "c"]).select("file_name", "source_row_number", "schema_version", "b", "a", "c")
+    by = ["batch_id", "file_name"]
+    listed = files.select(*by, "content").join(entries.select(*by, "source_system"), by)  # before files are taken apart: they are few, their rows many
+    blocks = landing.read_blocks(listed, carried=["source_system"])
+    matched = landing.match_headers(blocks.withColumnRenamed("header", "fields"), _contracts(spark)).filter("version IS NOT NULL").withColumnRenamed("source_system", "file_source_system")
+    records = landing.records_of(matched, kept=["file_source_system", "version", "canonical"])
+    whole = records.filter("kind = 'record' AND size(fields) = 2")  # only batches without malformed records come this far
+    return landing.canonical_values(whole, ["b", "a", "c"]).select("file_name", "source_row_number", "schema_version", "b", "a", "c")
 
 
 @query(

@@ -19,7 +19,7 @@ import codecs
 import csv
 import io
 from collections.abc import Iterable, Iterator
-from itertools import groupby
+from itertools import chain, groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -35,15 +35,23 @@ RECORDS = "batch_id string, file_name string, kind string, row_number int, field
 INSIDE = '"'
 
 
-ARROW = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary(), "array<string>": pa.list_(pa.string())}
+ARROW = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary(), "array<string>": pa.list_(pa.string()), "array<array<string>>": pa.list_(pa.list_(pa.string()))}
 
 
 def arrow_schema(kinds: str) -> pa.Schema:
     return pa.schema([(name, ARROW[kind]) for name, kind in (x.split() for x in kinds.split(", "))])
 
 
+def _size(x: str | bytes | list) -> int:
+    if not isinstance(x, list):
+        return len(x)
+    if x and isinstance(x[0], list):
+        return len(x) + sum(map(len, x)) + sum(map(len, chain.from_iterable(x)))
+    return sum(map(len, x))
+
+
 def batched(rows: Iterable[tuple], schema: pa.Schema, sized: tuple[int, ...] = ()) -> Iterator[pa.RecordBatch]:
-    """Rows as record batches, whatever files they come from. ``sized``: columns (texts, bytes or lists of texts) whose sizes count too."""
+    """Rows as record batches, whatever files they come from. ``sized``: columns (texts, bytes, lists of texts or of rows) whose sizes count too."""
     held, n = [], 0
 
     def done() -> pa.RecordBatch:
@@ -52,7 +60,7 @@ def batched(rows: Iterable[tuple], schema: pa.Schema, sized: tuple[int, ...] = (
     for row in rows:
         held.append(row)
         for x in (row[i] for i in sized):
-            n += 0 if x is None else sum(map(len, x)) if isinstance(x, list) else len(x)
+            n += 0 if x is None else _size(x)
         if len(held) >= ROWS or n >= BATCH_BYTES:
             yield done()
             held, n = [], 0
