@@ -49,12 +49,21 @@ def test_canonical_rows_are_parsed_once(spark):
     assert plan.count("MapInArrow") == 1
 
 
+def test_record_shapes_are_parsed_once_and_meet_no_headers(spark):
+    plan = catalogue.queries()["record_shapes"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Join" not in plan
+
+
 def test_blocks_of_any_size_hold_the_same_records(spark):
     wide = b"a,b\n" + b"".join(b"1\n" if i % 3 == 0 else b'"x\ny",2\n' for i in range(40))  # more wrong records than are listed
     contents = [*ODD, wide, *(generated(i) for i in range(60))]
     files = spark.createDataFrame([("batch_001", f"f{i}.csv", bytearray(c)) for i, c in enumerate(contents)], "batch_id string, file_name string, content binary").repartition(4)
     sequential = rows(csv_ranges.read_strict_csv_ranges(csv_ranges.cut(files), files))
+    listed = lambda df: sorted(df.select("file_name", "position", "code", "detail").collect())
+    shapes = listed(landing.record_shape_failures(landing.read_strict_csv(files)))
+    assert sum(r["file_name"] == f"f{len(ODD)}.csv" for r in shapes) == landing.LISTED + 1
     for held in (0, 20, landing.HELD_BYTES):
         blocks = landing.read_blocks(files, held=held)
         assert rows(landing.records_of(blocks)) == sequential
+        assert listed(landing.block_shape_failures(blocks)) == shapes
     assert landing.read_blocks(files, held=20).filter("file_name = 'f%d.csv'" % len(ODD)).count() > 5

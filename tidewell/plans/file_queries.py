@@ -66,7 +66,7 @@ def _(spark, d):
 
 @query("record_shapes", FAILURES_SQL + " SELECT file_name, detail FROM fails JOIN fil USING (f) WHERE code = 'MALFORMED_RECORD'")
 def _(spark, d):
-    return landing.record_shape_failures(landing.read_strict_csv(_csv_files(spark, d)[0])).select("file_name", "detail")
+    return landing.block_shape_failures(landing.read_blocks(_csv_files(spark, d)[0])).select("file_name", "detail")
 
 
 @query(
